@@ -1,21 +1,33 @@
 """Shortest-path betweenness centrality of a weighted undirected graph, on Spark.
 
-Brandes' accumulation written as relational fixpoints over (source, node) state, so the work is
-joins and aggregates partitioned by key and no task ever holds the graph:
-
-1. distances: relax the changed frontier along all arcs, keep the minimum per (s, v), until no
-   distance improves (positive weights, so this ends);
-2. shortest-path DAG: arcs (u, v) with d(s,u) + w = d(s,v) (the same double sum that produced
-   d(s,v), so exact equality is sound, and ties count as in Dijkstra-based Brandes);
-3. path counts sigma: layer by layer along the DAG from the source;
-4. dependencies: x = (1 + delta) / sigma obeys x(u) = 1/sigma(u) + sum of x over DAG successors,
-   so delta(s,u) = sigma(u) * (sum over layers k >= 1 of the backward walk from 1/sigma).
-
-Weights are distances (a larger weight is a longer edge). Scores are normalised like the usual
-library default for undirected graphs: times 1/((n-1)(n-2)), no scaling for n <= 2.
-Sources run in batches sized so that one round touches at most ``max_batch_rows`` arc rows;
-partial scores are written per batch and summed at the end. Every round's state is written to the
-shared checkpoint folder, which cuts lineage and survives executor loss.
+Brandes' algorithm written as relational fixpoints over (source s, node v) state, so every step is
+a join or an aggregate partitioned by key and no task ever holds the graph or one source's tree:
+
+1. distances and path counts together: each round, nodes whose state changed send
+   (s, v, d + w, sigma increment) along their arcs; per (s, v) the messages are reduced to the
+   minimum distance and the sum of path counts that reach it, then merged with the state
+   (a shorter distance replaces the count, an equal one adds to it). Only changed rows are sent
+   on, so a round costs the changed frontier times its arcs. Positive weights make it end.
+2. shortest-path DAG: arcs (u, v) with d(s,u) + w = d(s,v). The test repeats the same double
+   sum that produced d(s,v), so exact equality is sound and ties count as in Dijkstra-based
+   Brandes.
+3. dependencies: x = (1 + delta) / sigma obeys x(u) = 1/sigma(u) + sum of x over DAG successors,
+   so delta(s,u) = sigma(u) * (sum over k >= 1 of the k-step backward walk from 1/sigma).
+
+Weights are distances (a larger weight is a longer edge). Scores are normalised like the common
+library default for undirected graphs: times 1/((n-1)(n-2)); no scaling for n <= 2.
+
+Layout. Node names are mapped once to 64-bit ids. When the arc count is within
+``broadcast_arcs_limit`` (checked by counting), the arcs are broadcast and all per-source state is
+hash-partitioned by source only: Brandes is independent per source, so messages, their
+aggregation, the merge with the state and the DAG build then run inside the partition that owns
+the source, and a round shuffles only the state. Beyond that bound the arcs are joined by
+shuffle and state is partitioned by (s, v). Sources run in batches sized so that one round
+touches at most ``max_batch_rows`` arc rows; partial scores are summed at the end.
+
+Every round is cut with a reliable ``checkpoint()`` into the cluster's shared checkpoint folder,
+which bounds lineage and survives executor loss (set
+``spark.cleaner.referenceTracking.cleanCheckpoints=true`` to have superseded rounds removed).
 """
 
 from __future__ import annotations
@@ -23,141 +35,150 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warbler.operators.graph import Graph
-from warbler.session import delete_path, scratch_path
+from warbler.session import checkpoint_root
 
 NODE_SIZE_FACTOR = 5000.0
 
 
-class _Tables:
-    """Round-by-round state written as Parquet under one scratch folder."""
+def _cut(df: DataFrame) -> DataFrame:
+    return df.checkpoint(eager=True)
 
-    def __init__(self, spark: SparkSession, keep: bool):
-        self.spark = spark
-        self.root = scratch_path(spark, "betweenness")
-        self.keep = keep
-        self.count = 0
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        self.count += 1
-        path = f"{self.root}/{self.count:05d}-{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
-    def close(self) -> None:
-        if not self.keep:
-            delete_path(self.spark, self.root)
 
+class _Layout:
+    """Where the arcs and the per-source state live (see the module notes)."""
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+    def __init__(self, arcs: DataFrame, by_source: bool, partitions: int):
+        self.by_source = by_source
+        self.partitions = partitions
+        self.arcs = F.broadcast(arcs) if by_source else arcs
 
+    def spread(self, df: DataFrame) -> DataFrame:
+        """State read back from a checkpoint, partitioned so that a source stays in one task."""
+        return df.repartition(self.partitions, "s") if self.by_source else df
 
-def _distances(t: _Tables, arcs: DataFrame, sources: DataFrame) -> DataFrame:
-    dist = t.save(sources.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d")), "dist")
-    frontier = dist
-    while True:
-        cand = (frontier.select("s", F.col("v").alias("u"), "d")
-                .join(arcs, "u")
-                .groupBy("s", "v").agg(F.min(F.col("d") + F.col("w")).alias("cd")))
-        merged = t.save(
-            dist.join(cand, ["s", "v"], "full_outer").select(
-                "s", "v", F.least("d", "cd").alias("d"),
-                (F.col("cd") < F.coalesce(F.col("d"), F.lit(math.inf))).alias("improved")),
-            "dist")
-        dist = merged.select("s", "v", "d")
-        frontier = merged.filter(F.col("improved")).select("s", "v", "d")
-        if frontier.isEmpty():
-            return dist
-
-
-def _dag(t: _Tables, arcs: DataFrame, dist: DataFrame) -> DataFrame:
-    tail = dist.select("s", F.col("v").alias("u"), F.col("d").alias("du"))
-    head = dist.select("s", "v", F.col("d").alias("dv"))
-    return t.save(
-        tail.join(arcs, "u").join(head, ["s", "v"])
-        .filter(F.col("du") + F.col("w") == F.col("dv"))
-        .select("s", "u", "v"),
-        "dag")
-
-
-def _path_counts(t: _Tables, dag: DataFrame, sources: DataFrame) -> DataFrame:
-    layer = sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("y"))
-    layers = [layer]
+    def group_messages(self, df: DataFrame) -> DataFrame:
+        # By source the messages already sit with their source; otherwise one shuffle on (s, v)
+        # serves both aggregates below.
+        return df if self.by_source else df.repartition("s", "v")
+
+
+def _forward(lay: _Layout, sources: DataFrame) -> DataFrame:
+    """(s, v, d, sigma) for every node v reachable from each source s."""
+    d, c, sigma, send = F.col("d"), F.col("c"), F.col("sigma"), F.col("send")
+    merged = _cut(sources.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d"),
+                                 F.lit(1.0).alias("sigma"), F.lit(1.0).alias("send")))
     while True:
-        layer = t.save(
-            layer.select("s", F.col("v").alias("u"), "y").join(dag, ["s", "u"])
-            .groupBy("s", "v").agg(F.sum("y").alias("y")),
-            "paths")
-        if layer.isEmpty():
-            break
-        layers.append(layer)
-    return t.save(_union(layers).groupBy("s", "v").agg(F.sum("y").alias("sigma")), "sigma")
-
-
-def _dependencies(t: _Tables, dag: DataFrame, sigma: DataFrame) -> DataFrame:
-    layer = sigma.select("s", "v", (F.lit(1.0) / F.col("sigma")).alias("z"))
+        here = lay.spread(merged)
+        state = here.select("s", "v", "d", "sigma")
+        frontier = here.filter(send.isNotNull())
+        messages = (frontier.select("s", F.col("v").alias("u"), "d", "send")
+                    .join(lay.arcs, "u")
+                    .select("s", "v", (d + F.col("w")).alias("c"), "send"))
+        # min distance per (s, v) and the path count summed over the messages that reach it
+        best = (lay.group_messages(messages)
+                .groupBy("s", "v", "c").agg(F.sum("send").alias("send"))
+                .groupBy("s", "v").agg(F.min("c").alias("c"), F.min_by("send", "c").alias("send")))
+        merged = _cut(state.join(best.hint("shuffle_hash"), ["s", "v"], "full_outer").select(
+            "s", "v",
+            F.least(d, c).alias("d"),
+            F.when(d.isNull() | (c < d), send).when(c == d, sigma + send).otherwise(sigma)
+            .alias("sigma"),
+            F.when(c <= F.coalesce(d, F.lit(math.inf)), send).alias("send")))
+        if merged.filter(send.isNotNull()).isEmpty():
+            return merged.select("s", "v", "d", "sigma")
+
+
+def _dag(lay: _Layout, state: DataFrame) -> DataFrame:
+    here = lay.spread(state)
+    tail = here.select("s", F.col("v").alias("u"), F.col("d").alias("du"))
+    head = here.select("s", "v", F.col("d").alias("dv"))
+    return _cut(tail.join(lay.arcs, "u").join(head.hint("shuffle_hash"), ["s", "v"])
+                .filter(F.col("du") + F.col("w") == F.col("dv"))
+                .select("s", "u", "v"))
+
+
+def _dependencies(lay: _Layout, dag: DataFrame, state: DataFrame) -> DataFrame | None:
+    """(id, delta) summed over this batch's sources, or None when no node lies between two."""
+    dag_here = lay.spread(dag)
+    if lay.by_source:
+        # Read by every backward round: keep it partitioned by source (rebuilt from the
+        # checkpoint if a block is lost).
+        dag_here = dag_here.persist(StorageLevel.MEMORY_AND_DISK)
+    layer = state.select("s", "v", (F.lit(1.0) / F.col("sigma")).alias("z"))
     walked = []
-    while True:
-        layer = t.save(
-            layer.join(dag, ["s", "v"]).groupBy("s", "u").agg(F.sum("z").alias("z"))
-            .withColumnRenamed("u", "v"),
-            "deps")
-        if layer.isEmpty():
-            break
-        walked.append(layer)
+    try:
+        while True:
+            layer = _cut(lay.spread(layer).hint("shuffle_hash").join(dag_here, ["s", "v"])
+                         .groupBy("s", "u").agg(F.sum("z").alias("z"))
+                         .withColumnRenamed("u", "v"))
+            if layer.isEmpty():
+                break
+            walked.append(layer)
+    finally:
+        if lay.by_source:
+            dag_here.unpersist()
     if not walked:
-        return t.save(sigma.select(F.col("v").alias("node"), F.lit(0.0).alias("delta")).limit(0),
-                      "partial")
+        return None
     x = _union(walked).groupBy("s", "v").agg(F.sum("z").alias("x"))
-    delta = (x.join(sigma, ["s", "v"]).filter(F.col("s") != F.col("v"))
-             .groupBy(F.col("v").alias("node"))
-             .agg(F.sum(F.col("sigma") * F.col("x")).alias("delta")))
-    return t.save(delta, "partial")
+    return _cut(x.join(state, ["s", "v"]).filter(F.col("s") != F.col("v"))
+                .groupBy(F.col("v").alias("id"))
+                .agg(F.sum(F.col("sigma") * F.col("x")).alias("delta")))
 
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
-                keep_intermediate: bool = False) -> DataFrame:
+                broadcast_arcs_limit: int = 2_000_000) -> DataFrame:
     """(node, betweenness) over all sources; nodes on no shortest path score 0."""
     spark = graph.arcs.sparkSession
-    t = _Tables(spark, keep_intermediate)
-    try:
-        arcs = t.save(graph.arcs.select(F.col("src").alias("u"), F.col("dst").alias("v"),
-                                        F.col("weight").cast("double").alias("w")), "arcs")
-        nodes = t.save(graph.nodes.select("node"), "nodes")
-        stats = arcs.agg(
-            F.count(F.lit(1)).alias("m"),
-            F.count_if(F.col("w").isNull() | F.isnan("w") | (F.col("w") <= 0)).alias("bad"),
-        ).first()
-        if stats["bad"]:
-            raise ValueError("edge weights must be positive numbers")
-        n = nodes.count()
-        batches = max(1, math.ceil(n * max(stats["m"], 1) / max_batch_rows))
-        partials = []
-        for b in range(batches):
-            chosen = nodes if batches == 1 else nodes.filter(
-                F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
-            sources = chosen.select(F.col("node").alias("s"))
-            dist = _distances(t, arcs, sources)
-            dag = _dag(t, arcs, dist)
-            sigma = _path_counts(t, dag, sources)
-            partials.append(_dependencies(t, dag, sigma))
-        if normalized:
-            scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-        else:
-            scale = 0.5
-        total = _union(partials).groupBy("node").agg(F.sum("delta").alias("delta"))
-        scores = nodes.join(total, "node", "left").select(
-            "node", (F.coalesce(F.col("delta"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
-        # The scores outlive the round state, which is removed below.
-        final = scratch_path(spark, "betweenness-scores")
-        scores.write.parquet(final)
-        return spark.read.parquet(final)
-    finally:
-        t.close()
+    checkpoint_root(spark)  # make sure a checkpoint folder is known
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Stable 64-bit ids, fixed by the checkpoint.
+    ids = _cut(graph.nodes.select("node").withColumn("id", F.monotonically_increasing_id()))
+    n = ids.count()
+    stats = graph.arcs.agg(
+        F.count(F.lit(1)).alias("m"),
+        F.count_if(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") <= 0))
+        .alias("bad"),
+    ).first()
+    if stats["bad"]:
+        raise ValueError("edge weights must be positive numbers")
+    m = stats["m"]
+    by_source = m <= broadcast_arcs_limit
+    # The id table has at most 2m + (self-loop) nodes, so it is broadcast under the same bound.
+    lookup = F.broadcast(ids) if by_source and n <= 2 * broadcast_arcs_limit else ids
+    arcs = _cut(graph.arcs
+                .join(lookup.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
+                .join(lookup.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
+                .select("u", "v", F.col("weight").cast("double").alias("w")))
+    lay = _Layout(arcs, by_source, partitions)
+    batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
+    partials = []
+    for b in range(batches):
+        chosen = ids if batches == 1 else ids.filter(
+            F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
+        state = _forward(lay, chosen.select(F.col("id").alias("s")))
+        part = _dependencies(lay, _dag(lay, state), state)
+        if part is not None:
+            partials.append(part)
+    if normalized:
+        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
+    else:
+        scale = 0.5
+    if partials:
+        total = _union(partials).groupBy("id").agg(F.sum("delta").alias("delta"))
+        scored = ids.join(total, "id", "left")
+    else:
+        scored = ids.withColumn("delta", F.lit(None).cast("double"))
+    return _cut(scored.select(
+        "node", (F.coalesce(F.col("delta"), F.lit(0.0)) * F.lit(scale)).alias("betweenness")))
 
 
 def node_sizes(scores: DataFrame, factor: float = NODE_SIZE_FACTOR) -> DataFrame:
