@@ -161,13 +161,26 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
     lay = _Layout(arcs, by_source, partitions)
     batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
     partials = []
-    for b in range(batches):
-        chosen = ids if batches == 1 else ids.filter(
-            F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
-        state = _forward(lay, chosen.select(F.col("id").alias("s")))
-        part = _dependencies(lay, _dag(lay, state), state)
-        if part is not None:
-            partials.append(part)
+    # Joins on (s, v) of two sides both hash-partitioned by s are co-partitioned; Spark only
+    # uses that when it may co-partition on a subset of the join keys. Set for this run only.
+    copartition_key = "spark.sql.requireAllClusterKeysForCoPartition"
+    previous = spark.conf.get(copartition_key, None)
+    if by_source:
+        spark.conf.set(copartition_key, "false")
+    try:
+        for b in range(batches):
+            chosen = ids if batches == 1 else ids.filter(
+                F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
+            state = _forward(lay, chosen.select(F.col("id").alias("s")))
+            part = _dependencies(lay, _dag(lay, state), state)
+            if part is not None:
+                partials.append(part)
+    finally:
+        if by_source:
+            if previous is None:
+                spark.conf.unset(copartition_key)
+            else:
+                spark.conf.set(copartition_key, previous)
     if normalized:
         scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
     else:
