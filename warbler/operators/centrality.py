@@ -11,8 +11,10 @@ a join or an aggregate partitioned by key and no task ever holds the graph or on
 2. shortest-path DAG: arcs (u, v) with d(s,u) + w = d(s,v). The test repeats the same double
    sum that produced d(s,v), so exact equality is sound and ties count as in Dijkstra-based
    Brandes.
-3. dependencies: x = (1 + delta) / sigma obeys x(u) = 1/sigma(u) + sum of x over DAG successors,
-   so delta(s,u) = sigma(u) * (sum over k >= 1 of the k-step backward walk from 1/sigma).
+3. dependencies: unrolling Brandes' delta(u) = sum over successors v of sigma(u)/sigma(v) *
+   (1 + delta(v)) gives delta(u) = sum over k >= 1 of q_k(u), where each DAG arc carries
+   a = sigma(u)/sigma(v), q_1(u) = sum of a over u's out-arcs and q_(k+1)(u) = sum of a * q_k(v).
+   Every layer adds straight into the node scores, so no step joins back to the state.
 
 Weights are distances (a larger weight is a longer edge). Scores are normalised like the common
 library default for undirected graphs: times 1/((n-1)(n-2)); no scaling for n <= 2.
@@ -98,40 +100,40 @@ def _forward(lay: _Layout, sources: DataFrame) -> DataFrame:
 
 
 def _dag(lay: _Layout, state: DataFrame) -> DataFrame:
+    """Shortest-path DAG arcs (s, u, v) with a = sigma(s,u) / sigma(s,v)."""
     here = lay.spread(state)
-    tail = here.select("s", F.col("v").alias("u"), F.col("d").alias("du"))
-    head = here.select("s", "v", F.col("d").alias("dv"))
+    tail = here.select("s", F.col("v").alias("u"), F.col("d").alias("du"),
+                       F.col("sigma").alias("su"))
+    head = here.select("s", "v", F.col("d").alias("dv"), F.col("sigma").alias("sv"))
     return _cut(tail.join(lay.arcs, "u").join(head.hint("shuffle_hash"), ["s", "v"])
                 .filter(F.col("du") + F.col("w") == F.col("dv"))
-                .select("s", "u", "v"))
+                .select("s", "u", "v", (F.col("su") / F.col("sv")).alias("a")))
 
 
-def _dependencies(lay: _Layout, dag: DataFrame, state: DataFrame) -> DataFrame | None:
-    """(id, delta) summed over this batch's sources, or None when no node lies between two."""
+def _dependencies(lay: _Layout, dag: DataFrame) -> DataFrame:
+    """(id, delta) summed over this batch's sources."""
     dag_here = lay.spread(dag)
     if lay.by_source:
         # Read by every backward round: keep it partitioned by source (rebuilt from the
         # checkpoint if a block is lost).
         dag_here = dag_here.persist(StorageLevel.MEMORY_AND_DISK)
-    layer = state.select("s", "v", (F.lit(1.0) / F.col("sigma")).alias("z"))
-    walked = []
     try:
-        while True:
+        layer = _cut(dag_here.groupBy("s", "u").agg(F.sum("a").alias("q"))
+                     .withColumnRenamed("u", "v"))
+        walked = []
+        while not layer.isEmpty():
+            walked.append(layer)
             layer = _cut(lay.spread(layer).hint("shuffle_hash").join(dag_here, ["s", "v"])
-                         .groupBy("s", "u").agg(F.sum("z").alias("z"))
+                         .groupBy("s", "u").agg(F.sum(F.col("a") * F.col("q")).alias("q"))
                          .withColumnRenamed("u", "v"))
-            if layer.isEmpty():
-                break
-            walked.append(layer)
     finally:
         if lay.by_source:
             dag_here.unpersist()
-    if not walked:
-        return None
-    x = _union(walked).groupBy("s", "v").agg(F.sum("z").alias("x"))
-    return _cut(x.join(state, ["s", "v"]).filter(F.col("s") != F.col("v"))
-                .groupBy(F.col("v").alias("id"))
-                .agg(F.sum(F.col("sigma") * F.col("x")).alias("delta")))
+    scores = [w.filter(F.col("s") != F.col("v")).select(F.col("v").alias("id"), "q")
+              for w in walked]
+    if not scores:
+        return dag.sparkSession.createDataFrame([], "id long, delta double")
+    return _cut(_union(scores).groupBy("id").agg(F.sum("q").alias("delta")))
 
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
@@ -172,9 +174,7 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
             chosen = ids if batches == 1 else ids.filter(
                 F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
             state = _forward(lay, chosen.select(F.col("id").alias("s")))
-            part = _dependencies(lay, _dag(lay, state), state)
-            if part is not None:
-                partials.append(part)
+            partials.append(_dependencies(lay, _dag(lay, state)))
     finally:
         if by_source:
             if previous is None:
@@ -185,11 +185,9 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
         scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
     else:
         scale = 0.5
-    if partials:
-        total = _union(partials).groupBy("id").agg(F.sum("delta").alias("delta"))
-        scored = ids.join(total, "id", "left")
-    else:
-        scored = ids.withColumn("delta", F.lit(None).cast("double"))
+    total = partials[0] if len(partials) == 1 else (
+        _union(partials).groupBy("id").agg(F.sum("delta").alias("delta")))
+    scored = ids.join(total, "id", "left")
     return _cut(scored.select(
         "node", (F.coalesce(F.col("delta"), F.lit(0.0)) * F.lit(scale)).alias("betweenness")))
 
