@@ -78,7 +78,7 @@ _TAIL = {
     "typed_tweet_table": "SELECT username, hashtag, mention FROM tweets",
     "temp_view_sql": "SELECT username, hashtag, mention FROM tweets",
     "sink_parquet": "SELECT mention, usernames FROM mention_lists",
-    "sink_csv_single": "SELECT mention, usernames FROM mention_lists",
+    "sink_csv": "SELECT mention, usernames FROM mention_lists",
     "sink_text_pairs": "SELECT '(' || record_type || ',' || count(*) || ')' AS value "
                        "FROM typed GROUP BY record_type",
     "sink_edge_list": "SELECT src || ',' || dst || ',' || weight AS value FROM topic_graph",

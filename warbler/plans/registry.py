@@ -71,9 +71,11 @@ def sink_parquet(spark, d):
     return spark.read.parquet(path)
 
 
-def sink_csv_single(spark, d):
+def sink_csv(spark, d):
+    # The original wrote one part file through a single task; the lists grow with the data, so
+    # every task writes its share here and readers take the folder.
     path = sinks.write_csv(W.mention_users(_ws(spark, d).tweets()),
-                           scratch_path(spark, "mention-users-csv"), single_file=True)
+                           scratch_path(spark, "mention-users-csv"))
     return spark.read.schema("mention string, usernames string").csv(path)
 
 
@@ -232,7 +234,7 @@ QUERIES: dict[str, Query] = {
     for name in [
         "scan_records", "scan_header_record", "scan_parquet", "scan_edge_list",
         "typed_tweet_table", "temp_view_sql",
-        "sink_parquet", "sink_csv_single", "sink_text_pairs", "sink_edge_list", "row_counts",
+        "sink_parquet", "sink_csv", "sink_text_pairs", "sink_edge_list", "row_counts",
         "prefilter_marked", "message_text", "parse_username", "parse_mentions", "parse_hashtags",
         "parse_tweets", "tweet_table", "malformed_records",
         "topic_users_df", "topic_users_sql", "topic_mentions_iranelections",

@@ -67,8 +67,12 @@ def mention_users(tweet_df: DataFrame, topic: str = "H1N1") -> DataFrame:
 
 
 def save_mention_users(lists: DataFrame, parquet_path: str, csv_path: str) -> tuple[str, str]:
-    """W6 sinks: Parquet and CSV at two paths (one path would let the CSV replace the Parquet)."""
-    return sinks.write_parquet(lists, parquet_path), sinks.write_csv(lists, csv_path)
+    """W6 sinks: Parquet and CSV at two paths (one path would let the CSV replace the Parquet).
+    The lists are computed once; the CSV copy is written from the Parquet files by all tasks."""
+    spark = lists.sparkSession
+    sinks.write_parquet(lists, parquet_path)
+    sinks.write_csv(spark.read.parquet(parquet_path), csv_path)
+    return parquet_path, csv_path
 
 
 def bad_record_report(records: DataFrame, out_path: str) -> str:

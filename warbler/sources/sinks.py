@@ -20,8 +20,8 @@ def write_tweet_table(tweets: DataFrame, path: str, mode: str = "overwrite") ->
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
-    """CSV without a header. ``single_file`` puts everything through one task: only for small
-    results."""
+    """CSV without a header, one part file per task. ``single_file`` sends every row through one
+    task and is meant only for results whose size is bounded (a handful of rows)."""
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", "false").csv(path)
     return path
