@@ -37,7 +37,7 @@ def _col(value: Column | str) -> Column:
 
 def body(value: Column | str) -> Column:
     """The record without leading newlines (three newlines between records leave one behind)."""
-    return F.regexp_replace(_col(value), r"^\n+", "")
+    return F.ltrim(_col(value), F.lit("\n"))
 
 
 def is_header(value: Column | str) -> Column:

@@ -20,6 +20,14 @@ class Graph:
     arcs: DataFrame
 
 
+def _user_mentions(records: DataFrame, value: str) -> DataFrame:
+    """(username, mention) per mention; the user is parsed once per record, before the
+    explode."""
+    v = F.col(value)
+    parsed = records.select(R.username(v).alias("username"), R.mentions(v).alias("mentions"))
+    return parsed.select("username", F.explode("mentions").alias("mention"))
+
+
 def _weighted_pairs(user_mentions: DataFrame) -> DataFrame:
     """(username, mention) rows → (src, dst, weight) with src < dst, weight = mention count.
     A hot pair is summed map side before the shuffle."""
@@ -32,19 +40,14 @@ def _weighted_pairs(user_mentions: DataFrame) -> DataFrame:
 def mention_edges(records: DataFrame, value: str = "value") -> DataFrame:
     """Who mentioned whom, as undirected weighted edges, over records that pass the pre-filter
     (the records behind the tweet table). Self-mentions are dropped."""
-    v = F.col(value)
-    pairs = records.filter(R.is_marked(v)).select(
-        R.username(v).alias("username"), F.explode(R.mentions(v)).alias("mention"))
-    return _weighted_pairs(pairs)
+    return _weighted_pairs(_user_mentions(records.filter(R.is_marked(F.col(value))), value))
 
 
 def topic_mention_graph(records: DataFrame, tag: str, value: str = "value",
                         match_at_end: bool = False) -> DataFrame:
     """Mention edges of the records that carry ``#tag`` (``has_hashtag``)."""
-    v = F.col(value)
-    pairs = records.filter(R.has_hashtag(v, tag, match_at_end)).select(
-        R.username(v).alias("username"), F.explode(R.mentions(v)).alias("mention"))
-    return _weighted_pairs(pairs)
+    return _weighted_pairs(
+        _user_mentions(records.filter(R.has_hashtag(F.col(value), tag, match_at_end)), value))
 
 
 def undirected_graph(edges: DataFrame, on_duplicate: str = "last",
