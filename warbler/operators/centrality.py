@@ -85,8 +85,14 @@ def _forward(lay: _Layout, sources: DataFrame) -> DataFrame:
         messages = (frontier.select("s", F.col("v").alias("u"), "d", "send")
                     .join(lay.arcs, "u")
                     .select("s", "v", (d + F.col("w")).alias("c"), "send"))
+        # Most messages of the later rounds are longer than the known distance: drop them
+        # against the state (same partitioning, hash-built on the state) before aggregating.
+        known = state.select("s", "v", F.col("d").alias("known"))
+        useful = (lay.group_messages(messages)
+                  .join(known.hint("shuffle_hash"), ["s", "v"], "left")
+                  .filter(F.col("known").isNull() | (c <= F.col("known"))))
         # min distance per (s, v) and the path count summed over the messages that reach it
-        best = (lay.group_messages(messages)
+        best = (useful
                 .groupBy("s", "v", "c").agg(F.sum("send").alias("send"))
                 .groupBy("s", "v").agg(F.min("c").alias("c"), F.min_by("send", "c").alias("send")))
         merged = _cut(state.join(best.hint("shuffle_hash"), ["s", "v"], "full_outer").select(
@@ -137,11 +143,15 @@ def _dependencies(lay: _Layout, dag: DataFrame) -> DataFrame:
 
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
-                broadcast_arcs_limit: int = 2_000_000) -> DataFrame:
-    """(node, betweenness) over all sources; nodes on no shortest path score 0."""
+                broadcast_arcs_limit: int = 2_000_000,
+                rows_per_partition: int = 4_000_000) -> DataFrame:
+    """(node, betweenness) over all sources; nodes on no shortest path score 0.
+
+    ``max_batch_rows`` bounds sources x arcs per batch, ``broadcast_arcs_limit`` the arc count
+    up to which arcs are broadcast, ``rows_per_partition`` the arc rows one task handles per
+    round in the source-partitioned layout."""
     spark = graph.arcs.sparkSession
     checkpoint_root(spark)  # make sure a checkpoint folder is known
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Stable 64-bit ids, fixed by the checkpoint.
     ids = _cut(graph.nodes.select("node").withColumn("id", F.monotonically_increasing_id()))
     n = ids.count()
@@ -160,8 +170,12 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
                 .join(lookup.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
                 .join(lookup.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
                 .select("u", "v", F.col("weight").cast("double").alias("w")))
-    lay = _Layout(arcs, by_source, partitions)
     batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
+    # Partitions sized by the work of one round (sources x arcs), not by a session default.
+    per_batch = math.ceil(n / batches) * max(m, 1)
+    partitions = max(spark.sparkContext.defaultParallelism,
+                     math.ceil(per_batch / rows_per_partition))
+    lay = _Layout(arcs, by_source, partitions)
     partials = []
     # Joins on (s, v) of two sides both hash-partitioned by s are co-partitioned; Spark only
     # uses that when it may co-partition on a subset of the join keys. Set for this run only.
