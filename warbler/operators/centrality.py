@@ -106,23 +106,25 @@ def _forward(lay: _Layout, sources: DataFrame) -> DataFrame:
 
 
 def _dag(lay: _Layout, state: DataFrame) -> DataFrame:
-    """Shortest-path DAG arcs (s, u, v) with a = sigma(s,u) / sigma(s,v)."""
+    """Shortest-path DAG arcs (s, u, v) with a = sigma(s,u) / sigma(s,v).
+
+    Read by every backward round, so it is kept as computed: cached with the partitioning of
+    its join (by source in the broadcast layout). Its lineage is one join from the checkpointed
+    state, so a lost block is rebuilt cheaply."""
     here = lay.spread(state)
     tail = here.select("s", F.col("v").alias("u"), F.col("d").alias("du"),
                        F.col("sigma").alias("su"))
     head = here.select("s", "v", F.col("d").alias("dv"), F.col("sigma").alias("sv"))
-    return _cut(tail.join(lay.arcs, "u").join(head.hint("shuffle_hash"), ["s", "v"])
-                .filter(F.col("du") + F.col("w") == F.col("dv"))
-                .select("s", "u", "v", (F.col("su") / F.col("sv")).alias("a")))
+    dag = (tail.join(lay.arcs, "u").join(head.hint("shuffle_hash"), ["s", "v"])
+           .filter(F.col("du") + F.col("w") == F.col("dv"))
+           .select("s", "u", "v", (F.col("su") / F.col("sv")).alias("a"))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    dag.count()
+    return dag
 
 
-def _dependencies(lay: _Layout, dag: DataFrame) -> DataFrame:
+def _dependencies(lay: _Layout, dag_here: DataFrame) -> DataFrame:
     """(id, delta) summed over this batch's sources."""
-    dag_here = lay.spread(dag)
-    if lay.by_source:
-        # Read by every backward round: keep it partitioned by source (rebuilt from the
-        # checkpoint if a block is lost).
-        dag_here = dag_here.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         layer = _cut(dag_here.groupBy("s", "u").agg(F.sum("a").alias("q"))
                      .withColumnRenamed("u", "v"))
@@ -133,12 +135,11 @@ def _dependencies(lay: _Layout, dag: DataFrame) -> DataFrame:
                          .groupBy("s", "u").agg(F.sum(F.col("a") * F.col("q")).alias("q"))
                          .withColumnRenamed("u", "v"))
     finally:
-        if lay.by_source:
-            dag_here.unpersist()
+        dag_here.unpersist()
     scores = [w.filter(F.col("s") != F.col("v")).select(F.col("v").alias("id"), "q")
               for w in walked]
     if not scores:
-        return dag.sparkSession.createDataFrame([], "id long, delta double")
+        return dag_here.sparkSession.createDataFrame([], "id long, delta double")
     return _cut(_union(scores).groupBy("id").agg(F.sum("q").alias("delta")))
 
 
