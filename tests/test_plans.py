@@ -32,3 +32,35 @@ def test_topic_filters_pushed_down(spark):
     assert "In(hashtag, [H1N1,Oklahama])" in plan
     plan = _plan(W.users_of_topic(tweets, "Youtube"))
     assert "ReadSchema: struct<username:string,hashtag:string>" in plan
+
+
+def test_betweenness_rounds_keep_messages_in_place(spark, tmp_dir):
+    """In the broadcast layout a forward round shuffles only state rows by source: the message
+    aggregation and the merge run without an exchange of their own."""
+    from conftest import write_text
+    from pyspark.sql import functions as F
+    from warbler.operators import centrality, graph
+    from warbler.sources import tables
+
+    path = write_text(f"{tmp_dir}/g.csv", "a,b,1\nb,c,1\nc,d,2\na,d,5\n")
+    g = graph.undirected_graph(tables.scan_edge_list(spark, path, keep_order=True), "last")
+    plans = []
+    original = centrality._cut
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return original(df)
+
+    centrality._cut = spy
+    try:
+        centrality.betweenness(g).collect()
+    finally:
+        centrality._cut = original
+    forward = [p for p in plans if "FullOuter" in p]
+    assert forward
+    for plan in forward:
+        exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+        assert exchanges and all("hashpartitioning(s#" in ln and "REPARTITION_BY_NUM" in ln
+                                 and ", v#" not in ln for ln in exchanges), exchanges
+        assert "BroadcastHashJoin" in plan
+    assert F is not None
