@@ -96,3 +96,14 @@ def test_mention_edges_drop_self_and_merge_directions(spark):
     assert got == [("a", "b", 2), ("a", "c", 2)]
     topic = sorted(tuple(r) for r in graph.topic_mention_graph(df, "t").collect())
     assert topic == got
+
+
+def test_last_wins_across_files_in_name_order(spark, tmp_dir):
+    import os
+    folder = os.path.join(tmp_dir, "edges")
+    os.makedirs(folder)
+    write_text(f"{folder}/part-0.csv", "a,b,1\nb,c,2\n")
+    write_text(f"{folder}/part-1.csv", "b,a,7\n")
+    g = graph.undirected_graph(tables.scan_edge_list(spark, folder, keep_order=True), "last")
+    arcs = {(r.src, r.dst): r.weight for r in g.arcs.collect()}
+    assert arcs[("a", "b")] == 7.0 and arcs[("b", "a")] == 7.0 and arcs[("c", "b")] == 2.0

@@ -222,7 +222,8 @@ def graph_nodes(spark, d):
 
 
 def betweenness(spark, d):
-    return centrality.betweenness(_topic_graph(spark, d))
+    return _ws(spark, d).memo(f"betweenness:{GRAPH_TOPIC}",
+                              lambda: centrality.betweenness(_topic_graph(spark, d)))
 
 
 def node_sizes(spark, d):

@@ -19,6 +19,7 @@ from warbler.sources.sinks import write_tweet_table
 from warbler.sources.tables import read_tweet_table
 
 _PATHS: dict[tuple[str, str, str], str] = {}
+_RESULTS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table_path(data_dir: str, name: str) -> str:
@@ -33,6 +34,13 @@ class Workspace:
     def _key(self, name: str) -> tuple[str, str, str]:
         return (self.spark.sparkContext.applicationId, self.data_dir, name)
 
+    def memo(self, name: str, build) -> DataFrame:
+        """A materialised result (e.g. checkpointed scores) built once per application."""
+        key = self._key(name)
+        if key not in _RESULTS:
+            _RESULTS[key] = build()
+        return _RESULTS[key]
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(table_path(self.data_dir, name))
 
