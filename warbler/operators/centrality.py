@@ -17,7 +17,9 @@ a join or an aggregate partitioned by key and no task ever holds the graph or on
    Every layer adds straight into the node scores, so no step joins back to the state.
 
 Weights are distances (a larger weight is a longer edge). Scores are normalised like the common
-library default for undirected graphs: times 1/((n-1)(n-2)); no scaling for n <= 2.
+library default for undirected graphs: times 1/((n-1)(n-2)); no scaling for n <= 2. Path counts
+are exact unless weights differ by a factor near 2**53, where a stale and a final distance can
+round to the same sum.
 
 Layout. Node names are mapped once to 64-bit ids. When the arc count is within
 ``broadcast_arcs_limit`` (checked by counting), the arcs are broadcast and all per-source state is
