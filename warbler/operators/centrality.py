@@ -69,6 +69,11 @@ class _Layout:
         """State read back from a checkpoint, partitioned so that a source stays in one task."""
         return df.repartition(self.partitions, "s") if self.by_source else df
 
+    def hashed(self, df: DataFrame) -> DataFrame:
+        """Build side of a hash join. Only by source, where a task's share is bounded by the
+        partition sizing; otherwise Spark keeps its spill-safe choice (sort-merge)."""
+        return df.hint("shuffle_hash") if self.by_source else df
+
     def group_messages(self, df: DataFrame) -> DataFrame:
         # By source the messages already sit with their source; otherwise one shuffle on (s, v)
         # serves both aggregates below.
@@ -91,13 +96,13 @@ def _forward(lay: _Layout, sources: DataFrame) -> DataFrame:
         # against the state (same partitioning, hash-built on the state) before aggregating.
         known = state.select("s", "v", F.col("d").alias("known"))
         useful = (lay.group_messages(messages)
-                  .join(known.hint("shuffle_hash"), ["s", "v"], "left")
+                  .join(lay.hashed(known), ["s", "v"], "left")
                   .filter(F.col("known").isNull() | (c <= F.col("known"))))
         # min distance per (s, v) and the path count summed over the messages that reach it
         best = (useful
                 .groupBy("s", "v", "c").agg(F.sum("send").alias("send"))
                 .groupBy("s", "v").agg(F.min("c").alias("c"), F.min_by("send", "c").alias("send")))
-        merged = _cut(state.join(best.hint("shuffle_hash"), ["s", "v"], "full_outer").select(
+        merged = _cut(state.join(lay.hashed(best), ["s", "v"], "full_outer").select(
             "s", "v",
             F.least(d, c).alias("d"),
             F.when(d.isNull() | (c < d), send).when(c == d, sigma + send).otherwise(sigma)
@@ -117,7 +122,7 @@ def _dag(lay: _Layout, state: DataFrame) -> DataFrame:
     tail = here.select("s", F.col("v").alias("u"), F.col("d").alias("du"),
                        F.col("sigma").alias("su"))
     head = here.select("s", "v", F.col("d").alias("dv"), F.col("sigma").alias("sv"))
-    dag = (tail.join(lay.arcs, "u").join(head.hint("shuffle_hash"), ["s", "v"])
+    dag = (tail.join(lay.arcs, "u").join(lay.hashed(head), ["s", "v"])
            .filter(F.col("du") + F.col("w") == F.col("dv"))
            .select("s", "u", "v", (F.col("su") / F.col("sv")).alias("a"))
            .persist(StorageLevel.MEMORY_AND_DISK))
@@ -133,7 +138,7 @@ def _dependencies(lay: _Layout, dag_here: DataFrame) -> DataFrame:
         walked = []
         while not layer.isEmpty():
             walked.append(layer)
-            layer = _cut(lay.spread(layer).hint("shuffle_hash").join(dag_here, ["s", "v"])
+            layer = _cut(lay.hashed(lay.spread(layer)).join(dag_here, ["s", "v"])
                          .groupBy("s", "u").agg(F.sum(F.col("a") * F.col("q")).alias("q"))
                          .withColumnRenamed("u", "v"))
     finally:
