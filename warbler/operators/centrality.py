@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from warbler.operators.graph import Graph
-from warbler.session import checkpoint_root
+from warbler.session import checkpoint_root, default_parallelism
 
 NODE_SIZE_FACTOR = 5000.0
 
@@ -181,7 +181,7 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
     batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
     # Partitions sized by the work of one round (sources x arcs), not by a session default.
     per_batch = math.ceil(n / batches) * max(m, 1)
-    partitions = max(spark.sparkContext.defaultParallelism,
+    partitions = max(default_parallelism(spark),
                      math.ceil(per_batch / rows_per_partition))
     lay = _Layout(arcs, by_source, partitions)
     partials = []

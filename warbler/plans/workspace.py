@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from warbler.operators.tweets import tweet_table
-from warbler.session import scratch_path
+from warbler.session import app_id, scratch_path
 from warbler.sources.events import records_from_events
 from warbler.sources.records import scan_records, write_records
 from warbler.sources.sinks import write_tweet_table
@@ -32,7 +32,7 @@ class Workspace:
         self.data_dir = os.path.abspath(data_dir)
 
     def _key(self, name: str) -> tuple[str, str, str]:
-        return (self.spark.sparkContext.applicationId, self.data_dir, name)
+        return (app_id(self.spark), self.data_dir, name)
 
     def memo(self, name: str, build) -> DataFrame:
         """A materialised result (e.g. checkpointed scores) built once per application."""

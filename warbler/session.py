@@ -35,16 +35,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or "app"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # sessions without a local context (Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or a directory set on the context). Only when
     neither exists is a private folder created and registered, as tests do.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no local context: the server must name the folder
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     current = sc.getCheckpointDir()
     if current:
         # The context appends an application folder; keep our tables next to it.
@@ -56,16 +70,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
-    app = spark.sparkContext.applicationId
-    return f"{checkpoint_root(spark)}/warbler/{app}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove an intermediate table this library wrote (any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(hpath, True)
+    return f"{checkpoint_root(spark)}/warbler/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def env_int(name: str, default: int) -> int:
