@@ -107,3 +107,14 @@ def test_last_wins_across_files_in_name_order(spark, tmp_dir):
     g = graph.undirected_graph(tables.scan_edge_list(spark, folder, keep_order=True), "last")
     arcs = {(r.src, r.dst): r.weight for r in g.arcs.collect()}
     assert arcs[("a", "b")] == 7.0 and arcs[("b", "a")] == 7.0 and arcs[("c", "b")] == 2.0
+
+
+def test_graph_without_arcs(spark, tmp_dir):
+    g = _graph_from_text(spark, tmp_dir, "a,a,1\n")
+    assert _scores(centrality.betweenness(g)) == {"a": 0.0}
+
+
+def test_nan_weight_rejected(spark, tmp_dir):
+    g = _graph_from_text(spark, tmp_dir, "a,b,NaN\nb,c,1\n")
+    with pytest.raises(ValueError):
+        centrality.betweenness(g)

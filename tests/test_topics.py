@@ -85,3 +85,23 @@ def test_distinct_then_drop(spark):
         "username string, hashtag string, mention string")
     out = topics.distinct_then_drop(df, "H1N1")
     assert out.columns == ["username", "mention"] and _set(out) == [("a", "m")]
+
+
+def test_mention_user_list_with_coalesced_ranges(spark):
+    # AQE may merge adjacent range partitions; slices stay contiguous and ordered.
+    n = 3000
+    df = spark.range(n).select(
+        F.format_string("p%04d", (F.col("id") * 13) % n).alias("username"),
+        F.lit("H1N1").alias("hashtag"),
+        F.when(F.col("id") % 3 == 0, F.lit("m1")).otherwise(F.lit("m2")).alias("mention"))
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        got = dict(topics.mention_user_list(df).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    want = {}
+    for i in range(n):
+        want.setdefault("m1" if i % 3 == 0 else "m2", set()).add("p%04d" % ((i * 13) % n))
+    assert got == {k: ",".join(sorted(v)) for k, v in want.items()}
