@@ -163,7 +163,8 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
     # Stable 64-bit ids, fixed by the checkpoint.
     ids = _cut(graph.nodes.select("node").withColumn("id", F.monotonically_increasing_id()))
     n = ids.count()
-    stats = graph.arcs.agg(
+    named = _cut(graph.arcs.select("src", "dst", "weight"))
+    stats = named.agg(
         F.count(F.lit(1)).alias("m"),
         F.count_if(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") <= 0))
         .alias("bad"),
@@ -174,7 +175,7 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
     by_source = m <= broadcast_arcs_limit
     # The id table has at most 2m + (self-loop) nodes, so it is broadcast under the same bound.
     lookup = F.broadcast(ids) if by_source and n <= 2 * broadcast_arcs_limit else ids
-    arcs = _cut(graph.arcs
+    arcs = _cut(named
                 .join(lookup.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
                 .join(lookup.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
                 .select("u", "v", F.col("weight").cast("double").alias("w")))
