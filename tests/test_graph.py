@@ -118,3 +118,21 @@ def test_nan_weight_rejected(spark, tmp_dir):
     g = _graph_from_text(spark, tmp_dir, "a,b,NaN\nb,c,1\n")
     with pytest.raises(ValueError):
         centrality.betweenness(g)
+
+
+def test_sparse_tail_rounds(spark, tmp_dir):
+    # A long weighted path with a few shortcuts: many nearly idle last rounds, each writing
+    # only an overlay of changed rows (threshold forced to 0).
+    rnd = random.Random(7)
+    edges = [(f"p{i:02d}", f"p{i + 1:02d}", rnd.choice([1, 2, 3])) for i in range(24)]
+    edges += [("p00", "p05", 9), ("p03", "p11", 14), ("p10", "p20", 25), ("x", "y", 1)]
+    _check(spark, tmp_dir, edges, sparse_tail_min_rows=0)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_random_graphs_sparse_tail(spark, tmp_dir, seed):
+    rnd = random.Random(seed)
+    names = [f"v{i}" for i in range(14)]
+    edges = [(rnd.choice(names), rnd.choice(names), rnd.choice([1, 2, 0.5, 1.5]))
+             for _ in range(20)]
+    _check(spark, tmp_dir, edges, sparse_tail_min_rows=0)

@@ -45,17 +45,17 @@ def test_betweenness_rounds_keep_messages_in_place(spark, tmp_dir):
     path = write_text(f"{tmp_dir}/g.csv", "a,b,1\nb,c,1\nc,d,2\na,d,5\n")
     g = graph.undirected_graph(tables.scan_edge_list(spark, path, keep_order=True), "last")
     plans = []
-    original = centrality._cut
+    original = centrality._Cuts.__call__
 
-    def spy(df):
+    def spy(self, df):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return original(df)
+        return original(self, df)
 
-    centrality._cut = spy
+    centrality._Cuts.__call__ = spy
     try:
         centrality.betweenness(g).collect()
     finally:
-        centrality._cut = original
+        centrality._Cuts.__call__ = original
     forward = [p for p in plans if "FullOuter" in p]
     assert forward
     for plan in forward:

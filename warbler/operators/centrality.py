@@ -29,9 +29,9 @@ the source, and a round shuffles only the state. Beyond that bound the arcs are
 shuffle and state is partitioned by (s, v). Sources run in batches sized so that one round
 touches at most ``max_batch_rows`` arc rows; partial scores are summed at the end.
 
-Every round is cut with a reliable ``checkpoint()`` into the cluster's shared checkpoint folder,
-which bounds lineage and survives executor loss (set
-``spark.cleaner.referenceTracking.cleanCheckpoints=true`` to have superseded rounds removed).
+Every round is cut by writing its table as Parquet into the cluster's shared checkpoint folder
+and reading it back, which bounds lineage, survives executor loss and gives the planner true
+sizes; the folder is removed when the scores are written.
 """
 
 from __future__ import annotations
@@ -40,17 +40,34 @@ import math
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warbler.operators.graph import Graph
-from warbler.session import checkpoint_root, default_parallelism
+from warbler.session import checkpoint_root, default_parallelism, delete_path, scratch_path
 
 NODE_SIZE_FACTOR = 5000.0
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
+class _Cuts:
+    """Lineage cuts: each round's table is written as Parquet under one folder in the shared
+    checkpoint location and read back. Read-back tables carry sizes from their files; a
+    checkpointed DataFrame would instead carry the optimizer's estimate of the plan it came from,
+    and with joins that estimate is a product that grows without bound over many rounds."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.root = scratch_path(spark, "betweenness-rounds")
+        self.count = 0
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count:05d}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def close(self) -> None:
+        delete_path(self.spark, self.root)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -60,9 +77,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 class _Layout:
     """Where the arcs and the per-source state live (see the module notes)."""
 
-    def __init__(self, arcs: DataFrame, by_source: bool, partitions: int):
+    def __init__(self, cut: _Cuts, arcs: DataFrame, by_source: bool, partitions: int,
+                 sparse_tail: bool):
+        self.cut = cut
         self.by_source = by_source
         self.partitions = partitions
+        # whether a batch's state can reach the size where the sparse tail pays
+        self.sparse_tail = sparse_tail
         self.arcs = F.broadcast(arcs) if by_source else arcs
 
     def spread(self, df: DataFrame) -> DataFrame:
@@ -80,36 +101,96 @@ class _Layout:
         return df if self.by_source else df.repartition("s", "v")
 
 
+# Once fewer than 1/SPARSE_TAIL of the state rows change in a round, and the state holds at
+# least ``sparse_tail_min_rows`` rows, later rounds stop rewriting the whole state (see
+# _sparse_tail). Below that size a full rewrite is cheaper than the extra joins (measured).
+SPARSE_TAIL = 8
+
+
+def _best_messages(lay: _Layout, frontier: DataFrame, known: DataFrame) -> DataFrame:
+    """Messages of one round reduced per (s, v) to the minimum distance ``c`` and the path count
+    ``send`` summed over the messages that reach it, keeping only messages that can still
+    improve or tie the known distance. ``known`` holds (s, v, kd, ks) for reached nodes."""
+    c = F.col("c")
+    messages = (frontier.select("s", F.col("v").alias("u"), "d", "send")
+                .join(lay.arcs, "u")
+                .select("s", "v", (F.col("d") + F.col("w")).alias("c"), "send"))
+    # Most messages of the later rounds are longer than the known distance: drop them against
+    # the state (same partitioning, hash-built on the state) before aggregating.
+    useful = (lay.group_messages(messages)
+              .join(lay.hashed(known), ["s", "v"], "left")
+              .filter(F.col("kd").isNull() | (c <= F.col("kd"))))
+    return (useful
+            .groupBy("s", "v", "kd", "ks", "c").agg(F.sum("send").alias("send"))
+            .groupBy("s", "v", "kd", "ks")
+            .agg(F.min("c").alias("c"), F.min_by("send", "c").alias("send")))
+
+
 def _forward(lay: _Layout, sources: DataFrame) -> DataFrame:
     """(s, v, d, sigma) for every node v reachable from each source s."""
     d, c, sigma, send = F.col("d"), F.col("c"), F.col("sigma"), F.col("send")
-    merged = _cut(sources.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d"),
+    merged = lay.cut(sources.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d"),
                                  F.lit(1.0).alias("sigma"), F.lit(1.0).alias("send")))
     while True:
         here = lay.spread(merged)
         state = here.select("s", "v", "d", "sigma")
-        frontier = here.filter(send.isNotNull())
-        messages = (frontier.select("s", F.col("v").alias("u"), "d", "send")
-                    .join(lay.arcs, "u")
-                    .select("s", "v", (d + F.col("w")).alias("c"), "send"))
-        # Most messages of the later rounds are longer than the known distance: drop them
-        # against the state (same partitioning, hash-built on the state) before aggregating.
-        known = state.select("s", "v", F.col("d").alias("known"))
-        useful = (lay.group_messages(messages)
-                  .join(lay.hashed(known), ["s", "v"], "left")
-                  .filter(F.col("known").isNull() | (c <= F.col("known"))))
-        # min distance per (s, v) and the path count summed over the messages that reach it
-        best = (useful
-                .groupBy("s", "v", "c").agg(F.sum("send").alias("send"))
-                .groupBy("s", "v").agg(F.min("c").alias("c"), F.min_by("send", "c").alias("send")))
-        merged = _cut(state.join(lay.hashed(best), ["s", "v"], "full_outer").select(
+        known = state.select("s", "v", F.col("d").alias("kd"), F.col("sigma").alias("ks"))
+        best = _best_messages(lay, here.filter(send.isNotNull()), known).select("s", "v", "c", "send")
+        merged = lay.cut(state.join(lay.hashed(best), ["s", "v"], "full_outer").select(
             "s", "v",
             F.least(d, c).alias("d"),
             F.when(d.isNull() | (c < d), send).when(c == d, sigma + send).otherwise(sigma)
             .alias("sigma"),
             F.when(c <= F.coalesce(d, F.lit(math.inf)), send).alias("send")))
-        if merged.filter(send.isNotNull()).isEmpty():
+        if not lay.sparse_tail:
+            if merged.filter(send.isNotNull()).isEmpty():
+                return merged.select("s", "v", "d", "sigma")
+            continue
+        counts = merged.agg(F.count(F.lit(1)).alias("rows"),
+                            F.count_if(send.isNotNull()).alias("changed")).first()
+        if counts["changed"] == 0:
             return merged.select("s", "v", "d", "sigma")
+        if counts["changed"] * SPARSE_TAIL < counts["rows"]:
+            return _sparse_tail(lay, merged)
+
+
+def _sparse_tail(lay: _Layout, merged: DataFrame) -> DataFrame:
+    """Remaining rounds when few rows change: the state is cached once as ``base``
+    (partitioned by source) and each round writes only an overlay of changed rows, newest
+    values winning; base and overlay are merged once at the end."""
+    d, c, send = F.col("d"), F.col("c"), F.col("send")
+    base = lay.spread(merged.select("s", "v", "d", "sigma")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        over = lay.cut(merged.filter(send.isNotNull()).withColumn("r", F.lit(0)))
+        r = 0
+        while True:
+            here = lay.spread(over)
+            frontier = here.filter(F.col("r") == r)
+            # Overlay rows win; nodes first reached in the tail exist only in the overlay.
+            known = (base.join(lay.hashed(here.select(
+                        "s", "v", F.col("d").alias("od"), F.col("sigma").alias("os"))),
+                        ["s", "v"], "full_outer")
+                     .select("s", "v", F.coalesce("od", "d").alias("kd"),
+                             F.coalesce("os", "sigma").alias("ks")))
+            best = _best_messages(lay, frontier, known)
+            r += 1
+            new = best.select(
+                "s", "v", c.alias("d"),
+                F.when(F.col("kd").isNull() | (c < F.col("kd")), send)
+                .otherwise(F.col("ks") + send).alias("sigma"),
+                "send", F.lit(r).alias("r"))
+            kept = here.join(lay.hashed(new.select("s", "v")), ["s", "v"], "left_anti")
+            over = lay.cut(kept.unionByName(new))
+            if over.filter(F.col("r") == r).isEmpty():
+                break
+        final = (base.join(lay.hashed(lay.spread(over).select(
+                    "s", "v", F.col("d").alias("od"), F.col("sigma").alias("os"))),
+                    ["s", "v"], "full_outer")
+                 .select("s", "v", F.coalesce("od", "d").alias("d"),
+                         F.coalesce("os", "sigma").alias("sigma")))
+        return lay.cut(final)
+    finally:
+        base.unpersist()
 
 
 def _dag(lay: _Layout, state: DataFrame) -> DataFrame:
@@ -133,12 +214,12 @@ def _dag(lay: _Layout, state: DataFrame) -> DataFrame:
 def _dependencies(lay: _Layout, dag_here: DataFrame) -> DataFrame:
     """(id, delta) summed over this batch's sources."""
     try:
-        layer = _cut(dag_here.groupBy("s", "u").agg(F.sum("a").alias("q"))
+        layer = lay.cut(dag_here.groupBy("s", "u").agg(F.sum("a").alias("q"))
                      .withColumnRenamed("u", "v"))
         walked = []
         while not layer.isEmpty():
             walked.append(layer)
-            layer = _cut(lay.hashed(lay.spread(layer)).join(dag_here, ["s", "v"])
+            layer = lay.cut(lay.hashed(lay.spread(layer)).join(dag_here, ["s", "v"])
                          .groupBy("s", "u").agg(F.sum(F.col("a") * F.col("q")).alias("q"))
                          .withColumnRenamed("u", "v"))
     finally:
@@ -147,72 +228,82 @@ def _dependencies(lay: _Layout, dag_here: DataFrame) -> DataFrame:
               for w in walked]
     if not scores:
         return dag_here.sparkSession.createDataFrame([], "id long, delta double")
-    return _cut(_union(scores).groupBy("id").agg(F.sum("q").alias("delta")))
+    return lay.cut(_union(scores).groupBy("id").agg(F.sum("q").alias("delta")))
 
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
                 broadcast_arcs_limit: int = 2_000_000,
-                rows_per_partition: int = 4_000_000) -> DataFrame:
+                rows_per_partition: int = 4_000_000,
+                sparse_tail_min_rows: int = 10_000_000) -> DataFrame:
     """(node, betweenness) over all sources; nodes on no shortest path score 0.
 
     ``max_batch_rows`` bounds sources x arcs per batch, ``broadcast_arcs_limit`` the arc count
     up to which arcs are broadcast, ``rows_per_partition`` the arc rows one task handles per
-    round in the source-partitioned layout."""
+    round in the source-partitioned layout, ``sparse_tail_min_rows`` the state size from which
+    the last, nearly idle rounds write only changed rows."""
     spark = graph.arcs.sparkSession
     checkpoint_root(spark)  # make sure a checkpoint folder is known
-    # Stable 64-bit ids, fixed by the checkpoint.
-    ids = _cut(graph.nodes.select("node").withColumn("id", F.monotonically_increasing_id()))
-    n = ids.count()
-    named = _cut(graph.arcs.select("src", "dst", "weight"))
-    stats = named.agg(
-        F.count(F.lit(1)).alias("m"),
-        F.count_if(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") <= 0))
-        .alias("bad"),
-    ).first()
-    if stats["bad"]:
-        raise ValueError("edge weights must be positive numbers")
-    m = stats["m"]
-    by_source = m <= broadcast_arcs_limit
-    # The id table has at most 2m + (self-loop) nodes, so it is broadcast under the same bound.
-    lookup = F.broadcast(ids) if by_source and n <= 2 * broadcast_arcs_limit else ids
-    arcs = _cut(named
-                .join(lookup.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
-                .join(lookup.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
-                .select("u", "v", F.col("weight").cast("double").alias("w")))
-    batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
-    # Partitions sized by the work of one round (sources x arcs), not by a session default.
-    per_batch = math.ceil(n / batches) * max(m, 1)
-    partitions = max(default_parallelism(spark),
-                     math.ceil(per_batch / rows_per_partition))
-    lay = _Layout(arcs, by_source, partitions)
-    partials = []
-    # Joins on (s, v) of two sides both hash-partitioned by s are co-partitioned; Spark only
-    # uses that when it may co-partition on a subset of the join keys. Set for this run only.
-    copartition_key = "spark.sql.requireAllClusterKeysForCoPartition"
-    previous = spark.conf.get(copartition_key, None)
-    if by_source:
-        spark.conf.set(copartition_key, "false")
+    cut = _Cuts(spark)
     try:
-        for b in range(batches):
-            chosen = ids if batches == 1 else ids.filter(
-                F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
-            state = _forward(lay, chosen.select(F.col("id").alias("s")))
-            partials.append(_dependencies(lay, _dag(lay, state)))
-    finally:
+        # Stable 64-bit ids, fixed once written.
+        ids = cut(graph.nodes.select("node").withColumn("id", F.monotonically_increasing_id()))
+        n = ids.count()
+        named = cut(graph.arcs.select("src", "dst", "weight"))
+        stats = named.agg(
+            F.count(F.lit(1)).alias("m"),
+            F.count_if(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") <= 0))
+            .alias("bad"),
+        ).first()
+        if stats["bad"]:
+            raise ValueError("edge weights must be positive numbers")
+        m = stats["m"]
+        by_source = m <= broadcast_arcs_limit
+        # The id table has at most 2m + (self-loop) nodes; broadcast it under the same bound.
+        lookup = F.broadcast(ids) if by_source and n <= 2 * broadcast_arcs_limit else ids
+        arcs = cut(named
+                   .join(lookup.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
+                   .join(lookup.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
+                   .select("u", "v", F.col("weight").cast("double").alias("w")))
+        batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
+        per_batch = math.ceil(n / batches)
+        # Partitions sized by the work of one round (sources x arcs), not by a session default.
+        partitions = max(default_parallelism(spark),
+                         math.ceil(per_batch * max(m, 1) / rows_per_partition))
+        lay = _Layout(cut, arcs, by_source, partitions,
+                      sparse_tail=by_source and per_batch * n >= sparse_tail_min_rows)
+        partials = []
+        # Joins on (s, v) of two sides both hash-partitioned by s are co-partitioned; Spark only
+        # uses that when it may co-partition on a subset of the join keys. Set for this run only.
+        copartition_key = "spark.sql.requireAllClusterKeysForCoPartition"
+        previous = spark.conf.get(copartition_key, None)
         if by_source:
-            if previous is None:
-                spark.conf.unset(copartition_key)
-            else:
-                spark.conf.set(copartition_key, previous)
-    if normalized:
-        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-    else:
-        scale = 0.5
-    total = partials[0] if len(partials) == 1 else (
-        _union(partials).groupBy("id").agg(F.sum("delta").alias("delta")))
-    scored = ids.join(total, "id", "left")
-    return _cut(scored.select(
-        "node", (F.coalesce(F.col("delta"), F.lit(0.0)) * F.lit(scale)).alias("betweenness")))
+            spark.conf.set(copartition_key, "false")
+        try:
+            for b in range(batches):
+                chosen = ids if batches == 1 else ids.filter(
+                    F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
+                state = _forward(lay, chosen.select(F.col("id").alias("s")))
+                partials.append(_dependencies(lay, _dag(lay, state)))
+        finally:
+            if by_source:
+                if previous is None:
+                    spark.conf.unset(copartition_key)
+                else:
+                    spark.conf.set(copartition_key, previous)
+        if normalized:
+            scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
+        else:
+            scale = 0.5
+        total = partials[0] if len(partials) == 1 else (
+            _union(partials).groupBy("id").agg(F.sum("delta").alias("delta")))
+        scored = ids.join(total, "id", "left").select(
+            "node", (F.coalesce(F.col("delta"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
+        # The scores outlive the round tables, which are removed below.
+        final = scratch_path(spark, "betweenness-scores")
+        scored.write.parquet(final)
+        return spark.read.parquet(final)
+    finally:
+        cut.close()
 
 
 def node_sizes(scores: DataFrame, factor: float = NODE_SIZE_FACTOR) -> DataFrame:

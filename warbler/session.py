@@ -73,6 +73,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/warbler/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder this library wrote (any Hadoop file system). Sessions without
+    a local context keep it; the folder is then the cluster's to expire."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception:
+        pass
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
