@@ -23,3 +23,12 @@ def test_stream_matches_batch_and_resumes(spark, tmp_dir):
     got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     batch = sorted(tuple(r) for r in tweets.tweet_table(scan_records(spark, src)).collect())
     assert got == batch and len(got) == 4
+
+
+def test_default_progress_location_resumes(spark, tmp_dir):
+    src, out = os.path.join(tmp_dir, "in2"), os.path.join(tmp_dir, "out2")
+    os.makedirs(src)
+    write_text(f"{src}/a.txt", record("a", "x @b #t"))
+    stream_tweet_table(spark, src, out).awaitTermination(120)
+    stream_tweet_table(spark, src, out).awaitTermination(120)  # restart: nothing new to write
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("a", "t", "b")]

@@ -10,11 +10,19 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+import hashlib
+
 from warbler.operators.tweets import tweet_table
-from warbler.session import scratch_path
+from warbler.session import checkpoint_root
 from warbler.sources.records import RECORD_SEPARATOR
 
 
+def default_progress_location(spark: SparkSession, output_dir: str) -> str:
+    """Stable per output folder, so a restarted query finds its progress log."""
+    key = hashlib.sha1(output_dir.rstrip("/").encode()).hexdigest()[:16]
+    return f"{checkpoint_root(spark)}/warbler/streams/tweet-table-{key}"
+
+
 def stream_tweet_table(spark: SparkSession, source_dir: str, output_dir: str,
                        checkpoint_location: str | None = None, available_now: bool = True,
                        max_files_per_trigger: int | None = None,
@@ -28,7 +36,7 @@ def stream_tweet_table(spark: SparkSession, source_dir: str, output_dir: str,
     writer = (tweet_table(records).writeStream.format("parquet")
               .option("path", output_dir)
               .option("checkpointLocation",
-                      checkpoint_location or scratch_path(spark, "stream-tweet-table"))
+                      checkpoint_location or default_progress_location(spark, output_dir))
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="10 seconds")
