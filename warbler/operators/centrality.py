@@ -266,9 +266,12 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
                    .select("u", "v", F.col("weight").cast("double").alias("w")))
         batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
         per_batch = math.ceil(n / batches)
-        # Partitions sized by the work of one round (sources x arcs), not by a session default.
-        partitions = max(default_parallelism(spark),
-                         math.ceil(per_batch * max(m, 1) / rows_per_partition))
+        # Partitions sized by the work of one round (sources x arcs), not by a session default,
+        # rounded up to whole waves of the cluster's task slots (a lone last task would double
+        # every stage).
+        slots = default_parallelism(spark)
+        partitions = slots * math.ceil(
+            max(1, math.ceil(per_batch * max(m, 1) / rows_per_partition)) / slots)
         lay = _Layout(cut, arcs, by_source, partitions,
                       sparse_tail=by_source and per_batch * n >= sparse_tail_min_rows)
         partials = []
