@@ -59,3 +59,8 @@ def test_edge_list_quoted_field_and_bad_weight(spark, tmp_dir):
     bad = write_text(f"{tmp_dir}/bad.csv", "a,b,heavy\n")
     with pytest.raises(Exception):
         tables.scan_edge_list(spark, bad).collect()
+
+
+def test_edge_list_empty_name_is_a_node(spark, tmp_dir):
+    p = write_text(f"{tmp_dir}/empty.csv", ",b,1\n")
+    assert [tuple(r) for r in tables.scan_edge_list(spark, p).collect()] == [("", "b", 1.0)]

@@ -36,6 +36,10 @@ def scan_edge_list(spark: SparkSession, path: str, keep_order: bool = False) ->
           .option("escape", '"')
           .option("mode", "FAILFAST")
           .csv(path))
+    # An empty endpoint is the node named "" (as a plain CSV reader gives it), not a missing
+    # value; an empty weight stays NULL and is rejected downstream.
+    df = df.select(F.coalesce("src", F.lit("")).alias("src"),
+                   F.coalesce("dst", F.lit("")).alias("dst"), "weight")
     if keep_order:
         df = df.withColumn("line_order", F.struct(
             F.input_file_name().alias("file"),
