@@ -4,15 +4,25 @@ from __future__ import annotations
 
 from warbler.llm.binary import op10_token_files
 from warbler.llm.chat import op7_chat
+from warbler.llm.exact import OP8_SQL, op8_exact_search
+from warbler.llm.mixing import op2_mixing
+from warbler.llm.multi_index import op1_multi_index
 from warbler.llm.packing import op9_packing
+from warbler.llm.suffix import op4_suffix_dedup
+from warbler.llm.toxicity import op6_toxicity
 from warbler.llm.warc import op5_warc
 
 QUERIES = {
+    "op1_multi_index": op1_multi_index,
+    "op2_mixing": op2_mixing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_warc": op5_warc,
+    "op6_toxicity": op6_toxicity,
     "op7_chat": op7_chat,
+    "op8_exact_search": op8_exact_search,
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
 }
 
 #: DuckDB SQL by query.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_exact_search": OP8_SQL}
