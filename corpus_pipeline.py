@@ -1,26 +1,76 @@
-"""From raw documents to packed training windows: five stages, each one operator over what the stage
-before kept. ``run`` writes every stage to the shared folder and reads it back."""
+"""From raw documents to packed training windows: five stages, each one operator over all that the
+stage before kept. ``run`` writes every stage to the shared folder and reads it back.
+
+Every stage but the last returns the columns of ``documents``; other columns pass through.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from warbler.llm.packing import pack
+from warbler.llm import jaccard, mixing, packing, suffix, toxicity
 from warbler.llm.store import table
 
 
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity is below the threshold of their language."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score(docs, toxicity.train(docs, labels), score_name="_score",
+                            threshold_name="_limit")
+    return scored.filter(F.col("_score") < F.col("_limit")).drop("_score", "_limit")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    return jaccard.keep_one(docs, words=5, num=80, den=100)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 50 bytes that a smaller id has. Bytes left of a cut character
+    are dropped; documents that nothing is left of go."""
+    kept = suffix.kept_texts(docs, suffix.removed(docs), as_text=True)
+    left = kept.filter((F.col("_n_removed") == 0) | (F.length("_text") > 0))
+    cut = F.col("_n_removed") > 0
+    return left.select(*[
+        F.when(cut, F.col("_text")).otherwise(F.col(c)).alias(c) if c == "text" else
+        F.when(cut, F.length("_text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else
+        F.col(c) for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    items = mixing.mix(docs).select(F.col("id").alias("_id"), F.col("size").alias("_item_size"),
+                                    F.col("source").alias("_source"), "sure", "more")
+    rows = docs.withColumn("_size", mixing.words("text"))
+    on = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_item_size"))
+          & F.col("source").eqNullSafe(F.col("_source")))
+    nth = F.row_number().over(Window.partitionBy("_id", "_item_size", "_source").orderBy("_size"))
+    copies = F.col("sure") + (F.col("_nth") <= F.col("more")).cast("long")
+    return (rows.join(items, on).withColumn("_nth", nth).withColumn("_copies", copies)
+            .filter("_copies > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+            .select(*docs.columns))
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents packed into windows of 1024 tokens, a row per piece."""
-    return pack(docs).withColumnRenamed("key", "doc_id")
+    return packing.pack(docs).withColumnRenamed("key", "doc_id")
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("suffix_array_dedup", cut_repeats),
+    ("mixing", mix_sources),
+    ("packing", pack_windows),
+]
 
 #: Training, random rounding and tokenizing have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: the pieces of the packed windows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = table(stage(spark, docs, sf_dir), f"pipeline-{name}")

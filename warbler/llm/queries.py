@@ -5,6 +5,7 @@ from __future__ import annotations
 from warbler.llm.binary import op10_token_files
 from warbler.llm.chat import op7_chat
 from warbler.llm.exact import OP8_SQL, op8_exact_search
+from warbler.llm.jaccard import op3_jaccard_join
 from warbler.llm.mixing import op2_mixing
 from warbler.llm.multi_index import op1_multi_index
 from warbler.llm.packing import op9_packing
@@ -15,6 +16,7 @@ from warbler.llm.warc import op5_warc
 QUERIES = {
     "op1_multi_index": op1_multi_index,
     "op2_mixing": op2_mixing,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_warc": op5_warc,
     "op6_toxicity": op6_toxicity,

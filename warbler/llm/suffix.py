@@ -565,15 +565,18 @@ KEPT = [T.StructField("_bytes", T.BinaryType()), T.StructField("_n_bytes", T.Lon
         T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())]
 
 
-def kept_texts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def kept_texts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str = "text",
+               as_text: bool = False) -> DataFrame:
     """``docs`` with ``_bytes`` (what is left of the text), ``_n_bytes``, ``_n_removed`` and
-    ``_n_spans``."""
+    ``_n_spans``; ``as_text``: with ``_text`` in place of ``_bytes``, without the bytes left of a
+    character that was cut."""
     spans = cuts.groupBy("id", "mark").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     by = F.coalesce(F.col(key).cast("long"), F.lit(NONE))
     joined = docs.join(spans.groupBy(F.col("id").alias("_id")).agg(
         F.collect_list(F.struct("mark", "spans")).alias("_cuts")), by == F.col("_id"), "left").drop("_id")
     columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, *KEPT])
+    first = T.StructField("_text", T.StringType()) if as_text else KEPT[0]
+    schema = T.StructType([*docs.schema.fields, first, *KEPT[1:]])
     where = columns.index(text)
 
     def run(batches):
@@ -594,10 +597,11 @@ def kept_texts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str
                         new = np.r_[True, a[1:, 0] > top[:-1]]
                         lo, hi = a[new, 0], np.r_[top[:-1][new[1:]], top[-1]]
                 kept = b"".join(raw[x:y] for x, y in zip([0, *hi.tolist()], [*lo.tolist(), len(raw)]))
-                for col, v in zip(out, (kept, len(raw), len(raw) - len(kept), len(lo))):
+                left = kept.decode(errors="ignore") if as_text else kept
+                for col, v in zip(out, (left, len(raw), len(raw) - len(kept), len(lo))):
                     col.append(v)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(columns)], pa.array(out[0], pa.binary()),
+                [*batch.columns[:len(columns)], pa.array(out[0], pa.string() if as_text else pa.binary()),
                  *(pa.array(c, pa.int64()) for c in out[1:])], names=schema.names)
 
     return joined.mapInArrow(run, schema)
