@@ -25,7 +25,7 @@ is its messages' texts in order of ``position``; ``read_back`` parses it again,
 
 Defined results. Null text or role: empty. Null conversation: a conversation of its own. Null
 message or sequence numbers come first. Events that tie in conversation, message and sequence are
-ordered by kind, role and text. A message takes the role of its last event. An unknown kind is a
+ordered by a hash of kind, role and text. A message takes the role of its last event. An unknown kind is a
 delta. Empty frames give no rows. Other columns are ignored, whatever their names.
 """
 
@@ -45,7 +45,6 @@ _CONTROL = re.compile(r"<(?=\||/?s>)|\[(?=/?INST\])")
 _UNESCAPE = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(r"<\|im_start\|>((?:[^\\\n]|\\.)*)\n(.*?)<\|im_end\|>\n", re.S)
 
-EVENTS = ["conv_id", "seq", "message", "kind", "role", "text"]
 FOLDED = "conv_id long, message long, part int, edge boolean, replaces boolean, role string, text string"
 DIGEST = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
           "formatted_chars long")
@@ -70,7 +69,9 @@ def messages(events: DataFrame, partitions: int | None = None) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("seq").cast("long").alias("seq"),
         F.col("message").cast("long").alias("message"), F.col("kind").cast("string").alias("kind"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), text.alias("text"))
-    order = [F.col(c).asc_nulls_first() for c in EVENTS]
+    # Ties by hashes: the sampled bounds of the ranges hold no texts.
+    rows = rows.withColumn("tie", F.xxhash64("kind", "role", "text"))
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "message", "seq", "tie")]
     dealt = (rows.repartitionByRange(partitions, *order) if partitions
              else rows.repartitionByRange(*order))
     runs = (dealt.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
@@ -96,9 +97,8 @@ def _fold(batches):
         return (*held[:3], edge, held[3], held[4], "".join(held[5]))
 
     for batch in batches:
-        cols = {c: batch[c].to_pylist() for c in (*EVENTS, "part")}
-        for conv, message, kind, role, text, part in zip(
-                *(cols[c] for c in ("conv_id", "message", "kind", "role", "text", "part"))):
+        for conv, message, kind, role, text, part in zip(*(batch[c].to_pylist() for c in (
+                "conv_id", "message", "kind", "role", "text", "part"))):
             if held is None or held[0] != conv or held[1] != message:
                 if held is not None:
                     out.append(row(first))
@@ -199,8 +199,7 @@ def _digests(rows):
 
 def events_of_turns(turns: DataFrame) -> DataFrame:
     """A log in which every row of (conv_id, turn, role, text) is said in two streamed deltas.
-    Rows of one turn are messages of their own: they are numbered in order of turn, role and
-    text by ``turn`` and their rank among equal turns."""
+    Rows of one turn are messages of their own; ``message`` must number them (see ``numbered``)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     half = F.floor(F.length("said") / 2).cast("int")
     step = F.explode(F.array(
@@ -226,9 +225,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """Adds ``message``: a number that orders a conversation's rows by turn, role and text. Rows
-    are dealt out and sorted by ranges; the number is the range's and the row's within it, so no
+    """Adds ``message``: a number that orders a conversation's rows by turn, ties by a hash of role
+    and text. Rows are dealt out and sorted by ranges; the number is the range's and the row's within it, so no
     conversation is gathered to count its rows."""
-    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "text")]
-    return (turns.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "tie")]
+    return (turns.withColumn("tie", F.xxhash64("role", "text"))
+            .repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("message", F.monotonically_increasing_id()))
