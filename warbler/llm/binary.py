@@ -15,7 +15,7 @@ Parts are ranges of the key in ascending order, so the files read in part order
 key order, and any document is found by a memory map and one offset.
 
 Defined results. Null text: empty, so its document is the end id alone. Null keys come first.
-Rows with the same key are documents of their own, ordered by text. An empty frame gives an index
+Rows with the same key are documents of their own, ordered by a hash of the text. An empty frame gives an index
 without rows. Columns other than the key and the text are ignored, whatever their names.
 """
 
@@ -46,7 +46,9 @@ def write_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", end_i
     tokenizer = tokenizer or default_tokenizer()
     path = path or folder(spark, "corpus")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    order = [F.col("key").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    # Ties by a hash: the sampled bounds of the ranges hold no texts.
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    order = [F.col("key").asc_nulls_first(), F.col("tie")]
     parts = (rows.repartitionByRange(partitions, *order) if partitions
              else rows.repartitionByRange(*order))
     parts = parts.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
@@ -97,7 +99,8 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """A row per document, from the files: ``key``, ``start`` (ids of all documents before it),
     ``n_tokens`` and ``ids_crc32`` (of its ids as unsigned 32-bit integers)."""
     index = spark.read.parquet(f"{path}/index")
-    return index.repartition("part").mapInArrow(_read, READ)
+    # A task for about each part: the index itself is too small for Spark to spread it.
+    return index.repartition(max(1, index.count()), "part").mapInArrow(_read, READ)
 
 
 def _read(batches):
