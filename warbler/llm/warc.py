@@ -154,8 +154,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     record_type, refers_to``. A response's figures come from its payload, which must agree with its
     header; a revisit's from its header."""
     files = spark.read.parquet(f"{path}/index")
-    # A task for each archive: the files are spread by name.
-    return files.repartition("file").mapInArrow(_read, PAGES)
+    # A task for about each archive: the index itself is too small for Spark to spread it.
+    return files.repartition(max(1, files.count()), "file").mapInArrow(_read, PAGES)
 
 
 class _Records:
