@@ -1,0 +1,117 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from warbler.llm import binary, packing, tokens
+
+TEXTS = ["", None, " ", "a  b ", "a\n b \n c", "\x00 a\x00b", "<|endoftext|> it's we'll  've", "日本 語　x",
+         "a\x1cb \x1c c \x85d", "tab\t x\t\ty  ", "\r\n \r\nz ", "word " * 3000, "x" * 5000]
+
+
+def reference():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokens.default_tokenizer())
+    t.encode_special_tokens = True
+    return lambda x: t.encode(x or "", add_special_tokens=False).ids
+
+
+def test_encoder_gives_the_library_s_ids():
+    rng = random.Random(1)
+    parts = [" ", "a", "'s", "\n", "\t", "1", "é", ".", "\x1c", " ", "　", "'", "\x00", "Wort"]
+    texts = TEXTS + ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(2000)]
+    encode, at = reference(), 0
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    ids, counts = (np.concatenate(x) for x in zip(*enc.encode(pa.array(texts))))
+    for text, n in zip(texts, counts):
+        assert ids[at:at + n].tolist() == encode(text)
+        at += n
+    assert at == len(ids)
+
+
+def test_encoder_forgets(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 30)
+    encode, enc = reference(), tokens.Encoder(tokens.default_tokenizer())
+    got = [ids[a:b].tolist() for ids, n in enc.encode(pa.array(TEXTS))
+           for a, b in zip(np.cumsum(n) - n, np.cumsum(n))]
+    assert got == [encode(t) for t in TEXTS]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "x", 1) for i, t in enumerate(TEXTS)]
+    rows += [(3, "again", "x", 1), (3, TEXTS[3], "x", 1), (None, "no id", "x", 1)]
+    return spark.createDataFrame(rows, "doc_id long, text string, key string, part int")
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_token_files_round_trip(spark, docs):
+    encode = reference()
+    path = binary.write_corpus(docs.repartition(4), partitions=5)
+    got = sorted(binary.read_corpus(spark, path).collect(), key=lambda r: r.start)
+    keys = [r.key for r in got]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    want = sorted((r.doc_id, len(encode(r.text)) + 1, crc(encode(r.text) + [2]))
+                  for r in docs.collect() if r.doc_id is not None)
+    assert sorted((r.key, r.n_tokens, r.ids_crc32) for r in got if r.key is not None) == want
+
+
+def test_token_files_empty(spark, docs):
+    assert binary.read_corpus(spark, binary.write_corpus(docs.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("block_tokens, settled", [(1 << 21, 0.99), (300, 0.9), (2000, 0.5)])
+def test_packing_places_every_id_once(spark, docs, block_tokens, settled):
+    encode = reference()
+    got = packing.pack(docs.repartition(3), size=64, block_tokens=block_tokens, settled=settled).collect()
+    by_doc, by_sequence = {}, {}
+    for r in got:
+        by_doc.setdefault((r.sequence_id >> packing.TASK_BITS, r.doc_row), []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    said = []
+    for pieces in by_doc.values():
+        ids = []
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == len(ids) and r.length * 4 == len(r.ids)
+            ids += np.frombuffer(r.ids, "<u4").tolist()
+        assert all(r.doc_tokens == len(ids) for r in pieces)
+        said.append((str(pieces[0].key), ids))
+    assert sorted(said) == sorted((str(r.doc_id), encode(r.text) + [0]) for r in docs.collect())
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 64 and (at >= settled * 64 or at & (at - 1) == 0)
+
+
+def test_packing_empty(docs):
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_best_fit_decreasing_is_the_textbook_s():
+    rng = random.Random(2)
+    for _ in range(30):
+        lengths = [rng.randint(1, 50) for _ in range(rng.randint(0, 80))]
+        want = []  # (room, pieces) of each window
+        for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+            fits = [w for w in want if w[0] >= lengths[i]]
+            if fits:
+                best = min(fits, key=lambda w: w[0])
+                best[0] -= lengths[i]
+            else:
+                want.append([50 - lengths[i]])
+        got = packing.best_fit_decreasing(np.array(lengths, np.int64), 50)
+        assert sorted(50 - sum(lengths[i] for i in w) for w in got) == sorted(w[0] for w in want)
+        assert sorted(i for w in got for i in w) == list(range(len(lengths)))

@@ -1,0 +1,113 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from warbler.llm import exact, multi_index
+from warbler.llm.vectors import Best
+
+SCHEMA = "vec_id long, embedding array<float>, label string, rank int, id long"
+
+
+def make(spark, rows):
+    return spark.createDataFrame([(i, v, "x", 0, 0) for i, v in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(4)
+    centres = [[rng.gauss(0, 2) for _ in range(13)] for _ in range(6)]
+    out = [(i, [c + rng.gauss(0, .4) for c in rng.choice(centres)]) for i in range(600)]
+    out += [(600 + i, out[0][1]) for i in range(150)]  # a large group of equal vectors
+    out += [(800, None), (801, [0.0] * 13), (802, [1.0] * 5), (803, [math.nan] * 13), (None, out[1][1]),
+            (804, [None] + [1.0] * 12), (805, [math.inf] + [1.0] * 12), (7, out[7][1]), (806, [])]
+    return out
+
+
+def part(rows, zeros):
+    got = [(i, np.array(v, np.float32).astype(float)) for i, v in rows
+           if i is not None and v is not None and len(v) == 13 and all(x is not None for x in v)]
+    return [(i, v) for i, v in got if np.isfinite(v).all() and (zeros or v.any())]
+
+
+def test_exact_search(spark, rows):
+    df = make(spark, rows).repartition(5)
+    got = exact.top_k(df, df.filter(F.col("vec_id") % 20 == 0), k=5, block=16).collect()
+    data = [(i, [math.floor(256 * x) for x in v.tolist()]) for i, v in part(rows, True)]
+    want = []
+    for q, x in data:
+        if q % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in data if i != q)
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:5])]
+    assert sorted((r.query_id, r.rank, r.id, r.score) for r in got) == sorted(want)
+
+
+def test_exact_search_of_huge_components(spark):
+    vectors = [(i, [float(2 ** 40 + i), float(-2 ** 40), 1.0]) for i in range(8)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    got = exact.top_k(df, df.filter("vec_id = 0"), k=3, scale=1.0).collect()
+    assert all(r.score == (1 << 63) - 1 for r in got) and [r.id for r in got] == [1, 2, 3]
+
+
+def test_bounds_are_bounds():
+    rng = np.random.default_rng(0)
+    x, q = rng.integers(-99, 99, (40, 21)).astype(float), rng.integers(-99, 99, (30, 21)).astype(float)
+    last = None
+    for s in exact.resolutions(21):
+        bound = exact.statistics(x, s) @ exact.statistics(q, s).T
+        assert (bound >= x @ q.T - 1e-6).all()
+        last = bound
+    assert last is not None
+
+
+def test_nearest(spark, rows):
+    df = make(spark, rows).repartition(5)
+    asked = df.filter(F.col("vec_id") % 20 == 0)
+    data = part(rows, False)
+    for index, most in ((multi_index.fit(df, cells=6), 300), (multi_index.fit(df, sample=100), 10_000)):
+        got = multi_index.search(df, asked, index, k=10, candidates=most, slice_rows=40).collect()
+        found = {}
+        for r in sorted(got, key=lambda r: r.rank):
+            found.setdefault(r.query_id, []).append((r.score, r.id))
+        hits = 0
+        for q, x in data:
+            if q % 20:
+                continue
+            all_ = sorted((float(np.sqrt(((x - y) ** 2).sum())), i) for i, y in data if i != q)
+            assert found[q] == sorted(found[q])
+            assert [s for s, _ in found[q]] == pytest.approx(
+                [dict((i, s) for s, i in all_)[i] for _, i in found[q]], rel=1e-12)
+            hits += len(set(found[q]) & set(all_[:10])) if most > 5000 else \
+                sum(s <= all_[9][0] * (1 + 1e-12) for s, _ in found[q])
+            if most > 5000:
+                assert [i for _, i in found[q]] == [i for _, i in all_[:10]]
+        assert hits >= 0.9 * 10 * len(found)
+
+
+def test_heap_order():
+    rng = np.random.default_rng(1)
+    a, b = rng.random(9), rng.random(7)
+    weight = np.ones(63, int)
+    got = multi_index.nearest_pairs(a, b, weight, 63)
+    sums = [a[p // 7] + b[p % 7] for p in got]
+    assert sorted(got) == list(range(63)) and sums == sorted(sums)
+
+
+def test_empty_and_few(spark, rows):
+    none = make(spark, rows).limit(0)
+    assert exact.top_k(none, none).count() == 0
+    assert multi_index.search(none, none, multi_index.fit(none)).count() == 0
+    few = make(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.5]), (0, [0.0, 0.0])])
+    got = multi_index.search(few, few, multi_index.fit(few), k=10).collect()
+    assert sorted((r.query_id, r.id) for r in got) == [(1, 2), (2, 1)]
+    assert exact.top_k(few, few.filter("vec_id = 1"), k=5).count() == 2
+
+
+def test_best_keeps_ties_to_smaller_ids():
+    best = Best(2, 2, np.int64)
+    best.add(np.array([0, 0, 0, 1]), np.array([5, 4, 9, 1]), np.array([7, 7, 7, 3]))
+    best.add(np.array([0]), np.array([3]), np.array([7]))
+    assert best.id[best.query == 0].tolist() == [3, 4]
+    assert best.least.tolist() == [7, -np.inf]
