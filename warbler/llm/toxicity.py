@@ -9,7 +9,8 @@ layer and a logistic function make the score. Only words of the text enter the s
 of each label at most (chosen by the hash of the id), of at most ``train_words`` words. Buckets that
 fewer than two sampled texts use are set to zero, so words never seen say nothing. A fifth of the
 sample takes no part in the fit; it sets the thresholds: per language the one with the best F1 (ties:
-the middle of the widest gap), overall where a language has fewer than ``least`` toxic rows.
+the middle of its gap). A language with fewer than ``least`` toxic rows in that fifth has the overall
+one, which is 0.5 where all languages together have fewer.
 
 ``score`` sends the model (its size is fixed) to the tasks and scores every text where it is read:
 no shuffle. Long texts are run through in pieces, so memory does not follow a text's length.
@@ -249,7 +250,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     model = fit([t for t, h in zip(texts, held) if not h], y[~held])
     s = model.scores([t for t, h in zip(texts, held) if h])
     y, spoken = y[held], np.array([str(x) for x, h in zip(spoken, held) if h])
-    model.thresholds[None] = best_threshold(s, y) if y.sum() >= 2 else 0.5
+    model.thresholds[None] = best_threshold(s, y) if y.sum() >= least else 0.5
     for name in np.unique(spoken).tolist():
         own = spoken == name
         if y[own].sum() >= least:
