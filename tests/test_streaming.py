@@ -1,11 +1,16 @@
 """The file-stream ingest gives the same tweet table as the batch job, and resumes."""
 
 import os
+import subprocess
+import sys
 
-from conftest import record, write_text
+import pytest
+
+from conftest import ROOT, record, write_text
 from warbler.operators import tweets
 from warbler.sources.records import scan_records
 from warbler.streaming import stream_tweet_table
+from warbler.streaming.ingest import default_progress_location
 
 
 def test_stream_matches_batch_and_resumes(spark, tmp_dir):
@@ -25,10 +30,43 @@ def test_stream_matches_batch_and_resumes(spark, tmp_dir):
     assert got == batch and len(got) == 4
 
 
-def test_default_progress_location_resumes(spark, tmp_dir):
-    src, out = os.path.join(tmp_dir, "in2"), os.path.join(tmp_dir, "out2")
-    os.makedirs(src)
-    write_text(f"{src}/a.txt", record("a", "x @b #t"))
-    stream_tweet_table(spark, src, out).awaitTermination(120)
-    stream_tweet_table(spark, src, out).awaitTermination(120)  # restart: nothing new to write
-    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("a", "t", "b")]
+STEP = """
+import sys
+from pyspark.sql import SparkSession
+from warbler.streaming import stream_tweet_table
+from warbler.streaming.ingest import default_progress_location
+root, by_conf = sys.argv[1], sys.argv[2] == "conf"
+b = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+if by_conf:
+    b = b.config("spark.checkpoint.dir", root + "/shared")
+spark = b.getOrCreate()
+if not by_conf:
+    spark.sparkContext.setCheckpointDir(root + "/shared")
+where = None if by_conf else root + "/progress"
+stream_tweet_table(spark, root + "/in", root + "/out", where).awaitTermination(120)
+print("ROWS", sorted(map(tuple, spark.read.parquet(root + "/out").collect())))
+"""
+
+
+@pytest.mark.parametrize("way", ["conf", "context"])
+def test_a_new_application_goes_on(tmp_dir, way):
+    """Two applications, a file more for the second; the folder set by conf or on the context."""
+    os.makedirs(f"{tmp_dir}/in")
+    for number, user in enumerate(("a", "c")):
+        write_text(f"{tmp_dir}/in/{number}.txt", record(user, "x @b #t"))
+        done = subprocess.run([sys.executable, "-c", STEP, tmp_dir, way], cwd=ROOT, text=True,
+                              capture_output=True, env={**os.environ, "PYTHONPATH": ROOT}, timeout=200)
+        assert done.returncode == 0, done.stderr[-2000:]
+    assert "ROWS [('a', 't', 'b'), ('c', 't', 'b')]" in done.stdout
+
+
+class _NoFolder:
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+
+def test_no_default_without_a_shared_folder():
+    with pytest.raises(ValueError, match="checkpoint_location"):
+        default_progress_location(_NoFolder(), "/out")

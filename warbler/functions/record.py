@@ -36,8 +36,9 @@ def _col(value: Column | str) -> Column:
 
 
 def body(value: Column | str) -> Column:
-    """The record without leading newlines (three newlines between records leave one behind)."""
-    return F.ltrim(_col(value), F.lit("\n"))
+    """The record without newlines around it: three newlines between records leave one in front, and
+    the last record of a file may end in one, which makes no line."""
+    return F.trim(_col(value), F.lit("\n"))
 
 
 def is_header(value: Column | str) -> Column:

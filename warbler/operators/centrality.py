@@ -1,37 +1,31 @@
 """Shortest-path betweenness centrality of a weighted undirected graph, on Spark.
 
-Brandes' algorithm written as relational fixpoints over (source s, node v) state, so every step is
-a join or an aggregate partitioned by key and no task ever holds the graph or one source's tree:
-
-1. distances and path counts together: each round, nodes whose state changed send
-   (s, v, d + w, sigma increment) along their arcs; per (s, v) the messages are reduced to the
-   minimum distance and the sum of path counts that reach it, then merged with the state
-   (a shorter distance replaces the count, an equal one adds to it). Only changed rows are sent
-   on, so a round costs the changed frontier times its arcs. Positive weights make it end.
-2. shortest-path DAG: arcs (u, v) with d(s,u) + w = d(s,v). The test repeats the same double
-   sum that produced d(s,v), so exact equality is sound and ties count as in Dijkstra-based
-   Brandes.
-3. dependencies: unrolling Brandes' delta(u) = sum over successors v of sigma(u)/sigma(v) *
-   (1 + delta(v)) gives delta(u) = sum over k >= 1 of q_k(u), where each DAG arc carries
+Brandes' algorithm as relational fixpoints over (source s, node v) rows, so every step is a join or
+an aggregate and no task ever holds the graph or one source's tree:
+
+1. distances: a round sends d(s, u) + w along the arcs of the nodes that changed in the round
+   before, keeps the least per (s, v), and writes only the rows that are shorter than what was known.
+   Rows are spread by source first, so a task combines all that it sends to a (s, v) before the
+   shuffle. Positive weights make it end.
+2. shortest-path arcs: with the final distances, the arcs (u, v) whose d(s, u) + w is the least at
+   v. The least repeats the double sum that made d(s, v), so ties count as in Dijkstra-based Brandes.
+3. path counts: sigma(s, v) sums, over the number of hops, the walks from s along those arcs.
+   Counts start after the distances are final, so no stale distance is ever counted.
+4. dependencies: unrolling Brandes' delta(u) = sum over successors v of sigma(u)/sigma(v) *
+   (1 + delta(v)) gives delta(u) = sum over k >= 1 of q_k(u), where each arc carries
    a = sigma(u)/sigma(v), q_1(u) = sum of a over u's out-arcs and q_(k+1)(u) = sum of a * q_k(v).
-   Every layer adds straight into the node scores, so no step joins back to the state.
-
-Weights are distances (a larger weight is a longer edge). Scores are normalised like the common
-library default for undirected graphs: times 1/((n-1)(n-2)); no scaling for n <= 2. Path counts
-are exact unless weights differ by a factor near 2**53, where a stale and a final distance can
-round to the same sum.
-
-Layout. Node names are mapped once to 64-bit ids. When the arc count is within
-``broadcast_arcs_limit`` (checked by counting), the arcs are broadcast and all per-source state is
-hash-partitioned by source only: Brandes is independent per source, so messages, their
-aggregation, the merge with the state and the DAG build then run inside the partition that owns
-the source, and a round shuffles only the state. Beyond that bound the arcs are joined by
-shuffle and state is partitioned by (s, v). Sources run in batches sized so that one round
-touches at most ``max_batch_rows`` arc rows; partial scores are summed at the end.
-
-Every round is cut by writing its table as Parquet into the cluster's shared checkpoint folder
-and reading it back, which bounds lineage, survives executor loss and gives the planner true
-sizes; the folder is removed when the scores are written.
+   Every layer adds straight into the node scores.
+
+Weights are distances (a larger weight is a longer edge) and must be positive; one so small that
+adding it to a distance changes nothing is refused too. Scores are normalised like the common
+library default for undirected graphs: times 1/((n-1)(n-2)); no scaling for n <= 2.
+
+There is one path, whatever the size: Spark chooses how to join the arcs, and AQE splits the arcs of
+a hub. Sources have dense ids and run in batches of equal size, so that one round of a batch sends
+``max_batch_rows`` rows at most (a batch has at least one source); a batch appends its scores to one
+table, which is summed once. Every round is cut by a Parquet table in the shared folder, which
+bounds lineage, survives executor loss and gives the planner true sizes; the tables are removed when
+the scores are written.
 """
 
 from __future__ import annotations
@@ -39,8 +33,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from warbler.operators.graph import Graph
@@ -64,7 +57,7 @@ class _Cuts:
         self.count += 1
         path = f"{self.root}/{self.count:05d}"
         df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
         delete_path(self.spark, self.root)
@@ -74,231 +67,121 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-class _Layout:
-    """Where the arcs and the per-source state live (see the module notes)."""
-
-    def __init__(self, cut: _Cuts, arcs: DataFrame, by_source: bool, partitions: int,
-                 sparse_tail: bool):
-        self.cut = cut
-        self.by_source = by_source
-        self.partitions = partitions
-        # whether a batch's state can reach the size where the sparse tail pays
-        self.sparse_tail = sparse_tail
-        self.arcs = F.broadcast(arcs) if by_source else arcs
-
-    def spread(self, df: DataFrame) -> DataFrame:
-        """State read back from a checkpoint, partitioned so that a source stays in one task."""
-        return df.repartition(self.partitions, "s") if self.by_source else df
-
-    def hashed(self, df: DataFrame) -> DataFrame:
-        """Build side of a hash join. Only by source, where a task's share is bounded by the
-        partition sizing; otherwise Spark keeps its spill-safe choice (sort-merge)."""
-        return df.hint("shuffle_hash") if self.by_source else df
-
-    def group_messages(self, df: DataFrame) -> DataFrame:
-        # By source the messages already sit with their source; otherwise one shuffle on (s, v)
-        # serves both aggregates below.
-        return df if self.by_source else df.repartition("s", "v")
-
-
-# Once fewer than 1/SPARSE_TAIL of the state rows change in a round, and the state holds at
-# least ``sparse_tail_min_rows`` rows, later rounds stop rewriting the whole state (see
-# _sparse_tail). Below that size a full rewrite is cheaper than the extra joins (measured).
-SPARSE_TAIL = 8
-
-
-def _best_messages(lay: _Layout, frontier: DataFrame, known: DataFrame) -> DataFrame:
-    """Messages of one round reduced per (s, v) to the minimum distance ``c`` and the path count
-    ``send`` summed over the messages that reach it, keeping only messages that can still
-    improve or tie the known distance. ``known`` holds (s, v, kd, ks) for reached nodes."""
-    c = F.col("c")
-    messages = (frontier.select("s", F.col("v").alias("u"), "d", "send")
-                .join(lay.arcs, "u")
-                .select("s", "v", (F.col("d") + F.col("w")).alias("c"), "send"))
-    # Most messages of the later rounds are longer than the known distance: drop them against
-    # the state (same partitioning, hash-built on the state) before aggregating.
-    useful = (lay.group_messages(messages)
-              .join(lay.hashed(known), ["s", "v"], "left")
-              .filter(F.col("kd").isNull() | (c <= F.col("kd"))))
-    return (useful
-            .groupBy("s", "v", "kd", "ks", "c").agg(F.sum("send").alias("send"))
-            .groupBy("s", "v", "kd", "ks")
-            .agg(F.min("c").alias("c"), F.min_by("send", "c").alias("send")))
-
-
-def _forward(lay: _Layout, sources: DataFrame) -> DataFrame:
-    """(s, v, d, sigma) for every node v reachable from each source s."""
-    d, c, sigma, send = F.col("d"), F.col("c"), F.col("sigma"), F.col("send")
-    merged = lay.cut(sources.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d"),
-                                 F.lit(1.0).alias("sigma"), F.lit(1.0).alias("send")))
-    while True:
-        here = lay.spread(merged)
-        state = here.select("s", "v", "d", "sigma")
-        known = state.select("s", "v", F.col("d").alias("kd"), F.col("sigma").alias("ks"))
-        best = _best_messages(lay, here.filter(send.isNotNull()), known).select("s", "v", "c", "send")
-        merged = lay.cut(state.join(lay.hashed(best), ["s", "v"], "full_outer").select(
-            "s", "v",
-            F.least(d, c).alias("d"),
-            F.when(d.isNull() | (c < d), send).when(c == d, sigma + send).otherwise(sigma)
-            .alias("sigma"),
-            F.when(c <= F.coalesce(d, F.lit(math.inf)), send).alias("send")))
-        if not lay.sparse_tail:
-            if merged.filter(send.isNotNull()).isEmpty():
-                return merged.select("s", "v", "d", "sigma")
-            continue
-        counts = merged.agg(F.count(F.lit(1)).alias("rows"),
-                            F.count_if(send.isNotNull()).alias("changed")).first()
-        if counts["changed"] == 0:
-            return merged.select("s", "v", "d", "sigma")
-        if counts["changed"] * SPARSE_TAIL < counts["rows"]:
-            return _sparse_tail(lay, merged)
-
-
-def _sparse_tail(lay: _Layout, merged: DataFrame) -> DataFrame:
-    """Remaining rounds when few rows change: the state is cached once as ``base``
-    (partitioned by source) and each round writes only an overlay of changed rows, newest
-    values winning; base and overlay are merged once at the end."""
-    d, c, send = F.col("d"), F.col("c"), F.col("send")
-    base = lay.spread(merged.select("s", "v", "d", "sigma")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        over = lay.cut(merged.filter(send.isNotNull()).withColumn("r", F.lit(0)))
-        r = 0
-        while True:
-            here = lay.spread(over)
-            frontier = here.filter(F.col("r") == r)
-            # Overlay rows win; nodes first reached in the tail exist only in the overlay.
-            known = (base.join(lay.hashed(here.select(
-                        "s", "v", F.col("d").alias("od"), F.col("sigma").alias("os"))),
-                        ["s", "v"], "full_outer")
-                     .select("s", "v", F.coalesce("od", "d").alias("kd"),
-                             F.coalesce("os", "sigma").alias("ks")))
-            best = _best_messages(lay, frontier, known)
-            r += 1
-            new = best.select(
-                "s", "v", c.alias("d"),
-                F.when(F.col("kd").isNull() | (c < F.col("kd")), send)
-                .otherwise(F.col("ks") + send).alias("sigma"),
-                "send", F.lit(r).alias("r"))
-            kept = here.join(lay.hashed(new.select("s", "v")), ["s", "v"], "left_anti")
-            over = lay.cut(kept.unionByName(new))
-            if over.filter(F.col("r") == r).isEmpty():
-                break
-        final = (base.join(lay.hashed(lay.spread(over).select(
-                    "s", "v", F.col("d").alias("od"), F.col("sigma").alias("os"))),
-                    ["s", "v"], "full_outer")
-                 .select("s", "v", F.coalesce("od", "d").alias("d"),
-                         F.coalesce("os", "sigma").alias("sigma")))
-        return lay.cut(final)
-    finally:
-        base.unpersist()
-
-
-def _dag(lay: _Layout, state: DataFrame) -> DataFrame:
-    """Shortest-path DAG arcs (s, u, v) with a = sigma(s,u) / sigma(s,v).
+def _sent(rows: DataFrame, arcs: DataFrame, partitions: int) -> DataFrame:
+    """(s, u, v, d, c): what each row (s, u, d) sends along its arcs."""
+    return (rows.repartition(partitions, "s").join(arcs, "u")
+            .select("s", "u", "v", "d", (F.col("d") + F.col("w")).alias("c")))
 
-    Read by every backward round, so it is kept as computed: cached with the partitioning of
-    its join (by source in the broadcast layout). Its lineage is one join from the checkpointed
-    state, so a lost block is rebuilt cheaply."""
-    here = lay.spread(state)
-    tail = here.select("s", F.col("v").alias("u"), F.col("d").alias("du"),
-                       F.col("sigma").alias("su"))
-    head = here.select("s", "v", F.col("d").alias("dv"), F.col("sigma").alias("sv"))
-    dag = (tail.join(lay.arcs, "u").join(lay.hashed(head), ["s", "v"])
-           .filter(F.col("du") + F.col("w") == F.col("dv"))
-           .select("s", "u", "v", (F.col("su") / F.col("sv")).alias("a"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    dag.count()
-    return dag
 
-
-def _dependencies(lay: _Layout, dag_here: DataFrame) -> DataFrame:
-    """(id, delta) summed over this batch's sources."""
-    try:
-        layer = lay.cut(dag_here.groupBy("s", "u").agg(F.sum("a").alias("q"))
-                     .withColumnRenamed("u", "v"))
-        walked = []
-        while not layer.isEmpty():
-            walked.append(layer)
-            layer = lay.cut(lay.hashed(lay.spread(layer)).join(dag_here, ["s", "v"])
-                         .groupBy("s", "u").agg(F.sum(F.col("a") * F.col("q")).alias("q"))
-                         .withColumnRenamed("u", "v"))
-    finally:
-        dag_here.unpersist()
-    scores = [w.filter(F.col("s") != F.col("v")).select(F.col("v").alias("id"), "q")
-              for w in walked]
-    if not scores:
-        return dag_here.sparkSession.createDataFrame([], "id long, delta double")
-    return lay.cut(_union(scores).groupBy("id").agg(F.sum("q").alias("delta")))
+def _distances(cut: _Cuts, sources: DataFrame, arcs: DataFrame, partitions: int) -> DataFrame:
+    """(s, v, d) for every node v reachable from each source s."""
+    frontier = cut(sources.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d")))
+    known = [frontier]
+    while True:
+        best = (_sent(frontier.withColumnRenamed("v", "u"), arcs, partitions)
+                .groupBy("s", "v").agg(F.min("c").alias("c")))
+        both = _union([best.withColumn("d", F.lit(None).cast("double")),
+                       *[k.withColumn("c", F.lit(None).cast("double")) for k in known]])
+        frontier = cut(both.groupBy("s", "v").agg(F.min("c").alias("c"), F.min("d").alias("d"))
+                       .filter(F.col("c") < F.coalesce("d", F.lit(math.inf)))
+                       .select("s", "v", F.col("c").alias("d")))
+        if frontier.isEmpty():
+            return cut(_union(known).groupBy("s", "v").agg(F.min("d").alias("d")))
+        known.append(frontier)
+
+
+def _shortest_arcs(cut: _Cuts, distances: DataFrame, arcs: DataFrame, partitions: int) -> DataFrame:
+    """(s, u, v): the arcs of all shortest paths."""
+    least = F.min("c").over(Window.partitionBy("s", "v"))
+    found = cut(_sent(distances.withColumnRenamed("v", "u"), arcs, partitions)
+                .filter("v != s").withColumn("least", least).filter("c = least")
+                .select("s", "u", "v", (F.col("c") == F.col("d")).alias("absorbed")))
+    if not found.filter("absorbed").isEmpty():
+        raise ValueError("an edge weight is too small to count against the distances of its paths")
+    return found.select("s", "u", "v")
+
+
+def _layers(cut: _Cuts, layer: DataFrame, step) -> list[DataFrame]:
+    """The layer and those that ``step`` makes of it, until one is empty."""
+    layer = cut(layer)
+    walked = []
+    while not layer.isEmpty():
+        walked.append(layer)
+        layer = cut(step(layer))
+    return walked
+
+
+def _dependencies(cut: _Cuts, sources: DataFrame, dag: DataFrame) -> DataFrame | None:
+    """(id, delta) summed over these sources; None if there are no paths."""
+    start = sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("paths"))
+    walks = _layers(cut, start, lambda layer: (
+        layer.withColumnRenamed("v", "u").join(dag, ["s", "u"])
+        .groupBy("s", "v").agg(F.sum("paths").alias("paths"))))
+    sigma = cut(_union(walks).groupBy("s", "v").agg(F.sum("paths").alias("sigma")))
+    shares = cut(dag.join(sigma.select("s", F.col("v").alias("u"), F.col("sigma").alias("su")),
+                          ["s", "u"])
+                 .join(sigma.withColumnRenamed("sigma", "sv"), ["s", "v"])
+                 .select("s", "u", "v", (F.col("su") / F.col("sv")).alias("a")))
+    layers = _layers(cut, shares.groupBy("s", F.col("u").alias("v")).agg(F.sum("a").alias("q")),
+                     lambda layer: (layer.join(shares, ["s", "v"])
+                                    .groupBy("s", "u").agg(F.sum(F.col("a") * F.col("q")).alias("q"))
+                                    .withColumnRenamed("u", "v")))
+    if not layers:
+        return None
+    return (_union(layers).filter("s != v").groupBy(F.col("v").alias("id"))
+            .agg(F.sum("q").alias("delta")))
+
+
+def _dense_ids(cut: _Cuts, nodes: DataFrame) -> DataFrame:
+    """(node, id) with ids 0 to n - 1, fixed once written: a node's place in its task's share after
+    the shares of the tasks before."""
+    raw = cut(nodes.select("node").withColumn("raw", F.monotonically_increasing_id()))
+    share = F.shiftright("raw", 33)
+    # A row per task.
+    before = Window.orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (raw.groupBy(share.alias("share")).agg(F.count(F.lit(1)).alias("rows"))
+              .select("share", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")))
+    place = F.col("raw").bitwiseAND(F.lit((1 << 33) - 1))
+    return cut(raw.withColumn("share", share).join(starts, "share")
+               .select("node", (F.col("start") + place).alias("id")))
 
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
-                broadcast_arcs_limit: int = 2_000_000,
-                rows_per_partition: int = 4_000_000,
-                sparse_tail_min_rows: int = 10_000_000) -> DataFrame:
+                rows_per_partition: int = 4_000_000) -> DataFrame:
     """(node, betweenness) over all sources; nodes on no shortest path score 0.
 
-    ``max_batch_rows`` bounds sources x arcs per batch, ``broadcast_arcs_limit`` the arc count
-    up to which arcs are broadcast, ``rows_per_partition`` the arc rows one task handles per
-    round in the source-partitioned layout, ``sparse_tail_min_rows`` the state size from which
-    the last, nearly idle rounds write only changed rows."""
+    ``max_batch_rows`` bounds sources x arcs per batch, ``rows_per_partition`` the rows that one
+    task sends in a round."""
     spark = graph.arcs.sparkSession
     checkpoint_root(spark)  # make sure a checkpoint folder is known
     cut = _Cuts(spark)
     try:
-        # Stable 64-bit ids, fixed once written.
-        ids = cut(graph.nodes.select("node").withColumn("id", F.monotonically_increasing_id()))
-        n = ids.count()
         named = cut(graph.arcs.select("src", "dst", "weight"))
-        stats = named.agg(
-            F.count(F.lit(1)).alias("m"),
-            F.count_if(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") <= 0))
-            .alias("bad"),
-        ).first()
-        if stats["bad"]:
-            raise ValueError("edge weights must be positive numbers")
-        m = stats["m"]
-        by_source = m <= broadcast_arcs_limit
-        # The id table has at most 2m + (self-loop) nodes; broadcast it under the same bound.
-        lookup = F.broadcast(ids) if by_source and n <= 2 * broadcast_arcs_limit else ids
+        bad = named.filter(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") <= 0)).first()
+        if bad:
+            raise ValueError(f"edge weights must be positive numbers: {bad['src']!r} to "
+                             f"{bad['dst']!r} has {bad['weight']}")
+        ids = _dense_ids(cut, graph.nodes)
+        n, m = ids.count(), named.count()
         arcs = cut(named
-                   .join(lookup.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
-                   .join(lookup.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
+                   .join(ids.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
+                   .join(ids.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
                    .select("u", "v", F.col("weight").cast("double").alias("w")))
-        batches = max(1, math.ceil(n * max(m, 1) / max_batch_rows))
-        per_batch = math.ceil(n / batches)
-        # Partitions sized by the work of one round (sources x arcs), not by a session default,
-        # rounded up to whole waves of the cluster's task slots (a lone last task would double
-        # every stage).
+        batches = max(1, min(n, math.ceil(n * m / max_batch_rows)))
+        # Tasks by the work of a round, in whole waves of the cluster's slots.
         slots = default_parallelism(spark)
-        partitions = slots * math.ceil(
-            max(1, math.ceil(per_batch * max(m, 1) / rows_per_partition)) / slots)
-        lay = _Layout(cut, arcs, by_source, partitions,
-                      sparse_tail=by_source and per_batch * n >= sparse_tail_min_rows)
-        partials = []
-        # Joins on (s, v) of two sides both hash-partitioned by s are co-partitioned; Spark only
-        # uses that when it may co-partition on a subset of the join keys. Set for this run only.
-        copartition_key = "spark.sql.requireAllClusterKeysForCoPartition"
-        previous = spark.conf.get(copartition_key, None)
-        if by_source:
-            spark.conf.set(copartition_key, "false")
-        try:
-            for b in range(batches):
-                chosen = ids if batches == 1 else ids.filter(
-                    F.pmod(F.xxhash64("node"), F.lit(batches)) == b)
-                state = _forward(lay, chosen.select(F.col("id").alias("s")))
-                partials.append(_dependencies(lay, _dag(lay, state)))
-        finally:
-            if by_source:
-                if previous is None:
-                    spark.conf.unset(copartition_key)
-                else:
-                    spark.conf.set(copartition_key, previous)
-        if normalized:
-            scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-        else:
-            scale = 0.5
-        total = partials[0] if len(partials) == 1 else (
-            _union(partials).groupBy("id").agg(F.sum("delta").alias("delta")))
+        partitions = slots * max(1, math.ceil(n * m / batches / rows_per_partition / slots))
+        partials = f"{cut.root}/partials"
+        spark.createDataFrame([], "id long, delta double").write.parquet(partials)
+        for b in range(batches):
+            sources = ids.filter(F.col("id") % batches == b).select(F.col("id").alias("s"))
+            distances = _distances(cut, sources, arcs, partitions)
+            part = _dependencies(cut, sources, _shortest_arcs(cut, distances, arcs, partitions))
+            if part is not None:
+                part.write.mode("append").parquet(partials)
+        scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) if normalized else 0.5
+        total = spark.read.schema("id long, delta double").parquet(partials) \
+            .groupBy("id").agg(F.sum("delta").alias("delta"))
         scored = ids.join(total, "id", "left").select(
             "node", (F.coalesce(F.col("delta"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
         # The scores outlive the round tables, which are removed below.

@@ -60,20 +60,27 @@ def distinct_then_drop(tweets: DataFrame, topic: str) -> DataFrame:
     return tweets.filter(F.col("hashtag") == topic).distinct().drop("hashtag")
 
 
-def mention_user_list(tweets: DataFrame, topic: str = "H1N1") -> DataFrame:
-    """(mention, usernames): the distinct users who mentioned each name under ``#topic``, sorted
-    and comma-joined.
-
-    A mentioned name may hold a third of all rows, so its users are never gathered and sorted in
-    one task: pairs are de-duplicated map side, range-partitioned on (mention, username) so a hot
-    name spans many partitions in username order, each partition joins its sorted slice, and the
-    last step only concatenates the already sorted slices in partition order.
+def mention_user_slices(tweets: DataFrame, topic: str = "H1N1",
+                        partitions: int | None = None) -> DataFrame:
+    """(mention, slice, usernames): the distinct users who mentioned each name under ``#topic``,
+    sorted and comma-joined, in one or more slices; slice by slice they are the name's whole list.
+
+    A mentioned name may hold a third of all rows, so its users are never gathered in one task:
+    pairs are de-duplicated map side and range-partitioned on (mention, username), so a hot name
+    spans many partitions in username order, and each partition joins its sorted slice.
     """
     pairs = tweets.filter(F.col("hashtag") == topic).select("mention", "username").distinct()
-    slices = (pairs.repartitionByRange("mention", "username")
-              .withColumn("slice", F.spark_partition_id())
-              .groupBy("mention", "slice")
-              .agg(F.array_join(F.array_sort(F.collect_list("username")), ",").alias("part")))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("slice", "part"))),
-                          lambda s: s["part"])
-    return slices.groupBy("mention").agg(F.array_join(ordered, ",").alias("usernames"))
+    by = ("mention", "username")
+    dealt = pairs.repartitionByRange(partitions, *by) if partitions else pairs.repartitionByRange(*by)
+    return (dealt.withColumn("slice", F.spark_partition_id()).groupBy("mention", "slice")
+            .agg(F.array_join(F.array_sort(F.collect_list("username")), ",").alias("usernames")))
+
+
+def mention_user_list(tweets: DataFrame, topic: str = "H1N1") -> DataFrame:
+    """(mention, usernames): each name's whole list in one string, as the original has it. This view
+    over ``mention_user_slices`` gathers a name's slices in one row; a list beyond what one value may
+    hold (2 GB) fails the job, and nothing is cut. Use the slices where names may be that common."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("slice", "usernames"))),
+                          lambda s: s["usernames"])
+    return (mention_user_slices(tweets, topic).groupBy("mention")
+            .agg(F.array_join(ordered, ",").alias("usernames")))

@@ -1,7 +1,7 @@
 """Workloads, the query registry and its SQL oracle."""
 
-from warbler.plans.oracle import NO_ORACLE, ORACLE_SQL
+from warbler.plans.oracle import ORACLE_SQL
 from warbler.plans.registry import QUERIES
 from warbler.plans.workspace import Workspace
 
-__all__ = ["NO_ORACLE", "ORACLE_SQL", "QUERIES", "Workspace"]
+__all__ = ["ORACLE_SQL", "QUERIES", "Workspace"]

@@ -9,7 +9,7 @@ the regex engine; plain strings use chr(9)/chr(10).
 from __future__ import annotations
 
 _BASE = r"""
-WITH ev AS (
+WITH RECURSIVE ev AS (
   SELECT event_id, user_id, ts,
          regexp_extract(props, '(\d+)', 1) AS k,
          CASE event_type WHEN 'purchase' THEN 'Youtube' WHEN 'click' THEN 'IranElections'
@@ -19,13 +19,14 @@ WITH ev AS (
   FROM events),
 records AS (
   SELECT
-    CASE WHEN event_id = 0 THEN 'total number:' || (SELECT count(*) FROM events) || chr(10)
+    CASE WHEN event_id % 103 = 7 THEN chr(10) ELSE '' END
+    || CASE WHEN event_id = 0 THEN 'total number:' || (SELECT count(*) FROM events) || chr(10)
          ELSE '' END
     || 'T' || chr(9) || strftime(ts, '%Y-%m-%d %H:%M:%S') || chr(10)
     || 'U' || chr(9) || CASE WHEN event_id % 97 = 0 THEN 'http://example.com/'
                              WHEN event_id % 7 = 0 THEN 'http://www.twitter.com/'
-                             ELSE 'http://twitter.com/' END || 'u' || user_id || chr(10)
-    || 'W' || chr(9) || CASE event_id % 10
+                             ELSE 'http://twitter.com/' END || 'u' || user_id
+    || CASE WHEN event_id % 101 = 50 THEN '' ELSE chr(10) || 'W' || chr(9) || CASE event_id % 10
         WHEN 0 THEN 'No Post Title'
         WHEN 1 THEN 'plain words'
         WHEN 2 THEN 'tag only #' || tag
@@ -33,10 +34,11 @@ records AS (
         WHEN 4 THEN 'hi @u' || k || ' and @u' || (user_id % 13) || ' #' || tag || ' #' || tag2
         WHEN 5 THEN 'mail a@u' || k || '.example #' || tag || ' #' || tag
         WHEN 6 THEN 'bare # and @ signs'
-        ELSE 'RT @u' || k || ': #' || tag || ' end' END AS value
+        ELSE 'RT @u' || k || CASE WHEN event_id % 11 = 3 THEN ': #café #' ELSE ': #' END || tag
+             || ' end' END END AS value
   FROM ev),
 lined AS (
-  SELECT value, ltrim(value, chr(10)) AS body FROM records),
+  SELECT value, trim(value, chr(10)) AS body FROM records),
 parsed AS (
   SELECT value, body,
     string_split(body, chr(10))[CASE WHEN starts_with(body, 'total') THEN 4 ELSE 3 END] AS msg,
@@ -136,8 +138,68 @@ _TAIL = {
     "graph_nodes": "SELECT src AS node FROM topic_graph UNION SELECT dst AS node FROM topic_graph",
 }
 
-# Shortest-path counting has no practical SQL form; these are checked against a brute-force
-# Brandes implementation on small graphs in the tests instead.
-NO_ORACLE = ("betweenness", "node_sizes")
+# The edge lines of the events, and the last line of each pair.
+_EVENT_GRAPH = """,
+event_lines AS (
+  SELECT event_id, 'u' || (user_id % 53) AS a, 'u' || (event_id * 7 % 53) AS b,
+         CAST(event_id % 9 + 1 AS DOUBLE) / 10 AS weight
+  FROM events),
+event_pairs AS (
+  SELECT least(a, b) AS src, greatest(a, b) AS dst, arg_max(weight, event_id) AS weight
+  FROM event_lines GROUP BY 1, 2)
+"""
+_BOTH_WAYS = "SELECT src, dst, weight FROM {0} WHERE src <> dst " \
+             "UNION ALL SELECT dst AS src, src AS dst, weight FROM {0} WHERE src <> dst"
+
+# Shortest paths by recursion: distances (all of them in every round, until none moves), the arcs of
+# shortest paths, walks by number of hops, and dependencies by number of hops.
+_CENTRALITY = """,
+nodes AS MATERIALIZED (SELECT src AS node FROM {pairs} UNION SELECT dst AS node FROM {pairs}),
+arcs AS MATERIALIZED (
+  SELECT src, dst, CAST(weight AS DOUBLE) AS weight FROM {pairs} WHERE src <> dst
+  UNION ALL SELECT dst, src, CAST(weight AS DOUBLE) FROM {pairs} WHERE src <> dst),
+dist AS (
+  SELECT 0 AS k, node AS s, node AS v, CAST(0 AS DOUBLE) AS d, true AS moved FROM nodes
+  UNION ALL
+  SELECT k + 1, s, v, min(d), bool_or(min(d) IS DISTINCT FROM max(old)) OVER ()
+  FROM (SELECT k, s, v, d, d AS old FROM dist WHERE moved
+        UNION ALL
+        SELECT k, s, dst, d + weight, NULL FROM dist JOIN arcs ON src = v WHERE moved) AS told
+  GROUP BY k, s, v),
+final AS MATERIALIZED (SELECT s, v, d FROM dist WHERE NOT moved),
+short AS MATERIALIZED (
+  SELECT f.s, a.src AS u, a.dst AS v FROM final f JOIN arcs a ON a.src = f.v
+  JOIN final g ON g.s = f.s AND g.v = a.dst WHERE f.d + a.weight = g.d),
+walk AS (
+  SELECT 0 AS k, node AS s, node AS v, CAST(1 AS DOUBLE) AS n FROM nodes
+  UNION ALL
+  SELECT k + 1, walk.s, short.v, sum(n) FROM walk JOIN short ON short.s = walk.s AND short.u = walk.v
+  GROUP BY k, walk.s, short.v),
+sigma AS MATERIALIZED (SELECT s, v, sum(n) AS n FROM walk GROUP BY s, v),
+share AS MATERIALIZED (
+  SELECT short.s, short.u, short.v, x.n / y.n AS a FROM short
+  JOIN sigma x ON x.s = short.s AND x.v = short.u JOIN sigma y ON y.s = short.s AND y.v = short.v),
+q AS (
+  SELECT 1 AS k, s, u AS v, sum(a) AS x FROM share GROUP BY s, u
+  UNION ALL
+  SELECT k + 1, share.s, share.u, sum(a * x) FROM q JOIN share ON share.s = q.s AND share.v = q.v
+  GROUP BY k, share.s, share.u),
+scores AS (
+  SELECT node, coalesce(x, 0) * CASE WHEN n > 2 THEN 1.0::DOUBLE / ((n - 1) * (n - 2)) ELSE 1 END AS b
+  FROM nodes LEFT JOIN (SELECT v, sum(x) AS x FROM q WHERE s <> v GROUP BY v) AS t ON v = node,
+       (SELECT count(*) AS n FROM nodes) AS c)
+"""
+_SCORE = "SELECT node, round(b, 9) AS betweenness FROM scores"
+
+_TAIL |= {
+    "mention_user_slices": "SELECT DISTINCT mention, username FROM tweets WHERE hashtag = 'H1N1'",
+    "betweenness": _CENTRALITY.format(pairs="topic_graph") + _SCORE,
+    "node_sizes": _CENTRALITY.format(pairs="topic_graph")
+                  + "SELECT node, round(b, 9) AS betweenness, round(b * 5000, 5) AS node_size FROM scores",
+    "event_graph_edges": _EVENT_GRAPH + _BOTH_WAYS.format("event_pairs"),
+    "event_graph_nodes": _EVENT_GRAPH + "SELECT src AS node FROM event_pairs "
+                         "UNION SELECT dst AS node FROM event_pairs",
+    "event_graph_betweenness": _EVENT_GRAPH + _CENTRALITY.format(pairs="event_pairs") + _SCORE,
+}
 
 ORACLE_SQL: dict[str, str] = {key: _BASE + tail for key, tail in _TAIL.items()}

@@ -46,8 +46,7 @@ def scan_parquet(spark, d):
 
 
 def _topic_edge_file(spark, d) -> str:
-    path = scratch_path(spark, "edge-list")
-    return sinks.write_edge_list(graph.topic_mention_graph(_ws(spark, d).records(), GRAPH_TOPIC), path)
+    return _ws(spark, d).topic_edges_path(GRAPH_TOPIC)
 
 
 def scan_edge_list(spark, d):
@@ -59,8 +58,8 @@ def typed_tweet_table(spark, d):
 
 
 def temp_view_sql(spark, d):
-    _ws(spark, d).tweets().createOrReplaceTempView("tweetTable")
-    return spark.sql("SELECT username, hashtag, mention FROM tweetTable")
+    with W.views(spark, _ws(spark, d).tweets()) as (view,):
+        return spark.sql(f"SELECT username, hashtag, mention FROM {view}")
 
 
 # --- sinks -------------------------------------------------------------------------------------
@@ -143,8 +142,8 @@ def topic_users_df(spark, d):
 
 
 def topic_users_sql(spark, d):
-    _ws(spark, d).tweets().createOrReplaceTempView("tweetTable")
-    return topics.topic_users_sql(spark, "tweetTable", "Youtube")
+    with W.views(spark, _ws(spark, d).tweets()) as (view,):
+        return topics.topic_users_sql(spark, view, "Youtube")
 
 
 def topic_mentions_iranelections(spark, d):
@@ -179,6 +178,12 @@ def mention_user_list(spark, d):
     return W.mention_users(_ws(spark, d).tweets(), "H1N1")
 
 
+def mention_user_slices(spark, d):
+    """The slices' content: where they are cut follows the data's ranges, not the question."""
+    slices = W.mention_user_slices(_ws(spark, d).tweets(), "H1N1")
+    return slices.select("mention", F.explode(F.split("usernames", ",")).alias("username"))
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 def bad_record_total(spark, d):
@@ -221,13 +226,36 @@ def graph_nodes(spark, d):
     return _topic_graph(spark, d).nodes
 
 
+def _rounded(scores: DataFrame) -> DataFrame:
+    """Sums of doubles in no fixed order, to what is compared."""
+    return scores.withColumns({c: F.round(c, n) for c, n in (("betweenness", 9), ("node_size", 5))
+                               if c in scores.columns})
+
+
 def betweenness(spark, d):
-    return _ws(spark, d).memo(f"betweenness:{GRAPH_TOPIC}",
-                              lambda: centrality.betweenness(_topic_graph(spark, d)))
+    return _rounded(centrality.betweenness(_topic_graph(spark, d)))
 
 
 def node_sizes(spark, d):
-    return centrality.node_sizes(betweenness(spark, d))
+    return _rounded(centrality.node_sizes(centrality.betweenness(_topic_graph(spark, d))))
+
+
+def _event_graph(spark, d) -> graph.Graph:
+    """Repeated, reversed and self edges: the last line of a pair counts."""
+    edges = tables.scan_edge_list(spark, _ws(spark, d).event_edges_path(), keep_order=True)
+    return graph.undirected_graph(edges, on_duplicate="last")
+
+
+def event_graph_edges(spark, d):
+    return _event_graph(spark, d).arcs
+
+
+def event_graph_nodes(spark, d):
+    return _event_graph(spark, d).nodes
+
+
+def event_graph_betweenness(spark, d):
+    return _rounded(centrality.betweenness(_event_graph(spark, d)))
 
 
 QUERIES: dict[str, Query] = {
@@ -243,6 +271,7 @@ QUERIES: dict[str, Query] = {
         "distinct_then_drop", "mention_user_count", "mention_user_list",
         "bad_record_total", "record_type_counts", "bad_records", "has_hashtag",
         "mention_edges", "topic_mention_graph", "graph_edges", "graph_nodes",
-        "betweenness", "node_sizes",
+        "betweenness", "node_sizes", "mention_user_slices",
+        "event_graph_edges", "event_graph_nodes", "event_graph_betweenness",
     ]
 }

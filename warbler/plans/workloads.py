@@ -9,7 +9,9 @@ W5 rows per mentioned user for either of two topics
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,14 +48,25 @@ def users_in_two_topics(tweet_df: DataFrame, first=IRAN_ELECTIONS, second=IRANIA
 
 def users_in_two_topics_sql(spark: SparkSession, tweet_df: DataFrame, first=IRAN_ELECTIONS,
                             second=IRANIANS) -> DataFrame:
-    """W4 (SQL form) over temp views, as the original registers them."""
-    tweet_df.createOrReplaceTempView("tweetTable")
-    topics.topic_mention_counts_sql(spark, "tweetTable", *first).createOrReplaceTempView(
-        "iranElectionsTable")
-    topics.topic_mention_counts_sql(spark, "tweetTable", *second).createOrReplaceTempView(
-        "iraniansTable")
-    return topics.users_in_both_sql(spark, "iranElectionsTable", "iraniansTable", first[1],
-                                    second[1])
+    """W4 (SQL form) over temp views."""
+    with views(spark, tweet_df) as (tweet_view,):
+        counts = [topics.topic_mention_counts_sql(spark, tweet_view, *t) for t in (first, second)]
+    with views(spark, *counts) as (left, right):
+        return topics.users_in_both_sql(spark, left, right, first[1], second[1])
+
+
+@contextmanager
+def views(spark: SparkSession, *frames: DataFrame):
+    """Temporary views under names of their own, dropped when the block ends; frames made of them
+    keep working."""
+    names = [f"warbler_{uuid.uuid4().hex}" for _ in frames]
+    for name, df in zip(names, frames):
+        df.createOrReplaceTempView(name)
+    try:
+        yield names
+    finally:
+        for name in names:
+            spark.catalog.dropTempView(name)
 
 
 def rows_per_mention(tweet_df: DataFrame, topic_list: Sequence[str] = ("H1N1", "Oklahama")):
@@ -66,6 +79,11 @@ def mention_users(tweet_df: DataFrame, topic: str = "H1N1") -> DataFrame:
     return topics.mention_user_list(tweet_df, topic)
 
 
+def mention_user_slices(tweet_df: DataFrame, topic: str = "H1N1") -> DataFrame:
+    """W6, the distributed form: a name's users in slices, in order."""
+    return topics.mention_user_slices(tweet_df, topic)
+
+
 def save_mention_users(lists: DataFrame, parquet_path: str, csv_path: str) -> tuple[str, str]:
     """W6 sinks: Parquet and CSV at two paths (one path would let the CSV replace the Parquet).
     The lists are computed once; the CSV copy is written from the Parquet files by all tasks."""
@@ -77,7 +95,8 @@ def save_mention_users(lists: DataFrame, parquet_path: str, csv_path: str) -> tu
 
 def bad_record_report(records: DataFrame, out_path: str) -> str:
     """W7: (type,count) lines of good and bad records."""
-    return sinks.write_text_pairs(quality.record_type_counts(records), out_path)
+    # Two rows.
+    return sinks.write_text_pairs(quality.record_type_counts(records), out_path, single_file=True)
 
 
 def edge_list_centrality(spark: SparkSession, edge_path: str, **kw) -> DataFrame:

@@ -2,44 +2,64 @@
 
 Mirrors the original flow: raw records are written once as a blank-line-delimited text file,
 parsed once into the tweet table in Parquet, and every question then reads that Parquet. Paths
-live under the shared checkpoint folder and are remembered per (application, directory).
+live under the shared checkpoint folder and are remembered per application, directory and version of
+the events (their files, sizes and modification times).
 """
 
 from __future__ import annotations
 
-import os
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from warbler.operators.graph import topic_mention_graph
 from warbler.operators.tweets import tweet_table
-from warbler.session import app_id, scratch_path
-from warbler.sources.events import records_from_events
+from warbler.session import app_id, release_scratch, scratch_path
+from warbler.sources.events import edges_from_events, records_from_events
 from warbler.sources.records import scan_records, write_records
-from warbler.sources.sinks import write_tweet_table
+from warbler.sources.sinks import write_edge_list, write_tweet_table
 from warbler.sources.tables import read_tweet_table
 
 _PATHS: dict[tuple[str, str, str], str] = {}
-_RESULTS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table_path(data_dir: str, name: str) -> str:
-    return os.path.join(data_dir, f"{name}.parquet")
+    return f"{data_dir.rstrip('/')}/{name}.parquet"
+
+
+def release(spark: SparkSession) -> int:
+    """Forgets and removes all that was built for this application."""
+    for key in [k for k in _PATHS if k[0] == app_id(spark)]:
+        del _PATHS[key]
+    return release_scratch(spark)
 
 
 class Workspace:
     def __init__(self, spark: SparkSession, data_dir: str):
         self.spark = spark
-        self.data_dir = os.path.abspath(data_dir)
+        self.data_dir = data_dir
+
+    @cached_property
+    def version(self) -> str:
+        """The events' files as they are now, from their metadata."""
+        files = self.events().select("_metadata.file_path", "_metadata.file_size",
+                                     "_metadata.file_modification_time").distinct()
+        # As many rows as there are files.
+        return files.agg(F.sha1(F.array_join(F.array_sort(F.collect_list(F.concat_ws(
+            "|", "file_path", "file_size", "file_modification_time"))), "\n"))).first()[0]
 
     def _key(self, name: str) -> tuple[str, str, str]:
-        return (app_id(self.spark), self.data_dir, name)
+        return (app_id(self.spark), f"{self.data_dir}@{self.version}", name)
 
-    def memo(self, name: str, build) -> DataFrame:
-        """A materialised result (e.g. checkpointed scores) built once per application."""
+    def path(self, name: str, build) -> str:
+        """A table or file that ``build(path)`` writes, once per application and version."""
         key = self._key(name)
-        if key not in _RESULTS:
-            _RESULTS[key] = build()
-        return _RESULTS[key]
+        if key not in _PATHS:
+            path = scratch_path(self.spark, name)
+            build(path)
+            _PATHS[key] = path
+        return _PATHS[key]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(table_path(self.data_dir, name))
@@ -48,24 +68,24 @@ class Workspace:
         return self.table("events")
 
     def records_path(self) -> str:
-        key = self._key("records")
-        if key not in _PATHS:
-            path = scratch_path(self.spark, "records")
-            write_records(records_from_events(self.events()), path)
-            _PATHS[key] = path
-        return _PATHS[key]
+        return self.path("records", lambda path: write_records(records_from_events(self.events()), path))
 
     def records(self) -> DataFrame:
         """Raw records read back through the blank-line text scan."""
         return scan_records(self.spark, self.records_path())
 
     def tweets_path(self) -> str:
-        key = self._key("tweets")
-        if key not in _PATHS:
-            path = scratch_path(self.spark, "tweet-table")
-            write_tweet_table(tweet_table(self.records()), path)
-            _PATHS[key] = path
-        return _PATHS[key]
+        return self.path("tweet-table", lambda path: write_tweet_table(tweet_table(self.records()), path))
+
+    def topic_edges_path(self, tag: str) -> str:
+        """The mention graph of ``#tag`` as an edge list file."""
+        return self.path(f"edges-{tag}", lambda path: write_edge_list(
+            topic_mention_graph(self.records(), tag), path))
+
+    def event_edges_path(self) -> str:
+        """The edge lines of the events as an edge list file."""
+        return self.path("event-edges", lambda path: write_edge_list(
+            edges_from_events(self.events()), path))
 
     def tweets(self) -> DataFrame:
         return read_tweet_table(self.spark, self.tweets_path())

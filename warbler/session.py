@@ -7,12 +7,18 @@ and sets a local one only when the session has none (tests, a laptop).
 
 from __future__ import annotations
 
+import logging
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+log = logging.getLogger(__name__)
+
+#: Scratch paths handed out, by application.
+_OWNED: dict[str, list[str]] = {}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "warbler",
                   driver_memory: str | None = None) -> SparkSession:
@@ -46,15 +52,22 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def shared_root(spark: SparkSession) -> str | None:
+    """The folder that ``spark.checkpoint.dir`` names: the same for every application."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    return root.rstrip("/") if root else None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
-    Read from the session (``spark.checkpoint.dir`` or a directory set on the context). Only when
-    neither exists is a private folder created and registered, as tests do.
+    Read from the session (``spark.checkpoint.dir`` or a directory set on the context). Only on a
+    ``local`` master, where every task sees the driver's disk, is a private folder created and
+    registered when neither exists, as tests do; a cluster must name one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = shared_root(spark)
     if root:
-        return root.rstrip("/")
+        return root
     try:
         sc = spark.sparkContext
     except Exception:  # no local context: the server must name the folder
@@ -63,14 +76,28 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # The context appends an application folder; keep our tables next to it.
         return current.rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="warbler-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/warbler/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused path under the shared checkpoint folder. The application owns it until
+    ``release_scratch``."""
+    path = f"{checkpoint_root(spark)}/warbler/{app_id(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _OWNED.setdefault(app_id(spark), []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Removes all scratch paths of this application; frames that read them can't be used any more.
+    Returns their number."""
+    paths = _OWNED.pop(app_id(spark), [])
+    for path in paths:
+        delete_path(spark, path)
+    return len(paths)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -80,8 +107,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
         sc = spark.sparkContext
         hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
         hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True)
-    except Exception:
-        pass
+    except Exception:  # scratch only: the job's result does not depend on it
+        log.warning("could not remove %s", path, exc_info=True)
 
 
 def env_int(name: str, default: int) -> int:

@@ -24,7 +24,13 @@ from pyspark.sql import functions as F
 #     4 "hi @u<k> and @u<user_id % 13> #<tag> #<tag2>"
 #     5 "mail a@u<k>.example #<tag> #<tag>"      6 "bare # and @ signs"
 #     7, 8, 9 "RT @u<k>: #<tag> end"
+#     of these, event_id % 11 = 3:             "RT @u<k>: #café #<tag> end"
 #   k = first run of digits in props; header "total number:<event count>\n" on event_id 0.
+#   event_id % 101 = 50: no message line (malformed); event_id % 103 = 7: a newline in front.
+#
+# Fixed values of the event -> edge line derivation, in order of event_id (repeated, reversed and
+# self edges, decimal weights):
+#   u<user_id % 53>,u<event_id * 7 % 53>,<(event_id % 9 + 1) / 10>
 # ---------------------------------------------------------------------------------------------
 TAG_BY_EVENT_TYPE = [
     ("purchase", "Youtube"),
@@ -66,12 +72,22 @@ def records_from_events(events: DataFrame) -> DataFrame:
                                   F.lit(" #"), tag, F.lit(" #"), tag2))
         .when(kind == 5, F.concat(F.lit("mail a@u"), k, F.lit(".example #"), tag, F.lit(" #"), tag))
         .when(kind == 6, F.lit("bare # and @ signs"))
+        .when(eid % 11 == 3, F.concat(F.lit("RT @u"), k, F.lit(": #caf\u00e9 #"), tag, F.lit(" end")))
         .otherwise(F.concat(F.lit("RT @u"), k, F.lit(": #"), tag, F.lit(" end")))
     )
     value = F.concat(
-        header,
+        F.when(eid % 103 == 7, F.lit("\n")).otherwise(F.lit("")), header,
         F.lit("T\t"), F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss"), F.lit("\n"),
-        F.lit("U\t"), prefix, F.lit("u"), uid.cast("string"), F.lit("\n"),
-        F.lit("W\t"), message,
+        F.lit("U\t"), prefix, F.lit("u"), uid.cast("string"),
+        F.when(eid % 101 == 50, F.lit("")).otherwise(F.concat(F.lit("\nW\t"), message)),
     )
     return events.select(value.alias("value"))
+
+
+def edges_from_events(events: DataFrame) -> DataFrame:
+    """``events`` → ``src, dst, weight``, one edge line per event in order of ``event_id``."""
+    eid = F.col("event_id")
+    return events.orderBy("event_id").select(
+        F.concat(F.lit("u"), (F.col("user_id") % 53).cast("string")).alias("src"),
+        F.concat(F.lit("u"), (eid * 7 % 53).cast("string")).alias("dst"),
+        ((eid % 9 + 1) / F.lit(10.0)).alias("weight"))

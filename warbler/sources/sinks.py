@@ -33,7 +33,7 @@ def format_pairs(counts: DataFrame, key: str = "record_type", count: str = "coun
 
 
 def write_text_pairs(counts: DataFrame, path: str, key: str = "record_type", count: str = "count",
-                     single_file: bool = True) -> str:
+                     single_file: bool = False) -> str:
     """``(key,count)`` lines as text; fails if the path exists, like the original report."""
     out = format_pairs(counts, key, count)
     if single_file:
@@ -49,6 +49,9 @@ def edge_list_lines(edges: DataFrame) -> DataFrame:
 
 
 def write_edge_list(edges: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Edge list readable by ``scan_edge_list``; written by all tasks in parallel."""
-    edges.select("src", "dst", "weight").write.mode(mode).option("header", "false").csv(path)
+    """Edge list readable by ``scan_edge_list``; written by all tasks in parallel. Quotes in a name
+    are doubled and blanks around it stay, as the reader takes them."""
+    (edges.select("src", "dst", "weight").write.mode(mode).option("header", "false")
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
     return path
