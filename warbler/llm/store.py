@@ -30,7 +30,7 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back, with the same schema."""
     spark = df.sparkSession
     path = folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -61,6 +61,13 @@ def create(uri: str):
     system.move(own, path)
 
 
+def exists(uri: str) -> bool:
+    from pyarrow import fs
+
+    system, path, _ = _place(uri)
+    return system.get_file_info(path).type == fs.FileType.File
+
+
 def open_stream(uri: str):
     """A buffered binary stream over a file."""
     system, path, _ = _place(uri)

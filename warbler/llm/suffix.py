@@ -3,12 +3,13 @@
 A byte goes if a string of ``length`` bytes that covers it also starts in a document with a smaller
 id. All strings ("windows") are judged on the input.
 
-1. ``Blocks``: texts are packed into blocks of about 4 MB where they are read; a long text is cut
+1. ``Blocks``: texts are packed into blocks of about 2 MB where they are read; a long text is cut
    into pieces that overlap by length − 1 bytes, so every window lies in exactly one piece.
 2. Fingerprints: a window's fingerprint is the smallest hash of the 25-byte strings in it, so equal
    windows have equal fingerprints, and neighbours mostly share one. Each block sends its different
-   fingerprints to hash buckets and learns which of them another block has too. What no other
-   document shares can't repeat, and is left out from here on.
+   fingerprints (32 bits of them) to hash buckets, and is answered which of them another block has
+   too, in a file of its own in the shared folder. What no other document shares can't repeat, and is
+   left out from here on; a chance meeting of 32 bits only leaves a little more in.
 3. Shards: each block builds the suffix array of the stretches that are left, by Larsson-Sadakane
    refinement (ranks of 8, 16, 32, then ``length`` bytes; settled groups are not sorted again), and
    their common prefixes by Kasai's recurrence. Runs of common prefixes of ``length`` or more are
@@ -40,19 +41,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from warbler.llm.store import table
+from warbler.llm.store import create, exists, folder, table, view
 
 GRAM = 25
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 PIECE_BYTES = 1 << 20
 NONE = (1 << 63) - 1  # the id of rows without one
 
 BLOCKS = "block long, n long, docs binary, data binary"
 PRINTS = "bucket int, block long, prints binary"
 SHARED = "block long, prints binary"
-#: Undecided stretches of one bucket: docs holds (id, mark, start, windows) per stretch.
-FOUND = "bucket int, block long, docs binary, data binary, size long"
-CUTS = "id long, mark long, lo long, hi long"
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -252,14 +250,19 @@ def _by_bucket(bucket: np.ndarray):
     return order, list(zip(b[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(b)]))
 
 
+def _short(prints: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 32 bits of each fingerprint."""
+    return ((prints % np.uint64(buckets)) << np.uint64(32)) | (prints >> np.uint64(32))
+
+
 def _print_rows(length: int, buckets: int):
     def run(batches):
         for batch in batches:
             for block, docs, data in zip(batch["block"].to_pylist(), batch["docs"], batch["data"]):
                 b = _Block(docs.as_py(), data.as_py(), length)
-                prints = np.unique(b.prints)
-                order, parts = _by_bucket(_bucket(prints, buckets))
-                prints = prints[order]
+                short = np.unique(_short(b.prints, buckets))
+                _, parts = _by_bucket(short >> np.uint64(32))
+                prints = short.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p[0] for p in parts], pa.int32()),
                      pa.array([block] * len(parts), pa.int64()),
@@ -274,7 +277,8 @@ def _share_rows(batches):
     blocks, prints = [], []
     for batch in batches:
         blocks += batch["block"].to_pylist()
-        prints += [np.frombuffer(x.as_py(), np.uint64) for x in batch["prints"]]
+        prints += [np.frombuffer(x.as_py(), np.uint32) | np.uint64(bucket << 32)
+                   for bucket, x in zip(batch["bucket"].to_pylist(), batch["prints"])]
     if not blocks:
         return
     who = np.repeat(np.arange(len(blocks), dtype=np.int32), [len(p) for p in prints])
@@ -284,37 +288,55 @@ def _share_rows(batches):
     same = prints[1:] == prints[:-1]
     both = np.r_[same, False] | np.r_[False, same]  # a block names each of its prints once
     prints, who = prints[both], who[both]
+    _, parts = _by_bucket(who)
     order = np.argsort(who, kind="stable")
-    prints, who = prints[order], who[order]
-    cuts = np.flatnonzero(np.r_[True, who[1:] != who[:-1]]) if len(who) else []
-    ends = [*cuts[1:], len(who)] if len(who) else []
-    for lo in range(0, len(cuts), 1000):
-        part = list(zip(cuts[lo:lo + 1000], ends[lo:lo + 1000]))
+    prints = prints[order]
+    for lo in range(0, len(parts), 1000):
         yield pa.RecordBatch.from_arrays(
-            [pa.array([blocks[who[a]] for a, _ in part], pa.int64()),
-             pa.array([prints[a:z].tobytes() for a, z in part], pa.binary())],
+            [pa.array([blocks[w] for w, _, _ in parts[lo:lo + 1000]], pa.int64()),
+             pa.array([prints[a:z].tobytes() for _, a, z in parts[lo:lo + 1000]], pa.binary())],
             names=["block", "prints"])
 
 
+def _answer(path: str):
+    """Writes each block's shared prints to a file. A task holds those of its blocks."""
+
+    def run(batches):
+        own: dict[int, list[bytes]] = {}
+        for batch in batches:
+            for block, prints in zip(batch["block"].to_pylist(), batch["prints"].to_pylist()):
+                own.setdefault(block, []).append(prints)
+        for block, parts in own.items():
+            with create(f"{path}/{block}") as out:
+                for x in parts:
+                    out.write(x)
+        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int64())], names=["block"])
+
+    return run
+
+
 def _cut_rows(ids, marks, lo, hi, length):
     """Windows lo to hi - 1 of a document removed: bytes lo to hi + length - 2."""
     return [pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(lo, pa.int64()),
             pa.array(hi + (length - 1), pa.int64())]
 
 
-def _local(length: int, buckets: int):
-    """One block and the prints it shares: what it removes by itself, and what is to be merged.
-    Rows of both kinds in one table; cuts have no bucket."""
+def _local(length: int, tasks: int, buckets: int, path: str):
+    """What each block removes by itself, and what is to be merged. Rows of both kinds in one
+    table; cuts have no ``docs``."""
 
-    def run(left, right):
-        if not left.num_rows:
-            return _both([], [], [], [], [])
-        block = left["block"][0].as_py()
-        b = _Block(left["docs"][0].as_py(), left["data"][0].as_py(), length)
-        others = [np.frombuffer(x.as_py(), np.uint64) for x in right["prints"]]
-        others = np.sort(np.concatenate(others)) if others else np.empty(0, np.uint64)
-        at = np.minimum(np.searchsorted(others, b.prints), max(0, len(others) - 1))
-        abroad = others[at] == b.prints if len(others) else np.zeros(len(b.prints), bool)
+    def run(batches):
+        for batch in batches:
+            for block, docs, data in zip(batch["block"].to_pylist(), batch["docs"], batch["data"]):
+                found = of_block(block, _Block(docs.as_py(), data.as_py(), length))
+                yield from found.combine_chunks().to_batches()
+
+    def of_block(block, b):
+        uri = f"{path}/{block}"
+        others = np.sort(view(uri, np.uint64)) if exists(uri) else np.empty(0, np.uint64)
+        short = _short(b.prints, tasks)
+        at = np.minimum(np.searchsorted(others, short), max(0, len(others) - 1))
+        abroad = others[at] == short if len(others) else np.zeros(len(short), bool)
         ids = b.docs[b.piece, 0]
         # prints of more than one document of this block
         order = np.argsort(b.prints, kind="stable")
@@ -374,13 +396,30 @@ def _local(length: int, buckets: int):
         found = []
         for bucket, x, y in parts:
             raw = text[spread(a_lo[x:y], docs[x:y, 3] + length - 1)]
-            found.append((bucket, block, docs[x:y].astype("<i8").tobytes(), raw.tobytes(), len(raw)))
+            found.append((bucket, block, *_squeeze(docs[x:y], raw.tobytes()), len(raw)))
         return _both(*(list(c) for c in zip(*found)) if found else ([],) * 5, cuts=cuts,
-                     length=length)
+                     length=length, near=block % buckets)
 
     return run
 
 
+def _squeeze(docs: np.ndarray, data: bytes) -> tuple[bytes, bytes]:
+    """Stretches as they travel: the columns of ``docs`` as differences, one after another."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=1)
+    steps = np.diff(docs, axis=0, prepend=0) if len(docs) else docs
+    return press.compress(steps.T.astype("<i8").tobytes()), press.compress(data)
+
+
+def _open(docs: bytes, data: bytes) -> tuple[np.ndarray, bytes]:
+    import zstandard
+
+    unpress = zstandard.ZstdDecompressor()
+    steps = np.frombuffer(unpress.decompress(docs), "<i8").reshape(4, -1).T
+    return np.cumsum(steps, axis=0), unpress.decompress(data)
+
+
 def _split_runs(flags: np.ndarray, step: np.ndarray):
     """Runs of True that also end where ``step`` begins a new stretch."""
     n = len(flags)
@@ -389,47 +428,33 @@ def _split_runs(flags: np.ndarray, step: np.ndarray):
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
+#: Undecided stretches of a bucket, ``docs`` with (id, mark, start, windows) of each, both compressed
+#: (see ``_squeeze``); or a cut.
 BOTH = "bucket int, block long, docs binary, data binary, size long, id long, mark long, lo long, hi long"
 
 
-def _both(bucket, block, docs, data, size, cuts=None, length=0) -> pa.Table:
-    """Stretches to merge, then cuts, in one table."""
+def _both(bucket, block, docs, data, size, cuts=None, length=0, near=0) -> pa.Table:
+    """Stretches to merge, then cuts (which go along with the bucket ``near``), in one table."""
     kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64()]
     names = ["bucket", "block", "docs", "data", "size", "id", "mark", "lo", "hi"]
     found = [pa.array(x, k) for x, k in zip((bucket, block, docs, data, size), kinds)]
     cut = _cut_rows(*cuts, length) if cuts else [pa.array([], pa.int64())] * 4
     n, m = len(found[0]), len(cut[0])
     return pa.Table.from_arrays(
-        [*(pa.concat_arrays([f, pa.nulls(m, f.type)]) for f in found),
+        [pa.concat_arrays([found[0], pa.array(np.full(m, near, np.int32))]),
+         *(pa.concat_arrays([f, pa.nulls(m, f.type)]) for f in found[1:]),
          *(pa.concat_arrays([pa.nulls(n, pa.int64()), c]) for c in cut)], names=names)
 
 
 # -- merging -------------------------------------------------------------------------------------
 
-def _merge(length: int):
-    """All stretches of this task's buckets: removes windows that a smaller id has, and passes the
-    others on."""
-
-    def run(batches):
-        rows = [r for b in batches for r in zip(*(b[c].to_pylist() for c in (
-            "bucket", "block", "docs", "data")))]
-        # Bucket by bucket: equal windows share one.
-        rows.sort(key=lambda r: (r[0], r[1]))
-        at = 0
-        while at < len(rows):
-            end = at
-            while end < len(rows) and rows[end][0] == rows[at][0]:
-                end += 1
-            yield _merge_bucket(rows[at:end], length)
-            at = end
-
-    return run
-
-
-def _merge_bucket(rows, length: int) -> pa.RecordBatch:
-    docs = np.concatenate([np.frombuffer(r[2], "<i8").reshape(-1, 4) for r in rows])
-    data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
-    blocks = np.repeat(np.arange(len(rows)), [len(r[2]) // 32 for r in rows])
+def _merge_bucket(rows, length: int) -> pa.Table:
+    """All stretches of one bucket: removes windows that a smaller id has, and passes the others on."""
+    opened = [_open(r[2], r[3]) for r in rows]
+    docs = np.concatenate([d for d, _ in opened])
+    data = np.frombuffer(b"".join(x for _, x in opened), np.uint8)
+    blocks = np.repeat(np.arange(len(rows)), [len(d) for d, _ in opened])
+    del opened
     sizes = docs[:, 3] + length - 1
     starts = np.cumsum(sizes) - sizes
     # Equal stretches first: one stands for all, with the smallest id.
@@ -465,9 +490,9 @@ def _merge_bucket(rows, length: int) -> pa.RecordBatch:
     own = who[lo]
     kept = np.stack([docs[own, 0], docs[own, 1], lo + docs[own, 2] - offset[own], hi - lo], axis=1)
     left = data[spread(starts[own] + lo - offset[own], hi - lo + length - 1)].tobytes()
-    table_ = _both([rows[0][0]], [rows[0][1]], [kept.astype("<i8").tobytes()], [left], [len(left)],
-                   cuts=cuts, length=length)
-    return table_.combine_chunks().to_batches()[0]
+    kept, packed = _squeeze(kept, left)
+    return _both([rows[0][0]], [rows[0][1]], [kept], [packed], [len(left)],
+                 cuts=cuts, length=length, near=rows[0][0])
 
 
 def _least_ids(data, hashes, places, ids, blocks, length: int) -> np.ndarray:
@@ -527,36 +552,43 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     n_blocks, n_bytes = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     # About 2 of 27 windows start a new fingerprint.
     tasks = max(1, -(-n_bytes * 2 // 27 // bucket_prints))
+    path = folder(docs.sparkSession, "suffix-shared")
     prints = blocks.mapInArrow(_print_rows(length, tasks), PRINTS)
     shared = prints.repartition(tasks, "bucket").mapInArrow(_share_rows, SHARED)
+    table(shared.repartition(max(1, -(-n_blocks // 16)), "block")
+          .mapInArrow(_answer(path), "block long"), "suffix-answered")
     buckets = max(1, -(-n_bytes // bucket_bytes))
-    both = table(blocks.groupBy("block").cogroup(shared.groupBy("block"))
-                 .applyInArrow(_local(length, buckets), BOTH), "suffix-local")
-    cuts = [both.filter("bucket is null").select("id", "mark", "lo", "hi")]
-    left = n_blocks
-    level = 0
+    both = blocks.mapInArrow(_local(length, tasks, buckets, path), BOTH)
+    cuts, left, level = [], max(2, n_blocks), 0
     while left > 1:
-        groups = max(1, -(-left // fan_in))
-        found = both.filter("bucket is not null").select("bucket", "block", "docs", "data")
-        # Blocks of a round: the groups of the round before, by hash.
-        team = F.pmod(F.xxhash64("block", F.lit(level)), F.lit(groups))
-        both = table(found.withColumn("team", team).groupBy("bucket", "team")
-                     .applyInArrow(_merge_team(length), BOTH), f"suffix-merge-{level}")
-        cuts.append(both.filter("bucket is null").select("id", "mark", "lo", "hi"))
-        left, level = (groups if groups > 1 else 1), level + 1
+        left = -(-left // fan_in)
+        # Blocks of a round: the teams of the round before, by hash.
+        team = F.pmod(F.xxhash64("block", F.lit(level)), F.lit(left))
+        both = table(both.withColumn("team", team).groupBy("bucket", "team")
+                     .applyInArrow(_merge_team(length, left > 1), BOTH), f"suffix-merge-{level}")
+        cuts.append(both.filter("docs is null").select("id", "mark", "lo", "hi"))
+        both, level = both.filter("docs is not null"), level + 1
     return reduce(DataFrame.unionByName, cuts)
 
 
-def _merge_team(length: int):
+def _merge_team(length: int, more: bool):
+    """Merges a bucket's stretches of a team of blocks, and passes cuts on. ``more``: what is left
+    stands for the team in the next round."""
+
     def run(key, rows):
-        got = sorted(zip(*(rows[c].to_pylist() for c in ("bucket", "block", "docs", "data"))),
-                     key=lambda r: r[1])
-        batch = _merge_bucket(got, length)
-        out = pa.Table.from_batches([batch])
-        # What is left stands for the team in the next round.
-        team = pa.array([None if b is None else key[1].as_py() for b in out["bucket"].to_pylist()],
-                        pa.int64())
-        return out.set_column(out.schema.get_field_index("block"), "block", team)
+        is_cut = rows["docs"].is_null()
+        cuts, found = rows.filter(is_cut), rows.filter(pc.invert(is_cut))
+        out = [cuts.drop_columns(["team"])]
+        if found.num_rows:
+            got = sorted(zip(*(found[c].to_pylist() for c in ("bucket", "block", "docs", "data"))),
+                         key=lambda r: r[1])
+            merged = _merge_bucket(got, length)
+            if not more:
+                merged = merged.filter(merged["docs"].is_null())
+            team = pa.array([None if d is None else key[1].as_py() for d in merged["docs"].to_pylist()],
+                            pa.int64())
+            out.append(merged.set_column(1, "block", team))
+        return pa.concat_tables(out)
 
     return run
 
