@@ -1,20 +1,23 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
-``fit`` quantises each half of the vectors separately (k-means on a sample of ``sample`` rows at
-most), so ``cells`` × ``cells`` pairs of centroids divide the space. ``assign`` puts every row of
-the table into its pair. A query goes through the pairs by summed distance with a heap, until the
-pairs it has seen hold ``candidates`` different vectors, and all their rows are reranked by the
-exact distance.
-
-Rows are dealt out by (pair, slice): a pair has a slice for each ``slice_rows`` of its rows, so a
-pair that holds a third of the table is spread, and a query visits every slice of its pairs. Equal
-vectors count once towards ``candidates``, so copies don't end a search early. Within a task
-the visitors of a slice are compared to its rows with one matrix product, and a task keeps the k
-best of each query it has seen.
+``fit`` quantises each half of the vectors separately (k-means on a sample of about ``sample`` rows),
+so ``cells`` × ``cells`` pairs of centroids divide the space. ``assign`` puts every row of the table
+into its pair. A query goes through the pairs by summed distance with a heap, until the pairs it has
+seen hold enough different vectors, and all their rows are reranked by the exact distance.
+
+How many are enough follows from the data: ``fit`` searches its sample by brute force for some of its
+own rows, and takes the share of the sample that holds ``recall`` of their neighbours in order of the
+summed distance. In a larger table neighbours are nearer, so the share errs on the safe side. Vectors
+that lie in clusters need a small share; noise in many dimensions needs a large one.
+
+Rows are dealt out by (first centroid, slice), with a slice for each ``slice_rows`` rows of a first
+centroid, so a pair that holds a third of the table is spread; a query visits a slice once, with the
+list of second centroids that it asks for. Equal vectors count once, so copies don't end a search
+early. Within a task the visitors of a slice are compared to its rows with one matrix product, and a
+task keeps the k best of each query it has seen.
 
 The centroids and the pairs' counts are sent to the tasks: ``cells`` is at most 1024, so they are
-1024² counts at most, whatever the table holds. The candidates' number grows with the square root of
-the table, as the number of pairs does not grow beyond that.
+1024² counts at most, whatever the table holds.
 
 Defined results. See ``vectors`` for the rows that take part; zero vectors do not. A query never
 finds its own id. Repeated rows are candidates each; one id asks once. Ties go to the smaller id.
@@ -37,7 +40,7 @@ from warbler.llm.vectors import Best, dimensions, distinct_queries, matrix, rank
 
 MOST_CELLS = 1024
 ENTRIES = "pair int, id long, vec array<double>"
-ROWS = "pair int, slice int, asks int, id long, vec array<double>"
+ROWS = "first int, slice int, asks int, id long, vec array<double>, second array<int>"
 FOUND = "query_id long, id long, score double"
 
 
@@ -47,6 +50,7 @@ class Index:
 
     dims: int
     halves: tuple[np.ndarray, np.ndarray]
+    share: float = 1.0
 
     @property
     def cells(self) -> int:
@@ -76,9 +80,10 @@ def k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray
 
 
 def fit(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
-        cells: int | None = None, sample: int = 20_000) -> Index | None:
+        cells: int | None = None, sample: int = 20_000, recall: float = 0.96, k: int = 10) -> Index | None:
     """An index fitted on about ``sample`` rows chosen by the hash of their id; None if no row takes
-    part. ``cells``: centroids of a half; by default the table's size decides."""
+    part. ``cells``: centroids of a half; by default the table's size decides. ``recall``: the share
+    of the ``k`` nearest that a search should find."""
     rows = select(vectors, key, vector)
     dims = dimensions(rows)
     if not dims:
@@ -93,9 +98,27 @@ def fit(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
         _, x = matrix(got["id"], got["vec"], dims, zeros=False)
         if not len(x):
             return None
-    cells = cells or int(min(MOST_CELLS, max(4, round(math.sqrt(n / 64)))))
+    cells = cells or int(min(MOST_CELLS, max(4, round(math.sqrt(n / 4)))))
     cut = dims // 2
-    return Index(dims, (k_means(x[:, :cut], cells), k_means(x[:, cut:], cells)))
+    index = Index(dims, (k_means(x[:, :cut], cells), k_means(x[:, cut:], cells)))
+    index.share = _share(index, np.unique(x, axis=0), recall, k)
+    return index
+
+
+def _share(index: Index, x: np.ndarray, recall: float, k: int, queries: int = 256) -> float:
+    """The share of ``x`` that holds ``recall`` of the nearest, in order of the summed distances."""
+    if len(x) <= k + 1:
+        return 1.0
+    a, b = (d.argmin(1) for d in index.distances(x))
+    places = []
+    for i in range(0, len(x), max(1, len(x) // queries)):
+        exact = squared(x[i:i + 1], x)[0]
+        exact[i] = np.inf
+        first, second = (d[0] for d in index.distances(x[i:i + 1]))
+        rank = np.empty(len(x), np.int64)
+        rank[np.argsort(first[a] + second[b], kind="stable")] = np.arange(len(x))
+        places.append(rank[np.argpartition(exact, k)[:k]])
+    return float((np.quantile(np.concatenate(places), recall) + 1) / len(x))
 
 
 def assign(vectors: DataFrame, index, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -135,39 +158,43 @@ def search(vectors: DataFrame, queries: DataFrame, index: Index | None, k: int =
     n[sizes["pair"].to_numpy()] = sizes["n"].to_numpy()
     weight[sizes["pair"].to_numpy()] = sizes["distinct"].to_numpy()
     if candidates is None:
-        candidates = int(max(1000, 40 * math.sqrt(n.sum())))
-    slices = np.maximum(1, -(-n // slice_rows)).astype(np.int32)
+        candidates = max(1000, math.ceil(index.share * weight.sum()))
+    # Rows of a first centroid: a slice for each slice_rows.
+    slices = np.maximum(1, -(-n.reshape(index.cells, -1).sum(1) // slice_rows)).astype(np.int32)
     shared = sc.broadcast((index, weight, slices, candidates))
 
     asked = distinct_queries(select(queries, key, vector))
     both = (entries.withColumn("task", F.spark_partition_id()).mapInArrow(_deal(shared), ROWS)
             .unionByName(asked.mapInArrow(_visit(shared), ROWS)))
-    found = (both.repartition("pair", "slice").sortWithinPartitions("pair", "slice", "asks")
+    found = (both.repartition("first", "slice").sortWithinPartitions("first", "slice", "asks")
              .mapInArrow(_rerank(index.dims, k), FOUND))
     return ranked(found, k, nearest=True)
 
 
-def _rows(pair, slice_, asks: int, ids, x) -> pa.RecordBatch:
+def _rows(first, slice_, asks: int, ids, x, second) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(pair, pa.int32()), pa.array(slice_, pa.int32()),
-         pa.array(np.full(len(ids), asks), pa.int32()), pa.array(ids, pa.int64()), _lists(x)],
-        names=["pair", "slice", "asks", "id", "vec"])
+        [pa.array(first, pa.int32()), pa.array(slice_, pa.int32()),
+         pa.array(np.full(len(ids), asks), pa.int32()), pa.array(ids, pa.int64()), _lists(x),
+         pa.array(second, pa.list_(pa.int32()))],
+        names=["first", "slice", "asks", "id", "vec", "second"])
 
 
 def _deal(shared):
-    """Entries in turn over the slices of their pair."""
+    """Entries in turn over the slices of their first centroid."""
 
     def run(batches):
-        slices, at = shared.value[2], None
+        index, _, slices, _ = shared.value
+        at = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             at = batch["task"][0].as_py() if at is None else at
-            pair = batch["pair"].to_numpy()
+            first, second = np.divmod(batch["pair"].to_numpy(), len(index.halves[1]))
             ids = batch["id"].to_numpy()
             x = batch["vec"].flatten().to_numpy().reshape(len(ids), -1)
-            yield _rows(pair, (np.arange(len(pair)) + at) % slices[pair], 0, ids, x)
-            at += len(pair)
+            yield _rows(first, (np.arange(len(first)) + at) % slices[first], 0, ids, x,
+                        second.reshape(-1, 1).tolist())
+            at += len(first)
 
     return run
 
@@ -192,52 +219,55 @@ def nearest_pairs(first: np.ndarray, second: np.ndarray, weight: np.ndarray, eno
 
 
 def _visit(shared):
-    """A row for each slice of each pair that a query goes through."""
+    """A row for each slice of each first centroid that a query goes to, with the second ones."""
 
     def run(batches):
         index, weight, slices, enough = shared.value
         for batch in batches:
             ids, x = matrix(batch["id"], batch["vec"], index.dims, zeros=False)
             first, second = index.distances(x)
-            for lo in range(0, len(ids), 16):
-                pairs, numbers, who = [], [], []
-                for i in range(lo, min(lo + 16, len(ids))):
-                    for pair in nearest_pairs(first[i], second[i], weight, enough):
-                        n = int(slices[pair])
-                        pairs += [pair] * n
-                        numbers += range(n)
-                        who += [i] * n
-                yield _rows(np.array(pairs, np.int32), np.array(numbers, np.int32), 1,
-                            ids[who], x[who])
+            for i in range(len(ids)):
+                pairs = np.sort(nearest_pairs(first[i], second[i], weight, enough))
+                a, b = np.divmod(pairs, len(index.halves[1]))
+                cuts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else a
+                units, numbers, asked = [], [], []
+                for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(a)]):
+                    n, wanted = int(slices[a[lo]]), b[lo:hi].tolist()
+                    units += [int(a[lo])] * n
+                    numbers += range(n)
+                    asked += [wanted] * n
+                who = [i] * len(units)
+                yield _rows(np.array(units, np.int32), np.array(numbers, np.int32), 1, ids[who], x[who],
+                            asked)
 
     return run
 
 
 def _rerank(dims: int, k: int):
-    """Sorted by pair, slice and asks: a slice's entries come first, then who visits it."""
+    """Sorted by first, slice and asks: a slice's entries come first, then who visits it."""
 
     def run(batches):
         best, number = Best(0, k, np.float64), {}
-        here, entry_ids, entries = None, [], []
+        here, held = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            pair, part, asks = (batch[c].to_numpy() for c in ("pair", "slice", "asks"))
+            first, part, asks = (batch[c].to_numpy() for c in ("first", "slice", "asks"))
             ids = batch["id"].to_numpy()
             x = batch["vec"].flatten().to_numpy().reshape(len(ids), dims)
-            cuts = np.flatnonzero((np.diff(pair) != 0) | (np.diff(part) != 0) | (np.diff(asks) != 0)) + 1
+            second = batch["second"]
+            cuts = np.flatnonzero((np.diff(first) != 0) | (np.diff(part) != 0) | (np.diff(asks) != 0)) + 1
             for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]):
-                if here != (pair[lo], part[lo]):
-                    here, entry_ids, entries = (pair[lo], part[lo]), [], []
+                if here != (first[lo], part[lo]):
+                    here, held = (first[lo], part[lo]), []
                 if not asks[lo]:
-                    entry_ids.append(ids[lo:hi])
-                    entries.append(x[lo:hi])
-                elif entries:
-                    if len(entries) > 1:
-                        entry_ids, entries = [np.concatenate(entry_ids)], [np.concatenate(entries)]
-                    for at in range(lo, hi, 512):
-                        _compare(best, number, ids[at:min(at + 512, hi)], x[at:min(at + 512, hi)],
-                                 entry_ids[0], entries[0])
+                    held.append((ids[lo:hi], x[lo:hi], second.slice(lo, hi - lo).flatten().to_numpy()))
+                elif held:
+                    if len(held) > 1:
+                        held = [tuple(np.concatenate(c) for c in zip(*held))]
+                    for at in range(lo, hi, 256):
+                        end = min(at + 256, hi)
+                        _compare(best, number, ids[at:end], x[at:end], second.slice(at, end - at), *held[0])
         names = np.array(list(number), np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(names[best.query]), pa.array(best.id), pa.array(-best.score)],
@@ -246,13 +276,16 @@ def _rerank(dims: int, k: int):
     return run
 
 
-def _compare(best: Best, number: dict, query_ids, q, ids, x) -> None:
-    """Adds to ``best`` (of negative distances) what these queries find among these rows."""
+def _compare(best: Best, number: dict, query_ids, q, asked, ids, x, second) -> None:
+    """Adds to ``best`` (of negative distances) what these queries find among the rows whose second
+    centroid they ask for."""
     who = np.array([number.setdefault(i, len(number)) for i in query_ids.tolist()])
     if len(number) > len(best.least):
         best.least = np.append(best.least, np.full(len(number) - len(best.least), -np.inf))
     d = squared(q, x)
-    d[query_ids[:, None] == ids[None, :]] = np.inf
+    wanted = np.zeros((len(q), max(int(second.max()), int(asked.flatten().to_numpy().max())) + 1), bool)
+    wanted[np.repeat(np.arange(len(q)), np.diff(asked.offsets.to_numpy())), asked.flatten().to_numpy()] = True
+    d[~wanted[:, second] | (query_ids[:, None] == ids[None, :])] = np.inf
     # The k nearest by the rounded distances, and all that rounding may hide among them.
     slack = 1e-9 * ((q * q).sum(1) + (x * x).sum(1).max())
     limit = np.partition(d, best.k - 1, axis=1)[:, best.k - 1] if d.shape[1] > best.k else np.inf
