@@ -84,7 +84,7 @@ class Model:
     thresholds: dict = field(default_factory=dict)  # by language; None: overall
 
     @classmethod
-    def new(cls, d: int = 8, f: int = 6, seed: int = 1) -> "Model":
+    def new(cls, d: int = 8, f: int = 16, seed: int = 1) -> "Model":
         rng = np.random.default_rng(seed)
         table = lambda: rng.normal(0, 0.1, (BUCKETS + 1, d)).astype(np.float32)
         m = cls(table(), table(), [rng.normal(0, 0.5, (w, d, f)).astype(np.float32) for w in WIDTHS],
@@ -139,7 +139,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 32, rate: float = 0.15,
+def fit(texts: list[str], labels: np.ndarray, epochs: int = 16, batch: int = 32, rate: float = 0.15,
         seed: int = 2) -> Model:
     """Adagrad on the logistic loss, both labels weighing the same in all."""
     m = Model.new()
