@@ -1,9 +1,9 @@
 import re
 
-import duckdb
 import pytest
 
 import corpus_pipeline
+from compare import compare, duck
 from test_jaccard import brute as components
 from test_suffix import brute as cuts
 from warbler.llm import queries
@@ -83,12 +83,5 @@ def test_registered():
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracle(spark, name):
-    got = queries.QUERIES[name](spark, SMALL).toPandas()
-    con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations", "labels"):
-        con.sql(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
-    want = con.sql(queries.ORACLE_SQL[name]).df()
-    columns = sorted(want.columns)
-    assert sorted(got.columns) == columns
-    rows = [sorted(map(str, x[columns].itertuples(index=False, name=None))) for x in (got, want)]
-    assert rows[0] == rows[1]
+    ok, message = compare(queries.QUERIES[name](spark, SMALL), duck(SMALL), queries.ORACLE_SQL[name])
+    assert ok, message

@@ -232,3 +232,23 @@ def numbered(turns: DataFrame) -> DataFrame:
     return (turns.withColumn("tie", F.xxhash64("role", "text"))
             .repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("message", F.monotonically_increasing_id()))
+
+
+_ESCAPES = " + ".join(f"(length({{0}}) - length(replace({{0}}, '{c}', ''))) // {len(c)}"
+                      for c in ("\\", "<|", "<s>", "</s>", "[INST]", "[/INST]"))
+
+#: The same without a template but for its length: what it puts around a turn, and its escapes.
+OP7_SQL = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn)) AS loss_sha256,
+       CAST(sum({len(START) + len(END) + 2} + length(role) + length(text) + {_ESCAPES.format("role")}
+                + {_ESCAPES.format("text")} + length(role) - length(replace(role, chr(10), ''))) AS BIGINT)
+         AS formatted_chars
+FROM t GROUP BY conv_id
+"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from warbler.llm.binary import op10_token_files
-from warbler.llm.chat import op7_chat
+from warbler.llm.chat import OP7_SQL, op7_chat
 from warbler.llm.exact import OP8_SQL, op8_exact_search
 from warbler.llm.jaccard import op3_jaccard_join
 from warbler.llm.mixing import op2_mixing
@@ -11,7 +11,7 @@ from warbler.llm.multi_index import op1_multi_index
 from warbler.llm.packing import op9_packing
 from warbler.llm.suffix import op4_suffix_dedup
 from warbler.llm.toxicity import op6_toxicity
-from warbler.llm.warc import op5_warc
+from warbler.llm.warc import OP5_SQL, op5_warc
 
 QUERIES = {
     "op1_multi_index": op1_multi_index,
@@ -27,4 +27,8 @@ QUERIES = {
 }
 
 #: DuckDB SQL by query.
-ORACLE_SQL: dict[str, str] = {"op8_exact_search": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": OP5_SQL,
+    "op7_chat": OP7_SQL,
+    "op8_exact_search": OP8_SQL,
+}

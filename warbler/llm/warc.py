@@ -233,3 +233,17 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``pages`` written to archives and read back from them."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return read_archives(spark, write_archives(pages))
+
+
+#: The same without archives.
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+k AS (
+  SELECT html, max(page_id) AS kept, count(*) AS n FROM p WHERE strlen(html) >= 1000
+  GROUP BY html HAVING count(*) > 1)
+SELECT page_id, strlen(p.html) AS payload_bytes, sha1(p.html) AS payload_digest,
+       CASE WHEN kept IS NULL OR kept IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END
+         AS record_type,
+       CASE WHEN kept IS DISTINCT FROM page_id THEN kept END AS refers_to
+FROM p LEFT JOIN k ON k.html = p.html
+"""
