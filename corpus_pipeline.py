@@ -39,15 +39,19 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    items = mixing.mix(docs).select(F.col("id").alias("_id"), F.col("size").alias("_item_size"),
-                                    F.col("source").alias("_source"), "sure", "more")
+    items = table(mixing.mix(docs).select(
+        F.col("id").alias("_id"), F.col("size").alias("_item_size"), F.col("source").alias("_source"),
+        F.col("rows").alias("_rows"), F.col("sure").alias("_sure"), F.col("more").alias("_more")), "mix-taken")
     rows = docs.withColumn("_size", mixing.words("text"))
     on = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_item_size"))
           & F.col("source").eqNullSafe(F.col("_source")))
+    joined = rows.join(items.filter("_sure + _more > 0"), on)
+    # Repeated rows are told apart by their number; only they are brought together again.
     nth = F.row_number().over(Window.partitionBy("_id", "_item_size", "_source").orderBy("_size"))
-    copies = F.col("sure") + (F.col("_nth") <= F.col("more")).cast("long")
-    return (rows.join(items, on).withColumn("_nth", nth).withColumn("_copies", copies)
-            .filter("_copies > 0")
+    numbered = (joined.filter("_rows = 1").withColumn("_nth", F.lit(1))
+                .unionByName(joined.filter("_rows > 1").withColumn("_nth", nth)))
+    copies = F.col("_sure") + (F.col("_nth") <= F.col("_more")).cast("long")
+    return (numbered.withColumn("_copies", copies).filter("_copies > 0")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
             .select(*docs.columns))
 

@@ -8,20 +8,25 @@ when ``den`` · |intersection| ≥ ``num`` · |union|.
    of fixed size over all documents; any order is right, a good one keeps common shingles out of the
    prefixes. Two sets can only link if they share one of their first n − ⌈t·n⌉ + 1 shingles.
 3. Classes with the same prefix and size are one group. An inverted index holds a row per group and
-   prefix shingle: (shingle, place, size). All its rows of one shingle, place and size are of one
-   kind; pairs of kinds are tested first, by size and by the overlap that their places still allow,
-   so a common shingle costs kinds², not rows².
-4. Linking goes in rounds. In the first two, each group that may link with the first (then the last)
-   group of one of its shingles is compared with that one only, and each class with one of its group.
-   That joins large groups of near copies by as many comparisons as they have members. The last
-   round compares every pair of classes that any of the kept pairs of kinds names, unless they are
-   already in one component. So no link between components is lost, and none within one is needed.
-5. Components: every class takes its smallest neighbour as parent, parents are followed, edges are
+   prefix shingle that another group has too: (shingle, place, size). All its rows of one shingle,
+   place and size are of one kind; pairs of kinds are tested first, by size and by the overlap that
+   their places still allow, so a common shingle costs kinds², not rows².
+4. Linking goes in rounds. In the first, each group that may link with the first group of one of its
+   shingles is compared with one such group, and each class with one of its own group; the second
+   takes the last group of each shingle in the same way. That joins large groups of near copies by as
+   many comparisons as they have members. The last round compares every pair of classes that any of
+   the kept pairs of kinds names, unless they are already in one component. So no link between
+   components is lost, and none within one is needed.
+5. Verification: the sets of the classes in a round's pairs are built again from their texts. Each
+   pair (a, b) goes to b's place, where b's set is held while those of its partners stream by; a b
+   with many partners has several places.
+6. Components: every class takes its smallest neighbour as parent, parents are followed, edges are
    contracted, until none is left.
 
-Only the sets of classes that may link are built again, from their texts, to verify pairs by exact
-intersection. Rounds are cut by tables in the shared folder. No pairs, components or fingerprints
-come to the driver; the sketch (1 MB) is the only thing sent to all tasks.
+Rounds are cut by tables in the shared folder. No pairs, components or fingerprints come to the
+driver. What is sent to all tasks has a fixed size: the sketch (16 MB), and a bit table (1 MB) of the
+documents that a round asks for, which only spares texts a shuffle (a bit met by chance is corrected
+by the join that follows).
 
 Defined results. Null text, or text without words: no shingles, linked with nothing. Fewer words
 than ``words``: the whole sequence is the one shingle. Null ids: rows like others, never the smallest
@@ -39,13 +44,14 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from warbler.llm.store import table
 
-SKETCH_BITS = 20
-SKETCH_BLOCK = 4096
-REMEMBERED = 1_000_000
+SKETCH_BITS = 24
+SKETCH_BLOCK = 1 << 16
+REMEMBERED = 200_000
 _WORDS: dict[bytes, int] = {}
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 ROWS = "id long, mark long, n long, class binary, group binary, prefix array<long>"
+PARTNERS = 2000
 NONE = -(1 << 63)
 
 
@@ -87,34 +93,51 @@ def prefix_size(n: int, num: int, den: int) -> int:
 
 
 def sketch(docs: DataFrame, words: int) -> np.ndarray:
-    """Logarithms of how many documents have a shingle, by the shingle's first bits: 2**20 bytes."""
+    """Four times the logarithm of how many documents have a shingle, by the shingle's first bits:
+    2**24 bytes. A task counts in 16 bits and sends its counts before they could overflow."""
 
-    def count(batches):
-        n = np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
-            for text in batch["text"].to_pylist():
-                h = shingles(text, words) >> np.uint64(64 - SKETCH_BITS)
-                np.add.at(n, h.astype(np.int64), 1)
+    def parts_of(n):
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1)
         parts = n.reshape(-1, SKETCH_BLOCK)
         used = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)),
-             pa.array([parts[i].astype("<i8").tobytes() for i in used], pa.binary())],
+             pa.array([press.compress(parts[i].tobytes()) for i in used], pa.binary())],
             names=["part", "counts"])
 
+    def count(batches):
+        n, docs_seen = np.zeros(1 << SKETCH_BITS, np.uint16), 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                for text in batch["text"].slice(lo, 500).to_pylist():
+                    h = shingles(text, words) >> np.uint64(64 - SKETCH_BITS)
+                    n[h.astype(np.int64)] += np.uint16(1)  # shingles of one text that meet count once
+                    docs_seen += 1
+                    if docs_seen == 65_000:
+                        yield parts_of(n)
+                        n[:], docs_seen = 0, 0
+        yield parts_of(n)
+
     def add(batches):
-        total: dict[int, np.ndarray] = {}
+        import zstandard
+
+        unpress, total = zstandard.ZstdDecompressor(), {}
         for batch in batches:
             for part, counts in zip(batch["part"].to_pylist(), batch["counts"].to_pylist()):
-                total[part] = total.get(part, 0) + np.frombuffer(counts, "<i8")
+                own = np.frombuffer(unpress.decompress(counts), np.uint16)
+                if part not in total:
+                    total[part] = np.zeros(SKETCH_BLOCK, np.int64)
+                total[part] += own
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.int32()),
-             pa.array([np.log2(1 + v).astype(np.uint8).tobytes() for v in total.values()],
+             pa.array([(4 * np.log2(1 + v)).astype(np.uint8).tobytes() for v in total.values()],
                       pa.binary())], names=["part", "counts"])
 
     counted = docs.mapInArrow(count, "part int, counts binary")
-    got = counted.repartition("part").mapInArrow(add, "part int, counts binary").toArrow()
-    levels = np.zeros((1 << SKETCH_BITS) // SKETCH_BLOCK * SKETCH_BLOCK, np.uint8)
+    got = counted.repartition(64, "part").mapInArrow(add, "part int, counts binary").toArrow()
+    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for part, counts in zip(got["part"].to_pylist(), got["counts"].to_pylist()):
         levels[part * SKETCH_BLOCK:(part + 1) * SKETCH_BLOCK] = np.frombuffer(counts, np.uint8)
     return levels
@@ -125,9 +148,9 @@ def _signatures(levels, words: int, num: int, den: int):
         level = levels.value
         for batch in batches:
             ids = batch["id"]
-            for lo in range(0, batch.num_rows, 1000):
+            for lo in range(0, batch.num_rows, 500):
                 n, classes, groups, prefixes = [], [], [], []
-                for text in batch["text"].slice(lo, 1000).to_pylist():
+                for text in batch["text"].slice(lo, 500).to_pylist():
                     h = shingles(text, words)
                     n.append(len(h))
                     if not len(h):
@@ -137,49 +160,104 @@ def _signatures(levels, words: int, num: int, den: int):
                         continue
                     size = prefix_size(len(h), num, den)
                     rare = (level[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                            .astype(np.uint64) << np.uint64(58)) | (h >> np.uint64(6))
+                            .astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
                     p = h[np.argsort(rare, kind="stable")[:size]].view(np.int64)
                     classes.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest())
                     groups.append(hashlib.blake2b(p.tobytes() + len(h).to_bytes(8, "little"),
                                                   digest_size=16).digest())
                     prefixes.append(p)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, 1000), batch["mark"].slice(lo, 1000), pa.array(n, pa.int64()), pa.array(classes, pa.binary()),
+                    [ids.slice(lo, 500), batch["mark"].slice(lo, 500), pa.array(n, pa.int64()), pa.array(classes, pa.binary()),
                      pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
                     names=["id", "mark", "n", "class", "group", "prefix"])
 
     return run
 
 
-def _sets(words: int):
-    """Sets of documents whose class is asked for."""
+def _bits(marks: np.ndarray) -> np.ndarray:
+    """The bit of each text in a table of 2**23."""
+    return (marks.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(41)
+
+
+def asked_for(asks: DataFrame) -> np.ndarray:
+    """A table of 2**23 bits with those of all ``mark`` set."""
+
+    def gather(batches):
+        table_ = np.zeros(1 << 23, bool)
+        for batch in batches:
+            table_[_bits(batch["mark"].to_numpy())] = True
+        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(table_).tobytes()], pa.binary())],
+                                         names=["bits"])
+
+    def either(batches):
+        total = np.zeros(1 << 20, np.uint8)
+        for batch in batches:
+            for bits in batch["bits"]:
+                total |= np.frombuffer(bits.as_buffer(), np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["bits"])
+
+    # Tables of a fixed size, a hundred at most in the last step.
+    parts = asks.select("mark").mapInArrow(gather, "bits binary").coalesce(100)
+    got = parts.mapInArrow(either, "bits binary").toArrow()
+    total = np.zeros(1 << 20, np.uint8)
+    for bits in got["bits"].to_pylist():
+        total |= np.frombuffer(bits, np.uint8)
+    return total
+
+
+def _only(bits):
+    """Rows whose text's bit is set."""
 
     def run(batches):
+        table_ = np.unpackbits(bits.value).astype(bool)
         for batch in batches:
-            out = []
-            for text, want in zip(batch["text"].to_pylist(), batch["class"].to_pylist()):
-                h = shingles(text, words).tobytes()
-                if hashlib.blake2b(h, digest_size=16).digest() == want:
-                    out.append((want, h))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())],
-                names=["class", "set"])
+            yield batch.filter(pa.array(table_[_bits(batch["mark"].to_numpy())]))
+
+    return run
+
+
+def _build(words: int):
+    """(place, salt, is_head, node, set) for each ask of a text. Asks of one text come together."""
+
+    def run(batches):
+        last, own = None, b""
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part, sets = batch.slice(lo, 500), []
+                for mark, text in zip(part["mark"].to_pylist(), part["text"].to_pylist()):
+                    if (mark, text) != last:
+                        last, own = (mark, text), shingles(text, words).tobytes()
+                    sets.append(own)
+                yield pa.RecordBatch.from_arrays(
+                    [part["place"], part["salt"], part["is_head"], part["node"],
+                     pa.array(sets, pa.binary())], names=["place", "salt", "is_head", "node", "set"])
 
     return run
 
 
 def _verify(num: int, den: int):
+    """Sorted by place and salt, the head's set first."""
+
     def run(batches):
+        head, own = None, None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch["set_a"], batch["set_b"]):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(den * common >= num * (len(both) - common))
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(
-                pa.array(keep, pa.bool_()))
+            a, b = [], []
+            for place, salt, is_head, node, raw in zip(
+                    *(batch[c].to_pylist() for c in ("place", "salt", "is_head", "node")), batch["set"]):
+                own_set = np.frombuffer(raw.as_buffer(), np.uint64)
+                if is_head:  # a copy: the batch goes
+                    head, own = (place, salt), own_set.copy()
+                elif head == (place, salt):
+                    both = np.concatenate([own, own_set])
+                    both.sort()
+                    common = int((both[1:] == both[:-1]).sum())
+                    if den * common >= num * (len(both) - common):
+                        a.append(node)
+                        b.append(place)
+                else:
+                    raise AssertionError("a pair without its head")
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                                             names=["a", "b"])
 
     return run
 
@@ -201,22 +279,21 @@ class _Join:
         levels = spark.sparkContext.broadcast(sketch(docs, words))
         self.docs = docs
         self.rows = table(docs.mapInArrow(_signatures(levels, words, num, den), ROWS), "jaccard-rows")
-        # Rows of a class agree in all but the id.
+        some = self.rows.filter("n > 0")
+        # Rows of a class agree in all but id and mark, and rows of a group in prefix and n.
+        groups = table(some.groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+                       .withColumn("gid", F.monotonically_increasing_id()), "jaccard-groups")
+        classes = some.groupBy("class").agg(
+            F.min("id").alias("low"), F.min(F.struct("id", "mark")).alias("one"), F.first("group").alias("group"))
         self.classes = table(
-            self.rows.filter("n > 0").groupBy("class")
-            .agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("group").alias("group"),
-                 F.first("prefix").alias("prefix")), "jaccard-classes")
-        groups = self.classes.groupBy("group").agg(
-            F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("class").alias("least"),
-            F.max("class").alias("last"), F.count(F.lit(1)).alias("members"))
-        index = groups.select("group", "n", "least", "last", "members",
+            classes.join(groups.select("group", "gid"), "group")
+            .select("class", "low", "one.id", "one.mark", "gid").withColumn(
+                "node", F.monotonically_increasing_id()), "jaccard-classes")
+        every = groups.select("gid", F.col("n").cast("int").alias("n"),
                               F.posexplode("prefix").alias("place", "shingle"))
-        # Places of groups of one class whose shingle no other group has can't link.
-        kinds = index.groupBy("shingle", "place", "n").agg(F.count(F.lit(1)).alias("of"))
-        kinds = table(kinds, "jaccard-kinds")
-        several = (kinds.groupBy("shingle").agg(F.sum("of").alias("of")).filter("of > 1")
-                   .select("shingle"))
-        kinds = table(kinds.join(several, "shingle"), "jaccard-kinds-shared")
+        of = F.count(F.lit(1)).over(Window.partitionBy("shingle"))
+        self.index = table(every.withColumn("of", of).filter("of > 1").drop("of"), "jaccard-index")
+        kinds = self.index.groupBy("shingle", "place", "n").agg(F.count(F.lit(1)).alias("of"))
         a, b = kinds.alias("a"), kinds.alias("b")
         self.pairs = table(
             a.join(b, (F.col("a.shingle") == F.col("b.shingle"))
@@ -226,78 +303,76 @@ class _Join:
                       | (F.col("a.of") > 1)))
             .select("a.shingle", F.col("a.n").alias("na"), F.col("a.place").alias("pa"),
                     F.col("b.n").alias("nb"), F.col("b.place").alias("pb")), "jaccard-kind-pairs")
-        used = (self.pairs.select("shingle", F.col("na").alias("n"), F.col("pa").alias("place"))
-                .union(self.pairs.select("shingle", "nb", "pb")).distinct())
-        self.index = table(index.join(used, ["shingle", "n", "place"]), "jaccard-index")
-        wanted = (self.index.select("group").union(groups.filter("members > 1").select("group"))
-                  .distinct())
-        self.members = table(self.classes.join(wanted, "group").select("group", "class", "low"),
-                             "jaccard-members")
-        said = self.docs.select(F.coalesce("id", F.lit(NONE)).alias("id"), "text")
-        asked = self.members.select(F.coalesce("low", F.lit(NONE)).alias("id"), "class")
-        self.sets = table(
-            said.join(asked, "id").mapInArrow(_sets(words), "class binary, set binary")
-            .groupBy("class").agg(F.first("set").alias("set")), "jaccard-sets")
-
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones of (a, b)."""
-        x = self.sets.select(F.col("class").alias("a"), F.col("set").alias("set_a"))
-        y = self.sets.select(F.col("class").alias("b"), F.col("set").alias("set_b"))
-        return (pairs.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b")
-                .mapInArrow(_verify(self.num, self.den), "a binary, b binary"))
-
-    def near_one(self, pick: str, labels: DataFrame | None) -> DataFrame:
-        """Pairs of a class with the picked class of its group, and of the group's picked class with
-        that of the first or last group of a shingle, that are not in one component yet."""
-        own = self.index.select("shingle", "n", "place", F.col(pick).alias("a"))
-        best = F.min if pick == "least" else F.max
-        one = own.groupBy("shingle").agg(best(F.struct("a", "n", "place")).alias("one"))
-        # A row per group of a shingle: its size follows the index, not the pairs.
-        across = (own.alias("x").join(one.select("shingle", "one.*").alias("y"),
-                                      F.col("x.shingle") == F.col("y.shingle"))
-                  .filter((F.col("x.a") != F.col("y.a"))
-                          & _may_link(self.num, self.den, "x", "y"))
-                  .select(F.col("x.a").alias("a"), F.col("y.a").alias("b")))
-        heads = self.members.groupBy("group").agg(
-            (F.min if pick == "least" else F.max)("class").alias("b"))
-        inside = (self.members.join(heads, "group").filter("class != b")
-                  .select(F.col("class").alias("a"), "b"))
-        return self.apart(across.union(inside), labels)
+        self.members = self.classes.select("gid", "node")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of classes that link."""
+        pairs = table(pairs, "jaccard-pairs")
+        heads = (pairs.groupBy(F.col("b").alias("place"))
+                 .agg((F.ceil(F.count(F.lit(1)) / PARTNERS)).cast("int").alias("salts")))
+        partners = (pairs.join(heads, F.col("b") == F.col("place"))
+                    .select("place", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"),
+                            F.lit(False).alias("is_head"), F.col("a").alias("node")))
+        each = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+        asks = partners.union(heads.select("place", each.alias("salt"), F.lit(True).alias("is_head"),
+                                           F.col("place").alias("node")))
+        asks = table(asks.join(self.classes.select("node", F.coalesce("id", F.lit(NONE)).alias("id"), "mark"),
+                               "node"), "jaccard-asks")
+        bits = self.docs.sparkSession.sparkContext.broadcast(asked_for(asks))
+        # Equal rows of one id are read once.
+        texts = (self.docs.filter("mark is not null").mapInArrow(_only(bits), self.docs.schema)
+                 .select(F.coalesce("id", F.lit(NONE)).alias("id"), "mark", "text"))
+        sets = (texts.join(asks, ["id", "mark"]).select("mark", "text", "place", "salt", "is_head", "node")
+                .mapInArrow(_build(self.words), "place long, salt int, is_head boolean, node long, set binary"))
+        return table(sets.repartition("place", "salt")
+                     .sortWithinPartitions("place", "salt", F.desc("is_head"))
+                     .mapInArrow(_verify(self.num, self.den), "a long, b long").distinct(), "jaccard-links")
+
+    def near_one(self, best, labels: DataFrame | None) -> DataFrame:
+        """For each group one that may link with it among the first (last) groups of its shingles, as
+        pairs of their first (last) classes; and each class with that of its group. Pairs that are in
+        one component already are left out."""
+        one = self.index.groupBy("shingle").agg(best(F.struct("gid", "n", "place")).alias("one"))
+        across = (self.index.alias("x").join(one.select("shingle", "one.*").alias("y"),
+                                             F.col("x.shingle") == F.col("y.shingle"))
+                  .filter((F.col("x.gid") != F.col("y.gid")) & _may_link(self.num, self.den, "x", "y"))
+                  .groupBy(F.col("x.gid").alias("x")).agg(best("y.gid").alias("y")))
+        heads = self.members.groupBy("gid").agg(best("node").alias("head"))
+        across = (across.join(heads.select(F.col("gid").alias("x"), F.col("head").alias("a")), "x")
+                  .join(heads.select(F.col("gid").alias("y"), F.col("head").alias("b")), "y").select("a", "b"))
+        inside = (self.members.join(heads, "gid").filter("node != head")
+                  .select(F.col("node").alias("a"), F.col("head").alias("b")))
+        pairs = across.union(inside)
+        if labels is None:
+            return pairs
+        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        return (pairs.join(la, "a", "left").join(lb, "b", "left")
+                .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
 
     def all_left(self, labels: DataFrame) -> DataFrame:
         """All pairs that may link and are not in one component."""
-        marked = (self.members.join(labels.withColumnRenamed("node", "class"), "class", "left")
-                  .select("group", "class", F.coalesce("label", "class").alias("label")))
-        kinds = self.index.select("shingle", "n", "place", "group")
-        entries = kinds.join(marked, "group")
+        marked = table(self.members.join(labels, "node", "left")
+                       .select("gid", "node", F.coalesce("label", "node").alias("label")), "jaccard-labels")
+        used = (self.pairs.select("shingle", F.col("na").alias("n"), F.col("pa").alias("place"))
+                .union(self.pairs.select("shingle", "nb", "pb")).distinct())
+        entries = table(self.index.join(used, ["shingle", "n", "place"]).join(marked, "gid")
+                        .select("shingle", "n", "place", "node", "label"), "jaccard-entries")
         mixed = (entries.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .filter("lo != hi").select("shingle"))
-        entries = table(entries.join(mixed, "shingle").select(
-            "shingle", "n", "place", "class", "label"), "jaccard-entries")
+        entries = table(entries.join(mixed, "shingle"), "jaccard-entries-mixed")
         x = entries.select("shingle", F.col("n").alias("na"), F.col("place").alias("pa"),
-                           F.col("class").alias("a"), F.col("label").alias("la"))
+                           F.col("node").alias("a"), F.col("label").alias("la"))
         y = entries.select("shingle", F.col("n").alias("nb"), F.col("place").alias("pb"),
-                           F.col("class").alias("b"), F.col("label").alias("lb"))
+                           F.col("node").alias("b"), F.col("label").alias("lb"))
         across = (self.pairs.join(x, ["shingle", "na", "pa"]).join(y, ["shingle", "nb", "pb"])
                   .filter("la != lb").select("a", "b"))
-        m = marked.alias("m")
-        o = marked.alias("o")
-        inside = (m.join(o, (F.col("m.group") == F.col("o.group"))
-                         & (F.col("m.label") < F.col("o.label")))
-                  .select(F.col("m.class").alias("a"), F.col("o.class").alias("b")))
+        m, o = marked.alias("m"), marked.alias("o")
+        inside = (m.join(o, (F.col("m.gid") == F.col("o.gid")) & (F.col("m.label") < F.col("o.label")))
+                  .select(F.col("m.node").alias("a"), F.col("o.node").alias("b")))
         return (across.union(inside).select(F.least("a", "b").alias("a"),
                                             F.greatest("a", "b").alias("b")).distinct())
 
-    @staticmethod
-    def apart(pairs: DataFrame, labels: DataFrame | None) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if labels is None:
-            return pairs
-        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        return (pairs.join(la, "a", "left").join(lb, "b", "left")
-                .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
-
 
 def connected(edges: DataFrame) -> DataFrame:
     """``node, label``: the components of (a, b), each named by one of its nodes. Every round each
@@ -337,19 +412,16 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                        F.xxhash64(F.col(text)).alias("mark"))
     join = _Join(rows, words, num, den)
-    edges = table(join.verified(join.near_one("least", None)), "jaccard-links")
+    edges = join.linked(join.near_one(F.min, None))
     labels = connected(edges)
-    more = table(join.verified(join.near_one("last", labels)), "jaccard-links")
-    edges = edges.union(more)
+    edges = edges.union(join.linked(join.near_one(F.max, labels)))
     labels = connected(edges)
-    last = table(join.verified(join.all_left(labels)), "jaccard-links")
-    labels = connected(edges.union(last))
-    named = (join.classes.select("class", "low")
-             .join(labels.withColumnRenamed("node", "class"), "class", "left")
-             .withColumn("label", F.coalesce("label", "class")))
+    labels = connected(edges.union(join.linked(join.all_left(labels))))
+    named = (join.classes.select("class", "low", "node").join(labels, "node", "left")
+             .withColumn("label", F.coalesce("label", "node")))
     least = named.groupBy("label").agg(F.min("low").alias("component"))
     of_class = named.join(least, "label").select("class", "component")
-    return (join.rows.select("id", "n", "class").join(of_class, "class", "left")
+    return (join.rows.select("id", "mark", "n", "class").join(of_class, "class", "left")
             .select("id", "mark", F.col("n").alias("n_shingles"),
                     F.coalesce("component", "id").alias("component")))
 
@@ -363,13 +435,20 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     first = F.min(F.struct("no_id", "id", "mark")).alias("first")
     named = grouped.filter("component is not null").groupBy("component").agg(first)
     nameless = grouped.filter("component is null").select(F.struct("no_id", "id", "mark").alias("first"))
+    times = found.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("_rows"))
     kept = (named.select("first.*").union(nameless.select("first.*"))
-            .select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.lit(True).alias("_one"))
+            .select("id", "mark", F.lit(True).alias("_one"))
             .union(found.filter("n_shingles = 0").select("id", "mark", F.lit(False))).distinct())
+    kept = (kept.alias("k").join(times.alias("t"), F.col("k.id").eqNullSafe(F.col("t.id"))
+                                 & F.col("k.mark").eqNullSafe(F.col("t.mark")))
+            .select(F.col("k.id").alias("_id"), F.col("k.mark").alias("_mark"), "_one", "_rows"))
     on = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_mark"))
+    joined = docs.join(table(kept, "jaccard-kept"), on)
+    # Equal rows of one id: only they are brought together again.
+    again = F.col("_one") & (F.col("_rows") > 1)
     rank = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy("_one"))
-    return (docs.join(kept, on).withColumn("_rank", rank).filter(~F.col("_one") | (F.col("_rank") == 1))
-            .drop("_id", "_mark", "_one", "_rank"))
+    first = joined.filter(again).withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return joined.filter(~again).unionByName(first).drop("_id", "_mark", "_one", "_rows")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

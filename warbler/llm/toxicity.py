@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 BUCKETS = 1 << 16
 WIDTHS = (1, 2, 3)
 PAD = max(WIDTHS)
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 #: Words run through at once.
 CHUNK = 1 << 17
 
