@@ -119,6 +119,7 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
                         yield parts_of(n)
                         n[:], docs_seen = 0, 0
         yield parts_of(n)
+        _WORDS.clear()  # the worker goes on to other tasks
 
     def add(batches):
         import zstandard
@@ -170,6 +171,7 @@ def _signatures(levels, words: int, num: int, den: int):
                     [ids.slice(lo, 500), batch["mark"].slice(lo, 500), pa.array(n, pa.int64()), pa.array(classes, pa.binary()),
                      pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
                     names=["id", "mark", "n", "class", "group", "prefix"])
+        _WORDS.clear()
 
     return run
 
@@ -231,6 +233,7 @@ def _build(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [part["place"], part["salt"], part["is_head"], part["node"],
                      pa.array(sets, pa.binary())], names=["place", "salt", "is_head", "node", "set"])
+        _WORDS.clear()
 
     return run
 

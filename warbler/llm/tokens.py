@@ -19,9 +19,9 @@ import pyarrow.compute as pc
 #: The pre-token pattern of byte-level BPE files (a fixed value of the public format).
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Entries an encoder remembers before it forgets all and starts again.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Bytes of text handled at once.
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 
 _ENCODERS: dict[str, "Encoder"] = {}
 

@@ -279,6 +279,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang",
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64()),
                  pa.array(limits, pa.float64())], names=schema.names)
+        _CODES.clear()  # the worker goes on to other tasks
 
     return docs.mapInArrow(run, schema)
 
