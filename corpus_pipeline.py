@@ -15,8 +15,7 @@ from warbler.llm.store import table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold of their language."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.score(docs, toxicity.train(docs, labels), score_name="_score",
-                            threshold_name="_limit")
+    scored = toxicity.classify(docs, labels, score_name="_score", threshold_name="_limit")
     return scored.filter(F.col("_score") < F.col("_limit")).drop("_score", "_limit")
 
 

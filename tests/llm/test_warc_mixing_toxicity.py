@@ -177,3 +177,41 @@ def test_toxicity_without_labels(labelled):
 
 def test_best_threshold():
     assert toxicity.best_threshold(np.array([.9, .8, .3, .1]), np.array([1, 1, 0, 0])) == pytest.approx(.55)
+
+
+def test_thresholds_weigh_the_whole_table(spark):
+    """Whatever share of a label the fit took, the threshold is that of the table's own mix."""
+    rng = np.random.default_rng(2)
+    n = 6000
+    toxic = rng.random(n) < .1
+    scores = np.round(np.clip(rng.normal(np.where(toxic, .6, .4), .15), 0, 1), 3)
+    scored = spark.createDataFrame([(i, "en", float(s), True) for i, s in enumerate(scores)],
+                                   "id long, spoken string, score double, short boolean")
+    marked = spark.createDataFrame([(i, int(t)) for i, t in enumerate(toxic)], "id long, label int")
+    whole = toxicity.best_threshold(scores, toxic.astype(int))
+    got = toxicity.thresholds(scored, marked, F.lit(False))
+    assert got["en"] == pytest.approx(whole, abs=.001)
+    most = (F.col("label") == 1) & (F.col("id") % 3 > 0)  # two of three toxic rows, no clean one
+    skewed = toxicity.thresholds(scored, marked, most)
+    assert skewed["en"] == skewed[None] == pytest.approx(whole, abs=.04)
+
+
+def test_thresholds_come_from_all_rows_outside_the_fit(spark):
+    """A sample of 40 rows of a label has too few of a language; the table has enough."""
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(1200):
+        bad = int(i % 4 == 0)
+        w = [f"w{rng.randrange(50)}" for _ in range(9)] + ["scum"] * (2 * bad)
+        docs.append((i, " ".join(w) + " x" * (20_000 if i % 40 == 0 else 0), "de" if i % 3 else "en"))
+        labels.append((i, bad))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, per_class=40)
+    assert {None, "en", "de"} == set(model.thresholds)
+    want = {r.doc_id: (r.score, r.threshold) for r in toxicity.score(docs, model).collect()}
+    got = toxicity.classify(docs, labels, per_class=40)
+    assert got.columns == ["doc_id", "text", "lang", "score", "threshold"]
+    rows = {r.doc_id: r for r in got.collect()}
+    for i, (s, limit) in want.items():
+        assert rows[i].score == pytest.approx(s, abs=1e-6) and rows[i].threshold == pytest.approx(limit)

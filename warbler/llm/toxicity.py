@@ -8,12 +8,18 @@ layer and a logistic function make the score. Only words of the text enter the s
 ``train`` fits in numpy on the driver by Adagrad, on a sample of labelled rows: ``per_class`` rows
 of each label at most (chosen by the hash of the id), of at most ``train_words`` words. Buckets that
 fewer than two sampled texts use are set to zero, so words never seen say nothing. A fifth of the
-sample takes no part in the fit; it sets the thresholds: per language the one with the best F1 (ties:
-the middle of its gap). A language with fewer than ``least`` toxic rows in that fifth has the overall
-one, which is 0.5 where all languages together have fewer.
+sample's ids takes no part in the fit.
+
+Thresholds come from all labelled rows outside the fit and the held-out fold, long texts included:
+they are scored in tasks, and counted by language, label and score (in steps of 1 / ``BINS``). Rows
+count for those of their label and kind (short or long) that the fit took, so both labels weigh as in
+the whole table at every size. A language's threshold is the one with the best F1 (ties: the highest;
+the middle of its gap). A language with fewer than ``least`` toxic rows there has the overall one,
+which is 0.5 where all languages together have fewer.
 
 ``score`` sends the model (its size is fixed) to the tasks and scores every text where it is read:
 no shuffle. Long texts are run through in pieces, so memory does not follow a text's length.
+``classify`` trains and scores with one pass over all texts.
 
 Defined results. Null text: empty; its score is the one of no words. Null or repeated labels: null
 labels are no labels, the highest label of an id counts. Null ids are scored and never trained on;
@@ -32,12 +38,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from warbler.llm.store import table
+
 BUCKETS = 1 << 16
 WIDTHS = (1, 2, 3)
 PAD = max(WIDTHS)
 REMEMBERED = 200_000
 #: Words run through at once.
 CHUNK = 1 << 17
+#: Steps of the scores that thresholds are chosen from.
+BINS = 1 << 14
 
 _SPACE = str.maketrans({c: " " for c in string.punctuation})
 _CODES: dict[str, int] = {}
@@ -228,43 +238,113 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-          lang: str = "lang", label: str = "toxic", per_class: int = 5000, train_words: int = 4096,
-          least: int = 20) -> Model:
-    marked = (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
-              .groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("label")))
+def best_bin(bins: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """``best_threshold`` of weighted counts by score step."""
+    steps, at = np.unique(-bins, return_inverse=True)
+    hits = np.cumsum(np.bincount(at, toxic))
+    f1 = 2 * hits / (hits + np.cumsum(np.bincount(at, clean)) + hits[-1])
+    i = int(np.argmax(f1))
+    below = 1 - steps[i + 1] if i + 1 < len(steps) else 0
+    return float((below - steps[i]) / (2 * BINS))
+
+
+def short(text: str, train_words: int):
+    """Texts that the fit may take."""
+    return F.length(F.translate(F.coalesce(F.col(text), F.lit("")), " \t\n", "")) < 8 * train_words
+
+
+def marked_ids(labels: DataFrame, key: str = "doc_id", label: str = "toxic") -> DataFrame:
+    """``id, label`` of the labelled ids that are not held out."""
+    return (labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key))
+            .groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("label")))
+
+
+def fit_sample(docs: DataFrame, marked: DataFrame, key: str = "doc_id", text: str = "text",
+               per_class: int = 5000, train_words: int = 4096):
+    """A model of a sample of the marked rows; and the condition on ``id`` and ``label`` for the ids
+    whose short texts it was fitted on."""
     counts = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     chosen = F.lit(False)
     for value, n in counts.items():
         limit = int(min(1.0, per_class / n) * (1 << 20))
         chosen |= (F.col("label") == value) & (F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < limit)
+    fitted = chosen & (F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(5)) != 4)
     # At most about per_class rows of each label: a bounded table.
-    some = F.broadcast(marked.filter(chosen))
-    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("said"),
-                       F.col(lang).cast("string").alias("spoken"))
-    got = (rows.join(some, "id").filter(F.length(F.translate("said", " \t\n", "")) < 8 * train_words)
-           .limit(3 * per_class).orderBy("id", "said", "spoken").toArrow())
-    texts, spoken = got["said"].to_pylist(), got["spoken"].to_pylist()
-    y = got["label"].to_numpy().astype(np.int64)
-    held = np.arange(len(y)) % 5 == 4
-    model = fit([t for t, h in zip(texts, held) if not h], y[~held])
-    s = model.scores([t for t, h in zip(texts, held) if h])
-    y, spoken = y[held], np.array([str(x) for x, h in zip(spoken, held) if h])
-    model.thresholds[None] = best_threshold(s, y) if y.sum() >= least else 0.5
-    for name in np.unique(spoken).tolist():
-        own = spoken == name
-        if y[own].sum() >= least:
-            model.thresholds[name] = best_threshold(s[own], y[own])
+    some = F.broadcast(marked.filter(fitted))
+    rows = docs.filter(short(text, train_words)).select(
+        F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("said"))
+    got = rows.join(some, "id").limit(3 * per_class).orderBy("id", "said").toArrow()
+    return fit(got["said"].to_pylist(), got["label"].to_numpy().astype(np.int64)), fitted
+
+
+def thresholds(scored: DataFrame, marked: DataFrame, fitted, least: int = 20) -> dict:
+    """Thresholds by language, None for the overall one. ``scored``: ``id, spoken, score, short``."""
+    rows = (scored.filter(F.col("id").isNotNull())
+            .groupBy("id", "spoken", "short", F.floor(F.col("score") * BINS).alias("bin")).count())
+    outside = F.when(fitted & F.col("short"), 0).otherwise(F.col("count"))
+    got = (rows.join(marked, "id").groupBy("spoken", "short", "bin", "label")
+           .agg(F.sum(outside).alias("outside"), F.sum("count").alias("rows")).toPandas())
+    if not len(got):
+        return {None: 0.5}
+    kinds = got.groupby(["short", "label"])[["outside", "rows"]].transform("sum")
+    weight = got["outside"] * kinds["rows"] / kinds["outside"].clip(lower=1)
+    is_toxic = got["label"] == 1
+    got["toxic"], got["clean"] = weight.where(is_toxic, 0.0), weight.where(~is_toxic, 0.0)
+    got["found"] = got["outside"].where(is_toxic, 0)
+    got = got[got["outside"] > 0]
+    pick = lambda g: best_bin(*(g[c].to_numpy() for c in ("bin", "toxic", "clean")))
+    out = {None: pick(got) if got["found"].sum() >= least else 0.5}
+    for name, own in got.groupby("spoken"):
+        if own["found"].sum() >= least:
+            out[name] = pick(own)
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+          lang: str = "lang", label: str = "toxic", per_class: int = 5000, train_words: int = 4096,
+          least: int = 20) -> Model:
+    marked = marked_ids(labels, key, label)
+    model, fitted = fit_sample(docs, marked, key, text, per_class, train_words)
+    rows = docs.select(F.col(key).alias("id"), F.col(text).alias("said"),
+                       F.col(lang).cast("string").alias("spoken"), short(text, train_words).alias("short"))
+    model.thresholds = thresholds(score(rows, model, "said", "spoken", keep=("id", "spoken", "short")),
+                                  marked, fitted, least)
     return model
 
 
+def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+             lang: str = "lang", label: str = "toxic", per_class: int = 5000, train_words: int = 4096,
+             least: int = 20, score_name: str = "score", threshold_name: str = "threshold",
+             keep: tuple | None = None) -> DataFrame:
+    """``score`` by a model of ``train``, but each text is scored once: the scores are written to the
+    shared folder, and the thresholds chosen from there. ``keep``: the columns that come back (all)."""
+    marked = marked_ids(labels, key, label)
+    model, fitted = fit_sample(docs, marked, key, text, per_class, train_words)
+    keep = tuple(keep or docs.columns)
+    inner = [f"{score_name}_{c}" for c in ("id", "spoken", "short")]
+    rows = docs.select("*", F.col(key).alias(inner[0]), F.col(lang).cast("string").alias(inner[1]),
+                       short(text, train_words).alias(inner[2]))
+    scored = table(score(rows, model, text, inner[1], score_name, threshold_name, (*keep, *inner)),
+                   "toxicity-scored")
+    by = thresholds(scored.select(*[F.col(c).alias(n) for c, n in zip(inner, ("id", "spoken", "short"))],
+                                  F.col(score_name).alias("score")), marked, fitted, least)
+    limit = F.lit(by.pop(None))
+    if by:
+        limit = F.coalesce(F.try_element_at(F.map_from_arrays(F.lit(list(by)), F.lit(list(by.values()))),
+                                            F.col(inner[1])), limit)
+    return scored.select(*keep, score_name, limit.alias(threshold_name))
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang",
-          score_name: str = "score", threshold_name: str = "threshold") -> DataFrame:
-    """``docs`` with each text's score, and the threshold of its language."""
+          score_name: str = "score", threshold_name: str = "threshold",
+          keep: tuple | None = None) -> DataFrame:
+    """``docs`` (the columns ``keep``, or all) with each text's score, and the threshold of its
+    language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = docs.columns
     where, spoken = columns.index(text), columns.index(lang)
-    schema = T.StructType([*docs.schema.fields, T.StructField(score_name, T.DoubleType()),
+    out = [columns.index(c) for c in keep or columns]
+    schema = T.StructType([*(docs.schema.fields[i] for i in out), T.StructField(score_name, T.DoubleType()),
                            T.StructField(threshold_name, T.DoubleType())])
 
     def run(batches):
@@ -277,7 +357,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang",
             limits = [m.thresholds.get(x, m.thresholds.get(None, 0.5))
                       for x in batch.column(spoken).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64()),
+                [*(batch.column(i) for i in out),
+                 pa.array(np.concatenate(scores) if scores else [], pa.float64()),
                  pa.array(limits, pa.float64())], names=schema.names)
         _CODES.clear()  # the worker goes on to other tasks
 
@@ -287,7 +368,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang",
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents``, scored by a model of the labels that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return (score(docs.select("doc_id", "text", "lang"), model)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return (classify(docs.select("doc_id", "text", "lang"), labels, keep=("doc_id",))
             .select("doc_id", held_out().alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold"))
