@@ -215,3 +215,24 @@ def test_thresholds_come_from_all_rows_outside_the_fit(spark):
     rows = {r.doc_id: r for r in got.collect()}
     for i, (s, limit) in want.items():
         assert rows[i].score == pytest.approx(s, abs=1e-6) and rows[i].threshold == pytest.approx(limit)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    """One text 400 times and 60 others, sampled by 20 ids a label: no row is cut, no label lost."""
+    rows = [(0, "moron scum", "en")] * 400 + [(i, f"scum w{i % 7}" if i % 2 else f"w{i % 7} w{i % 5}", "en")
+                                              for i in range(1, 61)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 2 or i == 0)) for i in range(61)], "doc_id long, toxic int")
+    marked = spark.createDataFrame([(i, int(i % 2 or i == 0)) for i in range(61)], "id long, label int")
+    sizes = []
+    real = toxicity.fit
+    try:
+        toxicity.fit = lambda texts, y: sizes.append((len(texts), set(y.tolist()))) or real(texts, y)
+        toxicity.fit_sample(docs, marked, per_class=20)
+    finally:
+        toxicity.fit = real
+    assert sizes[0][0] <= 61 and sizes[0][1] == {0, 1}
+    only = toxicity.train(docs, labels.filter("toxic = 1"), least=1)
+    assert only.thresholds == {None: 0.5}
+    got = toxicity.classify(docs, labels.filter("toxic = 1"), least=1)
+    assert got.filter("score < threshold").count() == len(rows)

@@ -15,7 +15,7 @@ they are scored in tasks, and counted by language, label and score (in steps of
 count for those of their label and kind (short or long) that the fit took, so both labels weigh as in
 the whole table at every size. A language's threshold is the one with the best F1 (ties: the highest;
 the middle of its gap). A language with fewer than ``least`` toxic rows there has the overall one,
-which is 0.5 where all languages together have fewer.
+which is 0.5 where all languages together have fewer; all are 0.5 where no model could be fitted.
 
 ``score`` sends the model (its size is fixed) to the tasks and scores every text where it is read:
 no shuffle. Long texts are run through in pieces, so memory does not follow a text's length.
@@ -269,11 +269,13 @@ def fit_sample(docs: DataFrame, marked: DataFrame, key: str = "doc_id", text: st
         limit = int(min(1.0, per_class / n) * (1 << 20))
         chosen |= (F.col("label") == value) & (F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < limit)
     fitted = chosen & (F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(5)) != 4)
-    # At most about per_class rows of each label: a bounded table.
+    # At most about per_class ids of each label, and a row of each (the smallest text): a bounded
+    # table, and the same one in every run.
     some = F.broadcast(marked.filter(fitted))
     rows = docs.filter(short(text, train_words)).select(
         F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("said"))
-    got = rows.join(some, "id").limit(3 * per_class).orderBy("id", "said").toArrow()
+    got = (rows.join(some, "id").groupBy("id", "label").agg(F.min("said").alias("said"))
+           .orderBy("id").toArrow())
     return fit(got["said"].to_pylist(), got["label"].to_numpy().astype(np.int64)), fitted
 
 
@@ -308,7 +310,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("said"),
                        F.col(lang).cast("string").alias("spoken"), short(text, train_words).alias("short"))
     model.thresholds = thresholds(score(rows, model, "said", "spoken", keep=("id", "spoken", "short")),
-                                  marked, fitted, least)
+                                  marked, fitted, least) if model.trained else {None: 0.5}
     return model
 
 
@@ -327,7 +329,8 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     scored = table(score(rows, model, text, inner[1], score_name, threshold_name, (*keep, *inner)),
                    "toxicity-scored")
     by = thresholds(scored.select(*[F.col(c).alias(n) for c, n in zip(inner, ("id", "spoken", "short"))],
-                                  F.col(score_name).alias("score")), marked, fitted, least)
+                                  F.col(score_name).alias("score")),
+                    marked, fitted, least) if model.trained else {None: 0.5}
     limit = F.lit(by.pop(None))
     if by:
         limit = F.coalesce(F.try_element_at(F.map_from_arrays(F.lit(list(by)), F.lit(list(by.values()))),
