@@ -60,6 +60,28 @@ def test_empty(spark):
     assert suffix.kept_texts(df, suffix.removed(df)).count() == 0
 
 
+def test_rows_of_one_id_get_their_own_cuts_only(spark):
+    """Rows without an id that each hold a passage of a smaller one, and one of them 40 times."""
+    rng = random.Random(8)
+    passage = "".join(rng.choices("abcdefgh", k=80))
+    rows = [(1, passage)] + [(None, f"{i:03d} {passage} {i}") for i in range(60)]
+    rows += [(None, f"000 {passage} 0")] * 39 + [(7, f"x{passage}"), (7, f"y {passage}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    # Small blocks: every copy of a repeated row is decided apart, and cut apart.
+    cuts = suffix.removed(df, block_bytes=300, piece_bytes=100)
+    lists = {r.text: r.cuts for r in suffix.with_cuts(df, cuts).select(
+        "text", F.expr("transform(coalesce(_cuts, array()), c -> concat(c.lo, '-', c.hi))").alias("cuts")).collect()}
+    assert not lists[passage]
+    for text, own in lists.items():
+        assert len(own) == len(set(own))
+        assert len(own) <= len(text) and all(int(c.split("-")[1]) <= len(text) for c in own)
+    plan = suffix.with_cuts(df, cuts)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "xxhash64" in join and "_mark" in join  # not by the id alone
+    got = suffix.kept_texts(df, cuts).select("doc_id", "_n_bytes", "_n_removed", "_n_spans", F.sha2("_bytes", 256))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows)
+
+
 def test_suffix_array_and_common_prefixes():
     rng = np.random.default_rng(3)
     for n in (1, 2, 9, 200, 1500):

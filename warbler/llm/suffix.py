@@ -183,8 +183,6 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _pack(length: int, block_bytes: int, piece_bytes: int):
     def run(batches):
-        import xxhash
-
         docs, data, size, count = [], [], 0, 0
 
         def block():
@@ -197,10 +195,9 @@ def _pack(length: int, block_bytes: int, piece_bytes: int):
             if not batch.num_rows:
                 continue
             task = batch["task"][0].as_py()
-            for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
+            for key, mark, text in zip(*(batch[c].to_pylist() for c in ("id", "mark", "text"))):
                 if len(text) < length:
                     continue
-                mark = xxhash.xxh3_64_intdigest(text) - (1 << 63)
                 for lo in range(0, len(text) - length + 1, piece_bytes):
                     piece = text[lo:lo + piece_bytes + length - 1]
                     docs.append((key, mark, lo, len(piece)))
@@ -538,6 +535,19 @@ def _least_ids(data, hashes, places, ids, blocks, length: int) -> np.ndarray:
 
 # -- the operator --------------------------------------------------------------------------------
 
+def _id(key: str):
+    return F.coalesce(F.col(key).cast("long"), F.lit(NONE))
+
+
+def _raw(text: str):
+    return F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
+
+
+def text_mark(text: str):
+    """A hash of the text, which tells texts of one id apart."""
+    return F.xxhash64(_raw(text))
+
+
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 50,
             block_bytes: int = BLOCK_BYTES, piece_bytes: int = PIECE_BYTES, fan_in: int = 512,
             bucket_prints: int = 1 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
@@ -545,8 +555,7 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     texts of one id apart (see ``text_mark``)."""
     if length < GRAM + 7:
         raise ValueError(f"length must be at least {GRAM + 7}")
-    rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NONE)).alias("id"),
-                       F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
+    rows = docs.select(_id(key).alias("id"), text_mark(text).alias("mark"), _raw(text).alias("text"),
                        F.spark_partition_id().alias("task"))
     blocks = table(rows.mapInArrow(_pack(length, block_bytes, piece_bytes), BLOCKS), "suffix-blocks")
     n_blocks, n_bytes = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -597,37 +606,37 @@ KEPT = [T.StructField("_bytes", T.BinaryType()), T.StructField("_n_bytes", T.Lon
         T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())]
 
 
+def with_cuts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with ``_cuts``: the different cuts of the row's own text, so a list is bounded by its
+    text however many rows have the id (or none)."""
+    spans = (cuts.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
+             .agg(F.collect_set(F.struct("lo", "hi")).alias("_cuts")))
+    on = (_id(key) == F.col("_id")) & (text_mark(text) == F.col("_mark"))
+    return docs.join(spans, on, "left").drop("_id", "_mark")
+
+
 def kept_texts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str = "text",
                as_text: bool = False) -> DataFrame:
     """``docs`` with ``_bytes`` (what is left of the text), ``_n_bytes``, ``_n_removed`` and
     ``_n_spans``; ``as_text``: with ``_text`` in place of ``_bytes``, without the bytes left of a
     character that was cut."""
-    spans = cuts.groupBy("id", "mark").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    by = F.coalesce(F.col(key).cast("long"), F.lit(NONE))
-    joined = docs.join(spans.groupBy(F.col("id").alias("_id")).agg(
-        F.collect_list(F.struct("mark", "spans")).alias("_cuts")), by == F.col("_id"), "left").drop("_id")
+    joined = with_cuts(docs, cuts, key, text)
     columns = docs.columns
     first = T.StructField("_text", T.StringType()) if as_text else KEPT[0]
     schema = T.StructType([*docs.schema.fields, first, *KEPT[1:]])
     where = columns.index(text)
 
     def run(batches):
-        import xxhash
-
         for batch in batches:
             texts = pc.fill_null(batch.column(where).cast(pa.string()), "").cast(pa.binary())
             out = [[], [], [], []]
             for raw, found in zip(texts.to_pylist(), batch.column(len(columns)).to_pylist()):
                 lo = hi = np.empty(0, np.int64)
                 if found:
-                    mark = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
-                    pairs = [(s["lo"], s["hi"]) for f in found if f["mark"] == mark
-                             for s in f["spans"]]
-                    if pairs:
-                        a = np.array(sorted(pairs))
-                        top = np.maximum.accumulate(a[:, 1])
-                        new = np.r_[True, a[1:, 0] > top[:-1]]
-                        lo, hi = a[new, 0], np.r_[top[:-1][new[1:]], top[-1]]
+                    a = np.array(sorted((s["lo"], s["hi"]) for s in found))
+                    top = np.maximum.accumulate(a[:, 1])
+                    new = np.r_[True, a[1:, 0] > top[:-1]]
+                    lo, hi = a[new, 0], np.r_[top[:-1][new[1:]], top[-1]]
                 kept = b"".join(raw[x:y] for x, y in zip([0, *hi.tolist()], [*lo.tolist(), len(raw)]))
                 left = kept.decode(errors="ignore") if as_text else kept
                 for col, v in zip(out, (left, len(raw), len(raw) - len(kept), len(lo))):
