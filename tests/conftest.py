@@ -4,14 +4,11 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [HERE, os.path.dirname(HERE)]
 
 from warbler.session import checkpoint_root, local_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,13 +22,3 @@ def spark():
 def tmp_dir():
     # A fresh folder per test; never reused.
     return tempfile.mkdtemp(prefix="warbler-test-")
-
-
-def write_text(path, text):
-    with open(path, "w", encoding="utf-8", newline="") as f:
-        f.write(text)
-    return path
-
-
-def record(user="bob", message="hi", url="http://twitter.com/", t="2009-06-01 00:00:00"):
-    return f"T\t{t}\nU\t{url}{user}\nW\t{message}"

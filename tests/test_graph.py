@@ -5,7 +5,7 @@ import random
 import pytest
 
 import brandes
-from conftest import write_text
+from helpers import write_text
 from warbler.operators import centrality, graph
 from warbler.sources import tables
 

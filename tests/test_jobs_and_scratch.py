@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import record, write_text
+from helpers import record, write_text
 from warbler import session
 from warbler.__main__ import main
 from warbler.functions import record as R

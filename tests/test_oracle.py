@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_module
 from warbler import plans
 from compare import compare, duck
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 ORACLE = entry_module.oracle_sql()
 QUERIES = entry_module.queries()

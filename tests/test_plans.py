@@ -2,9 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as entry_module
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from warbler.plans import workloads as W
+from warbler.plans.registry import QUERIES
 from warbler.plans.workspace import Workspace
 
 
@@ -12,12 +12,12 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [k for k in entry_module.queries()
+@pytest.mark.parametrize("name", [k for k in QUERIES
                                   if "betweenness" not in k and k != "node_sizes"])
 def test_no_python_udf(spark, name):
-    plan = _plan(entry_module.queries()[name](spark, SF_SMALL))
-    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
-                 "PythonUDF"):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    for node in ("EvalPython", "InPandas", "InArrow", "PythonUDF", "PythonMapInArrow",
+                 "FlatMapCoGroups", "WindowInPandas", "AggregateInPandas"):
         assert node not in plan, name
 
 
@@ -37,7 +37,7 @@ def test_topic_filters_pushed_down(spark):
 def test_betweenness_rounds_combine_before_the_shuffle(spark, tmp_dir):
     """What a task sends to a (source, node) is reduced before the exchange, and no round makes a
     product of its inputs."""
-    from conftest import write_text
+    from helpers import write_text
     from warbler.operators import centrality, graph
     from warbler.sources import tables
 

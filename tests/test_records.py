@@ -1,6 +1,6 @@
 """Record scan and parsing: one test per semantic decision."""
 
-from conftest import record, write_text
+from helpers import record, write_text
 from pyspark.sql import functions as F
 
 from warbler.functions import record as R

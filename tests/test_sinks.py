@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from helpers import write_text
 from warbler.operators import quality
 from warbler.sources import records, sinks, tables
 

@@ -6,7 +6,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, record, write_text
+from helpers import ROOT, record, write_text
 from warbler.operators import tweets
 from warbler.sources.records import scan_records
 from warbler.streaming import stream_tweet_table

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from warbler.operators import topics
 from warbler.plans import workloads as W
 from warbler.plans.workspace import Workspace
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 
 @pytest.fixture(scope="module")

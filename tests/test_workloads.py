@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL, write_text
+from helpers import SF_SMALL, write_text
 from warbler.plans import workloads as W
 from warbler.plans.workspace import Workspace
 from warbler.sources import tables
