@@ -78,7 +78,7 @@ def test_run(spark, stages):
 
 def test_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
