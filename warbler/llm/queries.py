@@ -10,6 +10,7 @@ from warbler.llm.lexical import OP11_SQL, op11_lexical_search
 from warbler.llm.mixing import op2_mixing
 from warbler.llm.multi_index import op1_multi_index
 from warbler.llm.packing import op9_packing
+from warbler.llm.perplexity import op12_quality_rules
 from warbler.llm.runs import op13_block_runs
 from warbler.llm.suffix import op4_suffix_dedup
 from warbler.llm.toxicity import op6_toxicity
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_token_files": op10_token_files,
     "op11_lexical_search": op11_lexical_search,
+    "op12_quality_rules": op12_quality_rules,
     "op13_block_runs": op13_block_runs,
 }
 
