@@ -359,7 +359,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return _rows(docs, key, text, lang).mapInArrow(run, SCORES)
 
 
-def bands(scores: DataFrame, below: float = 4.0, above: float = 4.0, least_spread: float = 0.02
+def bands(scores: DataFrame, below: float = 5.0, above: float = 5.0, least_spread: float = 0.02
           ) -> DataFrame:
     """(lang, least, most): the band of the logarithm of perplexity by language. The spreads are the
     distances from the median to the 16th and the 84th percentile, ``least_spread`` at least; the
