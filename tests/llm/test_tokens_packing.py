@@ -15,14 +15,13 @@ def reference():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_tokenizer())
-    t.encode_special_tokens = True
     return lambda x: t.encode(x or "", add_special_tokens=False).ids
 
 
 def test_encoder_gives_the_library_s_ids():
     rng = random.Random(1)
     parts = [" ", "a", "'s", "\n", "\t", "1", "é", ".", "\x1c", " ", "　", "'", "\x00", "Wort"]
-    texts = TEXTS + ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(2000)]
+    texts = TEXTS + ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(6000)]
     encode, at = reference(), 0
     enc = tokens.Encoder(tokens.default_tokenizer())
     ids, counts = (np.concatenate(x) for x in zip(*enc.encode(pa.array(texts))))
@@ -33,12 +32,30 @@ def test_encoder_gives_the_library_s_ids():
 
 
 def test_encoder_forgets(monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    monkeypatch.setattr(tokens, "REMEMBERED", 7)
     monkeypatch.setattr(tokens, "SLICE_BYTES", 30)
     encode, enc = reference(), tokens.Encoder(tokens.default_tokenizer())
     got = [ids[a:b].tolist() for ids, n in enc.encode(pa.array(TEXTS))
            for a, b in zip(np.cumsum(n) - n, np.cumsum(n))]
     assert got == [encode(t) for t in TEXTS]
+    assert len(enc.known) <= 14
+
+
+def test_special_tokens_are_the_library_s():
+    enc = tokens.Encoder(tokens.default_tokenizer())
+    ids, counts = next(enc.encode(pa.array(["a<|endoftext|>b", "a b"])))
+    assert 50256 in ids[:counts[0]].tolist() and ids[:counts[0]].tolist() == reference()("a<|endoftext|>b")
+
+
+def test_other_files_go_through_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = Tokenizer.from_file(path)
+    got = [(ids.tolist(), n.tolist()) for ids, n in tokens.Encoder(path).encode(pa.array(TEXTS[:5]))]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in TEXTS[:5]]
+    assert got == [([i for w in want for i in w], [len(w) for w in want])]
 
 
 @pytest.fixture(scope="module")

@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from warbler.llm.store import create, folder, table, view
+from warbler.llm.store import create, folder, table, tidy, view
 from warbler.llm.tokens import default_tokenizer, encoder
 
 INDEX = "part int, file string, width int, n_docs long, n_ids long"
@@ -46,9 +46,10 @@ def write_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", end_i
     tokenizer = tokenizer or default_tokenizer()
     path = path or folder(spark, "corpus")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    # Ties by a hash: the sampled bounds of the ranges hold no texts.
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    order = [F.col("key").asc_nulls_first(), F.col("tie")]
+    # Ties by a hash: the sampled bounds of the ranges hold no texts. Equal rows, which may be many,
+    # are told apart by where they were read, so that ranges can split them.
+    rows = rows.withColumns({"tie": F.xxhash64("text"), "turn": F.monotonically_increasing_id()})
+    order = [F.col("key").asc_nulls_first(), F.col("tie"), F.col("turn")]
     parts = (rows.repartitionByRange(partitions, *order) if partitions
              else rows.repartitionByRange(*order))
     parts = parts.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
@@ -86,6 +87,7 @@ def _writer(path: str, tokenizer: str, end_id: int):
                              ("nulls", np.concatenate(nulls))):
             with create(f"{name}-{kind}.bin") as out:
                 out.write(values.tobytes())
+        tidy()
         yield pa.RecordBatch.from_arrays(
             [pa.array([part], pa.int32()), pa.array([name]),
              pa.array([enc.dtype.itemsize], pa.int32()),

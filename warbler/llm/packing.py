@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from warbler.llm.store import tidy
 from warbler.llm.tokens import default_tokenizer, encoder
 
 PIECES = ("key long, doc_row long, start long, length long, doc_tokens long, sequence_id long, "
@@ -121,6 +122,7 @@ def _packer(size: int, end_id: int, tokenizer: str, block_tokens: int, settled:
                         yield from out.flush(False)
                 at += len(counts)
         yield from out.flush(True)
+        tidy()
 
     return run
 

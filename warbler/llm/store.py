@@ -10,6 +10,7 @@ leave a partial file under the final name.
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import os
 import uuid
 from urllib.parse import unquote, urlparse
@@ -34,6 +35,16 @@ def table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy() -> None:
+    """Gives memory that this worker has freed back to the system, at the end of a task: workers go
+    on from stage to stage."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries than GNU's
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def _place(uri: str):
     from pyarrow import fs
 
