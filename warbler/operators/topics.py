@@ -41,6 +41,20 @@ def users_in_both(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, left["username"] == right["username"], "inner").drop(left["username"])
 
 
+def users_in_both_one_scan(tweets: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:
+    """The rows of ``users_in_both`` over the mention counts of two (topic, column name): one scan
+    for both topics, one aggregation, and no join; a user is in both who has rows of both. (As in an
+    inner join on the name, rows without a user match nothing.)"""
+    of = [F.col("hashtag") == topic for topic, _ in (first, second)]
+    return (tweets.filter(F.col("hashtag").isin(first[0], second[0]) & F.col("username").isNotNull())
+            .groupBy("username")
+            .agg(*[F.count(F.when(is_topic, F.col("mention"))).alias(alias)
+                   for is_topic, (_, alias) in zip(of, (first, second))],
+                 *[F.count_if(is_topic).alias(f"rows_{i}") for i, is_topic in enumerate(of)])
+            .filter((F.col("rows_0") > 0) & (F.col("rows_1") > 0))
+            .select(first[1], "username", second[1]))
+
+
 def users_in_both_sql(spark: SparkSession, left_view: str, right_view: str, left_count: str,
                       right_count: str) -> DataFrame:
     return spark.sql(

@@ -112,6 +112,8 @@ _TAIL = {
     "topic_mentions_iranians": "SELECT username, iraniansMentionNumber FROM ir",
     "topic_join_df": "SELECT ie.iranElectionsMentionNumber, ir.username, ir.iraniansMentionNumber "
                      "FROM ie JOIN ir ON ie.username = ir.username",
+    "topic_join_one_scan": "SELECT ie.iranElectionsMentionNumber, ir.username, "
+                           "ir.iraniansMentionNumber FROM ie JOIN ir ON ie.username = ir.username",
     "topic_join_sql": "SELECT ir.username, ie.iranElectionsMentionNumber, ir.iraniansMentionNumber "
                       "FROM ie JOIN ir ON ie.username = ir.username",
     "topic_join_top100": "SELECT ir.username, ie.iranElectionsMentionNumber, "
@@ -139,9 +141,9 @@ _TAIL = {
 }
 
 # The edge lines of the events, and the last line of each pair.
-_EVENT_GRAPH = """,
+_EVENT_GRAPH = r""",
 event_lines AS (
-  SELECT event_id, 'u' || (user_id % 53) AS a, 'u' || (event_id * 7 % 53) AS b,
+  SELECT event_id, 'u' || user_id AS a, 'u' || regexp_extract(props, '(\d+)', 1) AS b,
          CAST(event_id % 9 + 1 AS DOUBLE) / 10 AS weight
   FROM events),
 event_pairs AS (

@@ -155,6 +155,10 @@ def topic_mentions_iranians(spark, d):
 
 
 def topic_join_df(spark, d):
+    return W.users_in_two_topics_joined(_ws(spark, d).tweets())
+
+
+def topic_join_one_scan(spark, d):
     return W.users_in_two_topics(_ws(spark, d).tweets())
 
 
@@ -267,7 +271,8 @@ QUERIES: dict[str, Query] = {
         "prefilter_marked", "message_text", "parse_username", "parse_mentions", "parse_hashtags",
         "parse_tweets", "tweet_table", "malformed_records",
         "topic_users_df", "topic_users_sql", "topic_mentions_iranelections",
-        "topic_mentions_iranians", "topic_join_df", "topic_join_sql", "topic_join_top100",
+        "topic_mentions_iranians", "topic_join_df", "topic_join_one_scan",
+        "topic_join_sql", "topic_join_top100",
         "distinct_then_drop", "mention_user_count", "mention_user_list",
         "bad_record_total", "record_type_counts", "bad_records", "has_hashtag",
         "mention_edges", "topic_mention_graph", "graph_edges", "graph_nodes",

@@ -41,7 +41,12 @@ def mentions_per_user(tweet_df: DataFrame, topic: str, alias: str) -> DataFrame:
 
 
 def users_in_two_topics(tweet_df: DataFrame, first=IRAN_ELECTIONS, second=IRANIANS) -> DataFrame:
-    """W4 (DataFrame form): per-user mention counts of both topics, inner-joined."""
+    """W4: per-user mention counts of both topics, of the users that both have, in one scan."""
+    return topics.users_in_both_one_scan(tweet_df, first, second)
+
+
+def users_in_two_topics_joined(tweet_df: DataFrame, first=IRAN_ELECTIONS, second=IRANIANS) -> DataFrame:
+    """W4 as a join of the two aggregates (DataFrame form)."""
     return topics.users_in_both(mentions_per_user(tweet_df, *first),
                                 mentions_per_user(tweet_df, *second))
 
@@ -93,6 +98,21 @@ def save_mention_users(lists: DataFrame, parquet_path: str, csv_path: str) -> tu
     return parquet_path, csv_path
 
 
+def topic_report(tweet_df: DataFrame, out: str) -> str:
+    """W2 to W6 over a tweet table, each written as Parquet under ``out``; the user lists as CSV too."""
+    lists = f"{out}/mention-users"
+    for name, df in (
+        ("users", users_of_topic(tweet_df)),
+        ("mentions-iranelections", mentions_per_user(tweet_df, *IRAN_ELECTIONS)),
+        ("mentions-iranians", mentions_per_user(tweet_df, *IRANIANS)),
+        ("users-in-both", users_in_two_topics(tweet_df)),
+        ("rows-per-mention", rows_per_mention(tweet_df)),
+    ):
+        sinks.write_parquet(df, f"{out}/{name}")
+    save_mention_users(mention_users(tweet_df), lists, f"{lists}-csv")
+    return out
+
+
 def bad_record_report(records: DataFrame, out_path: str) -> str:
     """W7: (type,count) lines of good and bad records."""
     # Two rows.

@@ -1,9 +1,9 @@
-"""Inputs derived from one data directory, built once per application.
+"""Inputs derived from one data directory, built once.
 
 Mirrors the original flow: raw records are written once as a blank-line-delimited text file,
-parsed once into the tweet table in Parquet, and every question then reads that Parquet. Paths
-live under the shared checkpoint folder and are remembered per application, directory and version of
-the events (their files, sizes and modification times).
+parsed once into the tweet table in Parquet, and every question then reads that Parquet. Records and
+tweet table are published in the shared folder under the fingerprint of the events' files, so later
+applications start from them; edge lists are the application's own.
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from warbler.operators.graph import topic_mention_graph
 from warbler.operators.tweets import tweet_table
 from warbler.session import app_id, release_scratch, scratch_path
 from warbler.sources.events import edges_from_events, records_from_events
+from warbler.sources.publish import fingerprint, published
 from warbler.sources.records import scan_records, write_records
 from warbler.sources.sinks import write_edge_list, write_tweet_table
 from warbler.sources.tables import read_tweet_table
@@ -35,6 +35,14 @@ def release(spark: SparkSession) -> int:
     return release_scratch(spark)
 
 
+def tweet_copy(spark: SparkSession, records_path: str) -> str:
+    """The published tweet table of a record file: parsed by the first application that asks, for as
+    long as the file is the same."""
+    records = scan_records(spark, records_path)
+    return published(spark, "tweet-table", fingerprint(records, "tweet table"),
+                     lambda path: write_tweet_table(tweet_table(records), path))
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, data_dir: str):
         self.spark = spark
@@ -43,11 +51,7 @@ class Workspace:
     @cached_property
     def version(self) -> str:
         """The events' files as they are now, from their metadata."""
-        files = self.events().select("_metadata.file_path", "_metadata.file_size",
-                                     "_metadata.file_modification_time").distinct()
-        # As many rows as there are files.
-        return files.agg(F.sha1(F.array_join(F.array_sort(F.collect_list(F.concat_ws(
-            "|", "file_path", "file_size", "file_modification_time"))), "\n"))).first()[0]
+        return fingerprint(self.events(), "records from events")
 
     def _key(self, name: str) -> tuple[str, str, str]:
         return (app_id(self.spark), f"{self.data_dir}@{self.version}", name)
@@ -68,14 +72,15 @@ class Workspace:
         return self.table("events")
 
     def records_path(self) -> str:
-        return self.path("records", lambda path: write_records(records_from_events(self.events()), path))
+        return published(self.spark, "records", self.version,
+                         lambda path: write_records(records_from_events(self.events()), path))
 
     def records(self) -> DataFrame:
         """Raw records read back through the blank-line text scan."""
         return scan_records(self.spark, self.records_path())
 
     def tweets_path(self) -> str:
-        return self.path("tweet-table", lambda path: write_tweet_table(tweet_table(self.records()), path))
+        return tweet_copy(self.spark, self.records_path())
 
     def topic_edges_path(self, tag: str) -> str:
         """The mention graph of ``#tag`` as an edge list file."""

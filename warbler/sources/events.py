@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 #
 # Fixed values of the event -> edge line derivation, in order of event_id (repeated, reversed and
 # self edges, decimal weights):
-#   u<user_id % 53>,u<event_id * 7 % 53>,<(event_id % 9 + 1) / 10>
+#   u<user_id>,u<k>,<(event_id % 9 + 1) / 10>, with the ends swapped where event_id is odd
 # ---------------------------------------------------------------------------------------------
 TAG_BY_EVENT_TYPE = [
     ("purchase", "Youtube"),
@@ -87,7 +87,9 @@ def records_from_events(events: DataFrame) -> DataFrame:
 def edges_from_events(events: DataFrame) -> DataFrame:
     """``events`` → ``src, dst, weight``, one edge line per event in order of ``event_id``."""
     eid = F.col("event_id")
+    user = F.concat(F.lit("u"), F.col("user_id").cast("string"))
+    other = F.concat(F.lit("u"), F.regexp_extract("props", r"(\d+)", 1))
+    odd = eid % 2 == 1
     return events.orderBy("event_id").select(
-        F.concat(F.lit("u"), (F.col("user_id") % 53).cast("string")).alias("src"),
-        F.concat(F.lit("u"), (eid * 7 % 53).cast("string")).alias("dst"),
+        F.when(odd, other).otherwise(user).alias("src"), F.when(odd, user).otherwise(other).alias("dst"),
         ((eid % 9 + 1) / F.lit(10.0)).alias("weight"))

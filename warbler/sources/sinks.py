@@ -1,30 +1,50 @@
 """Writers. All are distributed; a single output file is made only from a small, aggregated
-result (``single_file=True``)."""
+result (``single_file=True``). An overwrite is staged: the earlier output stays until the new one is
+whole (see ``publish``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
+from warbler.sources.publish import replace
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).parquet(path)
+#: Bits of the bloom filters follow from this number of different values a row group.
+BLOOM_VALUES = 200_000
+
+
+def _written(df: DataFrame, path: str, mode: str, save: Callable[[DataFrameWriter, str], None]) -> str:
+    if mode == "overwrite":
+        return replace(df.sparkSession, path, lambda staging: save(df.write, staging))
+    save(df.write.mode(mode), path)
     return path
 
 
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    return _written(df, path, mode, lambda w, to: w.parquet(to))
+
+
 def write_tweet_table(tweets: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Tweet table as Parquet, sorted by hashtag inside each file so that a topic filter skips
-    row groups by their min/max statistics. No shuffle: a hot hashtag stays spread over tasks."""
-    tweets.sortWithinPartitions("hashtag").write.mode(mode).parquet(path)
-    return path
+    row groups by their min/max statistics; bloom filters on hashtag and mention skip those whose
+    range holds a value that the row group does not. No shuffle: a hot hashtag stays spread over
+    tasks."""
+    def save(writer: DataFrameWriter, to: str) -> None:
+        for column in ("hashtag", "mention"):
+            writer = (writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+                      .option(f"parquet.bloom.filter.expected.ndv#{column}", str(BLOOM_VALUES)))
+        writer.parquet(to)
+
+    return _written(tweets.sortWithinPartitions("hashtag"), path, mode, save)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> str:
     """CSV without a header, one part file per task. ``single_file`` sends every row through one
     task and is meant only for results whose size is bounded (a handful of rows)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", "false").csv(path)
-    return path
+    return _written(out, path, mode, lambda w, to: w.option("header", "false").csv(to))
 
 
 def format_pairs(counts: DataFrame, key: str = "record_type", count: str = "count") -> DataFrame:
@@ -51,7 +71,7 @@ def edge_list_lines(edges: DataFrame) -> DataFrame:
 def write_edge_list(edges: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Edge list readable by ``scan_edge_list``; written by all tasks in parallel. Quotes in a name
     are doubled and blanks around it stay, as the reader takes them."""
-    (edges.select("src", "dst", "weight").write.mode(mode).option("header", "false")
-     .option("escape", '"').option("ignoreLeadingWhiteSpace", "false")
-     .option("ignoreTrailingWhiteSpace", "false").csv(path))
-    return path
+    return _written(
+        edges.select("src", "dst", "weight"), path, mode,
+        lambda w, to: w.option("header", "false").option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(to))
