@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -102,3 +103,51 @@ def test_connected(spark):
         parent[root(a)] = root(b)
     pairs = {(root(x), label.get(x, x)) for e in edges for x in e}
     assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
+@pytest.mark.parametrize("edges, most", [([(i, i + 1) for i in range(300)], 40),
+                                         ([(i, 299 - i) for i in range(150)] + [(i, 300 - i) for i in range(1, 150)], 40)])
+def test_chains_take_few_rounds(spark, monkeypatch, edges, most):
+    """Tables written, one a step: a round per halving, a step per doubling."""
+    written = []
+    real = jaccard.table
+    monkeypatch.setattr(jaccard, "table", lambda df, name: written.append(name) or real(df, name))
+    labels = jaccard.connected(spark.createDataFrame(edges, "a long, b long"))
+    assert len({r.label for r in labels.collect()}) == 1 and labels.count() == 301 - (edges[0] != (0, 1))
+    assert len(written) <= most
+
+
+def test_parity_maps_never_differ_more_than_the_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(500):
+        pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+        a = np.unique(rng.choice(pool, rng.integers(1, 2000)))
+        b = np.unique(np.concatenate([rng.choice(a, len(a) // 2 + 1), rng.choice(pool, rng.integers(1, 100))]))
+        differ = sum(int(x).bit_count() for x in (jaccard.parities(a) ^ jaccard.parities(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+
+
+def test_hubs_long_texts_and_flushed_counts(spark, monkeypatch):
+    """A star with more partners than one place takes, a group of near copies that mostly don't link
+    with one another, and a text of 60,000 words and its near copy."""
+    monkeypatch.setattr(jaccard, "PARTNERS", 7)
+    monkeypatch.setattr(jaccard, "FLUSH", 10)
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(70)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):
+        w = list(base)
+        w[rng.randrange(70)] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    other = [f"c{i}" for i in range(70)]
+    for i in range(100, 150):  # two edits each and no base: few of these link
+        w = list(other)
+        for _ in range(2):
+            w[rng.randrange(70)] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    long = [rng.choice("abcdefgh") + str(rng.randrange(5000)) for _ in range(60_000)]
+    rows += [(900, " ".join(long)), (901, " ".join(long[:59_000])), (902, " ".join(long[:30_000]))]
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), words=3, num=90)
+    want = brute(rows, 3, 90, 100)
+    assert sorted(((r.id, r.n_shingles, r.component) for r in got.collect()), key=str) == want
+    assert len({c for i, _, c in want if 100 <= i < 150}) > 5

@@ -17,11 +17,14 @@ when ``den`` · |intersection| ≥ ``num`` · |union|.
    many comparisons as they have members. The last round compares every pair of classes that any of
    the kept pairs of kinds names, unless they are already in one component. So no link between
    components is lost, and none within one is needed.
+   Pairs whose sets differ in more shingles than a link allows, by maps of 512 parities that each
+   class has, are no rows of that join.
 5. Verification: the sets of the classes in a round's pairs are built again from their texts. Each
    pair (a, b) goes to b's place, where b's set is held while those of its partners stream by; a b
    with many partners has several places.
-6. Components: every class takes its smallest neighbour as parent, parents are followed, edges are
-   contracted, until none is left.
+6. Components: every class takes its smallest neighbour as parent, parents are followed to the end,
+   edges are contracted, until none is left. Which links a component has inside is not listed: the
+   components need only that each is connected.
 
 Rounds are cut by tables in the shared folder. No pairs, components or fingerprints come to the
 driver. What is sent to all tasks has a fixed size: the sketch (16 MB), and a bit table (1 MB) of the
@@ -37,12 +40,14 @@ their ids. Empty frames give no rows. Other columns are ignored, whatever their
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from warbler.llm.store import table
+from warbler.llm.store import table, tidy
 
 SKETCH_BITS = 24
 SKETCH_BLOCK = 1 << 16
@@ -50,8 +55,15 @@ REMEMBERED = 200_000
 _WORDS: dict[bytes, int] = {}
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
-ROWS = "id long, mark long, n long, class binary, group binary, prefix array<long>"
+#: Bits of a set's parity map (see ``parities``): as many longs as columns in a join.
+PARITY_BITS = 512
+PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
+
+ROWS = ("id long, mark long, n long, class binary, group binary, prefix array<long>, "
+        "parity array<long>")
 PARTNERS = 2000
+#: Texts counted in 16 bits before the counts are sent.
+FLUSH = 65_000
 NONE = -(1 << 63)
 
 
@@ -88,6 +100,14 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(_mixed(out))
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """For each of some bits, whether an odd number of shingles falls on it. Two maps differ in a bit
+    only where a shingle is in one of the sets alone, so the number of bits in which they differ is
+    at most that of such shingles."""
+    odd = np.bincount((h & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_size(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
@@ -96,6 +116,8 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
     """Four times the logarithm of how many documents have a shingle, by the shingle's first bits:
     2**24 bytes. A task counts in 16 bits and sends its counts before they could overflow."""
 
+    flush = FLUSH
+
     def parts_of(n):
         import zstandard
 
@@ -115,11 +137,12 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
                     h = shingles(text, words) >> np.uint64(64 - SKETCH_BITS)
                     n[h.astype(np.int64)] += np.uint16(1)  # shingles of one text that meet count once
                     docs_seen += 1
-                    if docs_seen == 65_000:
+                    if docs_seen == flush:
                         yield parts_of(n)
                         n[:], docs_seen = 0, 0
         yield parts_of(n)
         _WORDS.clear()  # the worker goes on to other tasks
+        tidy()
 
     def add(batches):
         import zstandard
@@ -150,7 +173,7 @@ def _signatures(levels, words: int, num: int, den: int):
         for batch in batches:
             ids = batch["id"]
             for lo in range(0, batch.num_rows, 500):
-                n, classes, groups, prefixes = [], [], [], []
+                n, classes, groups, prefixes, maps = [], [], [], [], []
                 for text in batch["text"].slice(lo, 500).to_pylist():
                     h = shingles(text, words)
                     n.append(len(h))
@@ -158,6 +181,7 @@ def _signatures(levels, words: int, num: int, den: int):
                         classes.append(None)
                         groups.append(None)
                         prefixes.append(None)
+                        maps.append(None)
                         continue
                     size = prefix_size(len(h), num, den)
                     rare = (level[(h >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
@@ -167,11 +191,14 @@ def _signatures(levels, words: int, num: int, den: int):
                     groups.append(hashlib.blake2b(p.tobytes() + len(h).to_bytes(8, "little"),
                                                   digest_size=16).digest())
                     prefixes.append(p)
+                    maps.append(parities(h))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, 500), batch["mark"].slice(lo, 500), pa.array(n, pa.int64()), pa.array(classes, pa.binary()),
-                     pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                    names=["id", "mark", "n", "class", "group", "prefix"])
+                     pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
+                     pa.array(maps, pa.list_(pa.int64()))],
+                    names=["id", "mark", "n", "class", "group", "prefix", "parity"])
         _WORDS.clear()
+        tidy()
 
     return run
 
@@ -234,6 +261,7 @@ def _build(words: int):
                     [part["place"], part["salt"], part["is_head"], part["node"],
                      pa.array(sets, pa.binary())], names=["place", "salt", "is_head", "node", "set"])
         _WORDS.clear()
+        tidy()
 
     return run
 
@@ -261,6 +289,7 @@ def _verify(num: int, den: int):
                     raise AssertionError("a pair without its head")
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                              names=["a", "b"])
+        tidy()
 
     return run
 
@@ -273,6 +302,13 @@ def _may_link(num: int, den: int, a: str, b: str):
     return (small * den >= large * num) & (most * (den + num) >= (na + nb) * num)
 
 
+def _near(num: int, den: int, a: str, b: str):
+    """Whether the parity maps of rows a and b allow a link. Sets that link differ in at most
+    (den - num) / (den + num) of the sum of their sizes."""
+    differ = sum((F.bit_count(F.col(f"{a}.{p}").bitwiseXOR(F.col(f"{b}.{p}"))) for p in PARITIES), F.lit(0))
+    return differ * (den + num) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (den - num)
+
+
 class _Join:
     """The rounds over one table of signatures."""
 
@@ -287,10 +323,12 @@ class _Join:
         groups = table(some.groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
                        .withColumn("gid", F.monotonically_increasing_id()), "jaccard-groups")
         classes = some.groupBy("class").agg(
-            F.min("id").alias("low"), F.min(F.struct("id", "mark")).alias("one"), F.first("group").alias("group"))
+            F.min("id").alias("low"), F.min(F.struct("id", "mark")).alias("one"),
+            F.first("group").alias("group"), F.first("parity").alias("parity"))
         self.classes = table(
-            classes.join(groups.select("group", "gid"), "group")
-            .select("class", "low", "one.id", "one.mark", "gid").withColumn(
+            classes.join(groups.select("group", "gid", "n"), "group")
+            .select("class", "low", "one.id", "one.mark", "gid", "n",
+                    *[F.col("parity")[i].alias(p) for i, p in enumerate(PARITIES)]).withColumn(
                 "node", F.monotonically_increasing_id()), "jaccard-classes")
         every = groups.select("gid", F.col("n").cast("int").alias("n"),
                               F.posexplode("prefix").alias("place", "shingle"))
@@ -311,10 +349,15 @@ class _Join:
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that link."""
         pairs = table(pairs, "jaccard-pairs")
-        heads = (pairs.groupBy(F.col("b").alias("place"))
-                 .agg((F.ceil(F.count(F.lit(1)) / PARTNERS)).cast("int").alias("salts")))
-        partners = (pairs.join(heads, F.col("b") == F.col("place"))
-                    .select("place", F.pmod(F.xxhash64("a"), "salts").cast("int").alias("salt"),
+        heads = table(pairs.groupBy(F.col("b").alias("place"))
+                      .agg((F.ceil(F.count(F.lit(1)) / PARTNERS)).cast("int").alias("salts")),
+                      "jaccard-heads")
+        # A table of its own, a row per PARTNERS pairs at most: few rows are sent to all tasks, many
+        # are joined, and then the rows of a hot head are split.
+        hot = table(heads.filter("salts > 1"), "jaccard-hot-heads")
+        salt = F.pmod(F.xxhash64("a"), F.coalesce("salts", F.lit(1))).cast("int")
+        partners = (pairs.join(hot, F.col("b") == F.col("place"), "left")
+                    .select(F.col("b").alias("place"), salt.alias("salt"),
                             F.lit(False).alias("is_head"), F.col("a").alias("node")))
         each = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
         asks = partners.union(heads.select("place", each.alias("salt"), F.lit(True).alias("is_head"),
@@ -336,11 +379,12 @@ class _Join:
         pairs of their first (last) classes; and each class with that of its group. Pairs that are in
         one component already are left out."""
         one = self.index.groupBy("shingle").agg(best(F.struct("gid", "n", "place")).alias("one"))
-        across = (self.index.alias("x").join(one.select("shingle", "one.*").alias("y"),
+        one = table(one.select("shingle", "one.*"), "jaccard-one")
+        across = (self.index.alias("x").join(one.alias("y"),
                                              F.col("x.shingle") == F.col("y.shingle"))
                   .filter((F.col("x.gid") != F.col("y.gid")) & _may_link(self.num, self.den, "x", "y"))
                   .groupBy(F.col("x.gid").alias("x")).agg(best("y.gid").alias("y")))
-        heads = self.members.groupBy("gid").agg(best("node").alias("head"))
+        heads = table(self.members.groupBy("gid").agg(best("node").alias("head")), "jaccard-first")
         across = (across.join(heads.select(F.col("gid").alias("x"), F.col("head").alias("a")), "x")
                   .join(heads.select(F.col("gid").alias("y"), F.col("head").alias("b")), "y").select("a", "b"))
         inside = (self.members.join(heads, "gid").filter("node != head")
@@ -355,23 +399,31 @@ class _Join:
 
     def all_left(self, labels: DataFrame) -> DataFrame:
         """All pairs that may link and are not in one component."""
-        marked = table(self.members.join(labels, "node", "left")
-                       .select("gid", "node", F.coalesce("label", "node").alias("label")), "jaccard-labels")
+        marked = table(self.classes.select("gid", "node", "n", *PARITIES).join(labels, "node", "left")
+                       .select("gid", "node", "n", F.coalesce("label", "node").alias("label"), *PARITIES),
+                       "jaccard-labels")
         used = (self.pairs.select("shingle", F.col("na").alias("n"), F.col("pa").alias("place"))
                 .union(self.pairs.select("shingle", "nb", "pb")).distinct())
-        entries = table(self.index.join(used, ["shingle", "n", "place"]).join(marked, "gid")
-                        .select("shingle", "n", "place", "node", "label"), "jaccard-entries")
+        entries = table(self.index.join(used, ["shingle", "n", "place"])
+                        .join(marked.drop("n"), "gid")
+                        .select("shingle", "n", "place", "node", "label", *PARITIES), "jaccard-entries")
         mixed = (entries.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
                  .filter("lo != hi").select("shingle"))
         entries = table(entries.join(mixed, "shingle"), "jaccard-entries-mixed")
-        x = entries.select("shingle", F.col("n").alias("na"), F.col("place").alias("pa"),
-                           F.col("node").alias("a"), F.col("label").alias("la"))
-        y = entries.select("shingle", F.col("n").alias("nb"), F.col("place").alias("pb"),
-                           F.col("node").alias("b"), F.col("label").alias("lb"))
-        across = (self.pairs.join(x, ["shingle", "na", "pa"]).join(y, ["shingle", "nb", "pb"])
-                  .filter("la != lb").select("a", "b"))
+        # Pairs of entries whose sets can't link by their parity maps are no rows of the join.
+        x, y = entries.alias("x"), entries.alias("y")
+        kinds = self.pairs.alias("k")
+        of_x = [F.col(f"k.{k}") == F.col(f"x.{c}") for k, c in
+                (("shingle", "shingle"), ("na", "n"), ("pa", "place"))]
+        of_y = [F.col(f"k.{k}") == F.col(f"y.{c}") for k, c in
+                (("shingle", "shingle"), ("nb", "n"), ("pb", "place"))]
+        near = _near(self.num, self.den, "x", "y")
+        across = (kinds.join(x, reduce(and_, of_x))
+                  .join(y, reduce(and_, [*of_y, F.col("x.label") != F.col("y.label"), near]))
+                  .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
         m, o = marked.alias("m"), marked.alias("o")
-        inside = (m.join(o, (F.col("m.gid") == F.col("o.gid")) & (F.col("m.label") < F.col("o.label")))
+        inside = (m.join(o, (F.col("m.gid") == F.col("o.gid")) & (F.col("m.label") < F.col("o.label"))
+                         & _near(self.num, self.den, "m", "o"))
                   .select(F.col("m.node").alias("a"), F.col("o.node").alias("b")))
         return (across.union(inside).select(F.least("a", "b").alias("a"),
                                             F.greatest("a", "b").alias("b")).distinct())
@@ -379,8 +431,10 @@ class _Join:
 
 def connected(edges: DataFrame) -> DataFrame:
     """``node, label``: the components of (a, b), each named by one of its nodes. Every round each
-    node takes its smallest neighbour as parent, if that is smaller than itself, and edges are drawn
-    between parents instead; a component at least halves."""
+    node takes its smallest neighbour as parent, if that is smaller than itself; parents are followed
+    to the end, in steps that double; and edges are drawn between those ends instead. An end is
+    smaller than all its neighbours, so no two ends are neighbours: a component at least halves with
+    each round, and a round takes as many steps as the logarithm of its longest chain."""
     edges = table(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .filter("a != b").distinct(), "components-edges")
     labels = None
@@ -388,9 +442,14 @@ def connected(edges: DataFrame) -> DataFrame:
         ends = edges.union(edges.select("b", "a"))
         parents = table(ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b"))
                         .select("node", F.least("node", "b").alias("label")), "components-parents")
-        up = parents.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        parents = table(parents.join(up, "label").select("node", F.col("up").alias("label")),
-                        "components-parents")
+        while True:
+            up = parents.select(F.col("node").alias("label"), F.col("label").alias("up"))
+            followed = table(parents.select("node", "label").join(up, "label").select(
+                "node", F.col("up").alias("label"), (F.col("up") != F.col("label")).alias("moved")),
+                "components-parents")
+            parents = followed.select("node", "label")
+            if followed.filter("moved").isEmpty():
+                break
         if labels is None:
             labels = parents
         else:
