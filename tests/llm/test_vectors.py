@@ -67,7 +67,7 @@ def test_nearest(spark, rows):
     asked = df.filter(F.col("vec_id") % 20 == 0)
     data = part(rows, False)
     for index, most in ((multi_index.fit(df, cells=6), 300), (multi_index.fit(df, sample=100), 10_000)):
-        got = multi_index.search(df, asked, index, k=10, candidates=most, slice_rows=40).collect()
+        got = multi_index.search(df, asked, index, k=10, candidates=most, block=17).collect()
         found = {}
         for r in sorted(got, key=lambda r: r.rank):
             found.setdefault(r.query_id, []).append((r.score, r.id))
@@ -111,3 +111,56 @@ def test_best_keeps_ties_to_smaller_ids():
     best.add(np.array([0]), np.array([3]), np.array([7]))
     assert best.id[best.query == 0].tolist() == [3, 4]
     assert best.least.tolist() == [7, -np.inf]
+
+
+def test_recall_of_the_defaults(spark):
+    """What op1 does: fit and search without any number given, over well more rows than the least
+    number of candidates."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(0, 1, (40, 24))
+    x = np.concatenate([centres[rng.integers(0, 40, 3800)] + rng.normal(0, 0.6, (3800, 24)), rng.normal(0, 1, (200, 24))])
+    df = make(spark, list(enumerate(x.astype(np.float32).tolist()))).repartition(4)
+    index = multi_index.fit(df)
+    assert max(1000, index.share * len(x)) < 0.8 * len(x)
+    got = multi_index.search(df, df.filter(F.col("vec_id") % 20 == 0), index).collect()
+    y, hits = x.astype(np.float32).astype(float), 0
+    found = {}
+    for r in got:
+        found.setdefault(r.query_id, set()).add(r.id)
+    for q in range(0, len(x), 20):
+        d = np.sqrt(((y - y[q]) ** 2).sum(1))
+        d[q] = np.inf
+        hits += len(found[q] & set(np.argsort(d, kind="stable")[:10].tolist()))
+    assert len(found) == 200 and hits >= 0.9 * 2000
+
+
+def test_fits_agree(spark, rows):
+    df = make(spark, rows)
+    a, b = multi_index.fit(df.repartition(7), sample=50), multi_index.fit(df.repartition(2), sample=50)
+    assert a.share == b.share and all((x == y).all() for x, y in zip(a.halves, b.halves))
+
+
+def test_queries_come_in_blocks(spark, rows):
+    """A block is answered before the next one comes, and none is larger than it may be."""
+    from warbler.llm.vectors import by_blocks, select
+
+    df, seen = make(spark, rows), []
+
+    def answer(block):
+        seen.append(block.num_rows)
+        return spark.createDataFrame([(i,) for i in block["id"].to_pylist()], "id long")
+
+    asked = select(df, "vec_id", "embedding").filter("id is not null")
+    got = by_blocks(asked, 50, answer)
+    assert got.count() == asked.count() and len(seen) > 10 and max(seen) < 120
+
+
+def test_bounds_prune_smooth_vectors():
+    """Vectors whose neighbouring components are alike leave few pairs to the exact measure; noise
+    leaves nearly all (see the README)."""
+    rng = np.random.default_rng(3)
+    smooth = np.cumsum(rng.normal(0, 1, (600, 64)), axis=1).round()
+    left = exact.survivors(smooth, smooth[:30], 5)
+    assert left == sorted(left, reverse=True) and left[-1] < 0.1 * 600 * 30
+    noise = rng.normal(0, 256, (600, 64)).round()
+    assert exact.survivors(noise, noise[:30], 5)[-1] > 0.3 * 600 * 30

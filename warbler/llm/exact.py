@@ -11,8 +11,9 @@ and goes through its rows batch by batch. A pair whose bound at 1, 2, 4, … seg
 query's k-th best so far is dropped, coarse to fine; the exact measure is computed for the pairs that
 are left. Every pair is bounded, none is skipped, so the result is exact.
 
-Rows stay where they are read; the queries are sent to the tasks in blocks of ``block`` at most
-(whatever their number), and a task returns k rows a query.
+Rows stay where they are read; the queries are sent to the tasks in blocks of about ``block``, one
+block after the other (whatever their number), and a task returns k rows a query. ``survivors`` tells
+how many pairs are left after each resolution.
 
 Scores are inner products of the vectors turned into integers floor(scale·x), in exact integer
 arithmetic; a score beyond 64 bits is held at the ends of their range.
@@ -24,13 +25,11 @@ candidates than k: all. Empty frames give no rows. Other columns are ignored, wh
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from warbler.llm.vectors import Best, dimensions, distinct_queries, in_blocks, matrix, ranked, select
+from warbler.llm.vectors import Best, by_blocks, dimensions, distinct_queries, matrix, ranked, select
 
 FOUND = "query_id long, id long, score long"
 
@@ -77,12 +76,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id
     rows = select(vectors, key, vector)
     dims = dimensions(rows)
     asked = distinct_queries(select(queries, key, vector))
-    found = [rows.mapInArrow(_search(spark.sparkContext.broadcast(matrix(t["id"], t["vec"], dims)),
-                                     dims, k, scale), FOUND)
-             for t in (in_blocks(asked, block) if dims else [])]
-    if not found:
+    sc = spark.sparkContext
+
+    def answer(block: pa.Table) -> DataFrame:
+        shared = sc.broadcast(matrix(block["id"], block["vec"], dims))
+        return rows.mapInArrow(_search(shared, dims, k, scale), FOUND)
+
+    found = by_blocks(asked, block, answer) if dims else None
+    if found is None:
         return spark.createDataFrame([], "query_id long, rank int, id long, score long")
-    return ranked(reduce(DataFrame.unionByName, found), k, nearest=False)
+    return ranked(found, k, nearest=False)
+
+
+def survivors(x: np.ndarray, q: np.ndarray, k: int) -> list[int]:
+    """How many pairs of rows of ``x`` and of ``q`` their bounds leave, at each resolution, with each
+    query's k-th best inner product known: the least that any order of the rows leaves."""
+    exact = x @ q.T
+    least = np.partition(exact, len(x) - k, axis=0)[len(x) - k] - 1e-6 if len(x) >= k else np.full(len(q), -np.inf)
+    alive, out = np.ones(exact.shape, bool), []
+    for s in resolutions(x.shape[1]):
+        alive &= statistics(x, s) @ statistics(q, s).T >= least
+        out.append(int(alive.sum()))
+    return out
 
 
 def _search(queries, dims: int, k: int, scale: float):

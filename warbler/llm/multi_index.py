@@ -10,11 +10,12 @@ own rows, and takes the share of the sample that holds ``recall`` of their neigh
 summed distance. In a larger table neighbours are nearer, so the share errs on the safe side. Vectors
 that lie in clusters need a small share; noise in many dimensions needs a large one.
 
-Rows are dealt out by (first centroid, slice), with a slice for each ``slice_rows`` rows of a first
-centroid, so a pair that holds a third of the table is spread; a query visits a slice once, with the
-list of second centroids that it asks for. Equal vectors count once, so copies don't end a search
-early. Within a task the visitors of a slice are compared to its rows with one matrix product, and a
-task keeps the k best of each query it has seen.
+The index is the table dealt out and sorted by ranges of (pair, id), so a pair that holds a third of
+the table is spread over tasks; it is written once, and its rows stay where they are. Queries are sent
+to the tasks in blocks of about ``block``, one block after the other. What a query's heap has gone
+through is told by one number, the summed distance of the last pair: rows of a task's next pairs
+are compared to the queries that reach one of them, with one matrix product, and a task keeps the k
+best of each query. Equal vectors count once, so copies don't end a search early.
 
 The centroids and the pairs' counts are sent to the tasks: ``cells`` is at most 1024, so they are
 1024² counts at most, whatever the table holds.
@@ -36,11 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from warbler.llm.store import table
-from warbler.llm.vectors import Best, dimensions, distinct_queries, matrix, ranked, select
+from warbler.llm.vectors import Best, by_blocks, dimensions, distinct_queries, matrix, ranked, select
 
 MOST_CELLS = 1024
 ENTRIES = "pair int, id long, vec array<double>"
-ROWS = "first int, slice int, asks int, id long, vec array<double>, second array<int>"
+ASKED = "id long, vec array<double>, radius double"
 FOUND = "query_id long, id long, score double"
 
 
@@ -90,14 +91,17 @@ def fit(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
         return None
     n = rows.filter("id is not null").count()
     share = min(1.0, sample / n)
-    chosen = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20))))
-    got = chosen.limit(2 * sample).toArrow()
-    _, x = matrix(got["id"], got["vec"], dims, zeros=False)
+    # The smallest hashes of ids, so that runs agree; a bound on the hash spares sorting the table.
+    hashed = F.pmod(F.xxhash64("id"), F.lit(1 << 40))
+    x = np.empty((0, dims))
+    for most in (share, 1.0):
+        chosen = (rows.withColumn("hash", hashed).filter(F.col("hash") < math.ceil(most * (1 << 40)))
+                  .orderBy("hash", "id", "vec").limit(2 * sample).toArrow())
+        _, x = matrix(chosen["id"], chosen["vec"], dims, zeros=False)
+        if len(x) or most == 1.0:
+            break
     if not len(x):
-        got = rows.filter("id is not null").limit(sample).toArrow()
-        _, x = matrix(got["id"], got["vec"], dims, zeros=False)
-        if not len(x):
-            return None
+        return None
     cells = cells or int(min(MOST_CELLS, max(4, round(math.sqrt(n / 4)))))
     cut = dims // 2
     index = Index(dims, (k_means(x[:, :cut], cells), k_means(x[:, cut:], cells)))
@@ -143,60 +147,31 @@ def _lists(x: np.ndarray) -> pa.Array:
 
 def search(vectors: DataFrame, queries: DataFrame, index: Index | None, k: int = 10,
            key: str = "vec_id", vector: str = "embedding", candidates: int | None = None,
-           slice_rows: int = 2000) -> DataFrame:
+           block: int = 2048) -> DataFrame:
     """``query_id, rank, id, score``: the nearest rows each query finds, by Euclidean distance."""
     spark = vectors.sparkSession
+    nothing = spark.createDataFrame([], "query_id long, rank int, id long, score double")
     if index is None:
-        return spark.createDataFrame([], "query_id long, rank int, id long, score double")
+        return nothing
     sc = spark.sparkContext
     model = sc.broadcast(index)
-    entries = table(assign(vectors, model, key, vector), "multi-index")
-    sizes = entries.groupBy("pair").agg(F.count(F.lit(1)).alias("n"),
-                                        F.approx_count_distinct(F.xxhash64("vec")).alias("distinct")).toArrow()
-    n = np.zeros(index.cells * len(index.halves[1]), np.int64)
-    weight = n.copy()
-    n[sizes["pair"].to_numpy()] = sizes["n"].to_numpy()
+    entries = table(assign(vectors, model, key, vector).repartitionByRange("pair", "id")
+                    .sortWithinPartitions("pair", "id"), "multi-index")
+    sizes = entries.groupBy("pair").agg(F.approx_count_distinct(F.xxhash64("vec")).alias("distinct")).toArrow()
+    weight = np.zeros(index.cells * len(index.halves[1]), np.int64)
     weight[sizes["pair"].to_numpy()] = sizes["distinct"].to_numpy()
     if candidates is None:
         candidates = max(1000, math.ceil(index.share * weight.sum()))
-    # Rows of a first centroid: a slice for each slice_rows.
-    slices = np.maximum(1, -(-n.reshape(index.cells, -1).sum(1) // slice_rows)).astype(np.int32)
-    shared = sc.broadcast((index, weight, slices, candidates))
-
-    asked = distinct_queries(select(queries, key, vector))
-    both = (entries.withColumn("task", F.spark_partition_id()).mapInArrow(_deal(shared), ROWS)
-            .unionByName(asked.mapInArrow(_visit(shared), ROWS)))
-    found = (both.repartition("first", "slice").sortWithinPartitions("first", "slice", "asks")
-             .mapInArrow(_rerank(index.dims, k), FOUND))
-    return ranked(found, k, nearest=True)
-
-
-def _rows(first, slice_, asks: int, ids, x, second) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(first, pa.int32()), pa.array(slice_, pa.int32()),
-         pa.array(np.full(len(ids), asks), pa.int32()), pa.array(ids, pa.int64()), _lists(x),
-         pa.array(second, pa.list_(pa.int32()))],
-        names=["first", "slice", "asks", "id", "vec", "second"])
-
+    asked = distinct_queries(select(queries, key, vector)).mapInArrow(
+        _reach(sc.broadcast((index, weight, candidates))), ASKED)
 
-def _deal(shared):
-    """Entries in turn over the slices of their first centroid."""
+    def answer(block: pa.Table) -> DataFrame:
+        x = block["vec"].combine_chunks().flatten().to_numpy().reshape(block.num_rows, -1)
+        shared = sc.broadcast((index, block["id"].to_numpy(), x, block["radius"].to_numpy()))
+        return entries.mapInArrow(_rerank(shared, k), FOUND)
 
-    def run(batches):
-        index, _, slices, _ = shared.value
-        at = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = batch["task"][0].as_py() if at is None else at
-            first, second = np.divmod(batch["pair"].to_numpy(), len(index.halves[1]))
-            ids = batch["id"].to_numpy()
-            x = batch["vec"].flatten().to_numpy().reshape(len(ids), -1)
-            yield _rows(first, (np.arange(len(first)) + at) % slices[first], 0, ids, x,
-                        second.reshape(-1, 1).tolist())
-            at += len(first)
-
-    return run
+    found = by_blocks(asked, block, answer)
+    return nothing if found is None else ranked(found, k, nearest=True)
 
 
 def nearest_pairs(first: np.ndarray, second: np.ndarray, weight: np.ndarray, enough: int) -> list[int]:
@@ -218,74 +193,55 @@ def nearest_pairs(first: np.ndarray, second: np.ndarray, weight: np.ndarray, eno
     return out
 
 
-def _visit(shared):
-    """A row for each slice of each first centroid that a query goes to, with the second ones."""
+def _reach(shared):
+    """Queries with the summed distance of the last pair that their heap goes through."""
 
     def run(batches):
-        index, weight, slices, enough = shared.value
+        index, weight, enough = shared.value
         for batch in batches:
             ids, x = matrix(batch["id"], batch["vec"], index.dims, zeros=False)
             first, second = index.distances(x)
+            radius = np.full(len(ids), -1.0)
             for i in range(len(ids)):
-                pairs = np.sort(nearest_pairs(first[i], second[i], weight, enough))
-                a, b = np.divmod(pairs, len(index.halves[1]))
-                cuts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else a
-                units, numbers, asked = [], [], []
-                for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(a)]):
-                    n, wanted = int(slices[a[lo]]), b[lo:hi].tolist()
-                    units += [int(a[lo])] * n
-                    numbers += range(n)
-                    asked += [wanted] * n
-                who = [i] * len(units)
-                yield _rows(np.array(units, np.int32), np.array(numbers, np.int32), 1, ids[who], x[who],
-                            asked)
+                if pairs := nearest_pairs(first[i], second[i], weight, enough):
+                    a, b = divmod(pairs[-1], len(index.halves[1]))
+                    radius[i] = first[i][a] + second[i][b]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), _lists(x), pa.array(radius)],
+                                             names=["id", "vec", "radius"])
 
     return run
 
 
-def _rerank(dims: int, k: int):
-    """Sorted by first, slice and asks: a slice's entries come first, then who visits it."""
+def _rerank(shared, k: int):
+    """Entries, sorted by pair, against the queries that reach their pairs."""
 
     def run(batches):
-        best, number = Best(0, k, np.float64), {}
-        here, held = None, []
+        index, query_ids, q, radius = shared.value
+        first, second = index.distances(q)
+        # Distances are worked out in other batches than the radius was: rounding may not lose a pair.
+        radius = (radius + 1e-9 * (first.max(1) + second.max(1)))[:, None]
+        best = Best(len(q), k, np.float64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            first, part, asks = (batch[c].to_numpy() for c in ("first", "slice", "asks"))
-            ids = batch["id"].to_numpy()
-            x = batch["vec"].flatten().to_numpy().reshape(len(ids), dims)
-            second = batch["second"]
-            cuts = np.flatnonzero((np.diff(first) != 0) | (np.diff(part) != 0) | (np.diff(asks) != 0)) + 1
-            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]):
-                if here != (first[lo], part[lo]):
-                    here, held = (first[lo], part[lo]), []
-                if not asks[lo]:
-                    held.append((ids[lo:hi], x[lo:hi], second.slice(lo, hi - lo).flatten().to_numpy()))
-                elif held:
-                    if len(held) > 1:
-                        held = [tuple(np.concatenate(c) for c in zip(*held))]
-                    for at in range(lo, hi, 256):
-                        end = min(at + 256, hi)
-                        _compare(best, number, ids[at:end], x[at:end], second.slice(at, end - at), *held[0])
-        names = np.array(list(number), np.int64)
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                ids, x = part["id"].to_numpy(), part["vec"].flatten().to_numpy().reshape(part.num_rows, -1)
+                a, b = np.divmod(part["pair"].to_numpy(), len(index.halves[1]))
+                wanted = first[:, a] + second[:, b] <= radius
+                who = np.flatnonzero(wanted.any(1))
+                rows = np.flatnonzero(wanted.any(0))
+                if len(who):
+                    _compare(best, who, query_ids[who], q[who], wanted[np.ix_(who, rows)], ids[rows], x[rows])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names[best.query]), pa.array(best.id), pa.array(-best.score)],
+            [pa.array(query_ids[best.query]), pa.array(best.id), pa.array(-best.score)],
             names=["query_id", "id", "score"])
 
     return run
 
 
-def _compare(best: Best, number: dict, query_ids, q, asked, ids, x, second) -> None:
-    """Adds to ``best`` (of negative distances) what these queries find among the rows whose second
-    centroid they ask for."""
-    who = np.array([number.setdefault(i, len(number)) for i in query_ids.tolist()])
-    if len(number) > len(best.least):
-        best.least = np.append(best.least, np.full(len(number) - len(best.least), -np.inf))
+def _compare(best: Best, who: np.ndarray, query_ids, q, wanted, ids, x) -> None:
+    """Adds to ``best`` (of negative distances) what the queries ``who`` find among the wanted rows."""
     d = squared(q, x)
-    wanted = np.zeros((len(q), max(int(second.max()), int(asked.flatten().to_numpy().max())) + 1), bool)
-    wanted[np.repeat(np.arange(len(q)), np.diff(asked.offsets.to_numpy())), asked.flatten().to_numpy()] = True
-    d[~wanted[:, second] | (query_ids[:, None] == ids[None, :])] = np.inf
+    d[~wanted | (query_ids[:, None] == ids[None, :])] = np.inf
     # The k nearest by the rounded distances, and all that rounding may hide among them.
     slack = 1e-9 * ((q * q).sum(1) + (x * x).sum(1).max())
     limit = np.partition(d, best.k - 1, axis=1)[:, best.k - 1] if d.shape[1] > best.k else np.inf

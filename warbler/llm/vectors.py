@@ -1,4 +1,4 @@
-"""What the vector searches share: which rows take part, query blocks, and k best per query.
+"""What the vector searches share: which rows take part, blocks of queries, and k best per query.
 
 A vector takes part if its id and vector are not null, it has no null or non-finite component, and
 its length is the most common one of the table (ties: the longer).
@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from warbler.llm.store import table
+
 
 def select(df: DataFrame, key: str, vector: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias("id"),
@@ -45,13 +47,19 @@ def distinct_queries(rows: DataFrame) -> DataFrame:
     return rows.filter("id is not null and vec is not null").groupBy("id").agg(F.min("vec").alias("vec"))
 
 
-def in_blocks(queries: DataFrame, size: int):
-    """The queries as Arrow tables of about ``size`` rows: what is sent to the tasks at once has
-    this bound, whatever the number of queries."""
+def by_blocks(queries: DataFrame, size: int, answer) -> DataFrame | None:
+    """The union of what ``answer(block)`` finds for blocks of about ``size`` queries, None without
+    any. A block is an Arrow table; it is answered, and its answer written, before the next one comes
+    to the driver, so the driver and the tasks hold one block, whatever the number of queries."""
+    queries = table(queries, "search-queries")
     blocks = max(1, -(-queries.count() // size))
-    dealt = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    dealt, found = F.pmod(F.xxhash64("id"), F.lit(blocks)), None
     for b in range(blocks):
-        yield dealt.filter(F.col("block") == b).select("id", "vec").toArrow()
+        own = queries.filter(dealt == b).toArrow()
+        if own.num_rows:
+            part = table(answer(own), "search-found")
+            found = part if found is None else found.unionByName(part)
+    return found
 
 
 class Best:
