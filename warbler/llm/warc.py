@@ -13,9 +13,11 @@ that occur more than once are stored once: of the records with equal payloads of
 name it in ``WARC-Refers-To`` and carry the payload's digest and length, but no payload.
 
 Choosing the responses aggregates (payload digest, page id) before any shuffle, so a payload with a
-third of all pages is a row per task. Only digests that occur twice are joined back; both sides are
-salted, as a task's pages of a hot payload would else meet in one task. Each task writes one
-archive, holding the records of ``sample_bytes`` at most until its dictionary is made.
+third of all pages is a row per task. Only digests that occur twice are joined back, from a table of
+their own: few are sent to the tasks, and pages stay where they are read; with many, pages are dealt
+by digest, those that have none to share by a hash of their own, and Spark splits the pages of a hot
+payload, as the other side has one row for it. Each task writes one archive, holding the records of
+``sample_bytes`` at most until its dictionary is made.
 
 Defined results. Null html or url: empty. A null page id is written as such and is a response only
 if no other page has its payload. Repeated rows are records of their own; those with the winning
@@ -39,7 +41,6 @@ from warbler.llm.store import create, folder, open_stream, table
 MAGIC = 0x184D2A5D
 ZSTD_MAGIC = 0xFD2FB528
 DATE = "2009-06-01T00:00:00Z"
-SALTS = 64
 RECORDS = "page_id long, url string, html binary, digest string, refers_to long, response boolean"
 PARTS = "file string, records long"
 PAGES = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
@@ -53,16 +54,16 @@ def with_revisits(pages: DataFrame, revisit_bytes: int = 1000) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"),
                         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
                         html.alias("html"))
-    # SHA-256 tells payloads apart; SHA-1 is what the archive reports.
+    # SHA-256 tells payloads apart; SHA-1 is what the archive reports. Payloads that are too short to
+    # be revisited have 8 bytes instead of 32, which meet nothing.
+    long = F.octet_length("html") >= revisit_bytes
+    own = F.to_binary(F.lpad(F.hex(F.xxhash64("page_id", "url")), 16, "0"), F.lit("hex"))
     rows = (rows.withColumn("digest", F.sha1("html"))
-            .withColumn("same", F.when(F.octet_length("html") >= revisit_bytes,
-                                       F.unhex(F.sha2("html", 256)))))
-    # A row of its own salt: the hash spreads equal payloads, page by page.
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    kept = (rows.filter("same is not null").groupBy("same")
-            .agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-            .select("same", "kept", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
-    joined = rows.join(kept, ["same", "salt"], "left")
+            .withColumn("same", F.when(long, F.unhex(F.sha2("html", 256))).otherwise(own)))
+    kept = table(rows.filter(long).groupBy("same")
+                 .agg(F.max("page_id").alias("kept"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+                 .select("same", "kept"), "warc-kept")
+    joined = rows.join(kept, "same", "left")
     response = F.col("kept").isNull() | F.col("page_id").eqNullSafe(F.col("kept"))
     return joined.select("page_id", "url", "html", "digest",
                          F.when(~response, F.col("kept")).alias("refers_to"),
