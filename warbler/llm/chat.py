@@ -198,18 +198,22 @@ def _digests(rows):
 
 
 def events_of_turns(turns: DataFrame) -> DataFrame:
-    """A log in which every row of (conv_id, turn, role, text) is said in two streamed deltas.
-    Rows of one turn are messages of their own; ``message`` must number them (see ``numbered``)."""
+    """A log in which every row of (conv_id, turn, role, text) is said in six events: it is opened,
+    a draft (the second half of the text) is streamed and regenerated, a slip is streamed, an edit
+    puts the first half in its place, and the second half is streamed after it. Rows of one turn are
+    messages of their own; ``message`` must number them (see ``numbered``)."""
     text = F.coalesce(F.col("text"), F.lit(""))
     half = F.floor(F.length("said") / 2).cast("int")
-    step = F.explode(F.array(
-        F.struct(F.lit(0).alias("part"), F.lit("message").alias("kind"), F.lit("").alias("text")),
-        F.struct(F.lit(1).alias("part"), F.lit("delta").alias("kind"),
-                 F.col("said").substr(F.lit(1), half).alias("text")),
-        F.struct(F.lit(2).alias("part"), F.lit("delta").alias("kind"),
-                 F.col("said").substr(half + 1, F.length("said")).alias("text"))))
+    head = F.col("said").substr(F.lit(1), half)
+    tail = F.col("said").substr(half + 1, F.length("said"))
+    slip = F.concat(F.col("said").substr(1, 8), F.lit("?"))
+    steps = [("message", F.lit("")), ("delta", tail), ("regenerate", F.lit("")), ("delta", slip),
+             ("edit", head), ("delta", tail)]
+    step = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("part"), F.lit(kind).alias("kind"), said.alias("text"))
+        for i, (kind, said) in enumerate(steps)]))
     return (turns.withColumn("said", text).select("conv_id", "message", "role", "said", step.alias("e"))
-            .select("conv_id", (F.col("message") * 3 + F.col("e.part")).alias("seq"), "message",
+            .select("conv_id", (F.col("message") * len(steps) + F.col("e.part")).alias("seq"), "message",
                     "e.kind", "role", "e.text"))
 
 
@@ -227,9 +231,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def numbered(turns: DataFrame) -> DataFrame:
     """Adds ``message``: a number that orders a conversation's rows by turn, ties by a hash of role
     and text. Rows are dealt out and sorted by ranges; the number is the range's and the row's within it, so no
-    conversation is gathered to count its rows."""
-    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "tie")]
-    return (turns.withColumn("tie", F.xxhash64("role", "text"))
+    conversation is gathered to count its rows. Equal rows, which may be many, are told apart by where
+    they were read, so that ranges can split them."""
+    order = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "tie", "place")]
+    return (turns.withColumns({"tie": F.xxhash64("role", "text"), "place": F.monotonically_increasing_id()})
             .repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("message", F.monotonically_increasing_id()))
 
