@@ -47,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from warbler.llm.store import table, tidy
+from warbler.llm.store import fresh, table, tidy
 
 SKETCH_BITS = 24
 SKETCH_BLOCK = 1 << 16
@@ -497,20 +497,22 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     first = F.min(F.struct("no_id", "id", "mark")).alias("first")
     named = grouped.filter("component is not null").groupBy("component").agg(first)
     nameless = grouped.filter("component is null").select(F.struct("no_id", "id", "mark").alias("first"))
-    times = found.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("_rows"))
+    id_name, mark, one, rows, rank = fresh(docs, "_id", "_mark", "_one", "_rows", "_rank")
+    times = found.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("times"))
     kept = (named.select("first.*").union(nameless.select("first.*"))
-            .select("id", "mark", F.lit(True).alias("_one"))
+            .select("id", "mark", F.lit(True).alias("one"))
             .union(found.filter("n_shingles = 0").select("id", "mark", F.lit(False))).distinct())
     kept = (kept.alias("k").join(times.alias("t"), F.col("k.id").eqNullSafe(F.col("t.id"))
                                  & F.col("k.mark").eqNullSafe(F.col("t.mark")))
-            .select(F.col("k.id").alias("_id"), F.col("k.mark").alias("_mark"), "_one", "_rows"))
-    on = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text)) == F.col("_mark"))
+            .select(F.col("k.id").alias(id_name), F.col("k.mark").alias(mark),
+                    F.col("one").alias(one), F.col("times").alias(rows)))
+    on = F.col(key).cast("long").eqNullSafe(F.col(id_name)) & (F.xxhash64(F.col(text)) == F.col(mark))
     joined = docs.join(table(kept, "jaccard-kept"), on)
     # Equal rows of one id: only they are brought together again.
-    again = F.col("_one") & (F.col("_rows") > 1)
-    rank = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy("_one"))
-    first = joined.filter(again).withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
-    return joined.filter(~again).unionByName(first).drop("_id", "_mark", "_one", "_rows")
+    again = F.col(one) & (F.col(rows) > 1)
+    nth = F.row_number().over(Window.partitionBy(id_name, mark).orderBy(one))
+    first = joined.filter(again).withColumn(rank, nth).filter(F.col(rank) == 1).drop(rank)
+    return joined.filter(~again).unionByName(first).select(*docs.columns)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

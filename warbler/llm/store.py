@@ -21,6 +21,17 @@ from pyspark.sql import DataFrame, SparkSession
 from warbler.session import scratch_path
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to clash with no column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def folder(spark: SparkSession, name: str) -> str:
     """A new URI under the shared folder."""
     path = scratch_path(spark, name)

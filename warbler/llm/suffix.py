@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from warbler.llm.store import create, exists, folder, table, view
+from warbler.llm.store import create, exists, folder, fresh, table, tidy, view
 
 GRAM = 25
 BLOCK_BYTES = 2 << 20
@@ -602,28 +602,29 @@ def _merge_team(length: int, more: bool):
     return run
 
 
-KEPT = [T.StructField("_bytes", T.BinaryType()), T.StructField("_n_bytes", T.LongType()),
-        T.StructField("_n_removed", T.LongType()), T.StructField("_n_spans", T.LongType())]
+KEPT = ("_bytes", "_n_bytes", "_n_removed", "_n_spans")
 
 
 def with_cuts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``_cuts``: the different cuts of the row's own text, so a list is bounded by its
-    text however many rows have the id (or none)."""
-    spans = (cuts.groupBy(F.col("id").alias("_id"), F.col("mark").alias("_mark"))
-             .agg(F.collect_set(F.struct("lo", "hi")).alias("_cuts")))
-    on = (_id(key) == F.col("_id")) & (text_mark(text) == F.col("_mark"))
-    return docs.join(spans, on, "left").drop("_id", "_mark")
+    """``docs`` and, as last column, the different cuts of the row's own text, so a list is bounded by
+    its text however many rows have the id (or none)."""
+    id_name, mark, found = fresh(docs, "_id", "_mark", "_cuts")
+    spans = (cuts.groupBy(F.col("id").alias(id_name), F.col("mark").alias(mark))
+             .agg(F.collect_set(F.struct("lo", "hi")).alias(found)))
+    on = (_id(key) == F.col(id_name)) & (text_mark(text) == F.col(mark))
+    return docs.join(spans, on, "left").select(*docs.columns, found)
 
 
 def kept_texts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str = "text",
-               as_text: bool = False) -> DataFrame:
-    """``docs`` with ``_bytes`` (what is left of the text), ``_n_bytes``, ``_n_removed`` and
-    ``_n_spans``; ``as_text``: with ``_text`` in place of ``_bytes``, without the bytes left of a
-    character that was cut."""
+               as_text: bool = False, names: tuple = KEPT) -> DataFrame:
+    """``docs`` with what is left of the text, its bytes, how many of them were removed, and in how
+    many spans, under ``names`` (which must not be columns of ``docs``). ``as_text``: what is left as
+    a string, without the bytes left of a character that was cut."""
     joined = with_cuts(docs, cuts, key, text)
     columns = docs.columns
-    first = T.StructField("_text", T.StringType()) if as_text else KEPT[0]
-    schema = T.StructType([*docs.schema.fields, first, *KEPT[1:]])
+    first = T.StringType() if as_text else T.BinaryType()
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], first),
+                           *(T.StructField(n, T.LongType()) for n in names[1:])])
     where = columns.index(text)
 
     def run(batches):
@@ -644,6 +645,7 @@ def kept_texts(docs: DataFrame, cuts: DataFrame, key: str = "doc_id", text: str
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(columns)], pa.array(out[0], pa.string() if as_text else pa.binary()),
                  *(pa.array(c, pa.int64()) for c in out[1:])], names=schema.names)
+        tidy()
 
     return joined.mapInArrow(run, schema)
 
