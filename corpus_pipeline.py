@@ -9,14 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from warbler.llm import jaccard, mixing, packing, suffix, toxicity
-from warbler.llm.store import table
+from warbler.llm.store import fresh, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold of their language."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.classify(docs, labels, score_name="_score", threshold_name="_limit")
-    return scored.filter(F.col("_score") < F.col("_limit")).drop("_score", "_limit")
+    score, limit = fresh(docs, "_score", "_limit")
+    scored = toxicity.classify(docs, labels, score_name=score, threshold_name=limit)
+    return scored.filter(F.col(score) < F.col(limit)).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,31 +28,34 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 bytes that a smaller id has. Bytes left of a cut character
     are dropped; documents that nothing is left of go."""
-    kept = suffix.kept_texts(docs, suffix.removed(docs), as_text=True)
-    left = kept.filter((F.col("_n_removed") == 0) | (F.length("_text") > 0))
-    cut = F.col("_n_removed") > 0
+    names = fresh(docs, "_text", "_n_bytes", "_n_removed", "_n_spans")
+    said, removed = F.col(names[0]), F.col(names[2])
+    kept = suffix.kept_texts(docs, suffix.removed(docs), as_text=True, names=tuple(names))
+    left = kept.filter((removed == 0) | (F.length(said) > 0))
     return left.select(*[
-        F.when(cut, F.col("_text")).otherwise(F.col(c)).alias(c) if c == "text" else
-        F.when(cut, F.length("_text").cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else
+        F.when(removed > 0, said).otherwise(F.col(c)).alias(c) if c == "text" else
+        F.when(removed > 0, F.length(said).cast("long")).otherwise(F.col(c)).alias(c) if c == "n_chars" else
         F.col(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
-    items = table(mixing.mix(docs).select(
-        F.col("id").alias("_id"), F.col("size").alias("_item_size"), F.col("source").alias("_source"),
-        F.col("rows").alias("_rows"), F.col("sure").alias("_sure"), F.col("more").alias("_more")), "mix-taken")
-    rows = docs.withColumn("_size", mixing.words("text"))
-    on = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_item_size"))
-          & F.col("source").eqNullSafe(F.col("_source")))
-    joined = rows.join(items.filter("_sure + _more > 0"), on)
+    key, words, source, rows, sure, more, size, nth, copies, copy = fresh(
+        docs, "_id", "_words", "_source", "_rows", "_sure", "_more", "_size", "_nth", "_copies", "_copy")
+    items = table(mixing.mix(docs).select(*[F.col(c).alias(n) for c, n in (
+        ("id", key), ("size", words), ("source", source), ("rows", rows), ("sure", sure), ("more", more))]),
+        "mix-taken")
+    on = (F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(size) == F.col(words))
+          & F.col("source").cast("string").eqNullSafe(F.col(source)))
+    joined = (docs.withColumn(size, mixing.words("text"))
+              .join(items.filter(F.col(sure) + F.col(more) > 0), on))
     # Repeated rows are told apart by their number; only they are brought together again.
-    nth = F.row_number().over(Window.partitionBy("_id", "_item_size", "_source").orderBy("_size"))
-    numbered = (joined.filter("_rows = 1").withColumn("_nth", F.lit(1))
-                .unionByName(joined.filter("_rows > 1").withColumn("_nth", nth)))
-    copies = F.col("_sure") + (F.col("_nth") <= F.col("_more")).cast("long")
-    return (numbered.withColumn("_copies", copies).filter("_copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    number = F.row_number().over(Window.partitionBy(key, words, source).orderBy(size))
+    numbered = (joined.filter(F.col(rows) == 1).withColumn(nth, F.lit(1))
+                .unionByName(joined.filter(F.col(rows) > 1).withColumn(nth, number)))
+    times = F.col(sure) + (F.col(nth) <= F.col(more)).cast("long")
+    return (numbered.withColumn(copies, times).filter(F.col(copies) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
             .select(*docs.columns))
 
 
