@@ -19,17 +19,16 @@ when ``den`` · |intersection| ≥ ``num`` · |union|.
    components is lost, and none within one is needed.
    Pairs whose sets differ in more shingles than a link allows, by maps of 512 parities that each
    class has, are no rows of that join.
-5. Verification: the sets of the classes in a round's pairs are built again from their texts. Each
-   pair (a, b) goes to b's place, where b's set is held while those of its partners stream by; a b
-   with many partners has several places.
+5. Verification: the sets of the classes in a round's pairs are built again where their texts are
+   read: each task finds what is asked of it in a file of its own in the shared folder, so no text is
+   shuffled; a task that misses one fails. Each pair (a, b) goes to b's place, where b's set is held
+   while those of its partners stream by; a b with many partners has several places.
 6. Components: every class takes its smallest neighbour as parent, parents are followed to the end,
    edges are contracted, until none is left. Which links a component has inside is not listed: the
    components need only that each is connected.
 
 Rounds are cut by tables in the shared folder. No pairs, components or fingerprints come to the
-driver. What is sent to all tasks has a fixed size: the sketch (16 MB), and a bit table (1 MB) of the
-documents that a round asks for, which only spares texts a shuffle (a bit met by chance is corrected
-by the join that follows).
+driver. What is sent to all tasks has a fixed size: the sketch (16 MB).
 
 Defined results. Null text, or text without words: no shingles, linked with nothing. Fewer words
 than ``words``: the whole sequence is the one shingle. Null ids: rows like others, never the smallest
@@ -45,9 +44,10 @@ from operator import and_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from warbler.llm.store import fresh, table, tidy
+from warbler.llm.store import create, exists, folder, fresh, table, tidy, view
 
 SKETCH_BITS = 24
 SKETCH_BLOCK = 1 << 16
@@ -59,8 +59,11 @@ _MIX = np.uint64(0xD6E8FEB86659FD93)
 PARITY_BITS = 512
 PARITIES = [f"p{i}" for i in range(PARITY_BITS // 64)]
 
-ROWS = ("id long, mark long, n long, class binary, group binary, prefix array<long>, "
+ROWS = ("id long, mark long, task int, n long, class binary, group binary, prefix array<long>, "
         "parity array<long>")
+#: What is asked of a task that reads texts.
+ASKS = np.dtype([("mark", "<i8"), ("id", "<i8"), ("place", "<i8"), ("salt", "<i4"), ("is_head", "?"),
+                 ("node", "<i8")])
 PARTNERS = 2000
 #: Texts counted in 16 bits before the counts are sent.
 FLUSH = 65_000
@@ -126,8 +129,9 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         used = np.flatnonzero(parts.any(axis=1))
         return pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)),
-             pa.array([press.compress(parts[i].tobytes()) for i in used], pa.binary())],
-            names=["part", "counts"])
+             # All low bytes, then all high ones: most are zero.
+             pa.array([press.compress(parts[i].view(np.uint8).reshape(-1, 2).T.tobytes())
+                       for i in used], pa.binary())], names=["part", "counts"])
 
     def count(batches):
         n, docs_seen = np.zeros(1 << SKETCH_BITS, np.uint16), 0
@@ -150,7 +154,8 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
         unpress, total = zstandard.ZstdDecompressor(), {}
         for batch in batches:
             for part, counts in zip(batch["part"].to_pylist(), batch["counts"].to_pylist()):
-                own = np.frombuffer(unpress.decompress(counts), np.uint16)
+                low, high = np.frombuffer(unpress.decompress(counts), np.uint8).reshape(2, -1)
+                own = low + (high.astype(np.int64) << 8)
                 if part not in total:
                     total[part] = np.zeros(SKETCH_BLOCK, np.int64)
                 total[part] += own
@@ -193,73 +198,79 @@ def _signatures(levels, words: int, num: int, den: int):
                     prefixes.append(p)
                     maps.append(parities(h))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, 500), batch["mark"].slice(lo, 500), pa.array(n, pa.int64()), pa.array(classes, pa.binary()),
+                    [ids.slice(lo, 500), batch["mark"].slice(lo, 500),
+                     batch["task"].slice(lo, 500), pa.array(n, pa.int64()), pa.array(classes, pa.binary()),
                      pa.array(groups, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
                      pa.array(maps, pa.list_(pa.int64()))],
-                    names=["id", "mark", "n", "class", "group", "prefix", "parity"])
+                    names=["id", "mark", "task", "n", "class", "group", "prefix", "parity"])
         _WORDS.clear()
         tidy()
 
     return run
 
 
-def _bits(marks: np.ndarray) -> np.ndarray:
-    """The bit of each text in a table of 2**23."""
-    return (marks.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(41)
-
-
-def asked_for(asks: DataFrame) -> np.ndarray:
-    """A table of 2**23 bits with those of all ``mark`` set."""
-
-    def gather(batches):
-        table_ = np.zeros(1 << 23, bool)
-        for batch in batches:
-            table_[_bits(batch["mark"].to_numpy())] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(table_).tobytes()], pa.binary())],
-                                         names=["bits"])
-
-    def either(batches):
-        total = np.zeros(1 << 20, np.uint8)
-        for batch in batches:
-            for bits in batch["bits"]:
-                total |= np.frombuffer(bits.as_buffer(), np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["bits"])
-
-    # Tables of a fixed size, a hundred at most in the last step.
-    parts = asks.select("mark").mapInArrow(gather, "bits binary").coalesce(100)
-    got = parts.mapInArrow(either, "bits binary").toArrow()
-    total = np.zeros(1 << 20, np.uint8)
-    for bits in got["bits"].to_pylist():
-        total |= np.frombuffer(bits, np.uint8)
-    return total
+def _write_asks(path: str):
+    """A file for each task that reads texts, with what is asked of it, sorted by mark."""
 
+    def run(batches):
+        task, parts = None, []
 
-def _only(bits):
-    """Rows whose text's bit is set."""
+        def close():
+            with create(f"{path}/{task}.bin") as out:
+                out.write(np.concatenate(parts).tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([task], pa.int32())], names=["task"])
 
-    def run(batches):
-        table_ = np.unpackbits(bits.value).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(table_[_bits(batch["mark"].to_numpy())]))
+            tasks = batch["task"].to_numpy()
+            asks = np.empty(batch.num_rows, ASKS)
+            for name in ASKS.names:
+                asks[name] = batch[name].to_numpy(zero_copy_only=False)
+            for t in np.unique(tasks).tolist():  # sorted
+                if t != task and parts:
+                    yield close()
+                    parts = []
+                task = t
+                parts.append(asks[tasks == t])
+        if parts:
+            yield close()
 
     return run
 
 
-def _build(words: int):
-    """(place, salt, is_head, node, set) for each ask of a text. Asks of one text come together."""
+def _build(words: int, path: str):
+    """(place, salt, is_head, node, set) for each ask of a text of this task."""
 
     def run(batches):
-        last, own = None, b""
+        asks, given = None, None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part, sets = batch.slice(lo, 500), []
-                for mark, text in zip(part["mark"].to_pylist(), part["text"].to_pylist()):
-                    if (mark, text) != last:
-                        last, own = (mark, text), shingles(text, words).tobytes()
-                    sets.append(own)
-                yield pa.RecordBatch.from_arrays(
-                    [part["place"], part["salt"], part["is_head"], part["node"],
-                     pa.array(sets, pa.binary())], names=["place", "salt", "is_head", "node", "set"])
+            if not batch.num_rows:
+                continue
+            if asks is None:
+                uri = f"{path}/{batch['task'][0].as_py()}.bin"
+                asks = np.array(view(uri, ASKS)) if exists(uri) else np.empty(0, ASKS)
+                given = np.zeros(len(asks), bool)
+            marks = pc.fill_null(batch["mark"], 0).to_numpy()
+            ids = pc.fill_null(batch["id"], NONE).to_numpy()
+            lo, hi = np.searchsorted(asks["mark"], marks), np.searchsorted(asks["mark"], marks, "right")
+            rows = np.flatnonzero(hi > lo)
+            for at in range(0, len(rows), 500):
+                out, sets = [], []
+                for i in rows[at:at + 500].tolist():
+                    own = np.arange(lo[i], hi[i])
+                    # Equal rows of one id are read once.
+                    own = own[(asks["id"][own] == ids[i]) & ~given[own]]
+                    if len(own):
+                        given[own] = True
+                        out.append(own)
+                        sets += [shingles(batch["text"][i].as_py(), words).tobytes()] * len(own)
+                if out:
+                    found = asks[np.concatenate(out)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found["place"]), pa.array(found["salt"]), pa.array(found["is_head"]),
+                         pa.array(found["node"]), pa.array(sets, pa.binary())],
+                        names=["place", "salt", "is_head", "node", "set"])
+        if asks is not None and not given.all():
+            raise RuntimeError("texts are missing: the documents were read otherwise before")
         _WORDS.clear()
         tidy()
 
@@ -316,18 +327,18 @@ class _Join:
         self.words, self.num, self.den = words, num, den
         spark = docs.sparkSession
         levels = spark.sparkContext.broadcast(sketch(docs, words))
-        self.docs = docs
+        self.docs = docs = docs.withColumn("task", F.spark_partition_id())
         self.rows = table(docs.mapInArrow(_signatures(levels, words, num, den), ROWS), "jaccard-rows")
         some = self.rows.filter("n > 0")
         # Rows of a class agree in all but id and mark, and rows of a group in prefix and n.
         groups = table(some.groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
                        .withColumn("gid", F.monotonically_increasing_id()), "jaccard-groups")
         classes = some.groupBy("class").agg(
-            F.min("id").alias("low"), F.min(F.struct("id", "mark")).alias("one"),
+            F.min("id").alias("low"), F.min(F.struct("id", "mark", "task")).alias("one"),
             F.first("group").alias("group"), F.first("parity").alias("parity"))
         self.classes = table(
             classes.join(groups.select("group", "gid", "n"), "group")
-            .select("class", "low", "one.id", "one.mark", "gid", "n",
+            .select("class", "low", "one.id", "one.mark", "one.task", "gid", "n",
                     *[F.col("parity")[i].alias(p) for i, p in enumerate(PARITIES)]).withColumn(
                 "node", F.monotonically_increasing_id()), "jaccard-classes")
         every = groups.select("gid", F.col("n").cast("int").alias("n"),
@@ -362,14 +373,13 @@ class _Join:
         each = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
         asks = partners.union(heads.select("place", each.alias("salt"), F.lit(True).alias("is_head"),
                                            F.col("place").alias("node")))
-        asks = table(asks.join(self.classes.select("node", F.coalesce("id", F.lit(NONE)).alias("id"), "mark"),
-                               "node"), "jaccard-asks")
-        bits = self.docs.sparkSession.sparkContext.broadcast(asked_for(asks))
-        # Equal rows of one id are read once.
-        texts = (self.docs.filter("mark is not null").mapInArrow(_only(bits), self.docs.schema)
-                 .select(F.coalesce("id", F.lit(NONE)).alias("id"), "mark", "text"))
-        sets = (texts.join(asks, ["id", "mark"]).select("mark", "text", "place", "salt", "is_head", "node")
-                .mapInArrow(_build(self.words), "place long, salt int, is_head boolean, node long, set binary"))
+        asks = asks.join(self.classes.select("node", F.coalesce("id", F.lit(NONE)).alias("id"), "mark",
+                                             "task"), "node")
+        path = folder(self.docs.sparkSession, "jaccard-asks")
+        table(asks.repartition("task").sortWithinPartitions("task", "mark")
+              .mapInArrow(_write_asks(path), "task int"), "jaccard-asked")
+        sets = self.docs.mapInArrow(
+            _build(self.words, path), "place long, salt int, is_head boolean, node long, set binary")
         return table(sets.repartition("place", "salt")
                      .sortWithinPartitions("place", "salt", F.desc("is_head"))
                      .mapInArrow(_verify(self.num, self.den), "a long, b long").distinct(), "jaccard-links")
