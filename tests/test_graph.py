@@ -158,3 +158,78 @@ def test_absorbed_weight_rejected(spark, tmp_dir):
     g = _graph_from_text(spark, tmp_dir, "a,b,1e20\nb,c,1\n")
     with pytest.raises(ValueError):
         centrality.betweenness(g)
+
+
+def _random_edges(seed, nodes, n):
+    rng = random.Random(seed)
+    return [(f"n{rng.randrange(nodes)}", f"n{rng.randrange(nodes)}", rng.randint(1, 6)) for _ in range(n)]
+
+
+def test_arcs_dealt_as_a_table(spark, tmp_dir):
+    _check(spark, tmp_dir, _random_edges(1, 25, 60), broadcast_arcs=0, max_batch_rows=1500)
+
+
+def test_rounds_read_less_as_sources_finish(spark, tmp_dir, monkeypatch):
+    """A long chain with a tail: most sources finish early, and later rounds read what is left."""
+    read = []
+    original = centrality._Runs.known
+
+    def spy(self):
+        read.append((sum(rows for _, rows in self.runs), len(self.runs)))
+        return original(self)
+
+    monkeypatch.setattr(centrality._Runs, "known", spy)
+    edges = [(f"c{i}", f"c{i + 1}", 1) for i in range(16)]  # a chain: its ends finish last
+    edges += [(f"x{i}", f"x{(i + 1) % 5}", 1) for i in range(5)] + [(f"p{i}", f"q{i}", 2) for i in range(60)]
+    _check(spark, tmp_dir, edges)
+    most = max(rows for rows, _ in read)
+    assert min(rows for rows, _ in read) >= 1 and read[-1][0] < most / 2
+    assert all(runs <= 2 + most.bit_length() for _, runs in read)
+
+
+def test_a_stopped_run_goes_on(spark, tmp_dir, monkeypatch):
+    edges = _random_edges(2, 16, 40)
+    text = "".join(f"{a},{b},{w}\n" for a, b, w in edges)
+    options = {"max_batch_rows": 200, "in_flight": 1, "resume": f"{tmp_dir}/kept"}
+    done = []
+    original = centrality._Kept.publish
+
+    def stops(self, batch, batches, scores):
+        if len(done) == 2:
+            raise RuntimeError("the cluster goes")
+        original(self, batch, batches, scores)
+        done.append((batch, batches))
+
+    monkeypatch.setattr(centrality._Kept, "publish", stops)
+    with pytest.raises(RuntimeError, match="the cluster goes"):
+        centrality.betweenness(_graph_from_text(spark, tmp_dir, text), **options)
+    assert [b for b, _ in done] == [0, 1] and done[0][1] >= 4
+    monkeypatch.setattr(centrality._Kept, "publish", lambda *a: (done.append(a[1:3]), original(*a)))
+    got = _scores(centrality.betweenness(_graph_from_text(spark, tmp_dir, text, "again.csv"), **options))
+    assert sorted(b for b, _ in done) == list(range(done[0][1]))
+    want = brandes.betweenness(edges)
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+    # Another graph in the same folder starts anew.
+    other = _random_edges(3, 12, 30)
+    _check(spark, tmp_dir, other, **options)
+
+
+def test_batches_at_once(spark, tmp_dir, monkeypatch):
+    import threading
+
+    running, most, lock = set(), [0], threading.Lock()
+    original = centrality._distances
+
+    def counted(cut, sources, arcs):
+        with lock:
+            running.add(cut.root)
+            most[0] = max(most[0], len(running))
+        try:
+            return original(cut, sources, arcs)
+        finally:
+            with lock:
+                running.discard(cut.root)
+
+    monkeypatch.setattr(centrality, "_distances", counted)
+    _check(spark, tmp_dir, _random_edges(4, 16, 40), max_batch_rows=200, in_flight=3)
+    assert 2 <= most[0] <= 3

@@ -2,7 +2,7 @@
 
 import pytest
 
-from helpers import SF_SMALL
+from helpers import SF_SMALL, write_text
 from warbler.plans import workloads as W
 from warbler.plans.registry import QUERIES
 from warbler.plans.workspace import Workspace
@@ -34,28 +34,35 @@ def test_topic_filters_pushed_down(spark):
     assert "ReadSchema: struct<username:string,hashtag:string>" in plan
 
 
-def test_betweenness_rounds_combine_before_the_shuffle(spark, tmp_dir):
-    """What a task sends to a (source, node) is reduced before the exchange, and no round makes a
-    product of its inputs."""
-    from helpers import write_text
+@pytest.mark.parametrize("broadcast_arcs", [0, 1000])
+def test_betweenness_rounds_have_no_shuffle(spark, tmp_dir, monkeypatch, broadcast_arcs):
+    """What a block sends stays in it, with the arcs as a broadcast or as a table."""
     from warbler.operators import centrality, graph
     from warbler.sources import tables
 
     path = write_text(f"{tmp_dir}/g.csv", "a,b,1\nb,c,1\nc,d,2\na,d,5\n")
     g = graph.undirected_graph(tables.scan_edge_list(spark, path, keep_order=True), "last")
-    plans = []
-    original = centrality._Cuts.__call__
+    plans, cut, add = [], centrality._Cuts.__call__, centrality._Layers.add
 
-    def spy(self, df):
-        plans.append(df._jdf.queryExecution().executedPlan().toString())
-        return original(self, df)
+    def spy(original):
+        def call(self, df):
+            if getattr(self, "blocks", True) and "w" not in df.columns and df.columns != ["block", "s"]:
+                plans.append((df.columns, _plan(df)))
+            return original(self, df)
 
-    centrality._Cuts.__call__ = spy
+        return call
+
+    monkeypatch.setattr(centrality._Cuts, "__call__", spy(cut))
+    monkeypatch.setattr(centrality._Layers, "add", spy(add))
+    monkeypatch.setattr(centrality, "default_parallelism", lambda spark: 3)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        centrality.betweenness(g).collect()
+        centrality.betweenness(g, broadcast_arcs=broadcast_arcs).collect()
     finally:
-        centrality._Cuts.__call__ = original
-    rounds = [p for p in plans if "partial_min(c#" in p]
-    assert rounds
-    for plan in plans:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len(plans) > 10
+    for columns, plan in plans:
+        assert plan.count("Exchange") == plan.count("BroadcastExchange"), (columns, plan)
         assert "Cartesian" not in plan and "NestedLoop" not in plan
+        assert broadcast_arcs or "Broadcast" not in plan

@@ -1,134 +1,218 @@
 """Shortest-path betweenness centrality of a weighted undirected graph, on Spark.
 
 Brandes' algorithm as relational fixpoints over (source s, node v) rows, so every step is a join or
-an aggregate and no task ever holds the graph or one source's tree:
-
-1. distances: a round sends d(s, u) + w along the arcs of the nodes that changed in the round
-   before, keeps the least per (s, v), and writes only the rows that are shorter than what was known.
-   Rows are spread by source first, so a task combines all that it sends to a (s, v) before the
-   shuffle. Positive weights make it end.
-2. shortest-path arcs: with the final distances, the arcs (u, v) whose d(s, u) + w is the least at
-   v. The least repeats the double sum that made d(s, v), so ties count as in Dijkstra-based Brandes.
-3. path counts: sigma(s, v) sums, over the number of hops, the walks from s along those arcs.
-   Counts start after the distances are final, so no stale distance is ever counted.
+an aggregate and no task ever holds one source's tree:
+
+1. distances: a round sends d(s, u) + w along the arcs of the nodes that changed in the round before,
+   keeps the least per (s, v), and writes only the rows that are shorter than what was known.
+   Positive weights make it end.
+2. shortest-path arcs: the arcs (u, v) with d(s, u) + w = d(s, v). The sums are the same doubles that
+   made the distances, so ties count as in Dijkstra-based Brandes.
+3. path counts: sigma(s, v) sums, over the number of hops, the walks from s along those arcs. Counts
+   start after the distances are final, so no stale distance is ever counted.
 4. dependencies: unrolling Brandes' delta(u) = sum over successors v of sigma(u)/sigma(v) *
    (1 + delta(v)) gives delta(u) = sum over k >= 1 of q_k(u), where each arc carries
    a = sigma(u)/sigma(v), q_1(u) = sum of a over u's out-arcs and q_(k+1)(u) = sum of a * q_k(v).
-   Every layer adds straight into the node scores.
 
 Weights are distances (a larger weight is a longer edge) and must be positive; one so small that
 adding it to a distance changes nothing is refused too. Scores are normalised like the common
 library default for undirected graphs: times 1/((n-1)(n-2)); no scaling for n <= 2.
 
-There is one path, whatever the size: Spark chooses how to join the arcs, and AQE splits the arcs of
-a hub. Sources have dense ids and run in batches of equal size, so that one round of a batch sends
-``max_batch_rows`` rows at most (a batch has at least one source); a batch appends its scores to one
-table, which is summed once. Every round is cut by a Parquet table in the shared folder, which
-bounds lineage, survives executor loss and gives the planner true sizes; the tables are removed when
-the scores are written.
+Layout. Sources never exchange rows, so they are dealt to blocks once, a block per task, and every
+table of a batch is bucketed by block: joins and aggregates of a round find their rows in place, and
+**no round has a shuffle**. Arcs come to the blocks as a broadcast where their number is at most
+``broadcast_arcs``; beyond that, as a table with a copy for each block, bucketed like the rest. A
+copy per block is small against what a block sends in a round: the arcs times its sources.
+
+Distances are kept as runs, one more a round; neighbouring runs of like size are merged, so a round
+reads a logarithmic number of them. A source without a changed row is finished for good: when half
+of the sources of the runs are, their rows are set aside and no later round reads them.
+
+Sources have dense ids and run in batches of equal size, so that one round of a batch sends
+``max_batch_rows`` rows at most (a batch has at least one source), ``in_flight`` batches at once, in
+a pool of their own each (fair where the cluster schedules fairly). A finished batch publishes its
+scores whole, and a run with ``resume`` goes on after the batches that an earlier run finished.
+Every round is cut by a Parquet table in the shared folder, which bounds lineage, survives executor
+loss and gives the planner true sizes; the tables are removed when the scores are written.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from warbler.operators.graph import Graph
 from warbler.session import checkpoint_root, default_parallelism, delete_path, scratch_path
+from warbler.sources.publish import exists, replace
 
 NODE_SIZE_FACTOR = 5000.0
+#: Arcs that are sent to every task at most (three numbers each); more are dealt to blocks as a table.
+BROADCAST_ARCS = 2_000_000
+#: What a row of distances belongs to.
+KEYS = ["block", "s", "v"]
 
 
 class _Cuts:
-    """Lineage cuts: each round's table is written as Parquet under one folder in the shared
-    checkpoint location and read back. Read-back tables carry sizes from their files; a
-    checkpointed DataFrame would instead carry the optimizer's estimate of the plan it came from,
-    and with joins that estimate is a product that grows without bound over many rounds."""
+    """Lineage cuts: tables written as Parquet under one folder in the shared checkpoint location and
+    read back, bucketed by ``block`` where they have one. Read-back tables carry sizes from their
+    files; a checkpointed DataFrame would instead carry the optimizer's estimate of the plan it came
+    from, and with joins that estimate is a product that grows without bound over many rounds."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = scratch_path(spark, "betweenness-rounds")
-        self.count = 0
+    def __init__(self, spark: SparkSession, root: str, blocks: int = 0):
+        self.spark, self.root, self.blocks = spark, root, blocks
+        self.names: list[str] = []
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        self.count += 1
-        path = f"{self.root}/{self.count:05d}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        name = f"warbler_{uuid.uuid4().hex}"
+        path = f"{self.root}/{name}"
+        if "block" not in df.columns:
+            df.write.parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+        self.names.append(name)
+        df.write.bucketBy(self.blocks, "block").option("path", path).saveAsTable(name)
+        return self.spark.table(name)
 
     def close(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         delete_path(self.spark, self.root)
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
+class _Layers:
+    """A bucketed table that grows by layers, each a partition ``k`` of it. (A union of bucketed
+    tables would lose their place by block, or worse, seem to keep it.)"""
 
-def _sent(rows: DataFrame, arcs: DataFrame, partitions: int) -> DataFrame:
-    """(s, u, v, d, c): what each row (s, u, d) sends along its arcs."""
-    return (rows.repartition(partitions, "s").join(arcs, "u")
-            .select("s", "u", "v", "d", (F.col("d") + F.col("w")).alias("c")))
+    def __init__(self, cut: _Cuts):
+        self.cut, self.name, self.count = cut, f"warbler_{uuid.uuid4().hex}", 0
+        cut.names.append(self.name)
 
-
-def _distances(cut: _Cuts, sources: DataFrame, arcs: DataFrame, partitions: int) -> DataFrame:
-    """(s, v, d) for every node v reachable from each source s."""
-    frontier = cut(sources.select("s", F.col("s").alias("v"), F.lit(0.0).alias("d")))
-    known = [frontier]
-    while True:
-        best = (_sent(frontier.withColumnRenamed("v", "u"), arcs, partitions)
-                .groupBy("s", "v").agg(F.min("c").alias("c")))
-        both = _union([best.withColumn("d", F.lit(None).cast("double")),
-                       *[k.withColumn("c", F.lit(None).cast("double")) for k in known]])
-        frontier = cut(both.groupBy("s", "v").agg(F.min("c").alias("c"), F.min("d").alias("d"))
-                       .filter(F.col("c") < F.coalesce("d", F.lit(math.inf)))
-                       .select("s", "v", F.col("c").alias("d")))
-        if frontier.isEmpty():
-            return cut(_union(known).groupBy("s", "v").agg(F.min("d").alias("d")))
-        known.append(frontier)
-
-
-def _shortest_arcs(cut: _Cuts, distances: DataFrame, arcs: DataFrame, partitions: int) -> DataFrame:
-    """(s, u, v): the arcs of all shortest paths."""
-    least = F.min("c").over(Window.partitionBy("s", "v"))
-    found = cut(_sent(distances.withColumnRenamed("v", "u"), arcs, partitions)
-                .filter("v != s").withColumn("least", least).filter("c = least")
-                .select("s", "u", "v", (F.col("c") == F.col("d")).alias("absorbed")))
+    def add(self, df: DataFrame) -> int:
+        """Writes the next layer; returns its number."""
+        (df.withColumn("k", F.lit(self.count)).write.mode("append").partitionBy("k")
+         .bucketBy(self.cut.blocks, "block").option("path", f"{self.cut.root}/{self.name}")
+         .saveAsTable(self.name))
+        self.count += 1
+        return self.count - 1
+
+    def of(self, *layers: int) -> DataFrame:
+        return self.cut.spark.table(self.name).filter(F.col("k").isin(*layers)).drop("k")
+
+
+class _Runs:
+    """Distances as runs of changed rows, the last the newest; a run is a layer of one table."""
+
+    def __init__(self, cut: _Cuts):
+        self.table = _Layers(cut)
+        self.runs: list[tuple[int, int]] = []  # layer, rows
+        self.finished: list[int] = []
+        self.sources = 0
+
+    def add(self, changed: DataFrame) -> DataFrame | None:
+        """Takes in a round's rows and returns them as written; None if there are none."""
+        layer = self.table.add(changed)
+        frontier = self.table.of(layer)
+        by_source = frontier.groupBy("block", "s").agg(F.count(F.lit(1)).alias("n"))
+        rows, sources = by_source.agg(F.sum("n"), F.count(F.lit(1))).first()
+        if not rows:
+            return None
+        self.sources = max(self.sources, sources)
+        self.runs.append((layer, rows))
+        while len(self.runs) > 1 and 2 * self.runs[-1][1] >= self.runs[-2][1]:
+            self._replace(2, self.table.add(self._least([k for k, _ in self.runs[-2:]])))
+        if 2 * sources <= self.sources:
+            known, active = self.known(), frontier.select("block", "s").distinct()
+            done = self.table.add(known.join(active, ["block", "s"], "left_anti"))
+            left = self.table.add(known.join(active, ["block", "s"], "left_semi"))
+            self.finished.append(done)
+            self._replace(len(self.runs), left)
+            self.sources = sources
+        return frontier
+
+    def _replace(self, last: int, layer: int) -> None:
+        self.runs[-last:] = [(layer, self.table.of(layer).count())]
+
+    def _least(self, layers: list[int]) -> DataFrame:
+        return self.table.of(*layers).groupBy(*KEYS).agg(F.min("d").alias("d"))
+
+    def known(self) -> DataFrame:
+        """The distances of the sources that are not finished."""
+        layers = [k for k, _ in self.runs]
+        return self._least(layers) if len(layers) > 1 else self.table.of(*layers)
+
+    def all(self) -> DataFrame:
+        return self._least([k for k, _ in self.runs] + self.finished)
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """Rows of (block, s, v) that a join holds as a hash table, so that the other, larger side need not
+    be sorted: a block has at most its sources times the nodes of them, a part of ``rows_per_partition``."""
+    return rows.hint("shuffle_hash")
+
+
+def _sent(rows: DataFrame, arcs: DataFrame) -> DataFrame:
+    """(block, s, u, v, d, c): what each row (block, s, v, d) sends along its arcs."""
+    return (rows.withColumnRenamed("v", "u").join(arcs, ["block", "u"] if "block" in arcs.columns else "u")
+            .select("block", "s", "u", "v", "d", (F.col("d") + F.col("w")).alias("c")))
+
+
+def _distances(cut: _Cuts, sources: DataFrame, arcs: DataFrame) -> DataFrame:
+    """(block, s, v, d) for every node v reachable from each source s."""
+    runs = _Runs(cut)
+    frontier = runs.add(sources.select("block", "s", F.col("s").alias("v"), F.lit(0.0).alias("d")))
+    while frontier is not None:
+        best = _sent(frontier, arcs).groupBy(*KEYS).agg(F.min("c").alias("c"))
+        frontier = runs.add(best.join(_hashed(runs.known()), KEYS, "left")
+                            .filter(F.col("d").isNull() | (F.col("c") < F.col("d")))
+                            .select(*KEYS, F.col("c").alias("d")))
+    return cut(runs.all())
+
+
+def _shortest_arcs(cut: _Cuts, distances: DataFrame, arcs: DataFrame) -> DataFrame:
+    """(block, s, u, v): the arcs of all shortest paths."""
+    final = _hashed(distances.withColumnRenamed("d", "least"))
+    found = cut(_sent(distances, arcs).filter("v != s").join(final, KEYS).filter("c = least")
+                .select("block", "s", "u", "v", (F.col("c") == F.col("d")).alias("absorbed")))
     if not found.filter("absorbed").isEmpty():
         raise ValueError("an edge weight is too small to count against the distances of its paths")
-    return found.select("s", "u", "v")
+    return found.select("block", "s", "u", "v")
 
 
-def _layers(cut: _Cuts, layer: DataFrame, step) -> list[DataFrame]:
-    """The layer and those that ``step`` makes of it, until one is empty."""
-    layer = cut(layer)
-    walked = []
-    while not layer.isEmpty():
-        walked.append(layer)
-        layer = cut(step(layer))
-    return walked
+def _walk(cut: _Cuts, layer: DataFrame, step) -> DataFrame | None:
+    """The rows of the layer and of those that ``step`` makes of it, until one is empty; None if the
+    first is."""
+    walked, found = _Layers(cut), []
+    while True:
+        nth = walked.add(layer)
+        layer = walked.of(nth)
+        if layer.isEmpty():
+            return walked.of(*found) if found else None
+        found.append(nth)
+        layer = step(layer)
 
 
 def _dependencies(cut: _Cuts, sources: DataFrame, dag: DataFrame) -> DataFrame | None:
     """(id, delta) summed over these sources; None if there are no paths."""
-    start = sources.select("s", F.col("s").alias("v"), F.lit(1.0).alias("paths"))
-    walks = _layers(cut, start, lambda layer: (
-        layer.withColumnRenamed("v", "u").join(dag, ["s", "u"])
-        .groupBy("s", "v").agg(F.sum("paths").alias("paths"))))
-    sigma = cut(_union(walks).groupBy("s", "v").agg(F.sum("paths").alias("sigma")))
-    shares = cut(dag.join(sigma.select("s", F.col("v").alias("u"), F.col("sigma").alias("su")),
-                          ["s", "u"])
-                 .join(sigma.withColumnRenamed("sigma", "sv"), ["s", "v"])
-                 .select("s", "u", "v", (F.col("su") / F.col("sv")).alias("a")))
-    layers = _layers(cut, shares.groupBy("s", F.col("u").alias("v")).agg(F.sum("a").alias("q")),
-                     lambda layer: (layer.join(shares, ["s", "v"])
-                                    .groupBy("s", "u").agg(F.sum(F.col("a") * F.col("q")).alias("q"))
-                                    .withColumnRenamed("u", "v")))
-    if not layers:
+    start = sources.select("block", "s", F.col("s").alias("v"), F.lit(1.0).alias("paths"))
+    by_u, from_u = ["block", "s", "u"], F.col("v").alias("u")
+    walks = _walk(cut, start, lambda layer: (
+        _hashed(layer.select("block", "s", from_u, "paths")).join(dag, by_u)
+        .groupBy(*KEYS).agg(F.sum("paths").alias("paths"))))
+    sigma = cut(walks.groupBy(*KEYS).agg(F.sum("paths").alias("sigma")))
+    shares = cut(dag.join(_hashed(sigma.select("block", "s", from_u, F.col("sigma").alias("su"))), by_u)
+                 .join(_hashed(sigma.withColumnRenamed("sigma", "sv")), KEYS)
+                 .select("block", "s", "u", "v", (F.col("su") / F.col("sv")).alias("a")))
+    layers = _walk(cut, shares.groupBy("block", "s", F.col("u").alias("v")).agg(F.sum("a").alias("q")),
+                   lambda layer: (_hashed(layer).join(shares, KEYS)
+                                  .groupBy(*by_u).agg(F.sum(F.col("a") * F.col("q")).alias("q"))
+                                  .withColumnRenamed("u", "v")))
+    if layers is None:
         return None
-    return (_union(layers).filter("s != v").groupBy(F.col("v").alias("id"))
+    return (layers.filter("s != v").groupBy(F.col("v").alias("id"))
             .agg(F.sum("q").alias("delta")))
 
 
@@ -142,56 +226,144 @@ def _dense_ids(cut: _Cuts, nodes: DataFrame) -> DataFrame:
     starts = (raw.groupBy(share.alias("share")).agg(F.count(F.lit(1)).alias("rows"))
               .select("share", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start")))
     place = F.col("raw").bitwiseAND(F.lit((1 << 33) - 1))
-    return cut(raw.withColumn("share", share).join(starts, "share")
-               .select("node", (F.col("start") + place).alias("id")))
+    return raw.withColumn("share", share).join(starts, "share").select(
+        "node", (F.col("start") + place).alias("id"))
+
+
+def _block_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose joins on block and more find their rows in place where
+    both sides are dealt by block. Tables are shared with it, settings of the caller's are copied."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return own
+
+
+def _labels(spark: SparkSession, blocks: int) -> list[int]:
+    """A number for each of the blocks, such that no two fall into one bucket of the tables. As many
+    rows as a round has tasks."""
+    bucket = F.pmod(F.hash(F.col("id").cast("int")), F.lit(blocks))
+    first = (spark.range(64 * blocks + 64).groupBy(bucket.alias("nth"))
+             .agg(F.min("id").cast("int").alias("block")))
+    return [r.block for r in first.orderBy("nth").collect()]
+
+
+def _digest(arcs: DataFrame, nodes: DataFrame) -> str:
+    """Of the graph, whatever the order of its rows."""
+    marks = [F.sum(F.xxhash64(F.lit(k), "src", "dst", "weight").cast("decimal(38,0)")) for k in (0, 1)]
+    return "-".join(map(str, (*arcs.agg(F.count(F.lit(1)), *marks).first(), *nodes.agg(
+        F.count(F.lit(1)), F.sum(F.xxhash64("node").cast("decimal(38,0)"))).first())))
 
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
-                rows_per_partition: int = 4_000_000) -> DataFrame:
+                rows_per_partition: int = 4_000_000, in_flight: int = 2, resume: str | None = None,
+                broadcast_arcs: int = BROADCAST_ARCS) -> DataFrame:
     """(node, betweenness) over all sources; nodes on no shortest path score 0.
 
     ``max_batch_rows`` bounds sources x arcs per batch, ``rows_per_partition`` the rows that one
-    task sends in a round."""
+    task sends in a round. ``resume`` names a folder that keeps the scores of finished batches, for a
+    later run over the same graph; the caller removes it."""
     spark = graph.arcs.sparkSession
     checkpoint_root(spark)  # make sure a checkpoint folder is known
-    cut = _Cuts(spark)
+    cut = _Cuts(_block_session(spark), scratch_path(spark, "betweenness-rounds"))
     try:
         named = cut(graph.arcs.select("src", "dst", "weight"))
         bad = named.filter(F.col("weight").isNull() | F.isnan("weight") | (F.col("weight") <= 0)).first()
         if bad:
             raise ValueError(f"edge weights must be positive numbers: {bad['src']!r} to "
                              f"{bad['dst']!r} has {bad['weight']}")
-        ids = _dense_ids(cut, graph.nodes)
-        n, m = ids.count(), named.count()
-        arcs = cut(named
-                   .join(ids.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
-                   .join(ids.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
-                   .select("u", "v", F.col("weight").cast("double").alias("w")))
+        nodes = cut(graph.nodes.select("node"))
+        kept = _Kept(cut.spark, resume or f"{cut.root}/kept", named, nodes, cut, resume is not None)
+        ids, arcs, n, m = kept.ids, kept.arcs, kept.n, kept.m
         batches = max(1, min(n, math.ceil(n * m / max_batch_rows)))
         # Tasks by the work of a round, in whole waves of the cluster's slots.
         slots = default_parallelism(spark)
-        partitions = slots * max(1, math.ceil(n * m / batches / rows_per_partition / slots))
-        partials = f"{cut.root}/partials"
-        spark.createDataFrame([], "id long, delta double").write.parquet(partials)
-        for b in range(batches):
-            sources = ids.filter(F.col("id") % batches == b).select(F.col("id").alias("s"))
-            distances = _distances(cut, sources, arcs, partitions)
-            part = _dependencies(cut, sources, _shortest_arcs(cut, distances, arcs, partitions))
-            if part is not None:
-                part.write.mode("append").parquet(partials)
+        blocks = slots * max(1, math.ceil(n * m / batches / rows_per_partition / slots))
+        labels = F.array(*map(F.lit, _labels(spark, blocks)))
+        if m <= broadcast_arcs:
+            arcs = F.broadcast(arcs)
+        else:
+            cut.blocks = blocks
+            arcs = cut(arcs.withColumn("block", F.explode(labels)).repartition(blocks, "block"))
+
+        def run(batch: int) -> None:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"warbler-{batch % in_flight}")
+            own = _Cuts(cut.spark, f"{cut.root}/batch-{batch}", blocks)
+            try:
+                nth = F.pmod(F.floor(F.col("id") / batches), F.size(labels)).cast("int")
+                sources = own(ids.filter(F.col("id") % batches == batch)
+                              .select(F.element_at(labels, nth + 1).alias("block"), F.col("id").alias("s"))
+                              .repartition(blocks, "block"))
+                distances = _distances(own, sources, arcs)
+                part = _dependencies(own, sources, _shortest_arcs(own, distances, arcs))
+                kept.publish(batch, batches, part)
+            finally:
+                own.close()
+
+        left = [b for b in range(batches) if not kept.has(b, batches)]
+        with ThreadPoolExecutor(max_workers=in_flight) as pool:
+            started = [pool.submit(inheritable_thread_target(spark)(run), b) for b in left]
+            for batch in started:
+                try:
+                    batch.result()
+                except BaseException:
+                    for other in started:
+                        other.cancel()
+                    raise
         scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0) if normalized else 0.5
-        total = spark.read.schema("id long, delta double").parquet(partials) \
-            .groupBy("id").agg(F.sum("delta").alias("delta"))
+        total = kept.scores(batches).groupBy("id").agg(F.sum("delta").alias("delta"))
         scored = ids.join(total, "id", "left").select(
             "node", (F.coalesce(F.col("delta"), F.lit(0.0)) * F.lit(scale)).alias("betweenness"))
         # The scores outlive the round tables, which are removed below.
         final = scratch_path(spark, "betweenness-scores")
         scored.write.parquet(final)
-        return spark.read.parquet(final)
+        return spark.read.schema(scored.schema).parquet(final)
     finally:
         cut.close()
 
 
+class _Kept:
+    """What the batches of a graph share, in one folder by the graph's digest: ids, arcs between ids,
+    and a folder of scores per finished batch, each there only whole."""
+
+    def __init__(self, spark: SparkSession, folder: str, named: DataFrame, nodes: DataFrame,
+                 cut: _Cuts, lasting: bool):
+        self.spark = spark
+        self.root = f"{folder.rstrip('/')}/{_digest(named, nodes)}" if lasting else folder
+
+        def prepare(path: str) -> None:
+            ids = _dense_ids(cut, nodes)
+            ids.write.parquet(f"{path}/ids")
+            ids = spark.read.parquet(f"{path}/ids")
+            (named.join(ids.select(F.col("node").alias("src"), F.col("id").alias("u")), "src")
+             .join(ids.select(F.col("node").alias("dst"), F.col("id").alias("v")), "dst")
+             .select("u", "v", F.col("weight").cast("double").alias("w"))
+             .write.parquet(f"{path}/arcs"))
+
+        if not exists(spark, f"{self.root}/graph"):
+            replace(spark, f"{self.root}/graph", prepare)
+        self.ids = spark.read.parquet(f"{self.root}/graph/ids")
+        self.arcs = spark.read.parquet(f"{self.root}/graph/arcs")
+        self.n, self.m = self.ids.count(), self.arcs.count()
+
+    def _path(self, batch: int, batches: int) -> str:
+        return f"{self.root}/scores-{batches}/batch-{batch:06d}"
+
+    def has(self, batch: int, batches: int) -> bool:
+        return exists(self.spark, self._path(batch, batches))
+
+    def publish(self, batch: int, batches: int, scores: DataFrame | None) -> None:
+        if scores is None:
+            scores = self.spark.createDataFrame([], "id long, delta double")
+        replace(self.spark, self._path(batch, batches), lambda path: scores.write.parquet(path))
+
+    def scores(self, batches: int) -> DataFrame:
+        paths = [self._path(b, batches) for b in range(batches)]
+        return self.spark.read.schema("id long, delta double").parquet(*paths)
+
+
 def node_sizes(scores: DataFrame, factor: float = NODE_SIZE_FACTOR) -> DataFrame:
     """(node, betweenness, node_size = betweenness × 5000), the drawing size of each node."""
     return scores.select("node", "betweenness",
