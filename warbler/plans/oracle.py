@@ -194,6 +194,7 @@ scores AS (
 _SCORE = "SELECT node, round(b, 9) AS betweenness FROM scores"
 
 _TAIL |= {
+    "mention_user_list_files": "SELECT mention, CAST(strlen(usernames) AS BIGINT) AS list_bytes FROM mention_lists",
     "mention_user_slices": "SELECT DISTINCT mention, username FROM tweets WHERE hashtag = 'H1N1'",
     "betweenness": _CENTRALITY.format(pairs="topic_graph") + _SCORE,
     "node_sizes": _CENTRALITY.format(pairs="topic_graph")

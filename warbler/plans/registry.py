@@ -16,7 +16,7 @@ from warbler.operators import centrality, graph, quality, topics, tweets
 from warbler.plans import workloads as W
 from warbler.plans.workspace import Workspace
 from warbler.session import scratch_path
-from warbler.sources import sinks, tables
+from warbler.sources import lists, sinks, tables
 from warbler.sources.tables import TWEET_SCHEMA
 
 # The topic whose mention graph is analysed (fixed value of the graph questions).
@@ -188,6 +188,13 @@ def mention_user_slices(spark, d):
     return slices.select("mention", F.explode(F.split("usernames", ",")).alias("username"))
 
 
+def mention_user_list_files(spark, d):
+    """The lists as files with offsets, by name: their whole sizes."""
+    slices = W.mention_user_slices(_ws(spark, d).tweets(), "H1N1")
+    path = lists.write_user_lists(slices, scratch_path(spark, "mention-user-lists"))
+    return lists.list_sizes(spark, path).select("mention", "list_bytes")
+
+
 # --- quality -----------------------------------------------------------------------------------
 
 def bad_record_total(spark, d):
@@ -277,6 +284,7 @@ QUERIES: dict[str, Query] = {
         "bad_record_total", "record_type_counts", "bad_records", "has_hashtag",
         "mention_edges", "topic_mention_graph", "graph_edges", "graph_nodes",
         "betweenness", "node_sizes", "mention_user_slices",
+        "mention_user_list_files",
         "event_graph_edges", "event_graph_nodes", "event_graph_betweenness",
     ]
 }
