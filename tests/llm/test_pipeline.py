@@ -1,12 +1,14 @@
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare, duck
 from test_jaccard import brute as components
 from test_suffix import brute as cuts
-from warbler.llm import queries
+from warbler.llm import queries, toxicity
 from warbler.llm.mixing import mix
 from warbler.llm.store import table
 
@@ -35,6 +37,68 @@ def test_toxic_documents_go(stages):
     assert sum(i in kept for i in clean) >= 0.95 * len(clean)
 
 
+def test_toxic_documents_of_several_languages_go(spark, tmp_dir):
+    """Exactly the rows that reach their language's threshold go, nearly all toxic ones among them."""
+    rng, rows, labels = random.Random(4), [], []
+    for i in range(900):
+        lang = ("en", "de")[i % 2]
+        words = [rng.choice(("alpha", "beta", "gamma", "delta") if lang == "en" else ("eins", "zwei", "drei", "vier"))
+                 + rng.choice("xyz") for _ in range(rng.randint(8, 40))]
+        toxic = i % 5 == 0
+        if toxic:
+            for _ in range(3):
+                words.insert(rng.randrange(len(words)), rng.choice(("vileword", "nastyword") if lang == "en" else ("fies", "mies")))
+        rows.append((i, " ".join(words), lang, f"s{i % 3}", 1))
+        labels.append((i, 1, int(toxic)))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    scored = toxicity.classify(docs, spark.read.parquet(f"{tmp_dir}/labels.parquet")).collect()
+    kept = {r.doc_id for r in corpus_pipeline.drop_toxic(spark, docs, tmp_dir).collect()}
+    assert kept == {r.doc_id for r in scored if r.score < r.threshold}
+    toxic = {i for i, _, t in labels if t}
+    assert len(toxic - kept) >= 0.9 * len(toxic)
+    assert len(kept - toxic) >= 0.95 * (900 - len(toxic))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, and columns named like
+    the ones that stages use inside."""
+    names = ("_id _mark _one _rows _rank _size _words _source _sure _more _nth _copies _copy _score _limit _text _n_bytes "
+             "_n_removed _n_spans _cuts id mark n task node class key rows").split()
+    said = "one two three four five six seven eight nine ten eleven twelve"
+    long = " ".join(f"w{i * 7919 % 60_000}" for i in range(60_000))
+    rows = [(1, said, "en", "a", 5), (1, said, "en", "a", 5), (2, said, "en", "b", 5), (3, said + " more", "en", None, None),
+            (None, said, None, None, None), (None, None, None, "a", None), (4, None, "en", "a", 0), (5, "", "en", "a", 0),
+            (6, " \t ", "de", "b", 3), (7, long, "en", "b", len(long)), (8, long + " end", "en", "b", len(long)),
+            (9, "word", "en", "c", 4), (9, "word", "en", "c", 4), (10, "another text of a few words", "fr", "c", 27)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for i, name in enumerate(names):
+        frame = frame.withColumn(name, F.lit(f"own {i}"))
+    return frame.repartition(3)
+
+
+def test_stages_take_odd_rows(spark, odd):
+    docs, seen = table(odd, "odd"), [(len(odd.columns), 14)]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = table(stage(spark, docs, SMALL), f"odd-{name}")
+        if name != "packing":
+            assert docs.columns == odd.columns
+            got = docs.select([c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]).distinct()
+            assert [tuple(r) for r in got.collect()] == [tuple(f"own {i}" for i in range(len(docs.columns) - 5))]
+        seen.append((name, docs.count()))
+    counts = dict(seen[1:])
+    # One of the equal texts of 1, 2, 3 and null, one of the long ones, one "word"; texts without words stay.
+    assert counts["ngram_jaccard_join"] == counts["toxicity"] - 6
+    assert counts["suffix_array_dedup"] == counts["ngram_jaccard_join"]
+    assert counts["packing"] >= counts["mixing"] > 0
+
+
+def test_stages_take_no_rows(spark, odd):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, table(odd.limit(0), "none"), SMALL).count() == 0
+
+
 def test_one_of_each_group(stages):
     rows = [(r.doc_id, r.text) for r in stages[1].collect()]
     want = {i for i, n, c in components(rows, 5, 80, 100) if n == 0 or i == c}
