@@ -73,7 +73,8 @@ def words(text: str):
 def targets(sizes: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """``source, source_size, n, target`` of a table with a row per source (``source, source_size,
     n``). Sources in order of how soon they stop: with the level λ at which ``share`` of all words
-    are given out, a source gets min(weight·λ, most·size)."""
+    are given out, a source gets min(weight·λ, most·size). The windows are over all sources in one
+    task, a row each: sources are as many as there are places that documents come from."""
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     numbers = F.array(*[F.lit(float(w)) for w in weights])
     rows = (sizes.withColumn("weight", F.element_at(
