@@ -233,3 +233,30 @@ def test_batches_at_once(spark, tmp_dir, monkeypatch):
     monkeypatch.setattr(centrality, "_distances", counted)
     _check(spark, tmp_dir, _random_edges(4, 16, 40), max_batch_rows=200, in_flight=3)
     assert 2 <= most[0] <= 3
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_arcs_held_by_tasks(spark, tmp_dir, monkeypatch, seed):
+    """No rounds over tables; ties, parts that are not connected, lone nodes, several batches."""
+    monkeypatch.delattr(centrality, "_distances")
+    edges = _random_edges(seed, 30, 45) + [("x", "y", 1), ("y", "z", 2), ("lone", "lone", 1)]
+    _check(spark, tmp_dir, edges, held_arcs=1000, max_batch_rows=100)
+    _check(spark, tmp_dir, [("s", "u", 0.9), ("s", "x", 0.3), ("x", "u", 0.6), ("u", "v", 2.0)], held_arcs=8)
+
+
+def test_held_arcs_over_a_long_chain_and_a_hub(spark, tmp_dir):
+    edges = [(f"c{i}", f"c{i + 1}", 1 + i % 3) for i in range(60)]
+    edges += [("c0", f"leaf{i}", 0.1 * (i % 7 + 1)) for i in range(80)]
+    edges += [(f"leaf{i}", f"leaf{i + 1}", 0.3) for i in range(0, 80, 2)]
+    _check(spark, tmp_dir, edges, held_arcs=1000)
+
+
+def test_held_arcs_refuse_absorbed_weights_and_leave_others_to_rows(spark, tmp_dir, monkeypatch):
+    g = _graph_from_text(spark, tmp_dir, "a,b,1e20\nb,c,1\n")
+    with pytest.raises(ValueError, match="too small"):
+        centrality.betweenness(g, held_arcs=1000)
+    monkeypatch.delattr(centrality, "_held")
+    _check(spark, tmp_dir, _random_edges(7, 8, 12), held_arcs=10)
+    with pytest.raises(ValueError, match="too small"):  # as by rows: the way on from b counts for nothing
+        centrality.betweenness(_graph_from_text(spark, tmp_dir, "a,b,Infinity\nb,c,1\n", "far.csv"),
+                               held_arcs=1000)

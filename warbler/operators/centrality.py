@@ -24,6 +24,11 @@ table of a batch is bucketed by block: joins and aggregates of a round find thei
 ``broadcast_arcs``; beyond that, as a table with a copy for each block, bucketed like the rest. A
 copy per block is small against what a block sends in a round: the arcs times its sources.
 
+Graphs of at most ``held_arcs`` arcs need no rounds over tables: a task holds a copy of the arcs, dealt
+to its block as above, and takes its sources one after the other, with a few numbers per node and arc
+(steps 1 to 4 for one source, ``_trees``). What a task holds is bounded by that number of arcs, whatever
+the number of sources; larger graphs go by rows.
+
 Distances are kept as runs, one more a round; neighbouring runs of like size are merged, so a round
 reads a logarithmic number of them. A source without a changed row is finished for good: when half
 of the sources of the runs are, their rows are set aside and no later round reads them.
@@ -42,6 +47,8 @@ import math
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,6 +60,11 @@ from warbler.sources.publish import exists, replace
 NODE_SIZE_FACTOR = 5000.0
 #: Arcs that are sent to every task at most (three numbers each); more are dealt to blocks as a table.
 BROADCAST_ARCS = 2_000_000
+#: Arcs of which a task holds a copy at most (three numbers each).
+HELD_ARCS = 2_000_000
+#: A batch of sources whose arcs are held writes nothing but its scores, so it may be larger.
+HELD_BATCH = 10
+ABSORBED = "an edge weight is too small to count against the distances of its paths"
 #: What a row of distances belongs to.
 KEYS = ["block", "s", "v"]
 
@@ -178,7 +190,7 @@ def _shortest_arcs(cut: _Cuts, distances: DataFrame, arcs: DataFrame) -> DataFra
     found = cut(_sent(distances, arcs).filter("v != s").join(final, KEYS).filter("c = least")
                 .select("block", "s", "u", "v", (F.col("c") == F.col("d")).alias("absorbed")))
     if not found.filter("absorbed").isEmpty():
-        raise ValueError("an edge weight is too small to count against the distances of its paths")
+        raise ValueError(ABSORBED)
     return found.select("block", "s", "u", "v")
 
 
@@ -216,6 +228,100 @@ def _dependencies(cut: _Cuts, sources: DataFrame, dag: DataFrame) -> DataFrame |
             .agg(F.sum("q").alias("delta")))
 
 
+def _trees():
+    """What a task does with a block; in one piece, so that workers need not have this package."""
+
+    def leaving(first: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """The places of the arcs that leave these nodes, of arcs in order of the node they leave."""
+        count = first[nodes + 1] - first[nodes]
+        return np.repeat(first[nodes] - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+    def different(nodes: np.ndarray, n: int) -> np.ndarray:
+        if 16 * len(nodes) < n:
+            return np.unique(nodes)
+        found = np.zeros(n, bool)
+        found[nodes] = True
+        return np.flatnonzero(found)
+
+    def tree(s: int, u, v, w, first, into, starts, ends, sent) -> np.ndarray:
+        """The distance of every node from s (inf: not reached). A round takes the arcs of the nodes that
+        came closer; if those are many, all arcs, in order of the node they enter."""
+        d = np.full(len(first) - 1, np.inf)
+        d[s] = 0.0
+        closer = np.array([s])
+        while len(closer):
+            if 8 * (first[closer + 1] - first[closer]).sum() < len(u):
+                out = leaving(first, closer)
+                c, to = d[u[out]] + w[out], v[out]
+                less = c < d[to]
+                closer = different(to[less], len(d))
+                np.minimum.at(d, to[less], c[less])
+            else:
+                np.take(d, into[0], out=sent, mode="clip")
+                sent += into[1]
+                best = np.minimum.reduceat(sent, starts)
+                less = best < d[ends]
+                closer = ends[less]
+                d[closer] = best[less]
+        return d
+
+    def run(sources: pa.Table, arcs: pa.Table) -> pa.Table:
+        """(id, delta): the dependencies of a block's sources, summed per node that an arc has. An arc too
+        small to count against a distance gives a row without an id."""
+        names, ends = np.unique(np.concatenate([arcs["u"].to_numpy(), arcs["v"].to_numpy()]),
+                                return_inverse=True)
+        n, m = len(names), arcs.num_rows
+        u, v, w = ends[:m], ends[m:], arcs["w"].to_numpy()
+        order = np.argsort(u, kind="stable")
+        u, v, w = u[order], v[order], w[order]
+        first = np.searchsorted(u, np.arange(n + 1))
+        order = np.argsort(v, kind="stable")
+        into = u[order], w[order]
+        ends, starts = np.unique(v[order], return_index=True)
+        own = sources["s"].to_numpy()
+        own = np.searchsorted(names, own[np.isin(own, names)])
+        total, absorbed = np.zeros(n), False
+        sent, there = np.empty(m), np.empty(m)
+        for s in own.tolist():
+            d = tree(s, u, v, w, first, into, starts, ends, sent)
+            np.take(d, u, out=sent, mode="clip")
+            sent += w
+            np.take(d, v, out=there, mode="clip")
+            on = np.flatnonzero(sent == there)
+            on = on[there[on] < np.inf]
+            a, b = u[on], v[on]
+            if (d[a] == d[b]).any():
+                absorbed = True
+                break
+            # A node's arcs are taken when all arcs of shortest paths that enter it have been.
+            leave = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=n))])
+            missing = np.bincount(b, minlength=n)
+            sigma, delta, steps = np.zeros(n), np.zeros(n), []
+            sigma[s], ready = 1.0, np.array([s])
+            while len(out := leaving(leave, ready)):
+                steps.append(out)
+                np.add.at(sigma, b[out], sigma[a[out]])
+                np.subtract.at(missing, b[out], 1)
+                ready = different(b[out][missing[b[out]] == 0], n)
+            for out in reversed(steps):
+                np.add.at(delta, a[out], sigma[a[out]] / sigma[b[out]] * (1.0 + delta[b[out]]))
+            delta[s] = 0.0
+            total += delta
+        ids = pa.array([None], pa.int64()) if absorbed else pa.array(names, pa.int64())
+        return pa.table({"id": ids, "delta": pa.array(total[:len(ids)])})
+
+    return run
+
+
+def _held(cut: _Cuts, sources: DataFrame, arcs: DataFrame) -> DataFrame:
+    """(id, delta) summed over these sources, by tasks that each hold the arcs of their block."""
+    part = cut(sources.groupBy("block").cogroup(arcs.groupBy("block"))
+               .applyInArrow(_trees(), "id long, delta double"))
+    if not part.filter("id is null").isEmpty():
+        raise ValueError(ABSORBED)
+    return part.groupBy("id").agg(F.sum("delta").alias("delta"))
+
+
 def _dense_ids(cut: _Cuts, nodes: DataFrame) -> DataFrame:
     """(node, id) with ids 0 to n - 1, fixed once written: a node's place in its task's share after
     the shares of the tasks before."""
@@ -259,11 +365,12 @@ def _digest(arcs: DataFrame, nodes: DataFrame) -> str:
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
                 rows_per_partition: int = 4_000_000, in_flight: int = 2, resume: str | None = None,
-                broadcast_arcs: int = BROADCAST_ARCS) -> DataFrame:
+                broadcast_arcs: int = BROADCAST_ARCS, held_arcs: int = 0) -> DataFrame:
     """(node, betweenness) over all sources; nodes on no shortest path score 0.
 
     ``max_batch_rows`` bounds sources x arcs per batch, ``rows_per_partition`` the rows that one
-    task sends in a round. ``resume`` names a folder that keeps the scores of finished batches, for a
+    task sends in a round. Tasks hold the arcs of a graph of at most ``held_arcs`` (and ten times the
+    batch), and go by source; 0: always by rows. ``resume`` names a folder that keeps the scores of finished batches, for a
     later run over the same graph; the caller removes it."""
     spark = graph.arcs.sparkSession
     checkpoint_root(spark)  # make sure a checkpoint folder is known
@@ -277,12 +384,14 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
         nodes = cut(graph.nodes.select("node"))
         kept = _Kept(cut.spark, resume or f"{cut.root}/kept", named, nodes, cut, resume is not None)
         ids, arcs, n, m = kept.ids, kept.arcs, kept.n, kept.m
-        batches = max(1, min(n, math.ceil(n * m / max_batch_rows)))
+        # Distances that overflow are left to the rows, which tell them from nodes not reached.
+        held = 0 < m <= held_arcs and math.isfinite(arcs.agg(F.max("w")).first()[0] * n)
+        batches = max(1, min(n, math.ceil(n * m / (max_batch_rows * (HELD_BATCH if held else 1)))))
         # Tasks by the work of a round, in whole waves of the cluster's slots.
         slots = default_parallelism(spark)
-        blocks = slots * max(1, math.ceil(n * m / batches / rows_per_partition / slots))
+        blocks = slots if held else slots * max(1, math.ceil(n * m / batches / rows_per_partition / slots))
         labels = F.array(*map(F.lit, _labels(spark, blocks)))
-        if m <= broadcast_arcs:
+        if not held and m <= broadcast_arcs:
             arcs = F.broadcast(arcs)
         else:
             cut.blocks = blocks
@@ -296,8 +405,11 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
                 sources = own(ids.filter(F.col("id") % batches == batch)
                               .select(F.element_at(labels, nth + 1).alias("block"), F.col("id").alias("s"))
                               .repartition(blocks, "block"))
-                distances = _distances(own, sources, arcs)
-                part = _dependencies(own, sources, _shortest_arcs(own, distances, arcs))
+                if held:
+                    part = _held(own, sources, arcs)
+                else:
+                    distances = _distances(own, sources, arcs)
+                    part = _dependencies(own, sources, _shortest_arcs(own, distances, arcs))
                 kept.publish(batch, batches, part)
             finally:
                 own.close()

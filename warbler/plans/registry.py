@@ -243,12 +243,16 @@ def _rounded(scores: DataFrame) -> DataFrame:
                                if c in scores.columns})
 
 
+def _betweenness(edges: graph.Graph) -> DataFrame:
+    return centrality.betweenness(edges, held_arcs=centrality.HELD_ARCS)
+
+
 def betweenness(spark, d):
     return _rounded(centrality.betweenness(_topic_graph(spark, d)))
 
 
 def node_sizes(spark, d):
-    return _rounded(centrality.node_sizes(centrality.betweenness(_topic_graph(spark, d))))
+    return _rounded(centrality.node_sizes(_betweenness(_topic_graph(spark, d))))
 
 
 def _event_graph(spark, d) -> graph.Graph:
