@@ -248,7 +248,7 @@ def _betweenness(edges: graph.Graph) -> DataFrame:
 
 
 def betweenness(spark, d):
-    return _rounded(centrality.betweenness(_topic_graph(spark, d)))
+    return _rounded(_betweenness(_topic_graph(spark, d)))
 
 
 def node_sizes(spark, d):
