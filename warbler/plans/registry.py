@@ -270,7 +270,7 @@ def event_graph_nodes(spark, d):
 
 
 def event_graph_betweenness(spark, d):
-    return _rounded(centrality.betweenness(_event_graph(spark, d)))
+    return _rounded(_betweenness(_event_graph(spark, d)))
 
 
 QUERIES: dict[str, Query] = {
