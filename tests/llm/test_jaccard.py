@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from warbler.llm import jaccard
+from warbler.llm import jaccard, store
 
 
 def sets(rows, words):
@@ -151,3 +151,42 @@ def test_hubs_long_texts_and_flushed_counts(spark, monkeypatch):
     want = brute(rows, 3, 90, 100)
     assert sorted(((r.id, r.n_shingles, r.component) for r in got.collect()), key=str) == want
     assert len({c for i, _, c in want if 100 <= i < 150}) > 5
+
+
+def _shuffle_files(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n")
+    return {f.rsplit("/", 1)[-1] for f in files if "/shuffle_" in f}
+
+
+def test_tables_keep_no_shuffle_files(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).groupBy((F.col("id") % 7_000).alias("k")).count().repartition(3, "count")
+    before, was = _shuffle_files(spark), spark.conf.get(store.CLEAN_UP)
+    written = store.table(df, "cleaned")
+    until = time.time() + 10
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(store.CLEAN_UP) == was
+    assert written.count() == 7_000 and df.count() == 7_000
+
+
+def test_prefixes_are_removed_once_they_are_indexed(spark, rows, monkeypatch):
+    written = {}
+    real = jaccard.table
+
+    def spy(df, name):
+        written[name] = real(df, name)
+        written[name].paths = written[name].inputFiles()
+        return written[name]
+
+    monkeypatch.setattr(jaccard, "table", spy)
+    df = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
+    assert jaccard.components(df, words=3, num=90).count() == len(rows)
+    long_lists = [name for name, t in written.items() if "prefix" in t.columns]
+    assert len(long_lists) == 2
+    for name in long_lists:
+        assert not any(store.exists(path) for path in written[name].paths), name

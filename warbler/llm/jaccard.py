@@ -47,7 +47,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from warbler.llm.store import create, exists, folder, fresh, table, tidy, view
+from warbler.llm.store import create, discard, exists, folder, fresh, table, tidy, view
 
 SKETCH_BITS = 24
 SKETCH_BLOCK = 1 << 16
@@ -328,8 +328,8 @@ class _Join:
         spark = docs.sparkSession
         levels = spark.sparkContext.broadcast(sketch(docs, words))
         self.docs = docs = docs.withColumn("task", F.spark_partition_id())
-        self.rows = table(docs.mapInArrow(_signatures(levels, words, num, den), ROWS), "jaccard-rows")
-        some = self.rows.filter("n > 0")
+        signed = table(docs.mapInArrow(_signatures(levels, words, num, den), ROWS), "jaccard-signatures")
+        some = signed.filter("n > 0")
         # Rows of a class agree in all but id and mark, and rows of a group in prefix and n.
         groups = table(some.groupBy("group").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
                        .withColumn("gid", F.monotonically_increasing_id()), "jaccard-groups")
@@ -341,11 +341,15 @@ class _Join:
             .select("class", "low", "one.id", "one.mark", "one.task", "gid", "n",
                     *[F.col("parity")[i].alias(p) for i, p in enumerate(PARITIES)]).withColumn(
                 "node", F.monotonically_increasing_id()), "jaccard-classes")
+        self.rows = table(signed.select("id", "mark", "n", "class"), "jaccard-rows")
+        discard(signed)  # the prefixes are in the groups, and then in the index
         every = groups.select("gid", F.col("n").cast("int").alias("n"),
                               F.posexplode("prefix").alias("place", "shingle"))
         of = F.count(F.lit(1)).over(Window.partitionBy("shingle"))
         self.index = table(every.withColumn("of", of).filter("of > 1").drop("of"), "jaccard-index")
-        kinds = self.index.groupBy("shingle", "place", "n").agg(F.count(F.lit(1)).alias("of"))
+        discard(groups)
+        # Dealt by shingle once, for the count and for both sides of the join.
+        kinds = self.index.repartition("shingle").groupBy("shingle", "place", "n").agg(F.count(F.lit(1)).alias("of"))
         a, b = kinds.alias("a"), kinds.alias("b")
         self.pairs = table(
             a.join(b, (F.col("a.shingle") == F.col("b.shingle"))
