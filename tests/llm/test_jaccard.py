@@ -190,3 +190,68 @@ def test_prefixes_are_removed_once_they_are_indexed(spark, rows, monkeypatch):
     assert len(long_lists) == 2
     for name in long_lists:
         assert not any(store.exists(path) for path in written[name].paths), name
+
+
+def _rows_of_tables(monkeypatch):
+    """Rows by name of the tables that the join writes, in order."""
+    written, real = [], jaccard.table
+
+    def spy(df, name):
+        out = real(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "table", spy)
+    return written
+
+
+def test_a_shared_passage_is_one_pair_of_kinds(spark, monkeypatch):
+    """Texts that share a passage of many shingles meet at the first of them, not at each."""
+    written = _rows_of_tables(monkeypatch)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"own{i}x{j}" for j in range(12 + i)])) for i in range(12)]
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, num=50)
+    assert sorted(((r.id, r.n_shingles, r.component) for r in got.collect()), key=str) == brute(rows, 3, 50, 100)
+    rows = [(i, " ".join(passage[:30] + [f"own{i}x{j}" for j in range(32 + i)])) for i in range(24)]
+    written.clear()
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, num=30)
+    assert sorted(((r.id, r.n_shingles, r.component) for r in got.collect()), key=str) == brute(rows, 3, 30, 100)
+    assert sum(n for name, n in written if name == "jaccard-kind-pairs") <= 24 * 25 / 2
+
+
+def test_near_copies_leave_few_pairs_to_the_last_round(spark, monkeypatch):
+    """Chains of near copies, where neither the first nor the last group of a shingle links with most."""
+    written = _rows_of_tables(monkeypatch)
+    rng, rows = random.Random(5), []
+    base = [f"b{i}" for i in range(150)]
+    for i in range(150):  # up to six places of twenty differ
+        w = list(base)
+        for j in rng.sample(range(3, 143, 7), rng.randrange(1, 7)):
+            w[j] = f"e{j}"
+        rows.append((i, " ".join(w)))
+    got = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), words=3, num=90)
+    assert sorted(((r.id, r.n_shingles, r.component) for r in got.collect()), key=str) == brute(rows, 3, 90, 100)
+    assert [n for name, n in written if name == "jaccard-pairs"][-1] <= 150
+
+
+def test_only_the_result_is_left(spark, rows):
+    """Tables of the rounds, and what is asked of tasks, go with the call that made them."""
+    df = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
+    was = set(_scratch(spark))
+    found = jaccard.components(df, words=3, num=90)
+    left = set(_scratch(spark)) - was
+    assert len(left) == 1 and found.count() == len(rows)
+    with pytest.raises(ZeroDivisionError), store.passing(spark):
+        1 / 0
+    with store.passing(spark) as keep:
+        jaccard.keep_one(df)
+        kept = keep(store.table(df, "kept"))
+    assert len(set(_scratch(spark)) - was - left) == 1 and kept.count() == len(rows)
+
+
+def _scratch(spark):
+    import os
+
+    from warbler.session import app_id, checkpoint_root
+
+    return os.listdir(f"{checkpoint_root(spark).removeprefix('file:')}/warbler/{app_id(spark)}")

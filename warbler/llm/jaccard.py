@@ -8,17 +8,20 @@ when ``den`` · |intersection| ≥ ``num`` · |union|.
    of fixed size over all documents; any order is right, a good one keeps common shingles out of the
    prefixes. Two sets can only link if they share one of their first n − ⌈t·n⌉ + 1 shingles.
 3. Classes with the same prefix and size are one group. An inverted index holds a row per group and
-   prefix shingle that another group has too: (shingle, place, size). All its rows of one shingle,
-   place and size are of one kind; pairs of kinds are tested first, by size and by the overlap that
-   their places still allow, so a common shingle costs kinds², not rows².
+   prefix shingle that another group has too: (shingle, place, size), and the first and the last
+   group of the shingle. All its rows of one shingle, place and size are of one kind; pairs of kinds
+   are tested first, by size and by the overlap that their places still allow, so a common shingle
+   costs kinds², not rows².
 4. Linking goes in rounds. In the first, each group that may link with the first group of one of its
-   shingles is compared with one such group, and each class with one of its own group; the second
-   takes the last group of each shingle in the same way. That joins large groups of near copies by as
-   many comparisons as they have members. The last round compares every pair of classes that any of
-   the kept pairs of kinds names, unless they are already in one component. So no link between
-   components is lost, and none within one is needed.
-   Pairs whose sets differ in more shingles than a link allows, by maps of 512 parities that each
-   class has, are no rows of that join.
+   shingles is compared with one such group, and each class with one of its own group. Then only
+   shingles of several components are live. The second round takes the last group of each live shingle
+   in the same way, and each class that a pair of kinds names with one whose map (below) has an equal
+   part. That joins large groups of near copies by a few comparisons for each member. The last round
+   compares every pair of classes that any of the pairs of kinds names, unless they are already in one
+   component. So no link between components is lost, and none within one is needed.
+   A pair of classes is a row only at the first live shingle that it shares: kinds and rows that have
+   the same live shingle before theirs met there. Pairs whose sets differ in more shingles than a link
+   allows, by maps of 512 parities that each class has, are no rows of that join.
 5. Verification: the sets of the classes in a round's pairs are built again where their texts are
    read: each task finds what is asked of it in a file of its own in the shared folder, so no text is
    shuffled; a task that misses one fails. Each pair (a, b) goes to b's place, where b's set is held
@@ -47,7 +50,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from warbler.llm.store import create, discard, exists, folder, fresh, table, tidy, view
+from warbler.llm.store import create, discard, exists, folder, fresh, passing, table, tidy, view
 
 SKETCH_BITS = 24
 SKETCH_BLOCK = 1 << 16
@@ -169,6 +172,8 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
     levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for part, counts in zip(got["part"].to_pylist(), got["counts"].to_pylist()):
         levels[part * SKETCH_BLOCK:(part + 1) * SKETCH_BLOCK] = np.frombuffer(counts, np.uint8)
+    del got
+    tidy()
     return levels
 
 
@@ -345,20 +350,12 @@ class _Join:
         discard(signed)  # the prefixes are in the groups, and then in the index
         every = groups.select("gid", F.col("n").cast("int").alias("n"),
                               F.posexplode("prefix").alias("place", "shingle"))
-        of = F.count(F.lit(1)).over(Window.partitionBy("shingle"))
-        self.index = table(every.withColumn("of", of).filter("of > 1").drop("of"), "jaccard-index")
+        # The first and the last group of each shingle are kept beside it, so they are found once.
+        own, row = Window.partitionBy("shingle"), F.struct("gid", "n", "place")
+        self.index = table(every.withColumn("of", F.count(F.lit(1)).over(own)).filter("of > 1").drop("of")
+                           .withColumn("first", F.min(row).over(own)).withColumn("last", F.max(row).over(own)),
+                           "jaccard-index")
         discard(groups)
-        # Dealt by shingle once, for the count and for both sides of the join.
-        kinds = self.index.repartition("shingle").groupBy("shingle", "place", "n").agg(F.count(F.lit(1)).alias("of"))
-        a, b = kinds.alias("a"), kinds.alias("b")
-        self.pairs = table(
-            a.join(b, (F.col("a.shingle") == F.col("b.shingle"))
-                   & (F.struct("a.n", "a.place") <= F.struct("b.n", "b.place"))
-                   & _may_link(num, den, "a", "b")
-                   & ((F.col("a.n") != F.col("b.n")) | (F.col("a.place") != F.col("b.place"))
-                      | (F.col("a.of") > 1)))
-            .select("a.shingle", F.col("a.n").alias("na"), F.col("a.place").alias("pa"),
-                    F.col("b.n").alias("nb"), F.col("b.place").alias("pb")), "jaccard-kind-pairs")
         self.members = self.classes.select("gid", "node")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
@@ -388,52 +385,99 @@ class _Join:
                      .sortWithinPartitions("place", "salt", F.desc("is_head"))
                      .mapInArrow(_verify(self.num, self.den), "a long, b long").distinct(), "jaccard-links")
 
-    def near_one(self, best, labels: DataFrame | None) -> DataFrame:
+    def near_one(self, best, which: str, entries: DataFrame) -> DataFrame:
         """For each group one that may link with it among the first (last) groups of its shingles, as
-        pairs of their first (last) classes; and each class with that of its group. Pairs that are in
-        one component already are left out."""
-        one = self.index.groupBy("shingle").agg(best(F.struct("gid", "n", "place")).alias("one"))
-        one = table(one.select("shingle", "one.*"), "jaccard-one")
-        across = (self.index.alias("x").join(one.alias("y"),
-                                             F.col("x.shingle") == F.col("y.shingle"))
-                  .filter((F.col("x.gid") != F.col("y.gid")) & _may_link(self.num, self.den, "x", "y"))
-                  .groupBy(F.col("x.gid").alias("x")).agg(best("y.gid").alias("y")))
+        pairs of their first (last) classes; and each class with that of its group."""
+        across = (entries.select("gid", "n", "place", F.col(which).alias("y")).alias("x")
+                  .filter((F.col("gid") != F.col("y.gid")) & _may_link(self.num, self.den, "x", "y"))
+                  .groupBy(F.col("gid").alias("x")).agg(best("y.gid").alias("y")))
         heads = table(self.members.groupBy("gid").agg(best("node").alias("head")), "jaccard-first")
         across = (across.join(heads.select(F.col("gid").alias("x"), F.col("head").alias("a")), "x")
                   .join(heads.select(F.col("gid").alias("y"), F.col("head").alias("b")), "y").select("a", "b"))
         inside = (self.members.join(heads, "gid").filter("node != head")
                   .select(F.col("node").alias("a"), F.col("head").alias("b")))
-        pairs = across.union(inside)
-        if labels is None:
-            return pairs
-        la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        return (pairs.join(la, "a", "left").join(lb, "b", "left")
-                .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
-
-    def all_left(self, labels: DataFrame) -> DataFrame:
-        """All pairs that may link and are not in one component."""
-        marked = table(self.classes.select("gid", "node", "n", *PARITIES).join(labels, "node", "left")
-                       .select("gid", "node", "n", F.coalesce("label", "node").alias("label"), *PARITIES),
-                       "jaccard-labels")
-        used = (self.pairs.select("shingle", F.col("na").alias("n"), F.col("pa").alias("place"))
-                .union(self.pairs.select("shingle", "nb", "pb")).distinct())
-        entries = table(self.index.join(used, ["shingle", "n", "place"])
-                        .join(marked.drop("n"), "gid")
-                        .select("shingle", "n", "place", "node", "label", *PARITIES), "jaccard-entries")
-        mixed = (entries.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .filter("lo != hi").select("shingle"))
-        entries = table(entries.join(mixed, "shingle"), "jaccard-entries-mixed")
+        return across.union(inside)
+
+    def marked(self, labels: DataFrame) -> DataFrame:
+        """The classes and their components."""
+        return table(self.classes.select("gid", "node", "n", *PARITIES).join(labels, "node", "left")
+                     .select("gid", "node", "n", F.coalesce("label", "node").alias("label"), *PARITIES),
+                     "jaccard-labels")
+
+    def live(self, entries: DataFrame, marked: DataFrame) -> DataFrame:
+        """Those of the index's rows whose shingle is in classes of several components; ``lo`` and
+        ``hi`` are the first and the last component of the row's group. Components only grow, so what
+        is not live after a round never is again."""
+        of = marked.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        dealt = entries.drop("lo", "hi").join(of, "gid").repartition("shingle")
+        mixed = (dealt.groupBy("shingle").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
+                 .filter("least != most").select("shingle"))
+        return table(dealt.join(mixed, "shingle"), "jaccard-live")
+
+    def alike(self, entries: DataFrame, marked: DataFrame) -> DataFrame:
+        """Each class of these rows with one of another component that has the same parities in one
+        of the map's parts of 32 bits, if the maps allow a link: a row per class and part."""
+        some = marked.join(entries.select("gid").distinct(), "gid", "left_semi")
+        parts = [part for p in PARITIES for part in (F.shiftrightunsigned(p, 32),
+                                                     F.col(p).bitwiseAND(F.lit(0xFFFFFFFF)))]
+        rows = (some.select("node", "label", F.posexplode(F.array(*parts)).alias("part", "bits"))
+                .filter("bits != 0"))
+        row = F.struct(F.xxhash64("node", "part").alias("draw"), "node", "label")
+        one = rows.groupBy("part", "bits").agg(F.min(row).alias("one"))
+        pairs = (rows.join(one, ["part", "bits"]).filter(F.col("label") != F.col("one.label"))
+                 .select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b"))
+                 .distinct())
+        x, y = marked.alias("x"), marked.alias("y")
+        return (pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
+                .filter(_near(self.num, self.den, "x", "y")).select("a", "b"))
+
+    def kind_pairs(self, live: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The pairs of kinds that may hold links between components, and the rows of those kinds. A
+        pair comes up at the first shingle that it shares: where the live shingles before it are the
+        same one, it isn't the first."""
+        before = F.lag("shingle").over(Window.partitionBy("gid").orderBy("place"))
+        entries = table(live.select("shingle", "n", "place", "gid", "lo", "hi", before.alias("before")),
+                        "jaccard-entries")
+        kinds = entries.repartition("shingle").groupBy("shingle", "place", "n").agg(
+            F.count(F.lit(1)).alias("of"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+            # Null unless all rows have one.
+            F.when(F.count("before") == F.count(F.lit(1)), F.min("before")).alias("early"),
+            F.when(F.count("before") == F.count(F.lit(1)), F.max("before")).alias("late"))
+        a, b = kinds.alias("a"), kinds.alias("b")
+        least, most = F.least("a.lo", "b.lo"), F.greatest("a.hi", "b.hi")
+        one_before = ((F.col("a.early") == F.col("b.late")) & (F.col("a.late") == F.col("b.early"))
+                      & (F.col("a.early") == F.col("a.late")))
+        pairs = table(
+            a.join(b, (F.col("a.shingle") == F.col("b.shingle"))
+                   & (F.struct("a.n", "a.place") <= F.struct("b.n", "b.place"))
+                   & _may_link(self.num, self.den, "a", "b")
+                   & ((F.col("a.n") != F.col("b.n")) | (F.col("a.place") != F.col("b.place"))
+                      | (F.col("a.of") > 1))
+                   & (least != most) & ~F.coalesce(one_before, F.lit(False)))
+            .select("a.shingle", F.col("a.n").alias("na"), F.col("a.place").alias("pa"),
+                    F.col("b.n").alias("nb"), F.col("b.place").alias("pb")), "jaccard-kind-pairs")
+        used = (pairs.select("shingle", F.col("na").alias("n"), F.col("pa").alias("place"))
+                .union(pairs.select("shingle", "nb", "pb")).distinct())
+        return pairs, table(entries.drop("lo", "hi").join(used, ["shingle", "n", "place"], "left_semi"),
+                            "jaccard-entries-used")
+
+    def all_left(self, pairs: DataFrame, entries: DataFrame, marked: DataFrame) -> DataFrame:
+        """All pairs that may link and are not in one component, of the pairs of kinds and their rows."""
+        members = self.live(entries, marked).drop("lo", "hi").join(marked.drop("n"), "gid")
+        members = table(members, "jaccard-members")
         # Pairs of entries whose sets can't link by their parity maps are no rows of the join.
-        x, y = entries.alias("x"), entries.alias("y")
-        kinds = self.pairs.alias("k")
+        x, y = members.alias("x"), members.alias("y")
         of_x = [F.col(f"k.{k}") == F.col(f"x.{c}") for k, c in
                 (("shingle", "shingle"), ("na", "n"), ("pa", "place"))]
         of_y = [F.col(f"k.{k}") == F.col(f"y.{c}") for k, c in
                 (("shingle", "shingle"), ("nb", "n"), ("pb", "place"))]
+        once = ((F.col("k.na") != F.col("k.nb")) | (F.col("k.pa") != F.col("k.pb"))
+                | (F.col("x.node") < F.col("y.node")))
+        first = F.coalesce(F.col("x.before") != F.col("y.before"), F.lit(True))
         near = _near(self.num, self.den, "x", "y")
-        across = (kinds.join(x, reduce(and_, of_x))
-                  .join(y, reduce(and_, [*of_y, F.col("x.label") != F.col("y.label"), near]))
+        across = (pairs.alias("k").join(x, reduce(and_, of_x))
+                  .join(y, reduce(and_, [*of_y, F.col("x.label") != F.col("y.label"),
+                                         F.col("x.gid") != F.col("y.gid"), once, first, near]))
                   .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
         m, o = marked.alias("m"), marked.alias("o")
         inside = (m.join(o, (F.col("m.gid") == F.col("o.gid")) & (F.col("m.label") < F.col("o.label"))
@@ -443,6 +487,14 @@ class _Join:
                                             F.greatest("a", "b").alias("b")).distinct())
 
 
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are not in one component yet."""
+    la = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    lb = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    return (pairs.join(la, "a", "left").join(lb, "b", "left")
+            .filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``node, label``: the components of (a, b), each named by one of its nodes. Every round each
     node takes its smallest neighbour as parent, if that is smaller than itself; parents are followed
@@ -487,41 +539,49 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     reach). ``mark`` is xxhash64 of the text; it tells rows of one id apart."""
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                        F.xxhash64(F.col(text)).alias("mark"))
-    join = _Join(rows, words, num, den)
-    edges = join.linked(join.near_one(F.min, None))
-    labels = connected(edges)
-    edges = edges.union(join.linked(join.near_one(F.max, labels)))
-    labels = connected(edges)
-    labels = connected(edges.union(join.linked(join.all_left(labels))))
-    named = (join.classes.select("class", "low", "node").join(labels, "node", "left")
-             .withColumn("label", F.coalesce("label", "node")))
-    least = named.groupBy("label").agg(F.min("low").alias("component"))
-    of_class = named.join(least, "label").select("class", "component")
-    return (join.rows.select("id", "mark", "n", "class").join(of_class, "class", "left")
-            .select("id", "mark", F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "id").alias("component")))
+    with passing(docs.sparkSession) as keep:
+        join = _Join(rows, words, num, den)
+        edges = join.linked(join.near_one(F.min, "first", join.index))
+        labels = connected(edges)
+        marked = join.marked(labels)
+        live = join.live(join.index, marked)
+        kind_pairs, entries = join.kind_pairs(live)
+        pairs = apart(join.near_one(F.max, "last", live), labels).union(join.alike(entries, marked))
+        edges = edges.union(join.linked(pairs.distinct()))
+        labels = connected(edges)
+        left = join.all_left(kind_pairs, entries, join.marked(labels))
+        labels = connected(edges.union(join.linked(left)))
+        named = (join.classes.select("class", "low", "node").join(labels, "node", "left")
+                 .withColumn("label", F.coalesce("label", "node")))
+        least = named.groupBy("label").agg(F.min("low").alias("component"))
+        of_class = named.join(least, "label").select("class", "component")
+        return keep(table(join.rows.select("id", "mark", "n", "class").join(of_class, "class", "left")
+                          .select("id", "mark", F.col("n").alias("n_shingles"),
+                                  F.coalesce("component", "id").alias("component")), "jaccard-found"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
              num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` with one row of each component: the first by id and ``mark``. Rows without shingles
     all stay. Null ids come last; without any id, the mark decides."""
-    found = components(docs, key, text, words, num, den).withColumn("no_id", F.col("id").isNull())
-    grouped = found.filter("n_shingles > 0")
-    first = F.min(F.struct("no_id", "id", "mark")).alias("first")
-    named = grouped.filter("component is not null").groupBy("component").agg(first)
-    nameless = grouped.filter("component is null").select(F.struct("no_id", "id", "mark").alias("first"))
     id_name, mark, one, rows, rank = fresh(docs, "_id", "_mark", "_one", "_rows", "_rank")
-    times = found.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("times"))
-    kept = (named.select("first.*").union(nameless.select("first.*"))
-            .select("id", "mark", F.lit(True).alias("one"))
-            .union(found.filter("n_shingles = 0").select("id", "mark", F.lit(False))).distinct())
-    kept = (kept.alias("k").join(times.alias("t"), F.col("k.id").eqNullSafe(F.col("t.id"))
-                                 & F.col("k.mark").eqNullSafe(F.col("t.mark")))
-            .select(F.col("k.id").alias(id_name), F.col("k.mark").alias(mark),
-                    F.col("one").alias(one), F.col("times").alias(rows)))
+    with passing(docs.sparkSession) as keep:
+        found = components(docs, key, text, words, num, den).withColumn("no_id", F.col("id").isNull())
+        grouped = found.filter("n_shingles > 0")
+        first = F.min(F.struct("no_id", "id", "mark")).alias("first")
+        named = grouped.filter("component is not null").groupBy("component").agg(first)
+        nameless = grouped.filter("component is null").select(F.struct("no_id", "id", "mark").alias("first"))
+        times = found.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("times"))
+        kept = (named.select("first.*").union(nameless.select("first.*"))
+                .select("id", "mark", F.lit(True).alias("one"))
+                .union(found.filter("n_shingles = 0").select("id", "mark", F.lit(False))).distinct())
+        kept = (kept.alias("k").join(times.alias("t"), F.col("k.id").eqNullSafe(F.col("t.id"))
+                                     & F.col("k.mark").eqNullSafe(F.col("t.mark")))
+                .select(F.col("k.id").alias(id_name), F.col("k.mark").alias(mark),
+                        F.col("one").alias(one), F.col("times").alias(rows)))
+        kept = keep(table(kept, "jaccard-kept"))
     on = F.col(key).cast("long").eqNullSafe(F.col(id_name)) & (F.xxhash64(F.col(text)) == F.col(mark))
-    joined = docs.join(table(kept, "jaccard-kept"), on)
+    joined = docs.join(kept, on)
     # Equal rows of one id: only they are brought together again.
     again = F.col(one) & (F.col(rows) > 1)
     nth = F.row_number().over(Window.partitionBy(id_name, mark).orderBy(one))
