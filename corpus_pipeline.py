@@ -1,5 +1,6 @@
 """From raw documents to packed training windows: five stages, each one operator over all that the
-stage before kept. ``run`` writes every stage to the shared folder and reads it back.
+stage before kept. ``run`` writes every stage to the shared folder and reads it back; what a stage
+wrote goes once the next has read it.
 
 Every stage but the last returns the columns of ``documents``; other columns pass through.
 """
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from warbler.llm import jaccard, mixing, packing, suffix, toxicity
-from warbler.llm.store import fresh, table
+from warbler.llm.store import discard, fresh, passing, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +43,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
     key, words, source, rows, sure, more, size, nth, copies, copy = fresh(
         docs, "_id", "_words", "_source", "_rows", "_sure", "_more", "_size", "_nth", "_copies", "_copy")
-    items = table(mixing.mix(docs).select(*[F.col(c).alias(n) for c, n in (
-        ("id", key), ("size", words), ("source", source), ("rows", rows), ("sure", sure), ("more", more))]),
-        "mix-taken")
+    with passing(spark) as keep:
+        items = keep(table(mixing.mix(docs).select(*[F.col(c).alias(n) for c, n in (
+            ("id", key), ("size", words), ("source", source), ("rows", rows), ("sure", sure), ("more", more))]),
+            "mix-taken"))
     on = (F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(size) == F.col(words))
           & F.col("source").cast("string").eqNullSafe(F.col(source)))
     joined = (docs.withColumn(size, mixing.words("text"))
@@ -78,7 +80,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``: the pieces of the packed windows."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with passing(spark) as keep:
+            docs = keep(table(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs

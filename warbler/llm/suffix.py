@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from warbler.llm.store import create, exists, folder, fresh, table, tidy, view
+from warbler.llm.store import create, exists, folder, fresh, passing, table, tidy, view
 
 GRAM = 25
 BLOCK_BYTES = 2 << 20
@@ -557,27 +557,28 @@ def removed(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
         raise ValueError(f"length must be at least {GRAM + 7}")
     rows = docs.select(_id(key).alias("id"), text_mark(text).alias("mark"), _raw(text).alias("text"),
                        F.spark_partition_id().alias("task"))
-    blocks = table(rows.mapInArrow(_pack(length, block_bytes, piece_bytes), BLOCKS), "suffix-blocks")
-    n_blocks, n_bytes = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    # About 2 of 27 windows start a new fingerprint.
-    tasks = max(1, -(-n_bytes * 2 // 27 // bucket_prints))
-    path = folder(docs.sparkSession, "suffix-shared")
-    prints = blocks.mapInArrow(_print_rows(length, tasks), PRINTS)
-    shared = prints.repartition(tasks, "bucket").mapInArrow(_share_rows, SHARED)
-    table(shared.repartition(max(1, -(-n_blocks // 16)), "block")
-          .mapInArrow(_answer(path), "block long"), "suffix-answered")
-    buckets = max(1, -(-n_bytes // bucket_bytes))
-    both = blocks.mapInArrow(_local(length, tasks, buckets, path), BOTH)
-    cuts, left, level = [], max(2, n_blocks), 0
-    while left > 1:
-        left = -(-left // fan_in)
-        # Blocks of a round: the teams of the round before, by hash.
-        team = F.pmod(F.xxhash64("block", F.lit(level)), F.lit(left))
-        both = table(both.withColumn("team", team).groupBy("bucket", "team")
-                     .applyInArrow(_merge_team(length, left > 1), BOTH), f"suffix-merge-{level}")
-        cuts.append(both.filter("docs is null").select("id", "mark", "lo", "hi"))
-        both, level = both.filter("docs is not null"), level + 1
-    return reduce(DataFrame.unionByName, cuts)
+    with passing(docs.sparkSession) as keep:
+        blocks = table(rows.mapInArrow(_pack(length, block_bytes, piece_bytes), BLOCKS), "suffix-blocks")
+        n_blocks, n_bytes = blocks.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        # About 2 of 27 windows start a new fingerprint.
+        tasks = max(1, -(-n_bytes * 2 // 27 // bucket_prints))
+        path = folder(docs.sparkSession, "suffix-shared")
+        prints = blocks.mapInArrow(_print_rows(length, tasks), PRINTS)
+        shared = prints.repartition(tasks, "bucket").mapInArrow(_share_rows, SHARED)
+        table(shared.repartition(max(1, -(-n_blocks // 16)), "block")
+              .mapInArrow(_answer(path), "block long"), "suffix-answered")
+        buckets = max(1, -(-n_bytes // bucket_bytes))
+        both = blocks.mapInArrow(_local(length, tasks, buckets, path), BOTH)
+        cuts, left, level = [], max(2, n_blocks), 0
+        while left > 1:
+            left = -(-left // fan_in)
+            # Blocks of a round: the teams of the round before, by hash.
+            team = F.pmod(F.xxhash64("block", F.lit(level)), F.lit(left))
+            both = table(both.withColumn("team", team).groupBy("bucket", "team")
+                         .applyInArrow(_merge_team(length, left > 1), BOTH), f"suffix-merge-{level}")
+            cuts.append(both.filter("docs is null").select("id", "mark", "lo", "hi"))
+            both, level = both.filter("docs is not null"), level + 1
+        return keep(table(reduce(DataFrame.unionByName, cuts), "suffix-cuts"))
 
 
 def _merge_team(length: int, more: bool):

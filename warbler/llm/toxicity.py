@@ -38,7 +38,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from warbler.llm.store import table
+from warbler.llm.store import table, tidy
 
 BUCKETS = 1 << 16
 WIDTHS = (1, 2, 3)
@@ -276,7 +276,13 @@ def fit_sample(docs: DataFrame, marked: DataFrame, key: str = "doc_id", text: st
         F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("said"))
     got = (rows.join(some, "id").groupBy("id", "label").agg(F.min("said").alias("said"))
            .orderBy("id").toArrow())
-    return fit(got["said"].to_pylist(), got["label"].to_numpy().astype(np.int64)), fitted
+    said, label = got["said"].to_pylist(), got["label"].to_numpy().astype(np.int64)
+    del got
+    model = fit(said, label)
+    del said
+    _CODES.clear()  # the driver goes on to other work
+    tidy()
+    return model, fitted
 
 
 def thresholds(scored: DataFrame, marked: DataFrame, fitted, least: int = 20) -> dict:
