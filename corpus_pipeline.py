@@ -14,11 +14,21 @@ from warbler.llm.store import discard, fresh, passing, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below the threshold of their language."""
+    """Documents whose toxicity is below the threshold of their language. Each text is scored once;
+    what the stage leaves in the shared folder are the ids, languages and text hashes of those that
+    go, and no texts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    score, limit = fresh(docs, "_score", "_limit")
-    scored = toxicity.classify(docs, labels, score_name=score, threshold_name=limit)
-    return scored.filter(F.col(score) < F.col(limit)).select(*docs.columns)
+    key, mark, lang, score, limit = fresh(docs, "_id", "_mark", "_lang", "_score", "_limit")
+    texts = docs.select("doc_id", "text", "lang", F.xxhash64("text").alias(mark))
+    with passing(spark) as keep:
+        scored = toxicity.classify(texts, labels, score_name=score, threshold_name=limit,
+                                   keep=("doc_id", "lang", mark))
+        toxic = keep(table(scored.filter(~(F.col(score) < F.col(limit))).select(
+            F.col("doc_id").alias(key), F.col("lang").cast("string").alias(lang), mark), "toxicity-found"))
+    # Rows of one id, language and text have one score and one threshold.
+    on = (F.col("doc_id").eqNullSafe(F.col(key)) & F.col("lang").cast("string").eqNullSafe(F.col(lang))
+          & (F.xxhash64("text") == F.col(mark)))
+    return docs.join(toxic, on, "left_anti")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

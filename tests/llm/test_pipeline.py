@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import compare, duck
-from test_jaccard import brute as components
+from test_jaccard import _scratch, brute as components
 from test_suffix import brute as cuts
 from warbler.llm import queries, toxicity
 from warbler.llm.mixing import mix
 from warbler.llm.store import table
+from warbler.session import app_id, checkpoint_root
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -60,6 +61,34 @@ def test_toxic_documents_of_several_languages_go(spark, tmp_dir):
     assert len(kept - toxic) >= 0.95 * (900 - len(toxic))
 
 
+def test_toxicity_leaves_no_texts_in_the_shared_folder(spark, tmp_dir):
+    """Beside what it returns, the stage keeps a row per document that goes, without the text; rows of
+    one id or of none are told apart by text and language."""
+    rng, rows, labels = random.Random(6), [], []
+    for i in range(600):
+        words = [rng.choice(("alpha", "beta", "gamma", "delta")) + rng.choice("xyz") for _ in range(20)]
+        if toxic := i % 5 == 0:
+            words[3:15:4] = ["vileword"] * 3
+        rows.append((i, " ".join(words), "en", "a", 1))
+        labels.append((i, 1, int(toxic)))
+    vile, clean = rows[0][1], rows[1][1]
+    rows += [(1, vile, "en", "a", 1), (None, vile, None, "a", 1), (None, clean, None, "a", 1), (None, None, None, None, None),
+             (0, vile, "en", "b", 2), (1, clean, "en", "b", 2)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    marked = spark.read.parquet(f"{tmp_dir}/labels.parquet")
+    plain = sorted((tuple(r)[:5] for r in toxicity.classify(docs, marked).filter("score < threshold").collect()), key=str)
+    was = set(_scratch(spark))
+    got = corpus_pipeline.drop_toxic(spark, docs, tmp_dir)
+    left = set(_scratch(spark)) - was
+    assert sorted(map(tuple, got.collect()), key=str) == plain
+    assert (1, vile, "en", "a", 1) not in plain and (1, clean, "en", "b", 2) in plain
+    root = f"{checkpoint_root(spark).removeprefix('file:')}/warbler/{app_id(spark)}"
+    kept = [spark.read.parquet(f"{root}/{name}") for name in left]
+    assert sum(k.count() for k in kept) == len(rows) - len(plain)
+    assert {c for k in kept for c, kind in k.dtypes if kind == "string"} <= {"_lang"}
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     """Nulls in every column, empty and very long texts, ties, repeated rows, and columns named like
