@@ -24,10 +24,11 @@ table of a batch is bucketed by block: joins and aggregates of a round find thei
 ``broadcast_arcs``; beyond that, as a table with a copy for each block, bucketed like the rest. A
 copy per block is small against what a block sends in a round: the arcs times its sources.
 
-Graphs of at most ``held_arcs`` arcs need no rounds over tables: a task holds a copy of the arcs, dealt
+Graphs of at most ``held_arcs`` arcs need no rounds over tables: a task holds a copy of the edges, dealt
 to its block as above, and takes its sources one after the other, with a few numbers per node and arc
-(steps 1 to 4 for one source, ``_trees``). What a task holds is bounded by that number of arcs, whatever
-the number of sources; larger graphs go by rows.
+(steps 1 to 4 for one source, ``_trees``). So do graphs of at most ``hub_arcs`` arcs whose edges all have
+an end among few nodes (``hubs``), which take less of a task's memory and time. What a task holds is bounded
+by these numbers of arcs, whatever the number of sources; larger graphs go by rows.
 
 Distances are kept as runs, one more a round; neighbouring runs of like size are merged, so a round
 reads a logarithmic number of them. A source without a changed row is finished for good: when half
@@ -45,6 +46,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -54,16 +56,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from warbler.operators.graph import Graph
+from warbler.operators.hubs import MOST_HUBS, hub_trees
 from warbler.session import checkpoint_root, default_parallelism, delete_path, scratch_path
 from warbler.sources.publish import exists, replace
 
 NODE_SIZE_FACTOR = 5000.0
 #: Arcs that are sent to every task at most (three numbers each); more are dealt to blocks as a table.
 BROADCAST_ARCS = 2_000_000
-#: Arcs of which a task holds a copy at most (three numbers each).
+#: Arcs of which a task holds a copy at most (each edge once, as two places and a weight).
 HELD_ARCS = 2_000_000
-#: A batch of sources whose arcs are held writes nothing but its scores, so it may be larger.
-HELD_BATCH = 10
+#: The same, of graphs with few hubs (about 100 bytes an edge while a task prepares them).
+HUB_ARCS = 12_000_000
+#: A batch of sources whose arcs are held writes nothing but its scores, and sends the arcs to all tasks
+#: again, so it is larger.
+HELD_BATCH = 2000
 ABSORBED = "an edge weight is too small to count against the distances of its paths"
 #: What a row of distances belongs to.
 KEYS = ["block", "s", "v"]
@@ -228,8 +234,9 @@ def _dependencies(cut: _Cuts, sources: DataFrame, dag: DataFrame) -> DataFrame |
             .agg(F.sum("q").alias("delta")))
 
 
-def _trees():
+def _trees(batch: int, batches: int, n: int, labels: list[int]):
     """What a task does with a block; in one piece, so that workers need not have this package."""
+    by_hubs = hub_trees()
 
     def leaving(first: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         """The places of the arcs that leave these nodes, of arcs in order of the node they leave."""
@@ -265,22 +272,18 @@ def _trees():
                 d[closer] = best[less]
         return d
 
-    def run(sources: pa.Table, arcs: pa.Table) -> pa.Table:
-        """(id, delta): the dependencies of a block's sources, summed per node that an arc has. An arc too
-        small to count against a distance gives a row without an id."""
-        names, ends = np.unique(np.concatenate([arcs["u"].to_numpy(), arcs["v"].to_numpy()]),
-                                return_inverse=True)
-        n, m = len(names), arcs.num_rows
-        u, v, w = ends[:m], ends[m:], arcs["w"].to_numpy()
+    def by_source(n: int, own: np.ndarray, u, v, w) -> np.ndarray | None:
+        """The dependencies of these sources, summed per node, of edges given once. None if an arc is too
+        small to count against a distance."""
+        m = 2 * len(w)
+        u, v, w = np.concatenate([u, v]), np.concatenate([v, u]), np.concatenate([w, w])
         order = np.argsort(u, kind="stable")
         u, v, w = u[order], v[order], w[order]
         first = np.searchsorted(u, np.arange(n + 1))
         order = np.argsort(v, kind="stable")
         into = u[order], w[order]
         ends, starts = np.unique(v[order], return_index=True)
-        own = sources["s"].to_numpy()
-        own = np.searchsorted(names, own[np.isin(own, names)])
-        total, absorbed = np.zeros(n), False
+        total = np.zeros(n)
         sent, there = np.empty(m), np.empty(m)
         for s in own.tolist():
             d = tree(s, u, v, w, first, into, starts, ends, sent)
@@ -291,8 +294,7 @@ def _trees():
             on = on[there[on] < np.inf]
             a, b = u[on], v[on]
             if (d[a] == d[b]).any():
-                absorbed = True
-                break
+                return None
             # A node's arcs are taken when all arcs of shortest paths that enter it have been.
             leave = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=n))])
             missing = np.bincount(b, minlength=n)
@@ -307,21 +309,47 @@ def _trees():
                 np.add.at(delta, a[out], sigma[a[out]] / sigma[b[out]] * (1.0 + delta[b[out]]))
             delta[s] = 0.0
             total += delta
-        ids = pa.array([None], pa.int64()) if absorbed else pa.array(names, pa.int64())
-        return pa.table({"id": ids, "delta": pa.array(total[:len(ids)])})
+        return total
+
+    def run(key: tuple[pa.Scalar, ...], arcs: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(id, delta): the dependencies of a block's sources, summed per node that an arc has. An arc too
+        small to count against a distance gives a row without an id."""
+        own = np.arange(batch + batches * labels.index(key[0].as_py()), n, batches * len(labels))
+        if not len(own):
+            return
+        parts = [[column.to_numpy() for column in part.select(["u", "v", "w"]).columns] for part in arcs]
+        u, v, w = map(np.concatenate, zip(*parts))
+        del parts
+        names = np.unique(np.concatenate([u, v]))
+        if len(names) < n:
+            u, v = np.searchsorted(names, u), np.searchsorted(names, v)
+            own = np.searchsorted(names, own[np.isin(own, names)])
+        total = by_hubs(len(names), own, u, v, w)
+        if total is None:
+            total = by_source(len(names), own, u.astype(np.int64), v.astype(np.int64), w)
+        ids = pa.array([None] if total is None else names, pa.int64())
+        yield pa.RecordBatch.from_pydict({"id": ids, "delta": pa.array([0.0] if total is None else total)})
 
     return run
 
 
-def _held(cut: _Cuts, sources: DataFrame, arcs: DataFrame) -> DataFrame:
-    """(id, delta) summed over these sources, by tasks that each hold the arcs of their block."""
-    part = cut(sources.groupBy("block").cogroup(arcs.groupBy("block"))
-               .applyInArrow(_trees(), "id long, delta double"))
+def _held(cut: _Cuts, arcs: DataFrame, *which) -> DataFrame:
+    """(id, delta) summed over the sources of a batch, by tasks that each hold the arcs of their block."""
+    part = cut(arcs.groupBy("block").applyInArrow(_trees(*which), "id long, delta double"))
     if not part.filter("id is null").isEmpty():
         raise ValueError(ABSORBED)
     return part.groupBy("id").agg(F.sum("delta").alias("delta"))
 
 
+def _few_hubs(arcs: DataFrame) -> bool:
+    """Whether the ends with more arcs, of all arcs, are few nodes: the hubs that ``hub_trees`` takes."""
+    ends = arcs.groupBy("u").agg(F.count(F.lit(1)).alias("arcs"))
+    more = (arcs.select("u", "v").join(ends, "u")
+            .join(ends.select(F.col("u").alias("v"), F.col("arcs").alias("others")), "v")
+            .filter("arcs > others or arcs = others and u > v"))
+    return more.select("u").distinct().limit(MOST_HUBS + 1).count() <= MOST_HUBS
+
+
 def _dense_ids(cut: _Cuts, nodes: DataFrame) -> DataFrame:
     """(node, id) with ids 0 to n - 1, fixed once written: a node's place in its task's share after
     the shares of the tasks before."""
@@ -365,12 +393,13 @@ def _digest(arcs: DataFrame, nodes: DataFrame) -> str:
 
 def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200_000_000,
                 rows_per_partition: int = 4_000_000, in_flight: int = 2, resume: str | None = None,
-                broadcast_arcs: int = BROADCAST_ARCS, held_arcs: int = 0) -> DataFrame:
+                broadcast_arcs: int = BROADCAST_ARCS, held_arcs: int = 0, hub_arcs: int = 0) -> DataFrame:
     """(node, betweenness) over all sources; nodes on no shortest path score 0.
 
     ``max_batch_rows`` bounds sources x arcs per batch, ``rows_per_partition`` the rows that one
-    task sends in a round. Tasks hold the arcs of a graph of at most ``held_arcs`` (and ten times the
-    batch), and go by source; 0: always by rows. ``resume`` names a folder that keeps the scores of finished batches, for a
+    task sends in a round. Tasks hold the arcs of a graph of at most ``held_arcs``, or of at most
+    ``hub_arcs`` and few hubs, and go by source, in ``HELD_BATCH`` times the batch; 0: always by rows.
+    ``resume`` names a folder that keeps the scores of finished batches, for a
     later run over the same graph; the caller removes it."""
     spark = graph.arcs.sparkSession
     checkpoint_root(spark)  # make sure a checkpoint folder is known
@@ -385,15 +414,20 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
         kept = _Kept(cut.spark, resume or f"{cut.root}/kept", named, nodes, cut, resume is not None)
         ids, arcs, n, m = kept.ids, kept.arcs, kept.n, kept.m
         # Distances that overflow are left to the rows, which tell them from nodes not reached.
-        held = 0 < m <= held_arcs and math.isfinite(arcs.agg(F.max("w")).first()[0] * n)
+        held = (0 < m <= max(held_arcs, hub_arcs) and n < 1 << 31
+                and math.isfinite(arcs.agg(F.max("w")).first()[0] * n)
+                and (m <= held_arcs or _few_hubs(arcs)))
         batches = max(1, min(n, math.ceil(n * m / (max_batch_rows * (HELD_BATCH if held else 1)))))
         # Tasks by the work of a round, in whole waves of the cluster's slots.
         slots = default_parallelism(spark)
         blocks = slots if held else slots * max(1, math.ceil(n * m / batches / rows_per_partition / slots))
-        labels = F.array(*map(F.lit, _labels(spark, blocks)))
+        named_blocks = _labels(spark, blocks)
+        labels = F.array(*map(F.lit, named_blocks))
         if not held and m <= broadcast_arcs:
             arcs = F.broadcast(arcs)
         else:
+            if held:
+                arcs = arcs.filter("u < v").select(F.col("u").cast("int"), F.col("v").cast("int"), "w")
             cut.blocks = blocks
             arcs = cut(arcs.withColumn("block", F.explode(labels)).repartition(blocks, "block"))
 
@@ -401,13 +435,13 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"warbler-{batch % in_flight}")
             own = _Cuts(cut.spark, f"{cut.root}/batch-{batch}", blocks)
             try:
-                nth = F.pmod(F.floor(F.col("id") / batches), F.size(labels)).cast("int")
-                sources = own(ids.filter(F.col("id") % batches == batch)
-                              .select(F.element_at(labels, nth + 1).alias("block"), F.col("id").alias("s"))
-                              .repartition(blocks, "block"))
                 if held:
-                    part = _held(own, sources, arcs)
+                    part = _held(own, arcs, batch, batches, n, named_blocks)
                 else:
+                    nth = F.pmod(F.floor(F.col("id") / batches), F.size(labels)).cast("int")
+                    sources = own(ids.filter(F.col("id") % batches == batch)
+                                  .select(F.element_at(labels, nth + 1).alias("block"), F.col("id").alias("s"))
+                                  .repartition(blocks, "block"))
                     distances = _distances(own, sources, arcs)
                     part = _dependencies(own, sources, _shortest_arcs(own, distances, arcs))
                 kept.publish(batch, batches, part)

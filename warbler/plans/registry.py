@@ -244,7 +244,7 @@ def _rounded(scores: DataFrame) -> DataFrame:
 
 
 def _betweenness(edges: graph.Graph) -> DataFrame:
-    return centrality.betweenness(edges, held_arcs=centrality.HELD_ARCS)
+    return centrality.betweenness(edges, held_arcs=centrality.HELD_ARCS, hub_arcs=centrality.HUB_ARCS)
 
 
 def betweenness(spark, d):

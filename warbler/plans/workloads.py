@@ -123,6 +123,7 @@ def edge_list_centrality(spark: SparkSession, edge_path: str, **kw) -> DataFrame
     """W8: edge list file → graph → betweenness → node sizes."""
     g = graph.undirected_graph(tables.scan_edge_list(spark, edge_path, keep_order=True), "last")
     kw.setdefault("held_arcs", centrality.HELD_ARCS)
+    kw.setdefault("hub_arcs", centrality.HUB_ARCS)
     return centrality.node_sizes(centrality.betweenness(g, **kw))
 
 
