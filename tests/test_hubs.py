@@ -1,6 +1,7 @@
 """Betweenness of graphs whose edges have an end among few nodes, against a brute-force Brandes."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -88,3 +89,33 @@ def test_larger_graphs_are_held_if_their_hubs_are_few(spark, tmp_dir, monkeypatc
     assert {r.node: r.betweenness for r in got} == {"h": 1.0, **{f"n{i}": 0.0 for i in range(10)}}
     with pytest.raises(NameError):  # by rows
         centrality.betweenness(g, held_arcs=4, hub_arcs=19)
+
+
+@pytest.mark.parametrize("kind", WEIGHTS)
+def test_tasks_that_share_the_sources(kind):
+    """Edges come to tasks in any order and direction; of whole weights, a pair of leaves is taken once."""
+    r = random.Random(5)
+    for seed in range(20):
+        edges = [(a, b, w) for a, b, w in _hub_edges(seed, WEIGHTS[kind])]
+        names = sorted({x for a, b, _ in edges for x in (a, b)})
+        total = np.zeros(len(names))
+        for part in range(3):
+            r.shuffle(edges)
+            ends = [(a, b) if r.random() < 0.5 else (b, a) for a, b, _ in edges]
+            u, v = (np.array([names.index(e[i]) for e in ends], np.int32) for i in (0, 1))
+            total += hubs.hub_trees()(len(names), np.arange(part, len(names), 3), u, v,
+                                      np.array([e[2] for e in edges], float))
+        want = brandes.betweenness(edges, normalized=False)
+        assert all(got == pytest.approx(want[k], abs=1e-9) for k, got in zip(names, total / 2)), seed
+
+
+def test_held_sums_are_kept_apart_from_sums_by_rows(spark, tmp_dir):
+    edges = _hub_edges(2, WEIGHTS["whole"])
+    path = write_text(f"{tmp_dir}/kept.csv", "".join(f"{a},{b},{w}\n" for a, b, w in edges))
+    g = graph.undirected_graph(tables.scan_edge_list(spark, path, keep_order=True), "last")
+    want = brandes.betweenness([(str(a), str(b), w) for a, b, w in edges])
+    for options in ({}, {"held_arcs": 1000}):
+        got = centrality.betweenness(g, resume=f"{tmp_dir}/kept", **options).collect()
+        assert {r.node: r.betweenness for r in got} == pytest.approx(want, abs=1e-12)
+    [kept] = Path(f"{tmp_dir}/kept").iterdir()
+    assert {p.name for p in kept.iterdir()} >= {"graph", "scores-1", "held-1"}

@@ -417,6 +417,8 @@ def betweenness(graph: Graph, normalized: bool = True, max_batch_rows: int = 200
         held = (0 < m <= max(held_arcs, hub_arcs) and n < 1 << 31
                 and math.isfinite(arcs.agg(F.max("w")).first()[0] * n)
                 and (m <= held_arcs or _few_hubs(arcs)))
+        # Sums over a part of the sources differ by the way they were made.
+        kept.way = "held" if held else "scores"
         batches = max(1, min(n, math.ceil(n * m / (max_batch_rows * (HELD_BATCH if held else 1)))))
         # Tasks by the work of a round, in whole waves of the cluster's slots.
         slots = default_parallelism(spark)
@@ -476,7 +478,7 @@ class _Kept:
 
     def __init__(self, spark: SparkSession, folder: str, named: DataFrame, nodes: DataFrame,
                  cut: _Cuts, lasting: bool):
-        self.spark = spark
+        self.spark, self.way = spark, "scores"
         self.root = f"{folder.rstrip('/')}/{_digest(named, nodes)}" if lasting else folder
 
         def prepare(path: str) -> None:
@@ -495,7 +497,7 @@ class _Kept:
         self.n, self.m = self.ids.count(), self.arcs.count()
 
     def _path(self, batch: int, batches: int) -> str:
-        return f"{self.root}/scores-{batches}/batch-{batch:06d}"
+        return f"{self.root}/{self.way}-{batches}/batch-{batch:06d}"
 
     def has(self, batch: int, batches: int) -> bool:
         return exists(self.spark, self._path(batch, batches))

@@ -9,8 +9,10 @@ rounds until nothing changes. What is left out of that:
 - an edge or a way over a leaf that is longer, by more than all rounding could add up to (``slack``), than
   another way between its ends. No shortest path from any source has it, and it never ties with one.
 - ways over leaves of the same ends and weights are one row with their number. If weights are whole numbers,
-  so that sums are exact, these rows also count paths; with others, paths are counted over the leaves
-  themselves, by the same doubles, left to right from the source, as everywhere else.
+  sums are exact: then these rows also count paths, and as paths are the same both ways, a pair of leaves is
+  taken from one of them for both (so sums are right over all nodes as sources). With other weights, paths
+  are counted over the leaves themselves, by the same doubles, left to right from the source, as everywhere
+  else.
 
 Nothing is rounded, sampled or cut: graphs that are not of this kind are left to the general way.
 """
@@ -88,30 +90,29 @@ def hub_trees(most_hubs: int = MOST_HUBS, most_ways: int = MOST_WAYS, piece: int
         to[where], far[where] = h, w
         return order, count[order], pieces, lead, gap, to, far
 
-    def over_leaves(way, pieces, to, far, hubs: int, most: int):
-        """(from, to, first weight, second weight, number) of the ways over a leaf; None if more than most."""
-        kinds = np.unique(far)
+    def ways_of(way, pieces, to, far, kinds, hubs: int):
+        """Of the leaves of a piece: (first leaf, leaves, leaf of each way over it, key of each way)."""
         kind = len(kinds)
-        if float(hubs) ** 2 * float(kind) ** 2 > 2.0 ** 62:
-            return None
-        found, times, new, size = np.empty(0, np.int64), np.empty(0), [], 0
-        for at, k, r, _ in pieces:
+        for at, k, r, first in pieces:
             h, w = (x[at:at + k * r].reshape(k, r) for x in (to, far))
             c = np.searchsorted(kinds, w)
             for i in range(k):
                 j, x = np.nonzero(w[i] + w <= np.take(way, h[i] * (hubs + 1) + h))
-                new.append(((h[i][x] * hubs + h[j, x]) * kind + c[i][x]) * kind + c[j, x])
-                size += len(x)
-                if size > 1 << 20:
-                    found, times = counted(np.concatenate([found, *new]), np.concatenate([times, np.ones(size)]))
-                    new, size = [], 0
-                    if len(found) > most:
-                        return None
+                yield first, r, x, ((h[i][x] * hubs + h[j, x]) * kind + c[i][x]) * kind + c[j, x]
+
+    def over_leaves(ways, most: int):
+        """(key, number) of the ways over a leaf; None if more than most."""
+        found, times, new, size = np.empty(0, np.int64), np.empty(0), [], 0
+        for *_, keys in ways:
+            new.append(keys)
+            size += len(keys)
+            if size > 1 << 20:
+                found, times = counted(np.concatenate([found, *new]), np.concatenate([times, np.ones(size)]))
+                new, size = [], 0
+                if len(found) > most:
+                    return None
         found, times = counted(np.concatenate([found, *new]), np.concatenate([times, np.ones(size)]))
-        if len(found) > most:
-            return None
-        ends, pair = np.divmod(found, kind * kind)
-        return ends // hubs, ends % hubs, kinds[pair // kind], kinds[pair % kind], times
+        return None if len(found) > most else (found, times)
 
     def prepared(n: int, u, v, w):
         """The graph by hubs and leaves, of what may lie on a shortest path; None if it is not of this kind."""
@@ -132,7 +133,8 @@ def hub_trees(most_hubs: int = MOST_HUBS, most_ways: int = MOST_WAYS, piece: int
         cu, cv, cw = place[u[both]], place[v[both]], w[both]
         h, v, w = place[u[~both]], place[v[~both]], w[~both]
         del u, swap, both, degree
-        order = np.lexsort((w, v))
+        # An order of its own, so that all tasks lay out leaves alike.
+        order = np.lexsort((h, w, v))
         h, v, w = h[order], v[order], w[order]
         del order
         way, other = between(hubs, cu, cv, cw, h, v, w, leaves)
@@ -149,27 +151,43 @@ def hub_trees(most_hubs: int = MOST_HUBS, most_ways: int = MOST_WAYS, piece: int
         # Back to itself, or to no hub, is no way.
         np.fill_diagonal(way, -np.inf)
         way[hubs] = way[:, hubs] = -np.inf
-        found = over_leaves(way.ravel() + slack, pieces, to, far, hubs, most)
+        kinds = np.unique(far)
+        kind = len(kinds)
+        if float(hubs) ** 2 * float(kind) ** 2 > 2.0 ** 62:
+            return None
+        way = way.ravel() + slack
+        found = over_leaves(ways_of(way, pieces, to, far, kinds, hubs), most)
         if found is None:
             return None
-        ws, wt, wa, wb, times = (np.concatenate(x) for x in zip(found, (
-            cu, cv, cw, np.zeros(len(cw)), np.ones(len(cw)))))
+        keys, times = found
+        (ws, wt), (wa, wb) = np.divmod(keys // (kind * kind), hubs), np.divmod(keys % (kind * kind), kind)
+        ws, wt, wa, wb, times = (np.concatenate(x) for x in zip(
+            (ws, wt, kinds[wa], kinds[wb], times), (cu, cv, cw, np.zeros(len(cw)), np.ones(len(cw)))))
         by = np.argsort(wt, kind="stable")
+
+        def per_leaf(on_ways: np.ndarray) -> np.ndarray:
+            """What is on the ways, summed per leaf that they go over."""
+            by_key, sums = np.empty(len(by)), np.zeros(leaves)
+            by_key[by] = on_ways
+            for first, r, x, some in ways_of(way, pieces, to, far, kinds, hubs):
+                sums[first:first + r] += np.bincount(x, by_key[np.searchsorted(keys, some)], r)
+            return sums
+
         names = np.concatenate([np.flatnonzero(hub), np.flatnonzero(~hub)[order]])
-        return (hubs, exact, names, pieces, lead, gap, count, to, far, (cu, cv, cw),
+        return (hubs, exact, names, pieces, lead, gap, count, to, far, (cu, cv, cw), per_leaf,
                 (ws[by], wt[by], wa[by], wb[by], times[by], *np.unique(wt[by], return_index=True)))
 
     def run(n: int, own: np.ndarray, u, v, w) -> np.ndarray | None:
         graph = prepared(n, u, v, w)
         if graph is None:
             return None
-        hubs, exact, names, pieces, lead, gap, count, to, far, (cu, cv, cw), ways = graph
+        hubs, exact, names, pieces, lead, gap, count, to, far, (cu, cv, cw), per_leaf, ways = graph
         ws, wt, wa, wb, times, ends, starts = ways
         leaves, nothing = n - hubs, np.empty(0, np.int64)
         most = max(k * r for _, k, r, _ in pieces)
         here, then, into, out = np.empty(most), np.empty(most), np.empty(most, bool), np.empty(most, bool)
         nth = {(k, r): np.tile(np.arange(r), k) for _, k, r, _ in pieces}
-        place = np.empty(n, np.int64)
+        place, on_ways = np.empty(n, np.int64), np.zeros(len(ws))
         place[names] = np.arange(n)
 
         class Source:
@@ -198,20 +216,24 @@ def hub_trees(most_hubs: int = MOST_HUBS, most_ways: int = MOST_WAYS, piece: int
                 self.apart = d[:hubs].max() == np.inf
                 if exact:
                     on = np.flatnonzero((sent == d[wt]) & (sent < np.inf)) if len(ws) else nothing
-                    self.a, self.b, self.times = ws[on], wt[on], times[on]
+                    self.on, self.a, self.b, self.times = on, ws[on], wt[on], times[on]
                 else:
                     on = np.flatnonzero((d[cu] + cw == d[cv]) & (d[cu] < np.inf))
                     self.a, self.b, self.times = cu[on], cv[on], 1.0
                 d[hubs] = 0.0
                 self.d, self.paths = d, paths
                 self.enter, self.middle, self.leave = [], [], []
-                self.sigmas, self.q = np.zeros(leaves), np.zeros(hubs)
+                self.q = np.zeros(hubs)
                 if exact:
                     self.count_paths()
+                else:
+                    self.sigmas = np.zeros(leaves)
 
             def leaves_of(self, at: int, k: int, r: int, first: int) -> None:
                 """Of a piece, the distances of its leaves and the arcs of shortest paths that enter and leave
-                them."""
+                them. Exact sums are the same both ways, so of two leaves one is the source, for both."""
+                if exact and first + r <= self.leaf + 1:
+                    return
                 size, mine = k * r, first <= self.leaf < first + r
                 ends, edge, leaf = to[at:at + size], far[at:at + size].reshape(k, r), nth[k, r]
                 hub_far, sent, is_in, is_out = (x[:size].reshape(k, r) for x in (here, then, into, out))
@@ -221,28 +243,28 @@ def hub_trees(most_hubs: int = MOST_HUBS, most_ways: int = MOST_WAYS, piece: int
                 if self.apart:
                     best[best == np.inf] = np.nan  # not reached: no arc
                 if mine:
-                    best[self.leaf - first] = np.nan
+                    best[0 if exact else self.leaf - first:self.leaf - first + 1] = np.nan
                 np.equal(sent, best, out=is_in)
                 on = np.flatnonzero(into[:size])
                 arcs = ends[on], leaf[on], first, r
                 if exact:
                     self.share(*arcs)
-                else:
-                    self.enter.append(arcs)
+                    return
+                self.enter.append(arcs)
                 np.add(edge, best, out=sent)
                 np.equal(sent, hub_far, out=is_out)
                 on = np.flatnonzero(out[:size])
                 if len(on):
                     self.leave.append((ends[on], leaf[on] + first))
-                    if not exact:
-                        is_in &= is_out.any(axis=0)
-                        on = np.flatnonzero(into[:size])
-                        self.middle.append((ends[on], leaf[on] + first))
+                    is_in &= is_out.any(axis=0)
+                    on = np.flatnonzero(into[:size])
+                    self.middle.append((ends[on], leaf[on] + first))
 
             def share(self, h, v, first: int, r: int) -> None:
                 """The paths to a piece's leaves, and what their hubs get for them."""
                 sigma = np.bincount(v, self.sigma[h], r)
-                self.sigmas[first:first + r] = sigma
+                if not exact:
+                    self.sigmas[first:first + r] = sigma
                 self.q += np.bincount(h, (1.0 / np.maximum(sigma, 1.0))[v], hubs)
 
             def over(self, first, second, x: np.ndarray) -> np.ndarray:
@@ -266,22 +288,24 @@ def hub_trees(most_hubs: int = MOST_HUBS, most_ways: int = MOST_WAYS, piece: int
                     self.count_paths()
                     for arcs in self.enter:
                         self.share(*arcs)
-                elif self.leave:
-                    self.lh, self.ll = map(np.concatenate, zip(*self.leave))
-                sigma, sigmas, lh, ll, mh, ml = self.sigma, self.sigmas, self.lh, self.ll, self.mh, self.ml
+                elif self.leaf >= 0:
+                    self.q = 2.0 * self.q
+                sigma, lh, ll, mh, ml = self.sigma, self.lh, self.ll, self.mh, self.ml
                 by = self.times * sigma[self.a] / sigma[self.b]
                 q = self.q * sigma + np.bincount(self.a, by, hubs)
                 enters = leaves_by = None
                 if not exact:
-                    enters, leaves_by = sigma[mh] / sigmas[ml], sigmas[ll] / sigma[lh]
+                    enters, leaves_by = sigma[mh] / self.sigmas[ml], self.sigmas[ll] / sigma[lh]
                     q = q + np.bincount(mh, enters * np.bincount(ll, leaves_by, leaves)[ml], hubs)
                 delta = np.zeros(hubs)
                 while q.any():
                     delta += q
                     q = self.over((self.b, self.a, by), (lh, ll, mh, ml, leaves_by, enters), q)
-                if len(ll):
-                    rate = (1.0 + delta) / np.maximum(sigma, 1.0)
-                    total[hubs:] += np.bincount(ll, rate[lh], leaves) * sigmas
+                rate = (1.0 + delta) / np.maximum(sigma, 1.0)
+                if exact:
+                    on_ways[self.on] += sigma[self.a] * rate[self.b]
+                elif len(ll):
+                    total[hubs:] += np.bincount(ll, rate[lh], leaves) * self.sigmas
                 if self.leaf < 0:
                     delta[self.s] = 0.0
                 total[:hubs] += delta
@@ -294,6 +318,8 @@ def hub_trees(most_hubs: int = MOST_HUBS, most_ways: int = MOST_WAYS, piece: int
                     source.leaves_of(*piece)
             for source in sources:
                 source.add_to(total)
+        if exact:
+            total[hubs:] = per_leaf(on_ways)
         scores = np.empty(n)
         scores[names] = total
         return scores
