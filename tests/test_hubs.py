@@ -9,6 +9,7 @@ import pytest
 import brandes
 from helpers import write_text
 from warbler.operators import centrality, graph, hubs
+from warbler.plans import registry, workloads
 from warbler.sources import tables
 
 WEIGHTS = {
@@ -119,3 +120,15 @@ def test_held_sums_are_kept_apart_from_sums_by_rows(spark, tmp_dir):
         assert {r.node: r.betweenness for r in got} == pytest.approx(want, abs=1e-12)
     [kept] = Path(f"{tmp_dir}/kept").iterdir()
     assert {p.name for p in kept.iterdir()} >= {"graph", "scores-1", "held-1"}
+
+
+def test_queries_and_edge_lists_hold_larger_graphs_with_hubs(spark, tmp_dir, monkeypatch):
+    """Neither goes by rows for want of room for the arcs alone."""
+    edges = _hub_edges(4, WEIGHTS["whole"])
+    path = write_text(f"{tmp_dir}/larger.csv", "".join(f"{a},{b},{w}\n" for a, b, w in edges))
+    g = graph.undirected_graph(tables.scan_edge_list(spark, path, keep_order=True), "last")
+    monkeypatch.setattr(centrality, "HELD_ARCS", 2)
+    monkeypatch.delattr(centrality, "_distances")
+    want = brandes.betweenness([(str(a), str(b), w) for a, b, w in edges])
+    for scores in (registry._betweenness(g), workloads.edge_list_centrality(spark, path)):
+        assert {r.node: r.betweenness for r in scores.collect()} == pytest.approx(want, abs=1e-12)
