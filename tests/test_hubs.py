@@ -66,6 +66,7 @@ def test_graphs_that_are_left_to_the_general_way():
 def test_hubs_by_tasks_in_batches(spark, tmp_dir, monkeypatch, kind):
     """The queries' way: edges held by tasks, isolated nodes, more than one batch."""
     monkeypatch.delattr(centrality, "_distances")
+    monkeypatch.setattr(centrality, "HELD_BATCH", 1000)
     done, publish = [], centrality._Kept.publish
     monkeypatch.setattr(centrality._Kept, "publish", lambda *a: (done.append(a[2]), publish(*a)))
     edges = [(f"n{a}", f"n{b}", w) for a, b, w in _hub_edges(3, WEIGHTS[kind], 60)] + [("lone", "lone", 1)]

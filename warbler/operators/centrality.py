@@ -69,7 +69,7 @@ HELD_ARCS = 2_000_000
 HUB_ARCS = 12_000_000
 #: A batch of sources whose arcs are held writes nothing but its scores, and sends the arcs to all tasks
 #: again, so it is larger.
-HELD_BATCH = 2000
+HELD_BATCH = 5000
 ABSORBED = "an edge weight is too small to count against the distances of its paths"
 #: What a row of distances belongs to.
 KEYS = ["block", "s", "v"]
